@@ -106,6 +106,14 @@ def high_amount_alerts(tx: DataFrame, history: int = HIGH_AMOUNT_HISTORY,
     cols = list(dict.fromkeys([*order, *TX_FIELDS, "amount_cents"]))
     hist = keyed_frames(tx.select(*cols), "customer_id", order, history, frames,
                         hot_rows)
+    return high_amount_from_history(hist, min_history, ratio, min_amount)
+
+
+def high_amount_from_history(hist: DataFrame,
+                             min_history: int = HIGH_AMOUNT_MIN_HISTORY,
+                             ratio: float = HIGH_AMOUNT_RATIO,
+                             min_amount: float = HIGH_AMOUNT_MIN_AMOUNT) -> DataFrame:
+    """Alerts from rows carrying ``hist_n`` / ``hist_sum_cents`` (batch or stream)."""
     hits = hist.where(high_amount_condition(
         F.col("amount_cents"), F.col("hist_n"), F.col("hist_sum_cents"),
         min_history, ratio, min_amount))
@@ -131,6 +139,13 @@ def impossible_travel_alerts(tx: DataFrame, max_gap_ms: int = TRAVEL_MAX_GAP_MS,
 
     cols = list(dict.fromkeys([*order, *TX_FIELDS]))
     prev = keyed_frames(tx.select(*cols), "card_id", order, 1, frames, hot_rows)
+    return travel_from_previous(prev, max_gap_ms)
+
+
+def travel_from_previous(prev: DataFrame,
+                         max_gap_ms: int = TRAVEL_MAX_GAP_MS) -> DataFrame:
+    """Alerts from rows carrying ``_has_prev``, ``prev_country`` and
+    ``prev_event_time`` (batch or stream)."""
     gap = F.col("event_time") - F.col("prev_event_time")
     hits = prev.where(F.col("_has_prev")
                       & ~F.col("prev_country").eqNullSafe(F.col("country"))

@@ -72,7 +72,9 @@ def parse_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     v = F.col(value_col)
     non_blank = lines.where(v.isNotNull() & (java_trim(v) != ""))
     p = F.from_json(v, RAW_SCHEMA, JSON_OPTIONS)
-    raw = non_blank.select(v.alias("line"), p.alias("_p"))
+    # A one-element explode keeps later filters on the decoded fields above
+    # the parse, so each line is decoded once (not once per filter).
+    raw = non_blank.select(v.alias("line"), F.explode(F.array(p)).alias("_p"))
     r = lambda c: F.col(f"_p.{c}")
     event_time = _whole_long(r("event_time"))
     amount = r("amount").try_cast(T.DoubleType())

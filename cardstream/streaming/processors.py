@@ -1,0 +1,152 @@
+"""Keyed-state rules for streams (RUL-2 / STA-1, RUL-3 / STA-2).
+
+Both run under ``groupBy(key).transformWithStateInPandas(..., timeMode="None")``
+so no row is dropped by event time (the reference evaluates late rows in
+these rules too). Inside a micro-batch a key's rows are sorted by the order
+columns, so the result does not depend on how the stream is cut into
+micro-batches. The work per key is vectorised with numpy; the state is
+bounded (``history`` amounts per customer, one location per card).
+"""
+
+from __future__ import annotations
+
+from typing import Iterator, Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from cardstream.operators.rules import high_amount_from_history, travel_from_previous
+from cardstream.schema import (
+    HIGH_AMOUNT_HISTORY, HIGH_AMOUNT_MIN_AMOUNT, HIGH_AMOUNT_MIN_HISTORY,
+    HIGH_AMOUNT_RATIO, TRAVEL_MAX_GAP_MS, TX_FIELDS, resolve_order,
+)
+
+_TX_OUT = [f for f in T.StructType([
+    T.StructField("transaction_id", T.StringType()),
+    T.StructField("card_id", T.StringType()),
+    T.StructField("customer_id", T.StringType()),
+    T.StructField("merchant_id", T.StringType()),
+    T.StructField("merchant_category", T.StringType()),
+    T.StructField("country", T.StringType()),
+    T.StructField("event_time", T.LongType()),
+    T.StructField("amount", T.DoubleType()),
+]).fields]
+
+HISTORY_OUT = T.StructType(_TX_OUT + [
+    T.StructField("amount_cents", T.LongType()),
+    T.StructField("hist_n", T.LongType()),
+    T.StructField("hist_sum_cents", T.LongType()),
+])
+TRAVEL_OUT = T.StructType(_TX_OUT + [
+    T.StructField("_has_prev", T.BooleanType()),
+    T.StructField("prev_country", T.StringType()),
+    T.StructField("prev_event_time", T.LongType()),
+])
+# State schemas are built from StructType objects (no JVM on the worker).
+HISTORY_STATE = T.StructType([T.StructField("amounts", T.ArrayType(T.LongType()))])
+LOCATION_STATE = T.StructType([T.StructField("country", T.StringType()),
+                               T.StructField("event_time", T.LongType())])
+
+
+def _sorted(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
+    pdf = pd.concat(list(rows), ignore_index=True)
+    return pdf.sort_values(list(order), kind="mergesort").reset_index(drop=True)
+
+
+class HighAmountProcessor(StatefulProcessor):
+    """Per customer: the last ``history`` amounts (cents) in arrival order.
+
+    For each row the output carries the count and sum of the amounts that
+    arrived before it (at most ``history``), then the amount joins the list.
+    Only rows that can fire (count >= ``min_history``) are emitted.
+    """
+
+    def __init__(self, order: Sequence[str], history: int = HIGH_AMOUNT_HISTORY,
+                 min_history: int = HIGH_AMOUNT_MIN_HISTORY):
+        self.order = list(order)
+        self.history = int(history)
+        self.min_history = int(min_history)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("amounts", HISTORY_STATE)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _sorted(rows, self.order)
+        prior = []
+        if self.state.exists():
+            prior = list(self.state.get()[0] or [])
+        new = pdf["amount_cents"].to_numpy(dtype=np.int64)
+        allv = np.concatenate([np.asarray(prior, dtype=np.int64), new])
+        csum = np.concatenate([[0], np.cumsum(allv)])
+        pos = np.arange(len(prior), len(allv))          # index of each new row
+        lo = np.maximum(pos - self.history, 0)
+        pdf["hist_n"] = (pos - lo).astype(np.int64)
+        pdf["hist_sum_cents"] = (csum[pos] - csum[lo]).astype(np.int64)
+        self.state.update((allv[-self.history:].tolist(),))
+        out = pdf[pdf["hist_n"] >= self.min_history]
+        yield out[[f.name for f in HISTORY_OUT.fields]]
+
+    def close(self) -> None:
+        pass
+
+
+class TravelProcessor(StatefulProcessor):
+    """Per card: country and event time of the last-arrived transaction."""
+
+    def __init__(self, order: Sequence[str]):
+        self.order = list(order)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("last_location", LOCATION_STATE)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _sorted(rows, self.order)
+        countries = pdf["country"].tolist()
+        times = pdf["event_time"].to_numpy(dtype=np.int64)
+        has_prev = self.state.exists()
+        if has_prev:
+            c0, t0 = self.state.get()
+        else:
+            c0, t0 = None, 0
+        pdf["prev_country"] = [c0] + countries[:-1]
+        pdf["prev_event_time"] = np.concatenate([[t0], times[:-1]]).astype(np.int64)
+        flags = np.ones(len(pdf), dtype=bool)
+        flags[0] = has_prev
+        pdf["_has_prev"] = flags
+        self.state.update((countries[-1], int(times[-1])))
+        yield pdf[[f.name for f in TRAVEL_OUT.fields]]
+
+    def close(self) -> None:
+        pass
+
+
+def _input(tx: DataFrame, order: Sequence[str], extra: Sequence[str]) -> DataFrame:
+    cols = list(dict.fromkeys([*order, *TX_FIELDS, *extra]))
+    return tx.select(*cols)
+
+
+def stream_high_amount_alerts(tx: DataFrame, history: int = HIGH_AMOUNT_HISTORY,
+                              min_history: int = HIGH_AMOUNT_MIN_HISTORY,
+                              ratio: float = HIGH_AMOUNT_RATIO,
+                              min_amount: float = HIGH_AMOUNT_MIN_AMOUNT,
+                              order_by: Sequence[str] | None = None) -> DataFrame:
+    """Rule 2 on a stream: same alerts as the batch form, in append mode."""
+    order = resolve_order(tx, order_by)
+    hist = (_input(tx, order, ["amount_cents"]).groupBy("customer_id")
+            .transformWithStateInPandas(
+                HighAmountProcessor(order, history, min_history), HISTORY_OUT,
+                "Append", "None"))
+    return high_amount_from_history(hist, min_history, ratio, min_amount)
+
+
+def stream_impossible_travel_alerts(tx: DataFrame, max_gap_ms: int = TRAVEL_MAX_GAP_MS,
+                                    order_by: Sequence[str] | None = None) -> DataFrame:
+    """Rule 3 on a stream: same alerts as the batch form, in append mode."""
+    order = resolve_order(tx, order_by)
+    prev = (_input(tx, order, []).groupBy("card_id")
+            .transformWithStateInPandas(TravelProcessor(order), TRAVEL_OUT,
+                                        "Append", "None"))
+    return travel_from_previous(prev, max_gap_ms)
