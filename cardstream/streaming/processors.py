@@ -10,10 +10,12 @@ bounded (``history`` amounts per customer, one location per card).
 
 from __future__ import annotations
 
+import sys
 from typing import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -45,6 +47,8 @@ TRAVEL_OUT = T.StructType(_TX_OUT + [
     T.StructField("prev_country", T.StringType()),
     T.StructField("prev_event_time", T.LongType()),
 ])
+HISTORY_TX = [f.name for f in HISTORY_OUT.fields][:-2]
+TRAVEL_TX = [f.name for f in TRAVEL_OUT.fields][:-3]
 # State schemas are built from StructType objects (no JVM on the worker).
 HISTORY_STATE = T.StructType([T.StructField("amounts", T.ArrayType(T.LongType()))])
 LOCATION_STATE = T.StructType([T.StructField("country", T.StringType()),
@@ -52,72 +56,100 @@ LOCATION_STATE = T.StructType([T.StructField("country", T.StringType()),
 
 
 def _sorted(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
-    pdf = pd.concat(list(rows), ignore_index=True)
-    return pdf.sort_values(list(order), kind="mergesort").reset_index(drop=True)
+    chunks = list(rows)
+    pdf = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
+    if len(order) == 1:
+        seq = pdf[order[0]].to_numpy()
+        if len(seq) > 1 and not (seq[1:] >= seq[:-1]).all():
+            pdf = pdf.iloc[np.argsort(seq, kind="stable")]
+        return pdf
+    return pdf.sort_values(list(order), kind="mergesort")
 
 
 class HighAmountProcessor(StatefulProcessor):
     """Per customer: the last ``history`` amounts (cents) in arrival order.
 
-    For each row the output carries the count and sum of the amounts that
-    arrived before it (at most ``history``), then the amount joins the list.
-    Only rows that can fire (count >= ``min_history``) are emitted.
+    Each row is checked against the count and sum of the amounts that arrived
+    before it (at most ``history``), then joins the list. Only rows meeting
+    the rule are emitted (the Spark side re-applies the same predicate and
+    builds the alert), so little data flows back from Python.
     """
 
     def __init__(self, order: Sequence[str], history: int = HIGH_AMOUNT_HISTORY,
-                 min_history: int = HIGH_AMOUNT_MIN_HISTORY):
+                 min_history: int = HIGH_AMOUNT_MIN_HISTORY,
+                 ratio: float = HIGH_AMOUNT_RATIO,
+                 min_amount: float = HIGH_AMOUNT_MIN_AMOUNT):
         self.order = list(order)
         self.history = int(history)
         self.min_history = int(min_history)
+        self.ratio = float(ratio)
+        self.min_cents = int(round(min_amount * 100))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("amounts", HISTORY_STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows, self.order)
-        prior = []
-        if self.state.exists():
-            prior = list(self.state.get()[0] or [])
+        stored = self.state.get()          # None when the key is new
+        prior = np.asarray((stored[0] or []) if stored is not None else [],
+                           dtype=np.int64)
         new = pdf["amount_cents"].to_numpy(dtype=np.int64)
-        allv = np.concatenate([np.asarray(prior, dtype=np.int64), new])
+        allv = np.concatenate([prior, new])
         csum = np.concatenate([[0], np.cumsum(allv)])
         pos = np.arange(len(prior), len(allv))          # index of each new row
         lo = np.maximum(pos - self.history, 0)
-        pdf["hist_n"] = (pos - lo).astype(np.int64)
-        pdf["hist_sum_cents"] = (csum[pos] - csum[lo]).astype(np.int64)
+        hist_n = (pos - lo).astype(np.int64)
+        hist_sum = (csum[pos] - csum[lo]).astype(np.int64)
         self.state.update((allv[-self.history:].tolist(),))
-        out = pdf[pdf["hist_n"] >= self.min_history]
-        yield out[[f.name for f in HISTORY_OUT.fields]]
+        fire = ((hist_n >= self.min_history)
+                & ((new * hist_n).astype(np.float64)
+                   >= self.ratio * hist_sum.astype(np.float64))
+                & (new > self.min_cents))
+        if fire.any():
+            out = pdf.loc[fire, HISTORY_TX].copy()
+            out["hist_n"] = hist_n[fire]
+            out["hist_sum_cents"] = hist_sum[fire]
+            yield out
 
     def close(self) -> None:
         pass
 
 
 class TravelProcessor(StatefulProcessor):
-    """Per card: country and event time of the last-arrived transaction."""
+    """Per card: country and event time of the last-arrived transaction.
 
-    def __init__(self, order: Sequence[str]):
+    Only rows whose predecessor is in another country less than ``max_gap_ms``
+    earlier are emitted; the card's latest row always becomes the new state.
+    """
+
+    def __init__(self, order: Sequence[str], max_gap_ms: int = TRAVEL_MAX_GAP_MS):
         self.order = list(order)
+        self.max_gap_ms = int(max_gap_ms)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("last_location", LOCATION_STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows, self.order)
-        countries = pdf["country"].tolist()
+        countries = pdf["country"].to_numpy(dtype=object)
         times = pdf["event_time"].to_numpy(dtype=np.int64)
-        has_prev = self.state.exists()
-        if has_prev:
-            c0, t0 = self.state.get()
-        else:
-            c0, t0 = None, 0
-        pdf["prev_country"] = [c0] + countries[:-1]
-        pdf["prev_event_time"] = np.concatenate([[t0], times[:-1]]).astype(np.int64)
+        stored = self.state.get()          # None when the card is new
+        has_prev = stored is not None
+        c0, t0 = stored if has_prev else (None, 0)
+        prev_c = np.empty(len(pdf), dtype=object)
+        prev_c[0] = c0
+        prev_c[1:] = countries[:-1]
+        prev_t = np.concatenate([[t0], times[:-1]]).astype(np.int64)
         flags = np.ones(len(pdf), dtype=bool)
         flags[0] = has_prev
-        pdf["_has_prev"] = flags
         self.state.update((countries[-1], int(times[-1])))
-        yield pdf[[f.name for f in TRAVEL_OUT.fields]]
+        fire = flags & (prev_c != countries) & (times - prev_t < self.max_gap_ms)
+        if fire.any():
+            out = pdf.loc[fire, TRAVEL_TX].copy()
+            out["_has_prev"] = True
+            out["prev_country"] = prev_c[fire]
+            out["prev_event_time"] = prev_t[fire]
+            yield out
 
     def close(self) -> None:
         pass
@@ -137,7 +169,8 @@ def stream_high_amount_alerts(tx: DataFrame, history: int = HIGH_AMOUNT_HISTORY,
     order = resolve_order(tx, order_by)
     hist = (_input(tx, order, ["amount_cents"]).groupBy("customer_id")
             .transformWithStateInPandas(
-                HighAmountProcessor(order, history, min_history), HISTORY_OUT,
+                HighAmountProcessor(order, history, min_history, ratio, min_amount),
+                HISTORY_OUT,
                 "Append", "None"))
     return high_amount_from_history(hist, min_history, ratio, min_amount)
 
@@ -147,6 +180,11 @@ def stream_impossible_travel_alerts(tx: DataFrame, max_gap_ms: int = TRAVEL_MAX_
     """Rule 3 on a stream: same alerts as the batch form, in append mode."""
     order = resolve_order(tx, order_by)
     prev = (_input(tx, order, []).groupBy("card_id")
-            .transformWithStateInPandas(TravelProcessor(order), TRAVEL_OUT,
+            .transformWithStateInPandas(TravelProcessor(order, max_gap_ms), TRAVEL_OUT,
                                         "Append", "None"))
     return travel_from_previous(prev, max_gap_ms)
+
+
+# The processors travel to the Python state runners by value, so workers
+# (including the driver-side state runner) never need to import this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
