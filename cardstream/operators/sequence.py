@@ -17,8 +17,9 @@ with more than ``hot_rows`` rows take a second, exact path:
 4. the caller's window runs over ``(key, block)``: every real row sees all of
    its ``lookback`` predecessors; halo rows are then removed.
 
-Cold keys (the usual case) take a single ``partitionBy(key)`` window. Both
-paths give exactly the rows a single ordered pass per key would give.
+Cold keys (the usual case) take a single ``partitionBy(key)`` window; when no
+key is hot the plan is just that window. Both paths give exactly the rows a
+single ordered pass per key would give.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardstream.session import checkpoint_root
+
 # Rows per key above which a key is split (≈ a comfortable task at scale).
 DEFAULT_HOT_ROWS = 4_000_000
 
@@ -56,7 +59,17 @@ def keyed_frames(df: DataFrame, key: str, order_cols: Sequence[str],
              .agg(F.count(F.lit(1)).alias("_n"), F.min(rc).alias("_lo"),
                   F.max(rc).alias("_hi"))
              .where(F.col("_n") > F.lit(int(hot_rows))))
-    # Bounded: fewer than total_rows / hot_rows keys can exceed hot_rows.
+    if df.isStreaming:
+        raise ValueError("keyed_frames is the batch form; streams use the "
+                         "stateful processors")
+    # One pass over (key, order column). The hot-key table is small (fewer
+    # than total_rows / hot_rows keys can exceed hot_rows) and is checkpointed
+    # to the shared checkpoint folder, so the choice below and the joins read
+    # it without recomputing it.
+    checkpoint_root(df.sparkSession)
+    stats = stats.checkpoint(eager=True)
+    if stats.isEmpty():
+        return frame_fn(df, [key], order_cols)
     hot = F.broadcast(stats)
 
     cold = df.join(hot.select(key), on=key, how="left_anti")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardstream.functions import format as fmt
-from cardstream.sources.json_lines import heartbeat_line, parse_lines, stream_lines
+from cardstream.sources.json_lines import parse_lines, stream_lines
 from cardstream.sources.json_lines import tx_columns
 
 
@@ -59,12 +59,19 @@ def write_drop_folder(spark: SparkSession, tx: DataFrame, folder: str,
     """Write ``tx`` as ``n_files`` JSON-line files in arrival order.
 
     Files are range-partitioned on ``arrival_seq`` and given increasing
-    modification times so the file source reads them in arrival order. An
-    optional tail of two files holds heartbeats after the largest event time,
-    which close every open window.
+    modification times so the file source reads them in arrival order. By
+    default the last file ends with a heartbeat ``heartbeat_after_ms`` after
+    the largest event time, which lets the stream close every open window.
     """
     data = f"{folder.rstrip('/')}/drop"
-    (json_lines_with_seq(tx).repartitionByRange(n_files, "arrival_seq")
+    lines = json_lines_with_seq(tx)
+    if heartbeat_after_ms is not None:
+        hb = tx.agg(F.max("event_time").alias("m"), F.max("arrival_seq").alias("s")).select(
+            (F.col("s") + 1).alias("arrival_seq"),
+            F.format_string('{"heartbeat_time":%d}',
+                            F.col("m") + F.lit(int(heartbeat_after_ms))).alias("value"))
+        lines = lines.unionByName(hb)
+    (lines.repartitionByRange(n_files, "arrival_seq")
      .sortWithinPartitions("arrival_seq").select("value")
      .write.mode("errorifexists").text(data))
     fs, root = _fs(spark, data)
@@ -74,15 +81,4 @@ def write_drop_folder(spark: SparkSession, tx: DataFrame, folder: str,
     base = int(jvm.java.lang.System.currentTimeMillis()) // 1000 * 1000
     for i, name in enumerate(parts):
         fs.setTimes(jvm.org.apache.hadoop.fs.Path(root, name), base + i * 1000, -1)
-    if heartbeat_after_ms is not None:
-        # Two heartbeat files: the watermark a batch computes is applied by
-        # the next batch, so the second one is what closes the last windows.
-        max_et = tx.agg(F.max("event_time")).first()[0] or 0
-        for j in (1, 2):
-            hb = jvm.org.apache.hadoop.fs.Path(root, f"part-9999{j}-heartbeat.txt")
-            out = fs.create(hb, True)
-            line = heartbeat_line(max_et + j * heartbeat_after_ms) + "\n"
-            out.write(bytearray(line.encode()))
-            out.close()
-            fs.setTimes(hb, base + (len(parts) + j) * 1000, -1)
     return data
