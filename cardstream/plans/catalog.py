@@ -65,11 +65,17 @@ def q_parse_roundtrip(spark, sf_dir):
     return tx
 
 
-def q_rejects(spark, sf_dir):
-    lines = json_lines(fixture_transactions(spark, sf_dir))
+def damaged_lines(tx: DataFrame) -> DataFrame:
+    """JSON lines (``arrival_seq``, ``value``) with every REJECT_EVERY-th line
+    cut in half, as a broken producer would leave them."""
+    lines = json_lines(tx)
     cut = F.when(F.col("arrival_seq") % REJECT_EVERY == 0,
                  F.expr("substring(line, 1, length(line) div 2)")).otherwise(F.col("line"))
-    _, rejects = parse_transactions(lines.select(cut.alias("value")))
+    return lines.select("arrival_seq", cut.alias("value"))
+
+
+def q_rejects(spark, sf_dir):
+    _, rejects = parse_transactions(damaged_lines(fixture_transactions(spark, sf_dir)))
     return rejects
 
 
@@ -168,6 +174,18 @@ def q_scored_alerts(spark, sf_dir):
     return flatten_alerts(scored_alerts(spark, load_tx(spark, sf_dir)))
 
 
+def q_scored_alerts_ontime(spark, sf_dir):
+    """The reference job's alert set: windowed rules drop rows late for their
+    2-minute windows, the keyed-state rules see every row."""
+    tx = load_tx(spark, sf_dir)
+    on = on_time(tx, RULE_WINDOW_MS)
+    risky, blacklist = default_refs(spark)
+    alerts = union_alerts(
+        rules.high_frequency_alerts(on), rules.high_amount_alerts(tx),
+        rules.impossible_travel_alerts(tx), rules.merchant_burst_alerts(on))
+    return flatten_alerts(score_alerts(alerts, risky, blacklist))
+
+
 def q_alert_lines(spark, sf_dir):
     scored = scored_alerts(spark, load_tx(spark, sf_dir))
     return scored.select("rule", "entity_id", "timestamp",
@@ -196,5 +214,6 @@ BATCH_QUERIES: dict[str, Query] = {
     "merchant_burst_alerts_ontime": q_merchant_burst_alerts_ontime,
     "all_alerts": q_all_alerts,
     "scored_alerts": q_scored_alerts,
+    "scored_alerts_ontime": q_scored_alerts_ontime,
     "alert_lines": q_alert_lines,
 }

@@ -20,7 +20,7 @@ from cardstream.functions import format as fmt
 from cardstream.functions.timecols import with_event_time
 from cardstream.operators import metrics, rules
 from cardstream.operators.alerts import union_alerts
-from cardstream.operators.late import split_late
+from cardstream.operators.late import late_flag, with_watermark_before
 from cardstream.operators.scoring import score_alerts
 from cardstream.operators.sequence import DEFAULT_HOT_ROWS
 from cardstream.schema import (
@@ -75,14 +75,17 @@ def run_batch_job(spark: SparkSession, lines: DataFrame | None = None,
         from cardstream.plans.catalog import default_refs
         risky_merchants, blacklisted_countries = default_refs(spark)
 
-    m1_on, late = split_late(tx, MINUTE_WINDOW_MS, MINUTE_ALLOWED_LATENESS_MS,
-                             order_by=order_by)
+    # The watermark a row saw does not depend on the window size: compute it
+    # once and derive the three late splits from the same column.
+    marked = with_watermark_before(tx, order_by)
+    late_1m = late_flag(MINUTE_WINDOW_MS, MINUTE_ALLOWED_LATENESS_MS)
+    late = marked.where(late_1m).drop("wm_before")
     if complete:
         m1_in = m5_in = rule_in = tx
     else:
-        m1_in = m1_on
-        m5_in = split_late(tx, FIVE_MINUTE_WINDOW_MS, order_by=order_by)[0]
-        rule_in = split_late(tx, RULE_WINDOW_MINUTES * 60_000, order_by=order_by)[0]
+        m1_in = marked.where(~late_1m).drop("wm_before")
+        m5_in = marked.where(~late_flag(FIVE_MINUTE_WINDOW_MS)).drop("wm_before")
+        rule_in = marked.where(~late_flag(RULE_WINDOW_MINUTES * 60_000)).drop("wm_before")
     alerts = union_alerts(
         rules.high_frequency_alerts(rule_in, order_by=order_by),
         rules.high_amount_alerts(tx, order_by=order_by, hot_rows=hot_rows),

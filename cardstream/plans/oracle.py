@@ -138,7 +138,8 @@ def _in_list(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
 
-SCORED = f"""
+def scored_ctes(all_alerts: str) -> str:
+    return f"""
 scored AS (
   SELECT *, CAST(least(100, CASE rule WHEN 'Impossible Travel' THEN 60
       WHEN 'High Amount' THEN 50 WHEN 'High Frequency' THEN 40
@@ -147,12 +148,20 @@ scored AS (
         (CASE WHEN tx_merchant_id IN ({_in_list(DEFAULT_RISKY_MERCHANTS)}) THEN 20 ELSE 0 END)
       + (CASE WHEN tx_country IN ({_in_list(DEFAULT_BLACKLISTED_COUNTRIES)}) THEN 25 ELSE 0 END)
       + (CASE WHEN tx_amount > 1000 THEN 10 ELSE 0 END) END) AS INTEGER) AS risk_score
-  FROM ({ALL_ALERTS})),
+  FROM ({all_alerts})),
 scored_l AS (
   SELECT *, CASE WHEN risk_score >= 70 THEN 'HIGH' WHEN risk_score >= 40 THEN 'MEDIUM'
     ELSE 'LOW' END AS risk_level FROM scored)"""
 
 
+SCORED = scored_ctes(ALL_ALERTS)
+ALL_ALERTS_ONTIME = (
+    window_rule_sql("ot2", "card_id", "Card", "High Frequency", 5, "")
+    + f"\n  UNION ALL {high_amount_sql()}\n  UNION ALL {travel_sql()}\n  UNION ALL "
+    + window_rule_sql("ot2", "merchant_id", "Merchant", "Merchant Burst", 20,
+                      " (normal load ~9)"))
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",".join([TX_CTE, *ctes]) + "\n"
 
@@ -232,6 +241,8 @@ BATCH_SQL: dict[str, str] = {
         "ot2", "merchant_id", "Merchant", "Merchant Burst", 20, " (normal load ~9)"),
     "all_alerts": _with() + ALL_ALERTS,
     "scored_alerts": _with(SCORED) + "SELECT * FROM scored_l",
+    "scored_alerts_ontime": _with(late_ctes("ot2", 120000, 0), scored_ctes(
+        ALL_ALERTS_ONTIME)) + "SELECT * FROM scored_l",
     "alert_lines": _with(SCORED) + (
         f"SELECT rule, entity_id, timestamp, tx_transaction_id, {ALERT_LINE} AS line "
         f"FROM scored_l"),

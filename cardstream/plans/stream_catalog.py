@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from cardstream.operators import metrics, rules
 from cardstream.operators.alerts import union_alerts
 from cardstream.operators.scoring import score_alerts
-from cardstream.plans.catalog import TX_COLUMNS, default_refs
+from cardstream.plans.catalog import TX_COLUMNS, damaged_lines, default_refs
 from cardstream.plans.oracle import BATCH_SQL
 from cardstream.schema import (
     MINUTE_ALLOWED_LATENESS_MS, MINUTE_WINDOW_MS, flatten_alerts,
@@ -31,9 +31,10 @@ from cardstream.streaming.late import LateSplitBatchWriter
 from cardstream.streaming.processors import (
     stream_high_amount_alerts, stream_impossible_travel_alerts,
 )
-from cardstream.streaming.sinks import append_sink
+from cardstream.streaming.sinks import append_sink, read_upserts, upsert_sink
 from cardstream.streaming.source import (
-    decoded_stream, watermarked_transactions, write_drop_folder,
+    decoded_stream, stream_rejects, watermarked_transactions, write_drop_folder,
+    write_lines_folder,
 )
 
 # Micro-batches per registered stream query (one file per trigger).
@@ -121,6 +122,28 @@ def s_late_transactions(spark, sf_dir):
     return late.select(*TX_COLUMNS, fmt.tx_json().alias("line"))
 
 
+def s_minute_totals_upsert(spark, sf_dir):
+    """Metric 1 in update mode (EVT-2 re-emission) through the upsert log."""
+    ensure_streaming_conf(spark)
+    root = scratch_path(spark, "stream_minute_upsert")
+    drop = _drop(spark, sf_dir, root)
+    tx = watermarked_transactions(decoded_stream(spark, drop), STREAM_DELAY)
+    totals = metrics.minute_totals(tx)
+    upsert_sink(totals, f"{root}/out", f"{root}/ckpt", AVAILABLE_NOW).awaitTermination()
+    return read_upserts(spark, f"{root}/out", ["window_end"]).select(*totals.columns)
+
+
+def s_rejects(spark, sf_dir):
+    """Undecodable lines of a damaged feed, kept aside by the stream."""
+    root = scratch_path(spark, "stream_rejects")
+    lines = damaged_lines(fixture_transactions(spark, sf_dir))
+    drop = write_lines_folder(spark, lines, f"{root}/in", STREAM_FILES)
+    rejects = stream_rejects(decoded_stream(spark, drop))
+    q = append_sink(rejects, f"{root}/out", f"{root}/ckpt", "parquet", AVAILABLE_NOW)
+    q.awaitTermination()
+    return spark.read.schema(rejects.schema).parquet(f"{root}/out")
+
+
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_minute_totals": s_minute_totals,
     "stream_category_average": s_category_average,
@@ -131,8 +154,11 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_merchant_burst_alerts": s_merchant_burst_alerts,
     "stream_late_transactions": s_late_transactions,
     "stream_scored_alerts": s_scored_alerts,
+    "stream_minute_totals_upsert": s_minute_totals_upsert,
+    "stream_rejects": s_rejects,
 }
 
+_TWIN = {"stream_minute_totals_upsert": "minute_totals"}
 STREAM_ORACLE: dict[str, str] = {
-    name: BATCH_SQL[name[len("stream_"):]] for name in STREAM_QUERIES
+    name: BATCH_SQL[_TWIN.get(name, name[len("stream_"):])] for name in STREAM_QUERIES
 }

@@ -58,7 +58,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def ensure_streaming_conf(spark: SparkSession) -> None:
     """Runtime settings needed by ``transformWithStateInPandas``."""
-    ship_package(spark)
     current = spark.conf.get("spark.sql.streaming.stateStore.providerClass", "")
     if current != ROCKSDB_PROVIDER:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass",
@@ -76,31 +75,3 @@ def local_path(path: str) -> str:
             path = path[1:]
     return os.path.abspath(path)
 
-
-_SHIPPED: set[int] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make ``cardstream`` importable in Python workers (``addPyFile``).
-
-    Needed wherever Python runs on executors (``transformWithStateInPandas``).
-    The zip is built once per SparkContext and served by Spark itself, as
-    ``--py-files`` would be.
-    """
-    sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
-        return
-    import zipfile
-
-    pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    out_dir = tempfile.mkdtemp(prefix="cardstream-pyfiles-")
-    zpath = os.path.join(out_dir, "cardstream.zip")
-    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as zf:
-        for base, _dirs, files in os.walk(pkg_dir):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(base, f)
-                    arc = os.path.relpath(full, os.path.dirname(pkg_dir))
-                    zf.write(full, arc)
-    sc.addPyFile(zpath)
-    _SHIPPED.add(id(sc))

@@ -63,7 +63,6 @@ def write_drop_folder(spark: SparkSession, tx: DataFrame, folder: str,
     default the last file ends with a heartbeat ``heartbeat_after_ms`` after
     the largest event time, which lets the stream close every open window.
     """
-    data = f"{folder.rstrip('/')}/drop"
     lines = json_lines_with_seq(tx)
     if heartbeat_after_ms is not None:
         hb = tx.agg(F.max("event_time").alias("m"), F.max("arrival_seq").alias("s")).select(
@@ -71,6 +70,14 @@ def write_drop_folder(spark: SparkSession, tx: DataFrame, folder: str,
             F.format_string('{"heartbeat_time":%d}',
                             F.col("m") + F.lit(int(heartbeat_after_ms))).alias("value"))
         lines = lines.unionByName(hb)
+    return write_lines_folder(spark, lines, folder, n_files)
+
+
+def write_lines_folder(spark: SparkSession, lines: DataFrame, folder: str,
+                       n_files: int) -> str:
+    """Write text ``lines`` (``arrival_seq``, ``value``) as ``n_files`` files
+    whose names and modification times follow arrival order."""
+    data = f"{folder.rstrip('/')}/drop"
     (lines.repartitionByRange(n_files, "arrival_seq")
      .sortWithinPartitions("arrival_seq").select("value")
      .write.mode("errorifexists").text(data))

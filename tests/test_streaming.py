@@ -107,3 +107,18 @@ def test_streaming_job_end_to_end(spark, tx):
     totals = read_upserts(spark, f"{root}/out/minute_totals", ["window_end"])
     assert totals.count() >= 59
     assert spark.read.parquet(f"{root}/out/category_average").count() > 0
+
+
+def test_batch_job_reference_semantics(spark, tx):
+    """The batch job reproduces the reference's outputs (FIXTURES counts)."""
+    from cardstream.plans.job import run_batch_job
+    from cardstream.streaming.source import json_lines_with_seq
+    out = run_batch_job(spark, lines=json_lines_with_seq(tx).select("value"))
+    assert out["rejects"].count() == 0
+    assert out["late_transactions"].count() == 7
+    by_rule = {r.rule: r["count"] for r in out["alerts"].groupBy("rule").count().collect()}
+    assert by_rule == {"High Frequency": 1, "High Amount": 42, "Impossible Travel": 30}
+    levels = {r.risk_level: r["count"] for r in out["alerts"].groupBy("risk_level").count().collect()}
+    assert levels == {"HIGH": 20, "MEDIUM": 53}
+    assert out["minute_totals"].count() == 60
+    assert out["alert_lines"].count() == 73
