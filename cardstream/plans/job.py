@@ -27,7 +27,7 @@ from cardstream.schema import (
     FIVE_MINUTE_WINDOW_MS, MINUTE_ALLOWED_LATENESS_MS, MINUTE_WINDOW_MS,
     RULE_WINDOW_MINUTES,
 )
-from cardstream.session import ensure_streaming_conf, scratch_path
+from cardstream.session import ensure_streaming_conf, scratch_path, stream_partitions
 from cardstream.sources.json_lines import parse_transactions, tx_columns
 from cardstream.streaming.late import LateSplitBatchWriter
 from cardstream.streaming.processors import (
@@ -126,6 +126,7 @@ def start_streaming_job(spark: SparkSession, source_folder: str, out_root: str,
                         delay: str = "5 seconds", minute_delay: str = "15 seconds",
                         trigger: dict | None = None,
                         max_files_per_trigger: int | None = None,
+                        state_partitions: int | None = None,
                         ) -> dict[str, StreamingQuery]:
     """Start the streaming job; one query per output with its own watermark.
 
@@ -135,6 +136,9 @@ def start_streaming_job(spark: SparkSession, source_folder: str, out_root: str,
     * ``alerts``: four rules, union, scoring; parquet rows + text lines;
     * ``late_transactions``: exact late split per micro-batch;
     * ``rejects``: undecodable lines.
+
+    ``state_partitions`` (default: the cluster's default parallelism) fixes
+    the shuffle/state partitions of the new queries.
     """
     ensure_streaming_conf(spark)
     if risky_merchants is None or blacklisted_countries is None:
@@ -146,6 +150,13 @@ def start_streaming_job(spark: SparkSession, source_folder: str, out_root: str,
     def decoded():
         return decoded_stream(spark, source_folder, max_files_per_trigger)
 
+    with stream_partitions(spark, state_partitions):
+        return _start_all(spark, decoded, out, ck, risky_merchants,
+                          blacklisted_countries, delay, minute_delay, trigger)
+
+
+def _start_all(spark, decoded, out, ck, risky_merchants, blacklisted_countries,
+               delay, minute_delay, trigger) -> dict[str, StreamingQuery]:
     queries: dict[str, StreamingQuery] = {}
     tx_minute = watermarked_transactions(decoded(), minute_delay)
     queries["minute_totals"] = upsert_sink(

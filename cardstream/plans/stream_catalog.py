@@ -24,7 +24,7 @@ from cardstream.plans.oracle import BATCH_SQL
 from cardstream.schema import (
     MINUTE_ALLOWED_LATENESS_MS, MINUTE_WINDOW_MS, flatten_alerts,
 )
-from cardstream.session import ensure_streaming_conf, scratch_path
+from cardstream.session import ensure_streaming_conf, scratch_path, stream_partitions
 from cardstream.sources.fixtures import fixture_transactions
 from cardstream.functions import format as fmt
 from cardstream.streaming.late import LateSplitBatchWriter
@@ -57,7 +57,8 @@ def run_append(spark: SparkSession, sf_dir: str, name: str,
     drop = _drop(spark, sf_dir, root)
     tx = watermarked_transactions(decoded_stream(spark, drop), STREAM_DELAY)
     result = build(tx)
-    q = append_sink(result, f"{root}/out", f"{root}/ckpt", "parquet", AVAILABLE_NOW)
+    with stream_partitions(spark):
+        q = append_sink(result, f"{root}/out", f"{root}/ckpt", "parquet", AVAILABLE_NOW)
     q.awaitTermination()
     return spark.read.schema(result.schema).parquet(f"{root}/out")
 
@@ -115,8 +116,9 @@ def s_late_transactions(spark, sf_dir):
     tx = decoded.where(F.col("_kind") == "tx").select(*TX_COLUMNS)
     writer = LateSplitBatchWriter(f"{root}/out", MINUTE_WINDOW_MS,
                                   MINUTE_ALLOWED_LATENESS_MS)
-    q = (tx.writeStream.option("checkpointLocation", f"{root}/ckpt")
-         .foreachBatch(writer).trigger(availableNow=True).start())
+    with stream_partitions(spark):
+        q = (tx.writeStream.option("checkpointLocation", f"{root}/ckpt")
+             .foreachBatch(writer).trigger(availableNow=True).start())
     q.awaitTermination()
     late = spark.read.schema(tx.schema).parquet(f"{root}/out/late/batch_id=*")
     return late.select(*TX_COLUMNS, fmt.tx_json().alias("line"))
@@ -129,7 +131,9 @@ def s_minute_totals_upsert(spark, sf_dir):
     drop = _drop(spark, sf_dir, root)
     tx = watermarked_transactions(decoded_stream(spark, drop), STREAM_DELAY)
     totals = metrics.minute_totals(tx)
-    upsert_sink(totals, f"{root}/out", f"{root}/ckpt", AVAILABLE_NOW).awaitTermination()
+    with stream_partitions(spark):
+        q = upsert_sink(totals, f"{root}/out", f"{root}/ckpt", AVAILABLE_NOW)
+    q.awaitTermination()
     return read_upserts(spark, f"{root}/out", ["window_end"]).select(*totals.columns)
 
 
@@ -139,7 +143,8 @@ def s_rejects(spark, sf_dir):
     lines = damaged_lines(fixture_transactions(spark, sf_dir))
     drop = write_lines_folder(spark, lines, f"{root}/in", STREAM_FILES)
     rejects = stream_rejects(decoded_stream(spark, drop))
-    q = append_sink(rejects, f"{root}/out", f"{root}/ckpt", "parquet", AVAILABLE_NOW)
+    with stream_partitions(spark):
+        q = append_sink(rejects, f"{root}/out", f"{root}/ckpt", "parquet", AVAILABLE_NOW)
     q.awaitTermination()
     return spark.read.schema(rejects.schema).parquet(f"{root}/out")
 

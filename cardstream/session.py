@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -75,3 +76,22 @@ def local_path(path: str) -> str:
             path = path[1:]
     return os.path.abspath(path)
 
+
+
+@contextmanager
+def stream_partitions(spark: SparkSession, partitions: int | None = None):
+    """Shuffle/state partitions for streams started inside the block.
+
+    A stream fixes its state partition count from ``spark.sql.shuffle.partitions``
+    when it starts (then keeps it in its checkpoint). Batch-sized defaults (200)
+    make every micro-batch run hundreds of near-empty state tasks, so streams get
+    ``partitions`` (default: the cluster's default parallelism) and the session
+    setting is restored afterwards.
+    """
+    n = int(partitions or spark.sparkContext.defaultParallelism)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield n
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
