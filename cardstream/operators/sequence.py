@@ -8,10 +8,9 @@ with more than ``hot_rows`` rows take a second, exact path:
 1. per-key stats ``(n, lo, hi)`` of the first order column; keys with
    ``n > hot_rows`` are *hot*. There are fewer than ``rows / hot_rows`` of
    them, so that table has a proven bound and is broadcast;
-2. a hot key's rows are cut into ``ceil(n / hot_rows)`` ranges of the order
-   column; per range counts (also bounded by ``2 * rows / hot_rows``) give
-   each range its starting rank, so every hot row gets its exact rank in
-   its key;
+2. a hot key's rows are cut into ranges of the order column about 16 times
+   smaller than a block; per range counts (a small table) give each range its
+   starting rank, so every hot row gets its exact rank in its key;
 3. ranks are cut into blocks of ``block`` rows, and the last ``lookback``
    rows of each block are copied into the next block as *halo* rows;
 4. the caller's window runs over ``(key, block)``: every real row sees all of
@@ -33,6 +32,10 @@ from cardstream.session import checkpoint_root
 
 # Rows per key above which a key is split (≈ a comfortable task at scale).
 DEFAULT_HOT_ROWS = 4_000_000
+# Range chunks per block of ranked rows (finer chunks absorb uneven keys).
+CHUNKS_PER_BLOCK = 16
+# Hot-key tables up to this many keys are broadcast (always < rows/hot_rows).
+MAX_BROADCAST_KEYS = 1_000_000
 
 FrameFn = Callable[[DataFrame, Sequence[Column | str], Sequence[str]], DataFrame]
 
@@ -68,14 +71,18 @@ def keyed_frames(df: DataFrame, key: str, order_cols: Sequence[str],
     # it without recomputing it.
     checkpoint_root(df.sparkSession)
     stats = stats.checkpoint(eager=True)
-    if stats.isEmpty():
+    n_hot = stats.count()
+    if n_hot == 0:
         return frame_fn(df, [key], order_cols)
-    hot = F.broadcast(stats)
+    hot = F.broadcast(stats) if n_hot <= MAX_BROADCAST_KEYS else stats
 
     cold = df.join(hot.select(key), on=key, how="left_anti")
     cold_out = frame_fn(cold, [key], order_cols)
 
-    nsub = F.ceil(F.col("_n") / F.lit(block)).cast("long")
+    # Range chunks ~16x smaller than a block: a key whose rows crowd into a
+    # short stretch of arrival order still yields chunks of bounded size.
+    chunk = max(lookback + 1, block // CHUNKS_PER_BLOCK)
+    nsub = F.ceil(F.col("_n") / F.lit(chunk)).cast("long")
     span = (F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double")
     sub = F.least(
         nsub - 1,
@@ -90,8 +97,9 @@ def keyed_frames(df: DataFrame, key: str, order_cols: Sequence[str],
     ranked = (hot_rows_df
               .withColumn("_lrn", F.row_number().over(
                   Window.partitionBy(key, "_sub").orderBy(*order_cols)))
-              # Bounded: at most 2 * total_rows / hot_rows (key, range) rows.
-              .join(F.broadcast(starts), on=[key, "_sub"], how="inner")
+              # Small (one row per range chunk); joined on the window's own
+              # partitioning, AQE broadcasts it when its measured size allows.
+              .join(starts, on=[key, "_sub"], how="inner")
               .withColumn("_rn", F.col("_start") + F.col("_lrn") - 1))
     in_tail = F.pmod(F.col("_rn"), F.lit(block)) >= F.lit(block - lookback)
     copies = F.when(in_tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
