@@ -127,9 +127,13 @@ def start_streaming_job(spark: SparkSession, source_folder: str, out_root: str,
                         trigger: dict | None = None,
                         max_files_per_trigger: int | None = None,
                         state_partitions: int | None = None,
+                        bronze: bool = True,
                         ) -> dict[str, StreamingQuery]:
     """Start the streaming job; one query per output with its own watermark.
 
+    * ``bronze``: decodes every line once into a parquet table (exactly-once
+      file sink) that the other queries stream from, instead of each query
+      decoding the JSON itself;
     * ``minute_totals``: update mode (re-emits within the allowed lateness),
       upsert log keyed by window end;
     * ``category_average`` / ``country_counts``: append, final rows;
@@ -138,7 +142,8 @@ def start_streaming_job(spark: SparkSession, source_folder: str, out_root: str,
     * ``rejects``: undecodable lines.
 
     ``state_partitions`` (default: the cluster's default parallelism) fixes
-    the shuffle/state partitions of the new queries.
+    the shuffle/state partitions of the new queries. With an ``availableNow``
+    trigger the bronze query finishes before the others start.
     """
     ensure_streaming_conf(spark)
     if risky_merchants is None or blacklisted_countries is None:
@@ -146,16 +151,31 @@ def start_streaming_job(spark: SparkSession, source_folder: str, out_root: str,
         risky_merchants, blacklisted_countries = default_refs(spark)
     out = out_root.rstrip("/")
     ck = f"{out}/_checkpoints"
-
-    def decoded():
-        return decoded_stream(spark, source_folder, max_files_per_trigger)
+    queries: dict[str, StreamingQuery] = {}
 
     with stream_partitions(spark, state_partitions):
-        return _start_all(spark, decoded, out, ck, risky_merchants,
-                          blacklisted_countries, delay, minute_delay, trigger)
+        if bronze:
+            raw = decoded_stream(spark, source_folder, max_files_per_trigger)
+            queries["bronze"] = append_sink(raw, f"{out}/bronze", f"{ck}/bronze",
+                                            "parquet", trigger)
+            if trigger and trigger.get("availableNow"):
+                queries["bronze"].awaitTermination()
+
+            def decoded():
+                reader = spark.readStream.schema(raw.schema)
+                if max_files_per_trigger:
+                    reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+                return reader.parquet(f"{out}/bronze")
+        else:
+            def decoded():
+                return decoded_stream(spark, source_folder, max_files_per_trigger)
+
+        queries.update(_start_all(decoded, out, ck, risky_merchants,
+                                  blacklisted_countries, delay, minute_delay, trigger))
+    return queries
 
 
-def _start_all(spark, decoded, out, ck, risky_merchants, blacklisted_countries,
+def _start_all(decoded, out, ck, risky_merchants, blacklisted_countries,
                delay, minute_delay, trigger) -> dict[str, StreamingQuery]:
     queries: dict[str, StreamingQuery] = {}
     tx_minute = watermarked_transactions(decoded(), minute_delay)

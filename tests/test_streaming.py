@@ -88,14 +88,15 @@ def test_late_split_stream(spark, tx, n_files):
     assert got.count() == 7
 
 
-def test_streaming_job_end_to_end(spark, tx):
+@pytest.mark.parametrize("bronze", [True, False])
+def test_streaming_job_end_to_end(spark, tx, bronze):
     from cardstream.plans.job import start_streaming_job
     from cardstream.streaming.sinks import read_upserts
     root = scratch_path(spark, "t-job")
     drop = write_drop_folder(spark, tx, f"{root}/in", 3)
     queries = start_streaming_job(spark, drop, f"{root}/out",
                                   trigger={"availableNow": True},
-                                  max_files_per_trigger=1)
+                                  max_files_per_trigger=1, bronze=bronze)
     for q in queries.values():
         q.awaitTermination()
     alerts = spark.read.parquet(f"{root}/out/alerts/batch_id=*")
