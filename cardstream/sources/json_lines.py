@@ -37,9 +37,13 @@ JSON_OPTIONS = {
 STRING_FIELDS = tuple(c for c in TX_FIELDS if c not in ("event_time", "amount"))
 
 
+# Characters Java's String.trim removes: every code point <= U+0020.
+JAVA_TRIM_CHARS = "".join(chr(i) for i in range(0x21))
+
+
 def java_trim(col: Column) -> Column:
     """Strip every character <= U+0020 at both ends, like Java ``trim``."""
-    return F.regexp_replace(col, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    return F.btrim(col, F.lit(JAVA_TRIM_CHARS))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -63,8 +67,8 @@ def _whole_long(text: Column) -> Column:
 
 def _json_container(text: Column) -> Column:
     """A string value that is itself a JSON object or array."""
-    return (F.ltrim(text).rlike(r"^[\[{]")
-            & F.get_json_object(text, "$").isNotNull())
+    first = F.substring(java_trim(text), 1, 1)
+    return first.isin("{", "[") & F.get_json_object(text, "$").isNotNull()
 
 
 def parse_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
