@@ -17,29 +17,30 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def _norm(v):
+def _norm(v, exact=False):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.12g}")
+        return v if exact else float(f"{v:.12g}")
     if hasattr(v, "item"):
-        return _norm(v.item())
+        return _norm(v.item(), exact)
     return v
 
 
-def _rows(cols, records):
+def _rows(cols, records, exact=False):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
-    return sorted((tuple(_norm(r[i]) for i in order) for r in records), key=repr)
+    return sorted((tuple(_norm(r[i], exact) for i in order) for r in records), key=repr)
 
 
-def compare(spark_df, con, sql: str) -> dict:
+def compare(spark_df, con, sql: str, exact: bool = False) -> dict:
+    """``exact=True`` compares floats bit for bit (no rounding)."""
     s_cols = spark_df.columns
-    s_rows = _rows(s_cols, [tuple(r) for r in spark_df.collect()])
+    s_rows = _rows(s_cols, [tuple(r) for r in spark_df.collect()], exact)
     rel = con.execute(sql)
     d_cols = [d[0] for d in rel.description]
-    d_rows = _rows(d_cols, rel.fetchall())
+    d_rows = _rows(d_cols, rel.fetchall(), exact)
     res = {
         "rows_spark": len(s_rows), "rows_oracle": len(d_rows),
         "columns_match": sorted(s_cols) == sorted(d_cols),

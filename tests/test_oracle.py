@@ -33,13 +33,13 @@ def con001():
 
 @pytest.mark.parametrize("name", BATCH)
 def test_batch_query(spark, con01, name):
-    res = compare(QUERIES[name](spark, SF01), con01, SQL[name])
+    res = compare(QUERIES[name](spark, SF01), con01, SQL[name], exact=True)
     assert res["ok"], res
 
 
 @pytest.mark.parametrize("name", STREAM)
 def test_stream_query(spark, con001, name):
-    res = compare(QUERIES[name](spark, SF001), con001, SQL[name])
+    res = compare(QUERIES[name](spark, SF001), con001, SQL[name], exact=True)
     assert res["ok"], res
 
 
