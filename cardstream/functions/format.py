@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cardstream.schema import TX_FIELDS
+from cardstream.schema import LATE_LABEL, TX_FIELDS
 
 # --- Fixed text formats ----------------------------------------------------
 MINUTE_LINE = "Timestamp: %d, Total Transactions: %d, Total Amount: %.2f"
@@ -71,3 +71,8 @@ def tx_json(prefix: str = "") -> Column:
 def tx_json_escaped(prefix: str = "") -> Column:
     """Escape-safe JSON of the same eight fields (``to_json``)."""
     return F.to_json(F.struct(*[F.col(prefix + c).alias(c) for c in TX_FIELDS]))
+
+
+def late_line(prefix: str = "") -> Column:
+    """A late row as the reference reports it: ``<label>> <json>``."""
+    return F.concat(F.lit(LATE_LABEL + "> "), tx_json(prefix))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def amount_cents(amount: Column | str = "amount") -> Column:
@@ -31,3 +32,22 @@ def tumbling_end_ms(event_time: Column | str, window_ms: int) -> Column:
 def window_end_ms(window_col: str = "window") -> Column:
     """Epoch ms of the end of a ``F.window`` struct."""
     return F.unix_millis(F.col(f"{window_col}.end"))
+
+
+def epoch_micros(col: Column | str, dtype: T.DataType) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a timestamp column.
+
+    A TIMESTAMP_NTZ is a wall-clock value: it is read as UTC using only
+    zone-free functions (day number and time-of-day fields), so the result
+    does not depend on the session time zone. A TIMESTAMP is an instant.
+    """
+    if isinstance(col, str):
+        col = F.col(col)
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(col)
+    day = F.unix_date(col.cast("date")).cast("long")
+    sec = F.extract(F.lit("SECOND"), col)           # seconds with micros
+    return (day * F.lit(86_400_000_000)
+            + F.hour(col).cast("long") * F.lit(3_600_000_000)
+            + F.minute(col).cast("long") * F.lit(60_000_000)
+            + (sec * F.lit(1_000_000)).cast("long"))

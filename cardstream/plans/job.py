@@ -98,6 +98,7 @@ def run_batch_job(spark: SparkSession, lines: DataFrame | None = None,
         "category_average": metrics.category_average(m5_in),
         "country_counts": metrics.country_counts(m5_in),
         "late_transactions": late.drop("ts").withColumn("line", fmt.tx_json()),
+        "late_lines": late.select(fmt.late_line().alias("value")),
         "alerts": scored,
         "alert_lines": scored.select(fmt.alert_line().alias("value")),
     }

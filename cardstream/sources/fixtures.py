@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardstream.functions.timecols import amount_cents
+from cardstream.functions.timecols import amount_cents, epoch_micros
 
 # --- Fixed values of the fixture mapping -----------------------------------
 EPOCH_START_MS = 1704067200000            # 2024-01-01T00:00:00Z
@@ -49,11 +49,10 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     cardno = F.col("user_id") * 2 + F.col("event_id") % 2
     travel_shift = F.when((F.col("event_type") == "error") & (k < 10), 1).otherwise(0)
-    # Micros since the epoch without any session time zone (ts is NTZ).
-    base_ms = F.expr(
-        f"{EPOCH_START_MS} + (timestampdiff(MICROSECOND, "
-        f"TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(ts AS TIMESTAMP_NTZ)) "
-        f"- {EPOCH_START_MS * 1000}) div {TIME_DIVISOR * 1000}")
+    # Zone-free micros of the wall-clock ts, then integer division.
+    events = events.withColumn("_micros", epoch_micros("ts", events.schema["ts"].dataType))
+    base_ms = F.lit(EPOCH_START_MS) + F.expr(
+        f"(_micros - {EPOCH_START_MS * 1000}) div {TIME_DIVISOR * 1000}")
     backdate = F.when(
         F.col("event_id") % LATE_EVERY == LATE_EVERY - 1,
         F.lit(LATE_BASE_MS) + (F.col("event_id") * LATE_MULTIPLIER) % LATE_SPREAD_MS,

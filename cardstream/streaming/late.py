@@ -40,7 +40,13 @@ class _Log:
         return json.loads(text)["max_event_time"]
 
     def latest_before(self, batch_id: int):
-        """Cumulative max of the newest logged batch older than ``batch_id``."""
+        """Cumulative max of the newest logged batch older than ``batch_id``.
+
+        Micro-batches run in order, so this is normally the entry of
+        ``batch_id - 1``; the log is listed only when that entry is missing.
+        """
+        if batch_id > 0 and self.fs.exists(self._p(batch_id - 1)):
+            return self.read(batch_id - 1)
         if not self.fs.exists(self.root):
             return None
         ids = sorted(int(str(s.getPath().getName()).split(".")[0])

@@ -69,3 +69,13 @@ def test_roundtrip_keeps_values(spark):
     back, rejects = parse_transactions(lines)
     assert rejects.count() == 0
     assert sorted(r.amount for r in back.collect()) == [2.68, 1255.49]
+
+
+def test_sequence_from_a_column(spark):
+    from cardstream.sources.json_lines import parse_transactions
+    line = FULL % (1, 1000, "1.00")
+    df = spark.createDataFrame([(line, 41), (line.replace('"t1"', '"t2"'), 42)],
+                               "value string, offset bigint")
+    tx, _ = parse_transactions(df, with_seq=True, seq_col="offset")
+    assert sorted((r.transaction_id, r.arrival_seq) for r in tx.collect()) == \
+        [("t1", 41), ("t2", 42)]

@@ -113,3 +113,10 @@ def test_java_half_up_rounding(spark):
     df = spark.createDataFrame([(2.675, 0.125)], "a double, b double")
     r = df.select(F.format_string("%.2f %.2f", "a", "b").alias("s")).first()
     assert r.s == "2.68 0.13"
+
+
+def test_late_line(spark):
+    tx = make_tx(spark, [dict(transaction_id="tx-1", event_time=5, amount=1.5)])
+    line = tx.select(fmt.late_line().alias("l")).first().l
+    assert line.startswith('LATE EVENT (side output)> {"transaction_id":"tx-1",')
+    assert line.endswith('"event_time":5,"amount":1.50}')
