@@ -42,13 +42,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     Only when the session has none (local tests) do we set a private one.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="cardstream-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)      # DataFrame.checkpoint() writes here
     return root.rstrip("/")
 
 

@@ -79,3 +79,14 @@ def test_sequence_from_a_column(spark):
     tx, _ = parse_transactions(df, with_seq=True, seq_col="offset")
     assert sorted((r.transaction_id, r.arrival_seq) for r in tx.collect()) == \
         [("t1", 41), ("t2", 42)]
+
+
+def test_escaped_encoder_roundtrip(spark):
+    from conftest import make_tx
+    from cardstream.functions import format as fmt
+    tx = make_tx(spark, [dict(transaction_id='tx "quoted"', merchant_category="a\\b",
+                              event_time=7, amount=12.5)])
+    back, rejects = parse_transactions(tx.select(fmt.tx_json_escaped().alias("value")))
+    assert rejects.count() == 0
+    r = back.first()
+    assert (r.transaction_id, r.merchant_category, r.amount) == ('tx "quoted"', "a\\b", 12.5)
