@@ -21,7 +21,7 @@ from cardstream.operators.scoring import reference_frame, score_alerts
 from cardstream.schema import (
     DEFAULT_BLACKLISTED_COUNTRIES, DEFAULT_RISKY_MERCHANTS,
     FIVE_MINUTE_WINDOW_MS, MINUTE_ALLOWED_LATENESS_MS, MINUTE_WINDOW_MS,
-    RULE_WINDOW_MINUTES, TX_FIELDS, flatten_alerts,
+    RULE_WINDOW_MINUTES, flatten_alerts,
 )
 from cardstream.sources.fixtures import TX_COLUMNS, fixture_transactions
 from cardstream.sources.json_lines import parse_transactions

@@ -28,7 +28,7 @@ from cardstream.schema import (
     RULE_WINDOW_MINUTES,
 )
 from cardstream.session import ensure_streaming_conf, scratch_path, stream_partitions
-from cardstream.sources.json_lines import parse_transactions, tx_columns
+from cardstream.sources.json_lines import parse_lines, tx_columns
 from cardstream.streaming.late import LateSplitBatchWriter
 from cardstream.streaming.processors import (
     stream_high_amount_alerts, stream_impossible_travel_alerts,
@@ -64,12 +64,23 @@ def run_batch_job(spark: SparkSession, lines: DataFrame | None = None,
     Pass raw text ``lines`` (column ``value``) or decoded ``transactions``.
     Lines written by a producer carry ``arrival_seq``; without it
     (``lines_carry_seq=False``) arrival order falls back to event time.
+
+    With ``materialize_input`` every shared stage is computed once and
+    written to the checkpoint folder: the decoded lines (one JSON parse for
+    transactions and rejects), the transactions with the watermark each row
+    saw (one pass for all late splits) and the scored alerts (shared by the
+    alert rows and the alert lines).
     """
     rejects = None
     if transactions is None:
-        transactions, rejects = parse_transactions(lines, with_seq=lines_carry_seq)
-    if materialize_input:
-        transactions = materialize(spark, transactions, "transactions")
+        typed = parse_lines(lines)
+        typed = typed.withColumn(
+            "line", F.when(F.col("_kind") == "reject", F.col("line")))
+        if materialize_input:
+            typed = materialize(spark, typed, "decoded")
+        transactions = (typed.where(F.col("_kind") == "tx")
+                        .select(*tx_columns(lines_carry_seq)))
+        rejects = typed.where(F.col("_kind") == "reject").select("line", "reason")
     tx = with_event_time(transactions)
     if risky_merchants is None or blacklisted_countries is None:
         from cardstream.plans.catalog import default_refs
@@ -78,6 +89,9 @@ def run_batch_job(spark: SparkSession, lines: DataFrame | None = None,
     # The watermark a row saw does not depend on the window size: compute it
     # once and derive the three late splits from the same column.
     marked = with_watermark_before(tx, order_by)
+    if materialize_input:
+        marked = materialize(spark, marked, "watermarked")
+    tx = marked.drop("wm_before")
     late_1m = late_flag(MINUTE_WINDOW_MS, MINUTE_ALLOWED_LATENESS_MS)
     late = marked.where(late_1m).drop("wm_before")
     if complete:
@@ -92,8 +106,10 @@ def run_batch_job(spark: SparkSession, lines: DataFrame | None = None,
         rules.impossible_travel_alerts(tx, order_by=order_by, hot_rows=hot_rows),
         rules.merchant_burst_alerts(rule_in, order_by=order_by))
     scored = score_alerts(alerts, risky_merchants, blacklisted_countries)
+    if materialize_input:
+        scored = materialize(spark, scored, "alerts")
     out = {
-        "transactions": transactions,
+        "transactions": tx.drop("ts"),
         "minute_totals": metrics.minute_totals(m1_in),
         "category_average": metrics.category_average(m5_in),
         "country_counts": metrics.country_counts(m5_in),

@@ -25,7 +25,7 @@ from cardstream.schema import (
     MINUTE_ALLOWED_LATENESS_MS, MINUTE_WINDOW_MS, flatten_alerts,
 )
 from cardstream.session import ensure_streaming_conf, scratch_path, stream_partitions
-from cardstream.sources.fixtures import fixture_transactions
+from cardstream.sources.fixtures import fixture_transactions, read_events
 from cardstream.functions import format as fmt
 from cardstream.streaming.late import LateSplitBatchWriter
 from cardstream.streaming.processors import (
@@ -44,6 +44,18 @@ STREAM_DELAY = "10 minutes"
 AVAILABLE_NOW = {"availableNow": True}
 
 
+# State partitions: about this many rows per partition per micro-batch,
+# between 2 and the cluster's default parallelism (what applies at scale).
+ROWS_PER_STATE_PARTITION = 5_000
+
+
+def state_partitions_for(spark: SparkSession, sf_dir: str) -> int:
+    rows = read_events(spark, sf_dir).count()        # parquet footer count
+    per_batch = max(1, rows // STREAM_FILES)
+    n = -(-per_batch // ROWS_PER_STATE_PARTITION)
+    return max(2, min(spark.sparkContext.defaultParallelism, n))
+
+
 def _drop(spark: SparkSession, sf_dir: str, root: str) -> str:
     tx = fixture_transactions(spark, sf_dir)
     return write_drop_folder(spark, tx, f"{root}/in", STREAM_FILES)
@@ -57,7 +69,7 @@ def run_append(spark: SparkSession, sf_dir: str, name: str,
     drop = _drop(spark, sf_dir, root)
     tx = watermarked_transactions(decoded_stream(spark, drop), STREAM_DELAY)
     result = build(tx)
-    with stream_partitions(spark):
+    with stream_partitions(spark, state_partitions_for(spark, sf_dir)):
         q = append_sink(result, f"{root}/out", f"{root}/ckpt", "parquet", AVAILABLE_NOW)
     q.awaitTermination()
     return spark.read.schema(result.schema).parquet(f"{root}/out")
@@ -116,7 +128,7 @@ def s_late_transactions(spark, sf_dir):
     tx = decoded.where(F.col("_kind") == "tx").select(*TX_COLUMNS)
     writer = LateSplitBatchWriter(f"{root}/out", MINUTE_WINDOW_MS,
                                   MINUTE_ALLOWED_LATENESS_MS)
-    with stream_partitions(spark):
+    with stream_partitions(spark, state_partitions_for(spark, sf_dir)):
         q = (tx.writeStream.option("checkpointLocation", f"{root}/ckpt")
              .foreachBatch(writer).trigger(availableNow=True).start())
     q.awaitTermination()
@@ -131,7 +143,7 @@ def s_minute_totals_upsert(spark, sf_dir):
     drop = _drop(spark, sf_dir, root)
     tx = watermarked_transactions(decoded_stream(spark, drop), STREAM_DELAY)
     totals = metrics.minute_totals(tx)
-    with stream_partitions(spark):
+    with stream_partitions(spark, state_partitions_for(spark, sf_dir)):
         q = upsert_sink(totals, f"{root}/out", f"{root}/ckpt", AVAILABLE_NOW)
     q.awaitTermination()
     return read_upserts(spark, f"{root}/out", ["window_end"]).select(*totals.columns)
@@ -143,7 +155,7 @@ def s_rejects(spark, sf_dir):
     lines = damaged_lines(fixture_transactions(spark, sf_dir))
     drop = write_lines_folder(spark, lines, f"{root}/in", STREAM_FILES)
     rejects = stream_rejects(decoded_stream(spark, drop))
-    with stream_partitions(spark):
+    with stream_partitions(spark, state_partitions_for(spark, sf_dir)):
         q = append_sink(rejects, f"{root}/out", f"{root}/ckpt", "parquet", AVAILABLE_NOW)
     q.awaitTermination()
     return spark.read.schema(rejects.schema).parquet(f"{root}/out")

@@ -1,6 +1,5 @@
 """Random arrival sequences: Spark operators == the row-by-row model."""
 
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
