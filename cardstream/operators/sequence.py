@@ -7,7 +7,7 @@ with more than ``hot_rows`` rows take a second, exact path:
 
 1. per-key stats ``(n, lo, hi)`` of the first order column; keys with
    ``n > hot_rows`` are *hot*. There are fewer than ``rows / hot_rows`` of
-   them, so that table has a proven bound and is broadcast;
+   them; the table is checkpointed and broadcast up to MAX_BROADCAST_KEYS;
 2. a hot key's rows are cut into ranges of the order column about 16 times
    smaller than a block; per range counts (a small table) give each range its
    starting rank, so every hot row gets its exact rank in its key;
@@ -53,6 +53,9 @@ def keyed_frames(df: DataFrame, key: str, order_cols: Sequence[str],
     ``hot_rows=None`` disables the split (one window per key).
     """
     order_cols = list(order_cols)
+    if df.isStreaming:
+        raise ValueError("keyed_frames is the batch form; streams use the "
+                         "stateful processors")
     if hot_rows is None:
         return frame_fn(df, [key], order_cols)
     block = max(int(hot_rows), lookback + 1)
@@ -62,9 +65,6 @@ def keyed_frames(df: DataFrame, key: str, order_cols: Sequence[str],
              .agg(F.count(F.lit(1)).alias("_n"), F.min(rc).alias("_lo"),
                   F.max(rc).alias("_hi"))
              .where(F.col("_n") > F.lit(int(hot_rows))))
-    if df.isStreaming:
-        raise ValueError("keyed_frames is the batch form; streams use the "
-                         "stateful processors")
     # One pass over (key, order column). The hot-key table is small (fewer
     # than total_rows / hot_rows keys can exceed hot_rows) and is checkpointed
     # to the shared checkpoint folder, so the choice below and the joins read

@@ -110,9 +110,9 @@ def test_metric_and_json_goldens(spark):
 
 
 def test_java_half_up_rounding(spark):
-    df = spark.createDataFrame([(2.675, 0.125)], "a double, b double")
-    r = df.select(F.format_string("%.2f %.2f", "a", "b").alias("s")).first()
-    assert r.s == "2.68 0.13"
+    df = spark.createDataFrame([(2.675, 0.125, None)], "a double, b double, c string")
+    r = df.select(F.format_string("%.2f %.2f %s", "a", "b", "c").alias("s")).first()
+    assert r.s == "2.68 0.13 null"
 
 
 def test_late_line(spark):
