@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from cardstream.functions import format as fmt
 from cardstream.functions.timecols import with_event_time
 from cardstream.operators import metrics, rules
-from cardstream.operators.alerts import union_alerts
+from cardstream.operators.alerts import all_rule_alerts
 from cardstream.operators.late import split_late
 from cardstream.operators.scoring import reference_frame, score_alerts
 from cardstream.schema import (
@@ -156,9 +156,7 @@ def q_merchant_burst_alerts_ontime(spark, sf_dir):
 
 
 def all_alerts(tx: DataFrame) -> DataFrame:
-    return union_alerts(
-        rules.high_frequency_alerts(tx), rules.high_amount_alerts(tx),
-        rules.impossible_travel_alerts(tx), rules.merchant_burst_alerts(tx))
+    return all_rule_alerts(tx)
 
 
 def scored_alerts(spark: SparkSession, tx: DataFrame) -> DataFrame:
@@ -178,11 +176,8 @@ def q_scored_alerts_ontime(spark, sf_dir):
     """The reference job's alert set: windowed rules drop rows late for their
     2-minute windows, the keyed-state rules see every row."""
     tx = load_tx(spark, sf_dir)
-    on = on_time(tx, RULE_WINDOW_MS)
     risky, blacklist = default_refs(spark)
-    alerts = union_alerts(
-        rules.high_frequency_alerts(on), rules.high_amount_alerts(tx),
-        rules.impossible_travel_alerts(tx), rules.merchant_burst_alerts(on))
+    alerts = all_rule_alerts(tx, windowed_tx=on_time(tx, RULE_WINDOW_MS))
     return flatten_alerts(score_alerts(alerts, risky, blacklist))
 
 

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cardstream.functions import format as fmt
 from cardstream.functions.timecols import with_event_time
 from cardstream.operators import metrics, rules
-from cardstream.operators.alerts import union_alerts
+from cardstream.operators.alerts import all_rule_alerts, union_alerts
 from cardstream.operators.late import late_flag, with_watermark_before
 from cardstream.operators.scoring import score_alerts
 from cardstream.operators.sequence import DEFAULT_HOT_ROWS
@@ -100,11 +100,8 @@ def run_batch_job(spark: SparkSession, lines: DataFrame | None = None,
         m1_in = marked.where(~late_1m).drop("wm_before")
         m5_in = marked.where(~late_flag(FIVE_MINUTE_WINDOW_MS)).drop("wm_before")
         rule_in = marked.where(~late_flag(RULE_WINDOW_MINUTES * 60_000)).drop("wm_before")
-    alerts = union_alerts(
-        rules.high_frequency_alerts(rule_in, order_by=order_by),
-        rules.high_amount_alerts(tx, order_by=order_by, hot_rows=hot_rows),
-        rules.impossible_travel_alerts(tx, order_by=order_by, hot_rows=hot_rows),
-        rules.merchant_burst_alerts(rule_in, order_by=order_by))
+    alerts = all_rule_alerts(tx, windowed_tx=rule_in, order_by=order_by,
+                             hot_rows=hot_rows)
     scored = score_alerts(alerts, risky_merchants, blacklisted_countries)
     if materialize_input:
         scored = materialize(spark, scored, "alerts")

@@ -68,16 +68,6 @@ def ensure_streaming_conf(spark: SparkSession) -> None:
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side file access in tests."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
-
-
-
 @contextmanager
 def stream_partitions(spark: SparkSession, partitions: int | None = None):
     """Shuffle/state partitions for streams started inside the block.

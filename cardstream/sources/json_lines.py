@@ -154,5 +154,9 @@ def parse_transactions(lines: DataFrame, value_col: str = "value",
     return tx, rejects
 
 
+# A producer's heartbeat: advances event time when the feed is idle.
+HEARTBEAT_FORMAT = '{"heartbeat_time":%d}'
+
+
 def heartbeat_line(event_time_ms: int) -> str:
-    return '{"heartbeat_time":%d}' % int(event_time_ms)
+    return HEARTBEAT_FORMAT % int(event_time_ms)

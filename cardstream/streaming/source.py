@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardstream.functions import format as fmt
-from cardstream.sources.json_lines import parse_lines, stream_lines
+from cardstream.sources.json_lines import HEARTBEAT_FORMAT, parse_lines, stream_lines
 from cardstream.sources.json_lines import tx_columns
 
 
@@ -67,7 +67,7 @@ def write_drop_folder(spark: SparkSession, tx: DataFrame, folder: str,
     if heartbeat_after_ms is not None:
         hb = tx.agg(F.max("event_time").alias("m"), F.max("arrival_seq").alias("s")).select(
             (F.col("s") + 1).alias("arrival_seq"),
-            F.format_string('{"heartbeat_time":%d}',
+            F.format_string(HEARTBEAT_FORMAT,
                             F.col("m") + F.lit(int(heartbeat_after_ms))).alias("value"))
         lines = lines.unionByName(hb)
     return write_lines_folder(spark, lines, folder, n_files)
