@@ -39,3 +39,13 @@ def test_split_on_unskewed_fixture(spark):
     tx = load_tx(spark, SF01)
     assert _rows(rules.high_amount_alerts(tx, hot_rows=10)) == \
         _rows(rules.high_amount_alerts(tx, hot_rows=None))
+
+
+def test_split_with_event_time_order(spark):
+    """Fallback order (event_time, transaction_id): ties stay in one range chunk."""
+    tx = _skewed(spark).drop("arrival_seq")
+    order = ["event_time", "transaction_id"]
+    for rule, hot in ((rules.high_amount_alerts, 150), (rules.impossible_travel_alerts, 40)):
+        plain = _rows(rule(tx, order_by=order, hot_rows=None))
+        split = _rows(rule(tx, order_by=order, hot_rows=hot))
+        assert len(plain) > 0 and plain == split
