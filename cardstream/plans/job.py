@@ -33,7 +33,7 @@ from cardstream.streaming.late import LateSplitBatchWriter
 from cardstream.streaming.processors import (
     stream_high_amount_alerts, stream_impossible_travel_alerts,
 )
-from cardstream.streaming.sinks import append_sink, upsert_sink
+from cardstream.streaming.sinks import append_sink, rows_and_lines_sink, upsert_sink
 from cardstream.streaming.source import (
     decoded_stream, stream_rejects, watermarked_transactions,
 )
@@ -149,8 +149,9 @@ def start_streaming_job(spark: SparkSession, source_folder: str, out_root: str,
       file sink) that the other queries stream from, instead of each query
       decoding the JSON itself;
     * ``minute_totals``: update mode (re-emits within the allowed lateness),
-      upsert log keyed by window end;
-    * ``category_average`` / ``country_counts``: append, final rows;
+      upsert log keyed by window end, plus one text line per emission;
+    * ``category_average`` / ``country_counts``: append, final rows and their
+      text lines;
     * ``alerts``: four rules, union, scoring; parquet rows + text lines;
     * ``late_transactions``: exact late split per micro-batch;
     * ``rejects``: undecodable lines.
@@ -195,14 +196,14 @@ def _start_all(decoded, out, ck, risky_merchants, blacklisted_countries,
     tx_minute = watermarked_transactions(decoded(), minute_delay)
     queries["minute_totals"] = upsert_sink(
         metrics.minute_totals(tx_minute), f"{out}/minute_totals",
-        f"{ck}/minute_totals", trigger)
+        f"{ck}/minute_totals", trigger, line=fmt.minute_line)
     tx5 = watermarked_transactions(decoded(), delay)
-    queries["category_average"] = append_sink(
+    queries["category_average"] = rows_and_lines_sink(
         metrics.category_average(tx5), f"{out}/category_average",
-        f"{ck}/category_average", "parquet", trigger)
-    queries["country_counts"] = append_sink(
+        f"{ck}/category_average", fmt.category_line, trigger)
+    queries["country_counts"] = rows_and_lines_sink(
         metrics.country_counts(watermarked_transactions(decoded(), delay)),
-        f"{out}/country_counts", f"{ck}/country_counts", "parquet", trigger)
+        f"{out}/country_counts", f"{ck}/country_counts", fmt.country_line, trigger)
     txa = watermarked_transactions(decoded(), delay)
     alerts = union_alerts(
         rules.high_frequency_alerts(txa), stream_high_amount_alerts(txa),

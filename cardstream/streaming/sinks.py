@@ -1,6 +1,7 @@
 """Stream sinks (SNK-1..3).
 
 * append sinks (parquet or text) with a checkpoint: exactly-once files;
+* rows plus their text lines per micro-batch (metric and alert lines);
 * an upsert log for metrics in update mode: every micro-batch's updated rows
   land in their own ``batch_id=`` folder (overwritten on replay), and
   :func:`read_upserts` returns the latest row per key.
@@ -8,9 +9,9 @@
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -38,23 +39,64 @@ def alert_log_sink(alerts: DataFrame, path: str, checkpoint: str,
 
 
 class UpsertBatchWriter:
-    """``foreachBatch`` writer for update-mode outputs (metric upserts)."""
+    """``foreachBatch`` writer for update-mode outputs (metric upserts).
 
-    def __init__(self, path: str, fmt_name: str = "parquet"):
+    With ``line`` (a Column builder) every emitted row is also written as a
+    text line under ``<path>_lines`` — one line per (re-)emission, like the
+    reference's printed metric lines.
+    """
+
+    def __init__(self, path: str, fmt_name: str = "parquet",
+                 line: Callable[[], Column] | None = None):
         self.path = path.rstrip("/")
         self.fmt_name = fmt_name
+        self.line = line
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if self.line is not None:
+            batch = batch.persist()
         (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").format(self.fmt_name)
          .save(f"{self.path}/batch={batch_id}"))
+        if self.line is not None:
+            write_lines(batch, self.line(), f"{self.path}_lines/batch={batch_id}")
+            batch.unpersist()
+
+
+class RowsAndLinesBatchWriter:
+    """``foreachBatch`` writer for append outputs: parquet rows plus their
+    text lines, each per micro-batch (overwritten on replay)."""
+
+    def __init__(self, path: str, line: Callable[[], Column]):
+        self.path = path.rstrip("/")
+        self.line = line
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        write_lines(batch, self.line(), f"{self.path}_lines/batch_id={batch_id}")
+        batch.unpersist()
+
+
+def write_lines(df: DataFrame, line: Column, path: str) -> None:
+    df.select(line.alias("value")).write.mode("overwrite").text(path)
 
 
 def upsert_sink(df: DataFrame, path: str, checkpoint: str,
-                trigger: dict | None = None) -> StreamingQuery:
+                trigger: dict | None = None,
+                line: Callable[[], Column] | None = None) -> StreamingQuery:
     writer = (df.writeStream.outputMode("update")
               .option("checkpointLocation", checkpoint)
-              .foreachBatch(UpsertBatchWriter(path)))
+              .foreachBatch(UpsertBatchWriter(path, line=line)))
+    return _trigger(writer, trigger).start()
+
+
+def rows_and_lines_sink(df: DataFrame, path: str, checkpoint: str,
+                        line: Callable[[], Column],
+                        trigger: dict | None = None) -> StreamingQuery:
+    writer = (df.writeStream.outputMode("append")
+              .option("checkpointLocation", checkpoint)
+              .foreachBatch(RowsAndLinesBatchWriter(path, line)))
     return _trigger(writer, trigger).start()
 
 

@@ -107,7 +107,13 @@ def test_streaming_job_end_to_end(spark, tx, bronze):
     assert spark.read.parquet(f"{root}/out/late/late/batch_id=*").count() == 7
     totals = read_upserts(spark, f"{root}/out/minute_totals", ["window_end"])
     assert totals.count() >= 59
-    assert spark.read.parquet(f"{root}/out/category_average").count() > 0
+    minute_lines = spark.read.text(f"{root}/out/minute_totals_lines/batch=*")
+    assert minute_lines.count() >= totals.count()
+    assert minute_lines.first().value.startswith("Timestamp: ")
+    cats = spark.read.parquet(f"{root}/out/category_average/batch_id=*")
+    cat_lines = spark.read.text(f"{root}/out/category_average_lines/batch_id=*")
+    assert cats.count() > 0 and cat_lines.count() == cats.count()
+    assert ", Average Amount: " in cat_lines.first().value
 
 
 def test_batch_job_reference_semantics(spark, tx):
