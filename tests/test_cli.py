@@ -17,3 +17,14 @@ def test_batch_cli(spark):
     assert spark.read.text(f"{root}/out/alert_lines").count() == 73
     assert spark.read.parquet(f"{root}/out/late_transactions").count() == 7
     assert spark.read.parquet(f"{root}/out/rejects").count() == 0
+
+
+def test_stream_cli(spark):
+    from cardstream.streaming.source import write_drop_folder
+    root = scratch_path(spark, "t-cli-stream")
+    drop = write_drop_folder(spark, fixture_transactions(spark, SF001), f"{root}/in", 2)
+    assert run(spark, ["stream", "--source", drop, "--out", f"{root}/out",
+                       "--available-now", "--max-files-per-trigger", "1"]) == 0
+    alerts = spark.read.parquet(f"{root}/out/alerts/batch_id=*")
+    by_rule = {r.rule: r["count"] for r in alerts.groupBy("rule").count().collect()}
+    assert by_rule["High Amount"] == 42 and by_rule["Impossible Travel"] == 30
