@@ -24,8 +24,16 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
 
 
 def reference_frame(spark: SparkSession, values: Iterable[str]) -> DataFrame:
-    """A one-column (``value``) reference list from in-code values."""
-    return spark.createDataFrame([(v,) for v in values], "value string")
+    """A one-column (``value``) reference list from in-code values.
+
+    Built on ``spark.range`` so the planner knows its exact (tiny) size.
+    """
+    vals = list(values)
+    if not vals:
+        return spark.createDataFrame([], "value string")
+    arr = F.array(*[F.lit(v) for v in vals])
+    return spark.range(len(vals)).select(
+        F.element_at(arr, (F.col("id") + 1).cast("int")).alias("value"))
 
 
 def base_score(rule: Column) -> Column:
@@ -44,19 +52,27 @@ def risk_level(score: Column) -> Column:
 
 def score_alerts(alerts: DataFrame, risky_merchants: DataFrame,
                  blacklisted_countries: DataFrame,
-                 max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                 max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                 check_rows: bool = False) -> DataFrame:
     """Add ``risk_score`` (0-100) and ``risk_level`` to every alert.
 
     Base score by rule; +20 risky merchant, +25 blacklisted country, +10 when
     amount > 1000 (enrichment skipped for alerts without a transaction);
     capped at 100. Every alert is kept (left joins on de-duplicated lists).
+    ``check_rows=True`` counts each list first and broadcasts it explicitly
+    when it has at most ``max_broadcast_rows`` rows.
     """
     rm = (risky_merchants.select(F.col("value").alias("_rm_value")).distinct()
           .withColumn("_rm_hit", F.lit(True)))
     bl = (blacklisted_countries.select(F.col("value").alias("_bl_value")).distinct()
           .withColumn("_bl_hit", F.lit(True)))
-    rm = bounded_broadcast(rm, max_broadcast_rows)
-    bl = bounded_broadcast(bl, max_broadcast_rows)
+    if check_rows:
+        rm = bounded_broadcast(rm, max_broadcast_rows)
+        bl = bounded_broadcast(bl, max_broadcast_rows)
+    # Otherwise Spark's own size check picks the join: a broadcast when the
+    # list's size estimate (exact for in-code lists and text files) or, with
+    # AQE, its measured size is under the broadcast threshold; a shuffle join
+    # beyond it. No extra job is run either way.
     joined = (alerts
               .join(rm, F.col("tx.merchant_id") == F.col("_rm_value"), "left")
               .join(bl, F.col("tx.country") == F.col("_bl_value"), "left"))

@@ -7,7 +7,7 @@ with more than ``hot_rows`` rows take a second, exact path:
 
 1. per-key stats ``(n, lo, hi)`` of the first order column; keys with
    ``n > hot_rows`` are *hot*. There are fewer than ``rows / hot_rows`` of
-   them; the table is checkpointed and broadcast up to MAX_BROADCAST_KEYS;
+   them; the table is cached and broadcast up to MAX_BROADCAST_KEYS;
 2. a hot key's rows are cut into ranges of the order column about 16 times
    smaller than a block; per range counts (a small table) give each range its
    starting rank, so every hot row gets its exact rank in its key;
@@ -28,7 +28,6 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardstream.session import checkpoint_root
 
 # Rows per key above which a key is split (≈ a comfortable task at scale).
 DEFAULT_HOT_ROWS = 4_000_000
@@ -65,12 +64,11 @@ def keyed_frames(df: DataFrame, key: str, order_cols: Sequence[str],
              .agg(F.count(F.lit(1)).alias("_n"), F.min(rc).alias("_lo"),
                   F.max(rc).alias("_hi"))
              .where(F.col("_n") > F.lit(int(hot_rows))))
-    # One pass over (key, order column). The hot-key table is small (fewer
-    # than total_rows / hot_rows keys can exceed hot_rows) and is checkpointed
-    # to the shared checkpoint folder, so the choice below and the joins read
-    # it without recomputing it.
-    checkpoint_root(df.sparkSession)
-    stats = stats.checkpoint(eager=True)
+    # One job over (key, order column). The hot-key table is small (fewer
+    # than total_rows / hot_rows keys can exceed hot_rows); it is cached by
+    # the count below, so the choice and the joins read it without another
+    # pass (a lost block is recomputed from its short lineage).
+    stats = stats.cache()
     n_hot = stats.count()
     if n_hot == 0:
         return frame_fn(df, [key], order_cols)
