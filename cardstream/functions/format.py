@@ -68,6 +68,13 @@ def tx_json(prefix: str = "") -> Column:
     return F.format_string(TX_JSON, *[F.col(prefix + c) for c in TX_FIELDS])
 
 
+def tx_json_with_seq(prefix: str = "") -> Column:
+    """The reference JSON line with the arrival position as a last field."""
+    fmt_seq = TX_JSON[:-1] + ',"arrival_seq":%d}'
+    return F.format_string(fmt_seq, *[F.col(prefix + c) for c in TX_FIELDS],
+                           F.col(prefix + "arrival_seq"))
+
+
 def tx_json_escaped(prefix: str = "") -> Column:
     """Escape-safe JSON of the same eight fields (``to_json``)."""
     return F.to_json(F.struct(*[F.col(prefix + c).alias(c) for c in TX_FIELDS]))

@@ -95,13 +95,15 @@ def parse_lines(lines: DataFrame, value_col: str = "value",
     column ``seq_col`` of ``lines`` (e.g. the Kafka offset) when given.
     """
     v = F.col(value_col)
-    non_blank = lines.where(v.isNotNull() & (java_trim(v) != ""))
     p = F.from_json(v, RAW_SCHEMA, JSON_OPTIONS)
-    # A one-element explode keeps later filters on the decoded fields above
-    # the parse, so each line is decoded once (not once per filter).
     extra = [F.col(seq_col).cast("long").alias("_seq_in")] if seq_col else []
-    raw = non_blank.select(v.alias("line"), *extra,
-                           F.explode(F.array(p)).alias("_p"))
+    # A one-element ``inline`` evaluates the line and its parse once per row:
+    # filters and projections above it cannot inline (and so repeat) either
+    # the parse or an expensive expression that produced the line.
+    raw = lines.select(F.inline(F.array(F.struct(
+        v.alias("line"), *extra, p.alias("_p")))))
+    line = F.col("line")
+    raw = raw.where(line.isNotNull() & (java_trim(line) != ""))
     r = lambda c: F.col(f"_p.{c}")
     event_time = _whole_long(r("event_time"))
     amount = r("amount").try_cast(T.DoubleType())

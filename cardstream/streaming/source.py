@@ -42,10 +42,7 @@ def stream_rejects(decoded: DataFrame) -> DataFrame:
 
 def json_lines_with_seq(tx: DataFrame) -> DataFrame:
     """Reference JSON lines with the arrival position as an extra field."""
-    line = F.concat(F.expr("substring(_json, 1, length(_json) - 1)"),
-                    F.lit(',"arrival_seq":'),
-        F.col("arrival_seq").cast("string"), F.lit("}"))
-    return tx.withColumn("_json", fmt.tx_json()).select("arrival_seq", line.alias("value"))
+    return tx.select("arrival_seq", fmt.tx_json_with_seq().alias("value"))
 
 
 def _fs(spark: SparkSession, path: str):
