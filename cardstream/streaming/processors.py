@@ -23,19 +23,10 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from cardstream.operators.rules import high_amount_from_history, travel_from_previous
 from cardstream.schema import (
     HIGH_AMOUNT_HISTORY, HIGH_AMOUNT_MIN_AMOUNT, HIGH_AMOUNT_MIN_HISTORY,
-    HIGH_AMOUNT_RATIO, TRAVEL_MAX_GAP_MS, TX_FIELDS, resolve_order,
+    HIGH_AMOUNT_RATIO, TRAVEL_MAX_GAP_MS, TX_FIELDS, TX_STRUCT, resolve_order,
 )
 
-_TX_OUT = [f for f in T.StructType([
-    T.StructField("transaction_id", T.StringType()),
-    T.StructField("card_id", T.StringType()),
-    T.StructField("customer_id", T.StringType()),
-    T.StructField("merchant_id", T.StringType()),
-    T.StructField("merchant_category", T.StringType()),
-    T.StructField("country", T.StringType()),
-    T.StructField("event_time", T.LongType()),
-    T.StructField("amount", T.DoubleType()),
-]).fields]
+_TX_OUT = list(TX_STRUCT.fields)
 
 HISTORY_OUT = T.StructType(_TX_OUT + [
     T.StructField("amount_cents", T.LongType()),
