@@ -7,11 +7,17 @@ DataFrame and on a watermarked streaming DataFrame.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from typing import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardstream.functions.timecols import window_end_ms
-from cardstream.schema import FIVE_MINUTE_WINDOW_MS, MINUTE_WINDOW_MS
+from cardstream.functions import format as fmt
+from cardstream.functions.timecols import tumbling_end_ms, window_end_ms
+from cardstream.schema import (
+    FIVE_MINUTE_WINDOW_MS, MINUTE_ALLOWED_LATENESS_MS, MINUTE_WINDOW_MS,
+    OUT_OF_ORDERNESS_MS, resolve_order,
+)
 
 
 def _window(window_ms: int):
@@ -49,3 +55,57 @@ def country_counts(tx: DataFrame, window_ms: int = FIVE_MINUTE_WINDOW_MS) -> Dat
     agg = tx.groupBy(_window(window_ms), "country").agg(
         F.count(F.lit(1)).alias("n_tx"))
     return agg.select(window_end_ms().alias("window_end"), "country", "n_tx")
+
+
+def minute_total_emissions(tx: DataFrame, window_ms: int = MINUTE_WINDOW_MS,
+                           lateness_ms: int = MINUTE_ALLOWED_LATENESS_MS,
+                           delay_ms: int = OUT_OF_ORDERNESS_MS,
+                           order_by: Sequence[str] | None = None,
+                           bucket_width: int | None = None) -> DataFrame:
+    """Metric 1 as it is printed: one line when a window fires, then one
+    updated line per row accepted within the allowed lateness (EVT-2).
+
+    A window ending at ``e`` fires once the watermark passes it, i.e. when the
+    max event time reaches ``e + delay``; so an on-time row of it arrived
+    before the firing iff its ``wm_before < e``. The firing line totals those
+    rows (``emission`` 0, ``fired_by`` watermark, or end_of_input if the input
+    ends first); every later on-time row re-emits the running totals
+    (``emission`` 1, 2, … in arrival order, ``fired_by`` late_row). The last
+    line of each window equals its on-time total.
+    """
+    from cardstream.operators.late import (
+        DEFAULT_BUCKET_WIDTH, late_flag, with_watermark_before,
+    )
+    from cardstream.operators.sequence import keyed_running_totals
+
+    order = resolve_order(tx, order_by)
+    width = bucket_width or DEFAULT_BUCKET_WIDTH
+    marked = with_watermark_before(tx, order, delay_ms, width)
+    on = (marked.where(~late_flag(window_ms, lateness_ms))
+          .withColumn("window_end", tumbling_end_ms("event_time", window_ms))
+          .withColumn("_pre", F.col("wm_before").isNull()
+                      | (F.col("wm_before") < F.col("window_end"))))
+    pre = F.col("_pre")
+    base = on.groupBy("window_end").agg(
+        F.count(F.when(pre, F.lit(1))).alias("_n_pre"),
+        F.coalesce(F.sum(F.when(pre, F.col("amount_cents"))), F.lit(0)).alias("_c_pre"),
+        F.max("event_time").alias("_wmax"))
+    # Late rows never raise the maximum, so the max over on-time rows is the
+    # max of the input. One row per window: a small, bounded window.
+    base = base.withColumn("_gmax", F.max("_wmax").over(Window.partitionBy()))
+    first = base.where(F.col("_n_pre") > 0).select(
+        "window_end", F.lit(0).cast("long").alias("emission"),
+        F.when(F.col("window_end") + F.lit(delay_ms) <= F.col("_gmax"), F.lit("watermark"))
+        .otherwise(F.lit("end_of_input")).alias("fired_by"),
+        F.col("_n_pre").alias("n_tx"), F.col("_c_pre").alias("total_cents"))
+    running = keyed_running_totals(on.where(~pre), "window_end", order,
+                                   "amount_cents", width)
+    again = running.join(base.select("window_end", "_n_pre", "_c_pre"),
+                         on="window_end", how="inner").select(
+        "window_end", F.col("_run_n").cast("long").alias("emission"),
+        F.lit("late_row").alias("fired_by"),
+        (F.col("_n_pre") + F.col("_run_n")).alias("n_tx"),
+        (F.col("_c_pre") + F.col("_run_sum")).alias("total_cents"))
+    out = first.unionByName(again).withColumn(
+        "total_amount", F.col("total_cents").cast("double") / F.lit(100.0))
+    return out.withColumn("line", fmt.minute_line())

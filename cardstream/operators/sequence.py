@@ -108,3 +108,32 @@ def keyed_frames(df: DataFrame, key: str, order_cols: Sequence[str],
     hot_out = frame_fn(blocked, [key, "_block"], order_cols).where(~F.col("_halo"))
     hot_out = hot_out.drop(*[c for c in _HELPERS if c in hot_out.columns])
     return cold_out.unionByName(hot_out.select(*cold_out.columns))
+
+
+def keyed_running_totals(df: DataFrame, key: str, order_cols: Sequence[str],
+                         value: str, bucket_width: int) -> DataFrame:
+    """Running count and sum of ``value`` per key in order (current row
+    included): ``_run_n`` and ``_run_sum``.
+
+    Skew-safe without a per-key window over all of a key's rows: rows are
+    bucketed by ranges of the first order column; per (key, bucket) totals
+    (a small table) give each bucket its carried totals, and a running total
+    inside each (key, bucket) — at most ``bucket_width`` positions — finishes it.
+    """
+    order_cols = list(order_cols)
+    b = df.withColumn("_rbk", F.floor(F.col(order_cols[0]) / F.lit(bucket_width)).cast("long"))
+    per_bucket = b.groupBy(key, "_rbk").agg(F.count(F.lit(1)).alias("_bn"),
+                                           F.sum(value).alias("_bs"))
+    before = Window.partitionBy(key).orderBy("_rbk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_bucket.select(
+        key, "_rbk",
+        F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_cn"),
+        F.coalesce(F.sum("_bs").over(before), F.lit(0)).alias("_cs"))
+    local = (Window.partitionBy(key, "_rbk").orderBy(*order_cols)
+             .rowsBetween(Window.unboundedPreceding, 0))
+    out = (b.withColumn("_ln", F.count(F.lit(1)).over(local))
+           .withColumn("_ls", F.sum(value).over(local))
+           .join(carry, on=[key, "_rbk"], how="inner"))
+    return (out.withColumn("_run_n", F.col("_cn") + F.col("_ln"))
+            .withColumn("_run_sum", F.col("_cs") + F.col("_ls"))
+            .drop("_rbk", "_ln", "_ls", "_cn", "_cs"))

@@ -212,6 +212,26 @@ ONTIME_1M = late_ctes("ot1", 60000, 10000)
 ONTIME_5M = late_ctes("ot5", 300000, 0)
 ONTIME_2M = late_ctes("ot2", 120000, 0)
 
+MINUTE_EMISSIONS = f"""
+r AS (SELECT *, {wend(60000)} AS window_end,
+        (wm_before IS NULL OR wm_before < {wend(60000)}) AS pre FROM ot1),
+base AS (SELECT window_end, count(*) FILTER (WHERE pre) AS n_pre,
+        coalesce(CAST(sum(amount_cents) FILTER (WHERE pre) AS BIGINT), 0) AS c_pre,
+        max(event_time) AS wmax
+      FROM r GROUP BY window_end),
+g AS (SELECT max(wmax) AS gmax FROM base),
+em AS (
+  SELECT window_end, CAST(0 AS BIGINT) AS emission,
+    CASE WHEN window_end + 5000 <= gmax THEN 'watermark' ELSE 'end_of_input' END AS fired_by,
+    n_pre AS n_tx, c_pre AS total_cents
+  FROM base, g WHERE n_pre > 0
+  UNION ALL
+  SELECT r.window_end, row_number() OVER w, 'late_row', b.n_pre + count(*) OVER w,
+    b.c_pre + CAST(sum(r.amount_cents) OVER w AS BIGINT)
+  FROM r JOIN base b USING (window_end) WHERE NOT r.pre
+  WINDOW w AS (PARTITION BY r.window_end ORDER BY r.arrival_seq
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
 BATCH_SQL: dict[str, str] = {
     "transactions": _with() + f"SELECT {TX_COLS} FROM tx",
     "transaction_json_lines": _with() + f"SELECT arrival_seq, {tx_json_sql()} AS line FROM tx",
@@ -224,6 +244,11 @@ BATCH_SQL: dict[str, str] = {
         f"WHERE arrival_seq % 50 = 0"),
     "minute_totals": _with() + minute_sql("tx"),
     "minute_totals_ontime": _with(ONTIME_1M) + minute_sql("ot1"),
+    "minute_total_emissions": _with(ONTIME_1M, MINUTE_EMISSIONS) + (
+        "SELECT *, CAST(total_cents AS DOUBLE) / 100.0 AS total_amount, "
+        "'Timestamp: ' || CAST(window_end AS VARCHAR) || ', Total Transactions: ' || "
+        f"CAST(n_tx AS VARCHAR) || ', Total Amount: ' || {money_text('total_cents')} "
+        "AS line FROM em"),
     "late_transactions": _with(ONTIME_1M) + (
         f"SELECT {TX_COLS}, {tx_json_sql()} AS line FROM ot1_late"),
     "category_average": _with() + category_sql("tx"),

@@ -53,3 +53,32 @@ def late_rows(rows, window_ms, lateness_ms, delay_ms=5_000):
             out.append(r["transaction_id"])
         mx = et if mx is None else max(mx, et)
     return sorted(out)
+
+
+def minute_emissions(rows, window_ms=60_000, lateness_ms=10_000, delay_ms=5_000):
+    """Per-row watermark replay of metric 1: fire when the watermark passes a
+    window, re-fire for each row accepted afterwards, flush at end of input."""
+    mx = None
+    state = {}                      # window end -> [n, cents, fired, re-emissions]
+    out = []
+    for r in rows:
+        et = r["event_time"]
+        e = et - et % window_ms + window_ms
+        wm = None if mx is None else mx - delay_ms
+        if wm is None or e + lateness_ms > wm:            # not late
+            s = state.setdefault(e, [0, 0, False, 0])
+            s[0] += 1
+            s[1] += round(r["amount"] * 100)
+            if wm is not None and wm >= e:                 # watermark already past
+                s[2] = True
+                s[3] += 1
+                out.append((e, s[3], "late_row", s[0], s[1]))
+        mx = et if mx is None else max(mx, et)
+        for e2, s in state.items():
+            if not s[2] and e2 + delay_ms <= mx:
+                s[2] = True
+                out.append((e2, 0, "watermark", s[0], s[1]))
+    for e2, s in state.items():
+        if not s[2]:
+            out.append((e2, 0, "end_of_input", s[0], s[1]))
+    return sorted(out)

@@ -59,3 +59,14 @@ def test_late_split(spark, rows, width, cfg):
     rows = _seq(rows)
     _, late = split_late(make_tx(spark, rows), cfg[0], cfg[1], bucket_width=width)
     assert sorted(r.transaction_id for r in late.collect()) == bf.late_rows(rows, *cfg)
+
+
+@SETTINGS
+@given(rows=ROWS, width=st.sampled_from([2, 1 << 20]))
+def test_minute_emissions(spark, rows, width):
+    from cardstream.operators.metrics import minute_total_emissions
+    rows = _seq(rows)
+    em = minute_total_emissions(make_tx(spark, rows), bucket_width=width)
+    got = sorted((r.window_end, r.emission, r.fired_by, r.n_tx, r.total_cents)
+                 for r in em.collect())
+    assert got == bf.minute_emissions(rows)
