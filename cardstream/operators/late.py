@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardstream.functions.timecols import tumbling_end_ms
+from cardstream.operators.sequence import require_numeric_order
 from cardstream.schema import OUT_OF_ORDERNESS_MS, resolve_order
 
 # Width of a bucket in units of the first order column (arrival_seq).
@@ -36,6 +37,7 @@ def with_watermark_before(df: DataFrame, order_by: Sequence[str] | None = None,
     before ``df``; the streaming form passes the max of earlier micro-batches.
     """
     order = resolve_order(df, order_by)
+    require_numeric_order(df, order)
     bucket = F.floor(F.col(order[0]) / F.lit(bucket_width)).cast("long")
     b = df.withColumn("_bucket", bucket)
     # Bucket maxima: one row per bucket (rows / bucket_width of them, e.g.

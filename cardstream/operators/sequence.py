@@ -27,6 +27,7 @@ from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 # Rows per key above which a key is split (≈ a comfortable task at scale).
@@ -38,6 +39,15 @@ MAX_BROADCAST_KEYS = 1_000_000
 
 FrameFn = Callable[[DataFrame, Sequence[Column | str], Sequence[str]], DataFrame]
 
+
+def require_numeric_order(df: DataFrame, order_cols: Sequence[str]) -> None:
+    """Ranges and buckets are cut on the first order column: it must be a
+    number (an arrival position or an epoch time)."""
+    dtype = df.schema[order_cols[0]].dataType
+    if not isinstance(dtype, T.NumericType):
+        raise ValueError(f"first order column {order_cols[0]!r} must be numeric, "
+                         f"not {dtype.simpleString()}")
+
 _HELPERS = ("_n", "_lo", "_hi", "_sub", "_nsub", "_start", "_lrn", "_rn",
             "_copy", "_block", "_halo")
 
@@ -57,6 +67,7 @@ def keyed_frames(df: DataFrame, key: str, order_cols: Sequence[str],
                          "stateful processors")
     if hot_rows is None:
         return frame_fn(df, [key], order_cols)
+    require_numeric_order(df, order_cols)
     block = max(int(hot_rows), lookback + 1)
     rc = F.col(order_cols[0])
 
@@ -121,6 +132,7 @@ def keyed_running_totals(df: DataFrame, key: str, order_cols: Sequence[str],
     inside each (key, bucket) — at most ``bucket_width`` positions — finishes it.
     """
     order_cols = list(order_cols)
+    require_numeric_order(df, order_cols)
     b = df.withColumn("_rbk", F.floor(F.col(order_cols[0]) / F.lit(bucket_width)).cast("long"))
     per_bucket = b.groupBy(key, "_rbk").agg(F.count(F.lit(1)).alias("_bn"),
                                            F.sum(value).alias("_bs"))

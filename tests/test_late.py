@@ -33,3 +33,10 @@ def test_small_buckets_equal_oracle(spark):
     df = late.select(*TX_COLUMNS, fmt.tx_json().alias("line"))
     res = compare(df, duck(SF01), BATCH_SQL["late_transactions"])
     assert res["ok"], res
+
+
+def test_order_column_must_be_numeric(spark):
+    import pytest
+    tx = make_tx(spark, [dict(event_time=1)])
+    with pytest.raises(ValueError, match="must be numeric"):
+        split_late(tx, 60_000, order_by=["transaction_id"])
