@@ -28,3 +28,20 @@ def test_stream_cli(spark):
     alerts = spark.read.parquet(f"{root}/out/alerts/batch_id=*")
     by_rule = {r.rule: r["count"] for r in alerts.groupBy("rule").count().collect()}
     assert by_rule["High Amount"] == 42 and by_rule["Impossible Travel"] == 30
+
+
+def test_batch_cli_without_arrival_seq(spark):
+    """Plain reference lines (no arrival_seq): order falls back to event time."""
+    from pyspark.sql import functions as F
+    from cardstream.functions import format as fmt
+    root = scratch_path(spark, "t-cli-noseq")
+    tx = fixture_transactions(spark, SF001)
+    tx.orderBy("arrival_seq").select(fmt.tx_json().alias("value")).write.text(f"{root}/in")
+    assert run(spark, ["batch", "--input", f"{root}/in", "--out", f"{root}/out",
+                       "--no-seq", "--complete"]) == 0
+    alerts = spark.read.parquet(f"{root}/out/alerts")
+    assert "arrival_seq" not in spark.read.parquet(f"{root}/out/transactions").columns
+    # with event-time order no backdated row precedes its card's later rows,
+    # so no travel gap is negative
+    travel = alerts.where(F.col("rule") == "Impossible Travel")
+    assert travel.count() > 0 and travel.where(F.col("gap_minutes") < 0).count() == 0
