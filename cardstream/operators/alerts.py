@@ -11,8 +11,8 @@ from cardstream.operators.rules import (
     high_amount_alerts, high_frequency_alerts, impossible_travel_alerts,
     merchant_burst_alerts,
 )
-from cardstream.operators.sequence import DEFAULT_HOT_ROWS
-from cardstream.schema import ALERT_COLUMNS
+from cardstream.operators.sequence import DEFAULT_HOT_ROWS, hot_key_tables
+from cardstream.schema import ALERT_COLUMNS, resolve_order
 
 
 def union_alerts(*streams: DataFrame) -> DataFrame:
@@ -27,9 +27,16 @@ def all_rule_alerts(tx: DataFrame, windowed_tx: DataFrame | None = None,
     """The four rules over ``tx``; windowed rules may read a different input
     (e.g. only on-time rows) through ``windowed_tx``."""
     wtx = tx if windowed_tx is None else windowed_tx
+    hot = {"customer_id": None, "card_id": None}
+    if hot_rows is not None:
+        # One pass finds the hot customers and the hot cards for rules 2 and 3.
+        order = resolve_order(tx, order_by)
+        hot = hot_key_tables(tx, ["customer_id", "card_id"], order[0], hot_rows)
     return union_alerts(
         high_frequency_alerts(wtx, order_by=order_by),
-        high_amount_alerts(tx, order_by=order_by, hot_rows=hot_rows),
-        impossible_travel_alerts(tx, order_by=order_by, hot_rows=hot_rows),
+        high_amount_alerts(tx, order_by=order_by, hot_rows=hot_rows,
+                           hot_keys=hot["customer_id"]),
+        impossible_travel_alerts(tx, order_by=order_by, hot_rows=hot_rows,
+                                 hot_keys=hot["card_id"]),
         merchant_burst_alerts(wtx, order_by=order_by),
     )

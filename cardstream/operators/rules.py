@@ -90,7 +90,8 @@ def high_amount_alerts(tx: DataFrame, history: int = HIGH_AMOUNT_HISTORY,
                        ratio: float = HIGH_AMOUNT_RATIO,
                        min_amount: float = HIGH_AMOUNT_MIN_AMOUNT,
                        order_by: Sequence[str] | None = None,
-                       hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+                       hot_rows: int | None = DEFAULT_HOT_ROWS,
+                       hot_keys=None) -> DataFrame:
     """Rule 2: amount far above the customer's previous ``history`` amounts.
 
     The check uses only rows that arrived before the current one (the check
@@ -105,7 +106,7 @@ def high_amount_alerts(tx: DataFrame, history: int = HIGH_AMOUNT_HISTORY,
 
     cols = list(dict.fromkeys([*order, *TX_FIELDS, "amount_cents"]))
     hist = keyed_frames(tx.select(*cols), "customer_id", order, history, frames,
-                        hot_rows)
+                        hot_rows, hot_keys)
     return high_amount_from_history(hist, min_history, ratio, min_amount)
 
 
@@ -126,7 +127,8 @@ def high_amount_from_history(hist: DataFrame,
 
 def impossible_travel_alerts(tx: DataFrame, max_gap_ms: int = TRAVEL_MAX_GAP_MS,
                              order_by: Sequence[str] | None = None,
-                             hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+                             hot_rows: int | None = DEFAULT_HOT_ROWS,
+                             hot_keys=None) -> DataFrame:
     """Rule 3: previous-arrived transaction of the card in another country
     and ``event_time - previous < max_gap`` (a negative gap also fires)."""
     order = resolve_order(tx, order_by)
@@ -138,7 +140,8 @@ def impossible_travel_alerts(tx: DataFrame, max_gap_ms: int = TRAVEL_MAX_GAP_MS,
                 .withColumn("prev_event_time", F.lag("event_time").over(w)))
 
     cols = list(dict.fromkeys([*order, *TX_FIELDS]))
-    prev = keyed_frames(tx.select(*cols), "card_id", order, 1, frames, hot_rows)
+    prev = keyed_frames(tx.select(*cols), "card_id", order, 1, frames, hot_rows,
+                        hot_keys)
     return travel_from_previous(prev, max_gap_ms)
 
 

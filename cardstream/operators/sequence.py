@@ -52,14 +52,43 @@ _HELPERS = ("_n", "_lo", "_hi", "_sub", "_nsub", "_start", "_lrn", "_rn",
             "_copy", "_block", "_halo")
 
 
+HotKeys = tuple  # (DataFrame of hot keys with _n/_lo/_hi, number of hot keys)
+
+
+def hot_key_tables(df: DataFrame, keys: Sequence[str], order_col: str,
+                   hot_rows: int = DEFAULT_HOT_ROWS) -> dict[str, HotKeys]:
+    """Hot keys of several key columns in one pass (grouping sets).
+
+    One aggregate over ``(key1), (key2), …`` reads the data once for all
+    keys; the small result is cached, and one tiny job counts it per key.
+    """
+    keys = list(keys)
+    require_numeric_order(df, [order_col])
+    rc = F.col(order_col)
+    agg = (df.groupingSets([[k] for k in keys], *keys)
+           .agg(F.count(F.lit(1)).alias("_n"), F.min(rc).alias("_lo"),
+                F.max(rc).alias("_hi"), F.grouping_id().alias("_gid"))
+           .where(F.col("_n") > F.lit(int(hot_rows))).cache())
+    counts = {r["_gid"]: r["count"] for r in agg.groupBy("_gid").count().collect()}
+    out = {}
+    for i, k in enumerate(keys):
+        # grouping_id has a 1 bit for every key column not grouped in the set
+        gid = sum(1 << (len(keys) - 1 - j) for j in range(len(keys)) if j != i)
+        out[k] = (agg.where(F.col("_gid") == gid).select(k, "_n", "_lo", "_hi"),
+                  counts.get(gid, 0))
+    return out
+
+
 def keyed_frames(df: DataFrame, key: str, order_cols: Sequence[str],
                  lookback: int, frame_fn: FrameFn,
-                 hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+                 hot_rows: int | None = DEFAULT_HOT_ROWS,
+                 hot_keys: HotKeys | None = None) -> DataFrame:
     """Apply ``frame_fn(df, partition_cols, order_cols)`` per key, skew-safe.
 
     ``frame_fn`` must only look back at most ``lookback`` rows (ROWS frames
     ending at or before the current row, or ``lag`` up to ``lookback``).
-    ``hot_rows=None`` disables the split (one window per key).
+    ``hot_rows=None`` disables the split (one window per key). ``hot_keys``
+    passes tables already found by :func:`hot_key_tables`.
     """
     order_cols = list(order_cols)
     if df.isStreaming:
@@ -71,16 +100,13 @@ def keyed_frames(df: DataFrame, key: str, order_cols: Sequence[str],
     block = max(int(hot_rows), lookback + 1)
     rc = F.col(order_cols[0])
 
-    stats = (df.groupBy(key)
-             .agg(F.count(F.lit(1)).alias("_n"), F.min(rc).alias("_lo"),
-                  F.max(rc).alias("_hi"))
-             .where(F.col("_n") > F.lit(int(hot_rows))))
-    # One job over (key, order column). The hot-key table is small (fewer
-    # than total_rows / hot_rows keys can exceed hot_rows); it is cached by
-    # the count below, so the choice and the joins read it without another
-    # pass (a lost block is recomputed from its short lineage).
-    stats = stats.cache()
-    n_hot = stats.count()
+    if hot_keys is None:
+        # One job over (key, order column). The hot-key table is small (fewer
+        # than total_rows / hot_rows keys can exceed hot_rows); it is cached
+        # by the count, so the choice and the joins read it without another
+        # pass (a lost block is recomputed from its short lineage).
+        hot_keys = hot_key_tables(df, [key], order_cols[0], hot_rows)[key]
+    stats, n_hot = hot_keys
     if n_hot == 0:
         return frame_fn(df, [key], order_cols)
     hot = F.broadcast(stats) if n_hot <= MAX_BROADCAST_KEYS else stats

@@ -49,3 +49,14 @@ def test_split_with_event_time_order(spark):
         plain = _rows(rule(tx, order_by=order, hot_rows=None))
         split = _rows(rule(tx, order_by=order, hot_rows=hot))
         assert len(plain) > 0 and plain == split
+
+
+def test_one_pass_detection_for_both_rules(spark):
+    from cardstream.operators.alerts import all_rule_alerts
+    from cardstream.operators.sequence import hot_key_tables
+    tx = _skewed(spark)
+    hot = hot_key_tables(tx, ["customer_id", "card_id"], "arrival_seq", 150)
+    assert [r.customer_id for r in hot["customer_id"][0].collect()] == ["cust-hot"]
+    assert hot["customer_id"][1] == 1
+    assert "card-hot" in [r.card_id for r in hot["card_id"][0].collect()]
+    assert _rows(all_rule_alerts(tx, hot_rows=150)) == _rows(all_rule_alerts(tx, hot_rows=None))
