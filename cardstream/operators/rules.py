@@ -45,7 +45,15 @@ def window_count_rule(tx: DataFrame, key: str, entity_type: str, rule: str,
     agg = tx.groupBy(window, F.col(key).alias("entity_id")).agg(
         F.count(F.lit(1)).alias("n_in_window"),
         F.max_by(tx_struct(), _order_key(order)).alias("tx"))
-    hits = agg.where((F.col("n_in_window") > F.lit(threshold)) & F.col("tx").isNotNull())
+    return window_alerts_from_counts(agg, entity_type, rule, threshold,
+                                     window_minutes, text_suffix)
+
+
+def window_alerts_from_counts(counts: DataFrame, entity_type: str, rule: str,
+                              threshold: int, window_minutes: int = RULE_WINDOW_MINUTES,
+                              text_suffix: str = "") -> DataFrame:
+    """Alerts from per-window rows (``entity_id``, ``n_in_window``, ``tx``)."""
+    hits = counts.where((F.col("n_in_window") > F.lit(threshold)) & F.col("tx").isNotNull())
     text = F.concat(F.lit(f"Transactions in {int(window_minutes)} minutes: "),
                     F.col("n_in_window").cast("string"), F.lit(text_suffix))
     return hits.select(*alert_frame(

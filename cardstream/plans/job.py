@@ -29,6 +29,7 @@ from cardstream.schema import (
 )
 from cardstream.session import ensure_streaming_conf, scratch_path, stream_partitions
 from cardstream.sources.json_lines import parse_lines, tx_columns
+from cardstream.streaming.exact import ExactWindowsBatchWriter
 from cardstream.streaming.late import LateSplitBatchWriter
 from cardstream.streaming.processors import (
     stream_high_amount_alerts, stream_impossible_travel_alerts,
@@ -153,6 +154,9 @@ def start_streaming_job(spark: SparkSession, source_folder: str, out_root: str,
     * ``category_average`` / ``country_counts``: append, final rows and their
       text lines;
     * ``alerts``: four rules, union, scoring; parquet rows + text lines;
+    * ``exact_windows``: the windowed outputs with the reference's exact
+      late-row dropping, as per-batch partial aggregates (read them with
+      ``streaming.exact.read_exact_windows(spark, out + "/exact")``);
     * ``late_transactions``: exact late split per micro-batch;
     * ``rejects``: undecodable lines.
 
@@ -214,6 +218,9 @@ def _start_all(decoded, out, ck, risky_merchants, blacklisted_countries,
          .foreachBatch(_AlertBatchWriter(out)))
     queries["alerts"] = (w.trigger(**trigger) if trigger else w).start()
     raw_tx = decoded().where(F.col("_kind") == "tx").select(*tx_columns(True))
+    w = (raw_tx.writeStream.option("checkpointLocation", f"{ck}/exact")
+         .foreachBatch(ExactWindowsBatchWriter(f"{out}/exact")))
+    queries["exact_windows"] = (w.trigger(**trigger) if trigger else w).start()
     w = (raw_tx.writeStream.option("checkpointLocation", f"{ck}/late")
          .foreachBatch(LateSplitBatchWriter(f"{out}/late", MINUTE_WINDOW_MS,
                                             MINUTE_ALLOWED_LATENESS_MS)))

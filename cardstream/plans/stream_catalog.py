@@ -27,6 +27,7 @@ from cardstream.schema import (
 from cardstream.session import ensure_streaming_conf, scratch_path, stream_partitions
 from cardstream.sources.fixtures import fixture_transactions, read_events
 from cardstream.functions import format as fmt
+from cardstream.streaming.exact import ExactWindowsBatchWriter, read_exact_windows
 from cardstream.streaming.late import LateSplitBatchWriter
 from cardstream.streaming.processors import (
     stream_high_amount_alerts, stream_impossible_travel_alerts,
@@ -161,6 +162,21 @@ def s_rejects(spark, sf_dir):
     return spark.read.schema(rejects.schema).parquet(f"{root}/out")
 
 
+def run_exact_windows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Windowed outputs with the reference's exact late-row dropping, from a
+    stream (per-micro-batch split + partial aggregates)."""
+    root = scratch_path(spark, f"stream_exact_{name}")
+    drop = _drop(spark, sf_dir, root)
+    tx = decoded_stream(spark, drop).where(F.col("_kind") == "tx").select(*TX_COLUMNS)
+    with stream_partitions(spark, state_partitions_for(spark, sf_dir)):
+        q = (tx.writeStream.option("checkpointLocation", f"{root}/ckpt")
+             .foreachBatch(ExactWindowsBatchWriter(f"{root}/out"))
+             .trigger(availableNow=True).start())
+    q.awaitTermination()
+    out = read_exact_windows(spark, f"{root}/out")[name]
+    return flatten_alerts(out) if "tx" in out.columns else out
+
+
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_minute_totals": s_minute_totals,
     "stream_category_average": s_category_average,
@@ -173,6 +189,16 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_scored_alerts": s_scored_alerts,
     "stream_minute_totals_upsert": s_minute_totals_upsert,
     "stream_rejects": s_rejects,
+    "stream_minute_totals_ontime":
+        lambda spark, sf_dir: run_exact_windows(spark, sf_dir, "minute_totals"),
+    "stream_category_average_ontime":
+        lambda spark, sf_dir: run_exact_windows(spark, sf_dir, "category_average"),
+    "stream_country_counts_ontime":
+        lambda spark, sf_dir: run_exact_windows(spark, sf_dir, "country_counts"),
+    "stream_high_frequency_alerts_ontime":
+        lambda spark, sf_dir: run_exact_windows(spark, sf_dir, "high_frequency_alerts"),
+    "stream_merchant_burst_alerts_ontime":
+        lambda spark, sf_dir: run_exact_windows(spark, sf_dir, "merchant_burst_alerts"),
 }
 
 _TWIN = {"stream_minute_totals_upsert": "minute_totals"}

@@ -105,6 +105,10 @@ def test_streaming_job_end_to_end(spark, tx, bronze):
     lines = spark.read.text(f"{root}/out/alert_lines/batch_id=*")
     assert lines.count() == alerts.count()
     assert spark.read.parquet(f"{root}/out/late/late/batch_id=*").count() == 7
+    from cardstream.streaming.exact import read_exact_windows
+    exact = read_exact_windows(spark, f"{root}/out/exact")
+    assert exact["minute_totals"].count() == 60        # 1 minute window only late
+    assert exact["high_frequency_alerts"].count() == 1
     totals = read_upserts(spark, f"{root}/out/minute_totals", ["window_end"])
     assert totals.count() >= 59
     minute_lines = spark.read.text(f"{root}/out/minute_totals_lines/batch=*")
