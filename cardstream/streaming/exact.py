@@ -15,6 +15,7 @@ on replay; there is no state-store state to grow.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,6 +60,7 @@ class ExactWindowsBatchWriter:
         marked = with_watermark_before(batch, order, self.delay_ms, carry_ms=carry)
         marked = marked.persist()
         seq = order[0]
+        parts = []
         for name, (window_ms, lateness_ms, key) in WINDOWED.items():
             on = (marked.where(~late_flag(window_ms, lateness_ms))
                   .withColumn("window_end", tumbling_end_ms("event_time", window_ms)))
@@ -68,8 +70,11 @@ class ExactWindowsBatchWriter:
             if name in ("high_frequency", "merchant_burst"):
                 aggs += [F.max_by(tx_struct(), F.col(seq)).alias("tx"),
                          F.max(seq).alias("last_seq")]
-            (on.groupBy(*keys).agg(*aggs).write.mode("overwrite")
-             .parquet(f"{self.out}/{name}/batch_id={batch_id}"))
+            parts.append(on.groupBy(*keys).agg(*aggs).withColumn("output", F.lit(name)))
+        # All five partial tables in one write (one job per micro-batch).
+        merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        (merged.write.mode("overwrite").partitionBy("output")
+         .parquet(f"{self.out}/partials/batch_id={batch_id}"))
         bmax = batch.agg(F.max("event_time")).first()[0]
         values = [v for v in (carry, bmax) if v is not None]
         log.write(batch_id, max(values) if values else None)
@@ -78,7 +83,9 @@ class ExactWindowsBatchWriter:
 
 
 def _partials(spark: SparkSession, out: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{out.rstrip('/')}/{name}/batch_id=*")
+    root = f"{out.rstrip('/')}/partials"
+    return (spark.read.option("basePath", root).parquet(f"{root}/batch_id=*")
+            .where(F.col("output") == name))
 
 
 def read_exact_windows(spark: SparkSession, out: str) -> dict[str, DataFrame]:
