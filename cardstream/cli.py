@@ -75,11 +75,13 @@ def run(spark: SparkSession, argv: list[str]) -> int:
 
 
 def main(argv: list[str] | None = None) -> int:
+    argv = sys.argv[1:] if argv is None else argv
+    _parser().parse_args(argv)          # --help and usage errors need no Spark
     active = SparkSession.getActiveSession()
     if active is None:
         from cardstream.session import local_session
         active = local_session()
-    return run(active, sys.argv[1:] if argv is None else argv)
+    return run(active, argv)
 
 
 if __name__ == "__main__":
