@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardstream.functions import format as fmt
-from cardstream.operators.sequence import DEFAULT_HOT_ROWS, keyed_frames
+from cardstream.operators.sequence import DEFAULT_HOT_ROWS, HotKeys, keyed_frames
 from cardstream.schema import (
     HIGH_AMOUNT_HISTORY, HIGH_AMOUNT_MIN_AMOUNT, HIGH_AMOUNT_MIN_HISTORY,
     HIGH_AMOUNT_RATIO, HIGH_FREQUENCY_MAX_TX, MERCHANT_BURST_MAX_TX,
@@ -99,7 +99,7 @@ def high_amount_alerts(tx: DataFrame, history: int = HIGH_AMOUNT_HISTORY,
                        min_amount: float = HIGH_AMOUNT_MIN_AMOUNT,
                        order_by: Sequence[str] | None = None,
                        hot_rows: int | None = DEFAULT_HOT_ROWS,
-                       hot_keys=None) -> DataFrame:
+                       hot_keys: HotKeys | None = None) -> DataFrame:
     """Rule 2: amount far above the customer's previous ``history`` amounts.
 
     The check uses only rows that arrived before the current one (the check
@@ -136,7 +136,7 @@ def high_amount_from_history(hist: DataFrame,
 def impossible_travel_alerts(tx: DataFrame, max_gap_ms: int = TRAVEL_MAX_GAP_MS,
                              order_by: Sequence[str] | None = None,
                              hot_rows: int | None = DEFAULT_HOT_ROWS,
-                             hot_keys=None) -> DataFrame:
+                             hot_keys: HotKeys | None = None) -> DataFrame:
     """Rule 3: previous-arrived transaction of the card in another country
     and ``event_time - previous < max_gap`` (a negative gap also fires)."""
     order = resolve_order(tx, order_by)
