@@ -92,7 +92,7 @@ lines AS (
   WHERE regexp_matches(line, '{_WORD}') GROUP BY doc_id),
 m AS (
   SELECT d.doc_id, lang, source, len(w)::BIGINT AS n_words,
-         coalesce(list_sum(list_transform(w, x -> length(x))), 0)::BIGINT AS word_chars,
+         coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
          coalesce(lines.n, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
          length(regexp_replace(t, '[^A-Z]', '', 'g'))::BIGINT AS n_upper
@@ -150,7 +150,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_up
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
 g AS (SELECT h, max(page_id) AS last, count(*) AS n FROM p GROUP BY h)
 SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
-       list_aggregate(list_transform(range(32), k -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+       list_aggregate(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
          (((('0x' || substr(h, (10 * (k // 8) + 1)::BIGINT, 10))::BIGINT >> (35 - 5 * (k % 8))::BIGINT) & 31) + 1)::BIGINT, 1)),
          'string_agg', '') AS payload_digest,
        CASE WHEN page_id = last OR last IS NULL THEN 'response' ELSE 'revisit' END AS record_type,

@@ -173,15 +173,16 @@ def masks(chosen: list[tuple[list[int], int]]) -> list[int]:
 def spanning_links(fps: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
     """A spanning forest of the links among fingerprints (each tree a star)."""
     links: list[tuple[int, int]] = []
+    bits = np.ascontiguousarray(fps).view(np.uint64)      # counted without their sign
     left = np.arange(len(fps))
     if len(fps) <= 512:                       # most files hold no link: one look shows it
-        near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= max_bits
+        near = np.bitwise_count(bits[:, None] ^ bits[None, :]) <= max_bits
         left = np.flatnonzero(near.sum(axis=1) > 1)
     while len(left) > 1:
         root, left = left[0], left[1:]
         front = [root]
         while front and len(left):
-            hit = np.bitwise_count(fps[left] ^ fps[front.pop()]) <= max_bits
+            hit = np.bitwise_count(bits[left] ^ bits[front.pop()]) <= max_bits
             if hit.any():
                 found = left[hit]
                 links += [(int(fps[root]), int(fps[f])) for f in found]

@@ -1,6 +1,7 @@
 """SimHash near-duplicates, repeated passages, Order MinHash."""
 
 import hashlib
+import itertools
 import random
 import re
 from collections import Counter
@@ -127,8 +128,11 @@ def test_plan_obeys_the_pigeonhole_sum():
         chosen = H.plan(sample, total)
         bits = [b for g, _ in chosen for b in g]
         assert len(bits) == len(set(bits))
-    cost, t = H.allocate([{-1: 0.0, 0: 5.0, 1: 6.0}, {-1: 0.0, 0: 1.0, 1: 100.0}, {-1: 0.0, 0: 2.0, 1: 3.0}], 0)
-    assert sum(t) == 0 and cost == 8.0                 # by trying all: 0 + 0 + 0, or 1 and 1 and ... at more cost
+    costs = [{-1: 0.0, 0: 5.0, 1: 6.0}, {-1: 0.0, 0: 1.0, 1: 100.0}, {-1: 0.5, 0: 2.0, 1: 3.0, 2: 9.0}]
+    for budget in range(-3, 4):
+        tried = [sum(c[t] for c, t in zip(costs, ts)) for ts in itertools.product(*costs) if sum(ts) == budget]
+        cost, ts = H.allocate(costs, budget)
+        assert cost == min(tried) and sum(ts) == budget and cost == sum(c[t] for c, t in zip(costs, ts))
     groups = H.group_bits(sample, 5)
     assert sorted(b for g in groups for b in g) == list(range(64))
 
