@@ -4,33 +4,11 @@ import sys
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-sys.path.insert(0, ROOT)
-sys.path.insert(0, os.path.join(ROOT, "tests"))
+for path in (ROOT, os.path.join(ROOT, "tests"), os.path.dirname(os.path.abspath(__file__))):
+    sys.path.insert(0, path)
 os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
 
-SF001 = "/root/testdata/sf0.001"
-DOC_DDL = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-
-
-@pytest.fixture(scope="session")
-def spark():
-    from cardstream.session import local_session
-    s = local_session(cpus="*", shuffle_partitions=8, app="cardstream-llm-tests")
-    yield s
-    s.stop()
-
-
-PROSE = ("the quick brown fox jumps over the lazy dog while seven wizards quietly mix potions of amber jade "
-         "and onyx near the old stone bridge at dawn before any traveller wakes to see them work in silence ")
-
-#: Nulls, empty and blank texts, ties, repeated rows, non-ASCII, long runs of one character.
-EDGE = [
-    (1, None, None, None, None), (2, "", "en", "", 0), (3, " \n\t ", "en", "a", 4), (None, "no id here", "en", "a", 10),
-    (None, "no id here", "en", "a", 10), (4, "a" * 700, "en", "a", 700), (5, "añb " * 300, "es", "a", 1200),
-    (6, PROSE * 2, "en", "a", 0), (6, PROSE * 2, "en", "a", 0), (7, "x " + PROSE * 2, "en", "b", 0),
-    (8, "Ünder the MIT License.\nSPDX-License-Identifier: (MIT OR Apache-2.0) AND BSD-3-Clause\n", "de", None, 1),
-    (9, "12 34 56", None, "b", 8), (10, "日本語テキスト" * 60, "ja", "b", 420), (-11, "one", "en", "b", 3),
-]
+from llm_cases import DOC_DDL, EDGE, SF001  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -14,7 +14,7 @@ from cardstream.llm import packing as P
 from cardstream.llm import warc as W
 from cardstream.llm.queries import tokenizer_path
 from cardstream.session import scratch_path
-from conftest import EDGE, SF001
+from llm_cases import EDGE, SF001
 
 
 def brute_pages(pages):

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cardstream.llm import order_minhash as O
 from cardstream.llm import simhash as H
 from cardstream.llm import suffix_dedup as S
-from conftest import DOC_DDL, EDGE, PROSE
+from llm_cases import DOC_DDL, EDGE, PROSE
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 

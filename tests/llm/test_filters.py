@@ -9,7 +9,7 @@ import pytest
 from cardstream.llm import language_id as L
 from cardstream.llm import licenses as C
 from cardstream.llm import quality_rules as Q
-from conftest import EDGE
+from llm_cases import EDGE
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 

@@ -12,7 +12,7 @@ import corpus_pipeline
 from cardstream.llm import mixing as M
 from cardstream.llm import queries as R
 from cardstream.llm import sharding as S
-from conftest import EDGE, SF001
+from llm_cases import EDGE, SF001
 
 
 def least_capacity(sizes, shards):
