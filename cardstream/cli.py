@@ -34,8 +34,12 @@ def _parser() -> argparse.ArgumentParser:
                    help="count every row (no late-row dropping)")
     b.add_argument("--no-seq", action="store_true",
                    help="lines carry no arrival_seq: order by event time")
+    b.add_argument("--number-lines", action="store_true",
+                   help="lines carry no arrival_seq: order by file time, path and line")
     s = sub.choices["stream"]
     s.add_argument("--source", required=True, help="drop folder of JSON-line files")
+    s.add_argument("--no-seq", action="store_true",
+                   help="lines carry no arrival_seq: order by event time")
     s.add_argument("--delay", default="5 seconds")
     s.add_argument("--minute-delay", default="15 seconds")
     s.add_argument("--max-files-per-trigger", type=int, default=None)
@@ -46,7 +50,7 @@ def _parser() -> argparse.ArgumentParser:
 
 def run(spark: SparkSession, argv: list[str]) -> int:
     from cardstream.plans.job import run_batch_job, start_streaming_job
-    from cardstream.sources.json_lines import read_lines
+    from cardstream.sources.json_lines import read_lines, read_numbered_lines
     from cardstream.sources.reference import load_reference_list
 
     args = _parser().parse_args(argv)
@@ -54,11 +58,13 @@ def run(spark: SparkSession, argv: list[str]) -> int:
     blacklist = load_reference_list(spark, args.blacklist)
     out = args.out.rstrip("/")
     if args.mode == "batch":
-        outputs = run_batch_job(spark, lines=read_lines(spark, args.input),
+        read = read_numbered_lines if args.number_lines else read_lines
+        outputs = run_batch_job(spark, lines=read(spark, args.input),
                                 risky_merchants=risky, blacklisted_countries=blacklist,
                                 complete=args.complete, lines_carry_seq=not args.no_seq)
         for name, df in outputs.items():
-            writer = df.write.mode("overwrite")
+            # the alert log grows from run to run
+            writer = df.write.mode("append" if name in ("alerts", "alert_lines") else "overwrite")
             if name in TEXT_OUTPUTS:
                 writer.text(f"{out}/{name}")
             else:
@@ -68,7 +74,7 @@ def run(spark: SparkSession, argv: list[str]) -> int:
     queries = start_streaming_job(
         spark, args.source, out, risky, blacklist, delay=args.delay,
         minute_delay=args.minute_delay, trigger=trigger,
-        max_files_per_trigger=args.max_files_per_trigger)
+        max_files_per_trigger=args.max_files_per_trigger, lines_carry_seq=not args.no_seq)
     for q in queries.values():
         q.awaitTermination()
     return 0

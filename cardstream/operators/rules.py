@@ -13,6 +13,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardstream.functions import format as fmt
 from cardstream.operators.sequence import DEFAULT_HOT_ROWS, HotKeys, keyed_frames
@@ -31,6 +32,10 @@ def _order_key(order: Sequence[str]):
     return F.struct(*[F.col(c) for c in order])
 
 
+def tx_type(df: DataFrame) -> T.DataType:
+    return df.schema["tx"].dataType
+
+
 def window_count_rule(tx: DataFrame, key: str, entity_type: str, rule: str,
                       threshold: int, window_minutes: int = RULE_WINDOW_MINUTES,
                       text_suffix: str = "",
@@ -42,9 +47,23 @@ def window_count_rule(tx: DataFrame, key: str, entity_type: str, rule: str,
     """
     order = resolve_order(tx, order_by)
     window = F.window("ts", f"{int(window_minutes)} minutes").alias("window")
-    agg = tx.groupBy(window, F.col(key).alias("entity_id")).agg(
-        F.count(F.lit(1)).alias("n_in_window"),
-        F.max_by(tx_struct(), _order_key(order)).alias("tx"))
+    last = F.max_by(tx_struct(), _order_key(order)).alias("tx")
+    if tx.isStreaming or len(order) > 1 or not isinstance(tx.schema[order[0]].dataType, T.IntegralType):
+        agg = tx.groupBy(window, F.col(key).alias("entity_id")).agg(
+            F.count(F.lit(1)).alias("n_in_window"), last)
+    else:
+        # Two fixed-width values per group (a hash aggregate); the few groups that fire
+        # then fetch their last row.
+        fired = (tx.groupBy(window, F.col(key).alias("_key")).agg(
+            F.count(F.lit(1)).alias("n_in_window"), F.max(order[0]).alias("_last"))
+            .where(F.col("n_in_window") > F.lit(threshold))
+            .select(F.col("window").alias("_window"), "_key", "n_in_window",
+                    F.coalesce("_last", F.raise_error(F.lit(f"{order[0]} is null"))).alias("_last")))
+        rows = tx.withColumn("_at", window)
+        agg = (rows.join(fired, (F.col("_at") == F.col("_window")) & (F.col(key) == F.col("_key"))
+                         & (F.col(order[0]) == F.col("_last")))
+               .groupBy(F.col("_window").alias("window"), F.col("_key").alias("entity_id"))
+               .agg(F.first("n_in_window").alias("n_in_window"), last))
     return window_alerts_from_counts(agg, entity_type, rule, threshold,
                                      window_minutes, text_suffix)
 
@@ -53,7 +72,10 @@ def window_alerts_from_counts(counts: DataFrame, entity_type: str, rule: str,
                               threshold: int, window_minutes: int = RULE_WINDOW_MINUTES,
                               text_suffix: str = "") -> DataFrame:
     """Alerts from per-window rows (``entity_id``, ``n_in_window``, ``tx``)."""
-    hits = counts.where((F.col("n_in_window") > F.lit(threshold)) & F.col("tx").isNotNull())
+    hits = counts.where(F.col("n_in_window") > F.lit(threshold))
+    # rows without an order have no last one: refuse them instead of losing the alert
+    hits = hits.withColumn("tx", F.coalesce("tx", F.raise_error(
+        F.lit("order column is null: pass order_by, or number the lines")).cast(tx_type(counts))))
     text = F.concat(F.lit(f"Transactions in {int(window_minutes)} minutes: "),
                     F.col("n_in_window").cast("string"), F.lit(text_suffix))
     return hits.select(*alert_frame(

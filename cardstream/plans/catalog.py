@@ -24,7 +24,10 @@ from cardstream.schema import (
     RULE_WINDOW_MINUTES, flatten_alerts,
 )
 from cardstream.sources.fixtures import TX_COLUMNS, fixture_transactions
-from cardstream.sources.json_lines import parse_transactions
+from cardstream.session import scratch_path
+from cardstream.sources.json_lines import parse_lines, parse_transactions, read_numbered_lines
+from cardstream.sources.reference import load_reference_list
+from cardstream.streaming.source import write_lines_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,6 +82,51 @@ def q_rejects(spark, sf_dir):
     return rejects
 
 
+def classified_lines(tx: DataFrame) -> DataFrame:
+    """JSON lines (``arrival_seq``, ``value``): of every twelve, one of each way in which a
+    line can be bad, a blank one, one of spaces, and good ones."""
+    line = fmt.tx_json()
+    kind = F.col("arrival_seq") % 12
+    amount = lambda v: F.regexp_replace(line, '"amount":[^}]*', f'"amount":{v}')
+    broken = (F.when(kind == 0, F.expr("substring(l, 1, length(l) div 2)"))
+              .when(kind == 1, F.col("text_amount")).when(kind == 2, F.col("nan")).when(kind == 3, F.col("huge"))
+              .when(kind == 4, F.regexp_replace("l", '"event_time":[0-9]+', '"event_time":9000000000000000001'))
+              .when(kind == 5, F.regexp_replace("l", '"card_id":"[^"]*",', ""))
+              .when(kind == 6, F.regexp_replace("l", '"country":"[^"]*"', '"country":{"code":"IL"}'))
+              .when(kind == 7, F.lit("")).when(kind == 8, F.lit(" \t ")).otherwise(F.col("l")))
+    lines = tx.select("arrival_seq", line.alias("l"), amount('"abc"').alias("text_amount"),
+                      amount('"NaN"').alias("nan"), amount("1e300").alias("huge"))
+    return lines.select("arrival_seq", broken.alias("value"))
+
+
+def q_reject_classes(spark, sf_dir):
+    """What becomes of every line of a corpus with all classes of bad lines."""
+    typed = parse_lines(classified_lines(fixture_transactions(spark, sf_dir)), seq_col="arrival_seq")
+    return typed.select("arrival_seq", F.col("_kind").alias("kind"), "reason")
+
+
+def q_reference_list(spark, sf_dir):
+    """The merchants, written as a list file with comments, blanks and padding, and loaded."""
+    tx = fixture_transactions(spark, sf_dir)
+    lines = tx.select(F.explode(F.array(
+        F.concat(F.lit(" \t"), "merchant_id", F.lit("\r")), F.concat(F.lit("# "), "merchant_id"),
+        F.lit(""))).alias("value")).distinct()
+    path = scratch_path(spark, "reference-list")
+    lines.write.text(path)
+    return load_reference_list(spark, path)
+
+
+def q_job_scored_alerts(spark, sf_dir):
+    """The whole job's alerts from plain lines, whose order is that of their files."""
+    from cardstream.plans.job import run_batch_job
+    tx = fixture_transactions(spark, sf_dir)
+    lines = tx.select("arrival_seq", fmt.tx_json().alias("value"))
+    files = max(2, min(64, spark.sparkContext.defaultParallelism))
+    folder = write_lines_folder(spark, lines, scratch_path(spark, "job-lines"), files)
+    out = run_batch_job(spark, lines=read_numbered_lines(spark, folder))
+    return flatten_alerts(out["alerts"])
+
+
 # --- metrics ----------------------------------------------------------------
 def q_minute_totals(spark, sf_dir):
     return metrics.minute_totals(load_tx(spark, sf_dir))
@@ -198,6 +246,9 @@ BATCH_QUERIES: dict[str, Query] = {
     "transaction_json_lines": q_transaction_json_lines,
     "parse_roundtrip": q_parse_roundtrip,
     "rejects": q_rejects,
+    "reject_classes": q_reject_classes,
+    "reference_list": q_reference_list,
+    "job_scored_alerts": q_job_scored_alerts,
     "minute_totals": q_minute_totals,
     "minute_totals_ontime": q_minute_totals_ontime,
     "minute_total_emissions": q_minute_total_emissions,

@@ -62,9 +62,10 @@ def run_batch_job(spark: SparkSession, lines: DataFrame | None = None,
                   lines_carry_seq: bool = True) -> dict[str, DataFrame]:
     """All outputs of the job as DataFrames (nothing is collected).
 
-    Pass raw text ``lines`` (column ``value``) or decoded ``transactions``.
-    Lines written by a producer carry ``arrival_seq``; without it
-    (``lines_carry_seq=False``) arrival order falls back to event time.
+    Pass raw text ``lines`` (column ``value``) or decoded ``transactions``. Arrival
+    order is the ``arrival_seq`` column of ``lines`` (``read_numbered_lines`` takes it
+    from the input files), else the field of that name in every line; with
+    ``lines_carry_seq=False`` it falls back to event time.
 
     With ``materialize_input`` every shared stage is computed once and
     written to the checkpoint folder: the decoded lines (one JSON parse for
@@ -74,7 +75,7 @@ def run_batch_job(spark: SparkSession, lines: DataFrame | None = None,
     """
     rejects = None
     if transactions is None:
-        typed = parse_lines(lines)
+        typed = parse_lines(lines, seq_col="arrival_seq" if "arrival_seq" in lines.columns else None)
         typed = typed.withColumn(
             "line", F.when(F.col("_kind") == "reject", F.col("line")))
         if materialize_input:
@@ -129,13 +130,15 @@ class _AlertBatchWriter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        batch.write.mode("overwrite").parquet(f"{self.out}/alerts/batch_id={batch_id}")
-        (batch.select(fmt.alert_line().alias("value")).coalesce(1)
-         .write.mode("overwrite").text(f"{self.out}/alert_lines/batch_id={batch_id}"))
-        batch.unpersist()
+        try:
+            batch.write.mode("overwrite").parquet(f"{self.out}/alerts/batch_id={batch_id}")
+            (batch.select(fmt.alert_line().alias("value"))
+             .write.mode("overwrite").text(f"{self.out}/alert_lines/batch_id={batch_id}"))
+        finally:
+            batch.unpersist()
 
 
-def start_streaming_job(spark: SparkSession, source_folder: str, out_root: str,
+def start_streaming_job(spark: SparkSession, source: str | DataFrame, out_root: str,
                         risky_merchants: DataFrame | None = None,
                         blacklisted_countries: DataFrame | None = None,
                         delay: str = "5 seconds", minute_delay: str = "15 seconds",
@@ -143,9 +146,15 @@ def start_streaming_job(spark: SparkSession, source_folder: str, out_root: str,
                         max_files_per_trigger: int | None = None,
                         state_partitions: int | None = None,
                         bronze: bool = True,
+                        lines_carry_seq: bool = True,
                         ) -> dict[str, StreamingQuery]:
     """Start the streaming job; one query per output with its own watermark.
 
+    ``source`` is a drop folder or any streaming DataFrame of lines (``value``, and
+    ``arrival_seq`` where the source knows it, as ``stream_kafka_lines`` does). With
+    ``lines_carry_seq=False`` (lines as the reference writes them) order falls back
+    to event time.
+
     * ``bronze``: decodes every line once into a parquet table (exactly-once
       file sink) that the other queries stream from, instead of each query
       decoding the JSON itself;
@@ -172,9 +181,14 @@ def start_streaming_job(spark: SparkSession, source_folder: str, out_root: str,
     ck = f"{out}/_checkpoints"
     queries: dict[str, StreamingQuery] = {}
 
+    def lines_of():
+        if isinstance(source, str):
+            return decoded_stream(spark, source, max_files_per_trigger)
+        return parse_lines(source, seq_col="arrival_seq" if "arrival_seq" in source.columns else None)
+
     with stream_partitions(spark, state_partitions):
         if bronze:
-            raw = decoded_stream(spark, source_folder, max_files_per_trigger)
+            raw = lines_of()
             queries["bronze"] = append_sink(raw, f"{out}/bronze", f"{ck}/bronze",
                                             "parquet", trigger)
             if trigger and trigger.get("availableNow"):
@@ -187,28 +201,28 @@ def start_streaming_job(spark: SparkSession, source_folder: str, out_root: str,
                 return reader.parquet(f"{out}/bronze")
         else:
             def decoded():
-                return decoded_stream(spark, source_folder, max_files_per_trigger)
+                return lines_of()
 
         queries.update(_start_all(decoded, out, ck, risky_merchants,
-                                  blacklisted_countries, delay, minute_delay, trigger))
+                                  blacklisted_countries, delay, minute_delay, trigger, lines_carry_seq))
     return queries
 
 
 def _start_all(decoded, out, ck, risky_merchants, blacklisted_countries,
-               delay, minute_delay, trigger) -> dict[str, StreamingQuery]:
+               delay, minute_delay, trigger, with_seq=True) -> dict[str, StreamingQuery]:
     queries: dict[str, StreamingQuery] = {}
-    tx_minute = watermarked_transactions(decoded(), minute_delay)
+    tx_minute = watermarked_transactions(decoded(), minute_delay, with_seq)
     queries["minute_totals"] = upsert_sink(
         metrics.minute_totals(tx_minute), f"{out}/minute_totals",
         f"{ck}/minute_totals", trigger, line=fmt.minute_line)
-    tx5 = watermarked_transactions(decoded(), delay)
+    tx5 = watermarked_transactions(decoded(), delay, with_seq)
     queries["category_average"] = rows_and_lines_sink(
         metrics.category_average(tx5), f"{out}/category_average",
         f"{ck}/category_average", fmt.category_line, trigger)
     queries["country_counts"] = rows_and_lines_sink(
-        metrics.country_counts(watermarked_transactions(decoded(), delay)),
+        metrics.country_counts(watermarked_transactions(decoded(), delay, with_seq)),
         f"{out}/country_counts", f"{ck}/country_counts", fmt.country_line, trigger)
-    txa = watermarked_transactions(decoded(), delay)
+    txa = watermarked_transactions(decoded(), delay, with_seq)
     alerts = union_alerts(
         rules.high_frequency_alerts(txa), stream_high_amount_alerts(txa),
         stream_impossible_travel_alerts(txa), rules.merchant_burst_alerts(txa))
@@ -217,7 +231,7 @@ def _start_all(decoded, out, ck, risky_merchants, blacklisted_countries,
          .option("checkpointLocation", f"{ck}/alerts")
          .foreachBatch(_AlertBatchWriter(out)))
     queries["alerts"] = (w.trigger(**trigger) if trigger else w).start()
-    raw_tx = decoded().where(F.col("_kind") == "tx").select(*tx_columns(True))
+    raw_tx = decoded().where(F.col("_kind") == "tx").select(*tx_columns(with_seq))
     w = (raw_tx.writeStream.option("checkpointLocation", f"{ck}/exact")
          .foreachBatch(ExactWindowsBatchWriter(f"{out}/exact")))
     queries["exact_windows"] = (w.trigger(**trigger) if trigger else w).start()

@@ -242,6 +242,13 @@ BATCH_SQL: dict[str, str] = {
         f"SELECT substr(line, 1, length(line) // 2) AS line, 'malformed_json' AS reason "
         f"FROM (SELECT arrival_seq, {tx_json_sql()} AS line FROM tx) "
         f"WHERE arrival_seq % 50 = 0"),
+    "reject_classes": _with() + (
+        "SELECT arrival_seq, CASE WHEN arrival_seq % 12 <= 6 THEN 'reject' ELSE 'tx' END AS kind, "
+        "CASE arrival_seq % 12 WHEN 0 THEN 'malformed_json' WHEN 1 THEN 'bad_value' "
+        "WHEN 2 THEN 'out_of_range' WHEN 3 THEN 'out_of_range' WHEN 4 THEN 'out_of_range' "
+        "WHEN 5 THEN 'missing_key' WHEN 6 THEN 'bad_value' END AS reason "
+        "FROM tx WHERE arrival_seq % 12 NOT IN (7, 8)"),
+    "reference_list": _with() + "SELECT DISTINCT merchant_id AS value FROM tx",
     "minute_totals": _with() + minute_sql("tx"),
     "minute_totals_ontime": _with(ONTIME_1M) + minute_sql("ot1"),
     "minute_total_emissions": _with(ONTIME_1M, MINUTE_EMISSIONS) + (
@@ -272,3 +279,4 @@ BATCH_SQL: dict[str, str] = {
         f"SELECT rule, entity_id, timestamp, tx_transaction_id, {ALERT_LINE} AS line "
         f"FROM scored_l"),
 }
+BATCH_SQL["job_scored_alerts"] = BATCH_SQL["scored_alerts_ontime"]

@@ -14,12 +14,13 @@ time in streams (so the last windows close) and is never a transaction.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardstream.functions.timecols import amount_cents
 from cardstream.schema import KEY_FIELDS, TX_FIELDS
+from cardstream.session import scratch_path
 
 RAW_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType()) for c in TX_FIELDS]
@@ -34,6 +35,11 @@ JSON_OPTIONS = {
     "allowNonNumericNumbers": "false",
 }
 
+# What the job can count in exact integers: event times whose microseconds, and
+# amounts whose cents (a thousand billion of them summed), fit a 64-bit integer.
+MAX_EVENT_TIME = 9_000_000_000_000_000
+MAX_AMOUNT = 1e12
+
 STRING_FIELDS = tuple(c for c in TX_FIELDS if c not in ("event_time", "amount"))
 
 
@@ -51,6 +57,36 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+MAX_BROADCAST_SPLITS = 1_000_000
+
+
+def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines (``value``) with ``arrival_seq``, their dense position in the input.
+
+    The order is that of the files (modification time, then path), of the splits in
+    a file, and of the lines in a split. The lines are written to the shared folder
+    once; positions are a running count over the splits (one row each) plus the
+    line's place in its split.
+    """
+    split = ["_time", "_path", "_block"]
+    meta = ("file_modification_time", "file_path", "file_block_start")
+    lines = spark.read.text(path).select(
+        "value", *[F.col(f"_metadata.{m}").alias(c) for m, c in zip(meta, split)],
+        F.monotonically_increasing_id().alias("_row"))
+    target = scratch_path(spark, "numbered-lines")
+    lines.write.parquet(target)
+    lines = spark.read.schema(lines.schema).parquet(target)
+    splits = lines.groupBy(*split).agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select(*[F.col(c).alias(f"{c}_s") for c in split], (
+        F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_offset"))
+    if splits.limit(MAX_BROADCAST_SPLITS + 1).count() <= MAX_BROADCAST_SPLITS:
+        splits = F.broadcast(splits)
+    on = [F.col(c) == F.col(f"{c}_s") for c in split]
+    return lines.join(splits, on[0] & on[1] & on[2]).select(
+        "value", (F.col("_row") + F.col("_offset")).alias("arrival_seq"))
+
+
 def stream_lines(spark: SparkSession, path: str,
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming source over a drop folder of text files."""
@@ -109,6 +145,7 @@ def parse_lines(lines: DataFrame, value_col: str = "value",
     amount = r("amount").try_cast(T.DoubleType())
     seq = F.col("_seq_in") if seq_col else _whole_long(r("arrival_seq"))
     heartbeat = _whole_long(r("heartbeat_time"))
+    heartbeat = F.when(F.abs(heartbeat) <= F.lit(MAX_EVENT_TIME), heartbeat)
     malformed = F.col("_p").isNull() | r("_corrupt").isNotNull()
     bad_value = ((r("event_time").isNotNull() & event_time.isNull())
                  | (r("amount").isNotNull() & amount.isNull()))
@@ -119,11 +156,16 @@ def parse_lines(lines: DataFrame, value_col: str = "value",
     missing_key = F.lit(False)
     for c in KEY_FIELDS:
         missing_key = missing_key | r(c).isNull()
+    # ANSI casts would fail the whole job on such a value: it rejects its line alone
+    out_of_range = (
+        (F.abs(F.coalesce(event_time, F.lit(0))) > F.lit(MAX_EVENT_TIME))
+        | F.isnan(F.coalesce(amount, F.lit(0.0))) | (F.abs(F.coalesce(amount, F.lit(0.0))) > F.lit(MAX_AMOUNT)))
     is_heartbeat = (r("heartbeat_time").isNotNull() & heartbeat.isNotNull()
                     & r("transaction_id").isNull())
     reason = (F.when(malformed, F.lit("malformed_json"))
               .when(is_heartbeat, F.lit(None))
               .when(bad_value, F.lit("bad_value"))
+              .when(out_of_range, F.lit("out_of_range"))
               .when(missing_key, F.lit("missing_key")))
     kind = (F.when(malformed, F.lit("reject"))
             .when(is_heartbeat, F.lit("heartbeat"))
@@ -135,8 +177,9 @@ def parse_lines(lines: DataFrame, value_col: str = "value",
         reason.alias("reason"),
         seq.alias("arrival_seq"),
         *[r(c).alias(c) for c in STRING_FIELDS],
-        F.coalesce(event_time, F.lit(0)).cast("bigint").alias("event_time"),
-        F.coalesce(amount, F.lit(0.0)).alias("amount"),
+        F.when(out_of_range, F.lit(0)).otherwise(
+            F.coalesce(event_time, F.lit(0))).cast("bigint").alias("event_time"),
+        F.when(out_of_range, F.lit(0.0)).otherwise(F.coalesce(amount, F.lit(0.0))).alias("amount"),
         heartbeat.alias("heartbeat_time"),
     )
     return typed.withColumn("amount_cents", amount_cents("amount"))

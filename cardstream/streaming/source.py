@@ -21,7 +21,7 @@ def decoded_stream(spark: SparkSession, folder: str,
     return parse_lines(stream_lines(spark, folder, max_files_per_trigger))
 
 
-def watermarked_transactions(decoded: DataFrame, delay: str) -> DataFrame:
+def watermarked_transactions(decoded: DataFrame, delay: str, with_seq: bool = True) -> DataFrame:
     """Transactions with ``ts``, watermarked by ``delay`` over tx+heartbeats."""
     timed = (decoded.where(F.col("_kind").isin("tx", "heartbeat"))
              .withColumn("ts", F.timestamp_millis(
@@ -33,7 +33,7 @@ def watermarked_transactions(decoded: DataFrame, delay: str) -> DataFrame:
     # transaction; a heartbeat's ``ts`` comes from ``heartbeat_time``.
     is_tx = F.col("ts") == F.timestamp_millis(
         F.when(F.col("_kind") == "tx", F.col("event_time")))
-    return timed.where(is_tx).select(*tx_columns(True), "ts")
+    return timed.where(is_tx).select(*tx_columns(with_seq), "ts")
 
 
 def stream_rejects(decoded: DataFrame) -> DataFrame:

@@ -45,3 +45,46 @@ def test_batch_cli_without_arrival_seq(spark):
     # so no travel gap is negative
     travel = alerts.where(F.col("rule") == "Impossible Travel")
     assert travel.count() > 0 and travel.where(F.col("gap_minutes") < 0).count() == 0
+
+
+def test_numbered_lines_follow_the_files(spark):
+    """Positions are dense and follow file time, then the lines, over many splits."""
+    from pyspark.sql import functions as F
+    from cardstream.sources.json_lines import read_numbered_lines
+    from cardstream.streaming.source import write_lines_folder
+    lines = spark.range(5000).select(F.col("id").alias("arrival_seq"),
+                                     F.concat(F.lit("line "), F.col("id").cast("string")).alias("value"))
+    folder = write_lines_folder(spark, lines, scratch_path(spark, "t-lines"), 5)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        rows = read_numbered_lines(spark, folder).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted((r.arrival_seq, r.value) for r in rows) == sorted((i, f"line {i}") for i in range(5000))
+
+
+def test_windowed_rules_refuse_rows_without_order(spark):
+    import pytest
+    from cardstream.operators import rules
+    from cardstream.plans.catalog import load_tx
+    from pyspark.sql import functions as F
+    tx = load_tx(spark, SF001).withColumn("arrival_seq", F.when(F.col("event_time") < 0, F.col("event_time")))
+    with pytest.raises(Exception, match="arrival_seq is null"):
+        rules.high_frequency_alerts(tx).collect()
+
+
+def test_stream_cli_plain_lines(spark):
+    """Reference lines on a stream: the windowed rules fire."""
+    from pyspark.sql import functions as F
+    from cardstream.functions import format as fmt
+    from cardstream.streaming.source import write_lines_folder
+    root = scratch_path(spark, "t-cli-plain")
+    tx = fixture_transactions(spark, SF001)
+    lines = tx.select("arrival_seq", fmt.tx_json().alias("value"))
+    last = tx.agg((F.max("arrival_seq") + 1).alias("arrival_seq"), F.max("event_time").alias("m")).select(
+        "arrival_seq", F.format_string('{"heartbeat_time":%d}', F.col("m") + 86_400_000).alias("value"))
+    drop = write_lines_folder(spark, lines.unionByName(last), f"{root}/in", 2)
+    assert run(spark, ["stream", "--source", drop, "--out", f"{root}/out", "--available-now", "--no-seq"]) == 0
+    alerts = spark.read.parquet(f"{root}/out/alerts/batch_id=*")
+    assert alerts.where(F.col("rule") == "High Frequency").count() == 1

@@ -90,3 +90,18 @@ def test_escaped_encoder_roundtrip(spark):
     assert rejects.count() == 0
     r = back.first()
     assert (r.transaction_id, r.merchant_category, r.amount) == ('tx "quoted"', "a\\b", 12.5)
+
+
+def test_no_value_stops_the_job(spark):
+    """Non-finite and out-of-range values reject their own line alone."""
+    from cardstream.functions.timecols import with_event_time
+    good = ('{"transaction_id":"t","card_id":"c","customer_id":"u","merchant_id":"m",'
+            '"merchant_category":"fuel","country":"IL","event_time":%s,"amount":%s}')
+    lines = [good % (1, 2.5), good % (1, '"NaN"'), good % (1, '"Infinity"'), good % (1, "1e300"), good % (1, "1e17"),
+             good % ("9000000000000000001", 1), good % ("-9000000000000000001", 1), good % ("1e30", 1),
+             '{"heartbeat_time":9000000000000000001}', "", "  "]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    tx, rejects = parse_transactions(df)
+    assert with_event_time(tx).count() == 1
+    reasons = sorted(r.reason for r in rejects.collect())
+    assert reasons.count("out_of_range") >= 6 and len(reasons) == 8

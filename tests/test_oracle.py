@@ -4,6 +4,8 @@ Batch queries at sf0.01; streaming queries (each a full availableNow run)
 at sf0.001 to keep the suite quick (the driver checks them at sf0.01).
 """
 
+import re
+
 import pytest
 
 from conftest import SF001, SF01
@@ -13,12 +15,14 @@ import __spark_entry__ as entry
 
 QUERIES = entry.queries()
 SQL = entry.oracle_sql()
-BATCH = [n for n in QUERIES if not n.startswith("stream_")]
+# The training-data queries have tests of their own, where their package is present.
+OWN = [n for n in QUERIES if not re.match(r"op\d+_|pipeline$", n)]
+BATCH = [n for n in OWN if not n.startswith("stream_")]
 STREAM = [n for n in QUERIES if n.startswith("stream_")]
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(OWN) <= set(SQL) <= set(QUERIES)
 
 
 @pytest.fixture(scope="module")
