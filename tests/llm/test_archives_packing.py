@@ -15,6 +15,7 @@ from cardstream.llm import warc as W
 from cardstream.llm.queries import tokenizer_path
 from cardstream.session import scratch_path
 from llm_cases import EDGE, SF001
+from llm_cases import docs, edge, empty, plain  # noqa: F401 (fixtures)
 
 
 def brute_pages(pages):

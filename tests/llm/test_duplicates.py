@@ -15,6 +15,7 @@ from cardstream.llm import order_minhash as O
 from cardstream.llm import simhash as H
 from cardstream.llm import suffix_dedup as S
 from llm_cases import DOC_DDL, EDGE, PROSE
+from llm_cases import docs, edge, empty, plain  # noqa: F401 (fixtures)
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 

@@ -10,6 +10,7 @@ from cardstream.llm import language_id as L
 from cardstream.llm import licenses as C
 from cardstream.llm import quality_rules as Q
 from llm_cases import EDGE
+from llm_cases import docs, edge, empty, plain  # noqa: F401 (fixtures)
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 

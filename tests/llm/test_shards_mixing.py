@@ -13,6 +13,7 @@ from cardstream.llm import mixing as M
 from cardstream.llm import queries as R
 from cardstream.llm import sharding as S
 from llm_cases import EDGE, SF001
+from llm_cases import docs, edge, empty, plain  # noqa: F401 (fixtures)
 
 
 def least_capacity(sizes, shards):
