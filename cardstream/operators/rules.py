@@ -57,11 +57,10 @@ def window_count_rule(tx: DataFrame, key: str, entity_type: str, rule: str,
         fired = (tx.groupBy(window, F.col(key).alias("_key")).agg(
             F.count(F.lit(1)).alias("n_in_window"), F.max(order[0]).alias("_last"))
             .where(F.col("n_in_window") > F.lit(threshold))
-            .select(F.col("window").alias("_window"), "_key", "n_in_window",
-                    F.coalesce("_last", F.raise_error(F.lit(f"{order[0]} is null"))).alias("_last")))
+            .select(F.col("window").alias("_window"), "_key", "n_in_window", "_last"))
         rows = tx.withColumn("_at", window)
         agg = (rows.join(fired, (F.col("_at") == F.col("_window")) & (F.col(key) == F.col("_key"))
-                         & (F.col(order[0]) == F.col("_last")))
+                         & F.col(order[0]).eqNullSafe(F.col("_last")))
                .groupBy(F.col("_window").alias("window"), F.col("_key").alias("entity_id"))
                .agg(F.first("n_in_window").alias("n_in_window"), last))
     return window_alerts_from_counts(agg, entity_type, rule, threshold,

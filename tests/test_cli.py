@@ -70,7 +70,7 @@ def test_windowed_rules_refuse_rows_without_order(spark):
     from cardstream.plans.catalog import load_tx
     from pyspark.sql import functions as F
     tx = load_tx(spark, SF001).withColumn("arrival_seq", F.when(F.col("event_time") < 0, F.col("event_time")))
-    with pytest.raises(Exception, match="arrival_seq is null"):
+    with pytest.raises(Exception, match="order column is null"):
         rules.high_frequency_alerts(tx).collect()
 
 
