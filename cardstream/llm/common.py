@@ -48,6 +48,8 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
                 out = fn(batch)
                 if out is not None:
                     yield out
+        del batches
+        pa.default_memory_pool().release_unused()       # the worker lives on, idle
     return df.mapInArrow(run, schema)
 
 

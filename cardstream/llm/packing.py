@@ -40,7 +40,7 @@ SEQUENCE = 4096
 WINDOW = 256               # sequences packed together
 LINEAR, QUADRATIC = 1.0, 1.0 / 2048
 CLOSING_ID = 2
-CACHE_WORDS = 800_000      # words whose ids a worker remembers
+CACHE_WORDS = 250_000      # words, and as many runs, whose ids a worker remembers
 
 PIECE_DDL = ("start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
              "sequence_id bigint, offset bigint, padded bigint")
@@ -79,11 +79,11 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.model = self.tokenizer.model
         self.byte_chars = _byte_chars()
+        self.runs: dict[str, tuple[int, ...]] = {}
         self.clear()
 
     def clear(self) -> None:
         self.words: dict[bytes, int] = {}
-        self.runs: dict[str, tuple[int, ...]] = {}
         self.flat = np.zeros(1 << 16, np.uint32)
         self.used = 0
         self.starts = np.zeros(1 << 14, np.int64)
@@ -122,6 +122,8 @@ class WordIds:
     def ids(self, text: bytes) -> np.ndarray:
         if len(self.words) > CACHE_WORDS or self.used > 16 * CACHE_WORDS:
             self.clear()
+        if len(self.runs) > CACHE_WORDS:
+            self.runs = {}
         plain = b"\xcc" not in text and b"\xcd" not in text and b"<|" not in text
         words = (text.lower() if plain else text).split()
         if not words:
