@@ -18,17 +18,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+_SCRATCH: list[str] = []
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Cut lineage: write ``df`` under ``spark.checkpoint.dir`` and read it back.
 
-    The folder is shared by all executors, so a lost executor loses nothing.
+    The folder is shared by all executors, so a lost executor loses nothing. Unless
+    it is to be kept, ``release`` may remove it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    if not keep:
+        _SCRATCH.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Remove the tables that ``written`` made so far, for callers that have stored all
+    results which read them."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def text_bytes(col: str = "text") -> Column:
     """The text's UTF-8 bytes; null counts as empty."""
     return F.coalesce(F.col(col).cast("binary"), F.lit(b""))

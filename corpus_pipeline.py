@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each
 stage's rows as Parquet in the shared folder and rereads them for the next. All but
-the last return the columns of ``documents``.
+the last return the columns of ``documents``. A stage reads a written table, so it
+first removes the scratch tables of the stages before it.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardstream.llm import mixing, packing, quality_rules, simhash, suffix_dedup
-from cardstream.llm.common import table, written
+from cardstream.llm.common import release, table, written
 from cardstream.llm.queries import tokenizer_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -24,22 +25,26 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group."""
+    release(spark)
     return simhash.near_duplicates_removed(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that repeat; ``n_chars`` follows the text."""
+    release(spark)
     out = suffix_dedup.repeats_removed(docs)
     return out.withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn to the tempered source, language and topic weights."""
+    release(spark)
     return mixing.mixed(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of up to 4096 tokens."""
+    release(spark)
     return packing.pack_documents(docs, tokenizer_path())
 
 
@@ -59,5 +64,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents").select(*COLUMNS)
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}", keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)

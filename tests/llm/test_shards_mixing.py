@@ -174,7 +174,7 @@ def test_pipeline_stages(spark, docs):
     now, names = docs, docs.columns
     seen = [docs.count()]
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        now = corpus_pipeline.written(stage(spark, now, SF001), "t-stage")
+        now = corpus_pipeline.written(stage(spark, now, SF001), "t-stage", keep=True)
         assert now.columns == names, name
         seen.append(now.count())
     assert seen[0] > seen[1] > seen[2] == seen[3] >= seen[4] > 0
@@ -186,7 +186,7 @@ def test_pipeline_edges(spark, edge, empty):
     for rows in (edge.select(*corpus_pipeline.COLUMNS), empty):
         now = rows
         for name, stage in corpus_pipeline.STAGES:
-            now = corpus_pipeline.written(stage(spark, now, ""), "t-edge")
+            now = corpus_pipeline.written(stage(spark, now, ""), "t-edge", keep=True)
             now.count()
 
 
