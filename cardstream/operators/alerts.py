@@ -12,7 +12,7 @@ from cardstream.operators.rules import (
     merchant_burst_alerts,
 )
 from cardstream.operators.sequence import DEFAULT_HOT_ROWS, hot_key_tables
-from cardstream.schema import ALERT_COLUMNS, resolve_order
+from cardstream.schema import ALERT_COLUMNS
 
 
 def union_alerts(*streams: DataFrame) -> DataFrame:
@@ -30,8 +30,7 @@ def all_rule_alerts(tx: DataFrame, windowed_tx: DataFrame | None = None,
     hot = {"customer_id": None, "card_id": None}
     if hot_rows is not None:
         # One pass finds the hot customers and the hot cards for rules 2 and 3.
-        order = resolve_order(tx, order_by)
-        hot = hot_key_tables(tx, ["customer_id", "card_id"], order[0], hot_rows)
+        hot = hot_key_tables(tx, ["customer_id", "card_id"], hot_rows)
     return union_alerts(
         high_frequency_alerts(wtx, order_by=order_by),
         high_amount_alerts(tx, order_by=order_by, hot_rows=hot_rows,

@@ -38,7 +38,10 @@ def with_watermark_before(df: DataFrame, order_by: Sequence[str] | None = None,
     """
     order = resolve_order(df, order_by)
     require_numeric_order(df, order)
-    bucket = F.floor(F.col(order[0]) / F.lit(bucket_width)).cast("long")
+    # a row without a position has no watermark: refuse it instead of misplacing it
+    position = F.coalesce(F.col(order[0]), F.raise_error(
+        F.lit("order column is null: pass order_by, or number the lines")).cast(df.schema[order[0]].dataType))
+    bucket = F.floor(position / F.lit(bucket_width)).cast("long")
     b = df.withColumn("_bucket", bucket)
     # Bucket maxima: one row per bucket (rows / bucket_width of them, e.g.
     # 10^6 rows for 10^12 input rows). The prefix max over this small table is
@@ -52,8 +55,9 @@ def with_watermark_before(df: DataFrame, order_by: Sequence[str] | None = None,
         Window.partitionBy("_bucket").orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, -1))
     out = (b.withColumn("_local", local)
-           # Bounded: one row per bucket of bucket_width arrival positions.
-           .join(F.broadcast(carries), on="_bucket", how="left"))
+           # The window has dealt the rows by bucket already: a join by bucket moves the
+           # carries alone, and adaptive execution broadcasts them if measured small.
+           .join(carries, on="_bucket", how="left"))
     before = F.greatest(F.col("_carry"), F.col("_local"))
     if carry_ms is not None:
         before = F.greatest(before, F.lit(int(carry_ms)).cast("long"))

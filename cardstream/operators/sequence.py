@@ -5,12 +5,13 @@ arrival order. A plain ``Window.partitionBy(key)`` sends each key to one task,
 so a key holding a third of the data would become one giant task. Here keys
 with more than ``hot_rows`` rows take a second, exact path:
 
-1. per-key stats ``(n, lo, hi)`` of the first order column; keys with
-   ``n > hot_rows`` are *hot*. There are fewer than ``rows / hot_rows`` of
-   them; the table is cached and broadcast up to MAX_BROADCAST_KEYS;
-2. a hot key's rows are cut into ranges of the order column about 16 times
-   smaller than a block; per range counts (a small table) give each range its
-   starting rank, so every hot row gets its exact rank in its key;
+1. keys with more than ``hot_rows`` rows are *hot*. There are fewer than
+   ``rows / hot_rows`` of them; their table is written down and broadcast up to
+   MAX_BROADCAST_KEYS;
+2. hot keys' rows are range-partitioned by key and all order columns. Spark cuts the
+   ranges by sampled counts, so gaps and ties in an order column crowd no range;
+   per range counts (a small table) give each range its starting rank, so every
+   hot row gets its exact rank in its key;
 3. ranks are cut into blocks of ``block`` rows, and the last ``lookback``
    rows of each block are copied into the next block as *halo* rows;
 4. the caller's window runs over ``(key, block)``: every real row sees all of
@@ -29,11 +30,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cardstream.session import scratch_path
 
 # Rows per key above which a key is split (≈ a comfortable task at scale).
 DEFAULT_HOT_ROWS = 4_000_000
-# Range chunks per block of ranked rows (finer chunks absorb uneven keys).
-CHUNKS_PER_BLOCK = 16
+# Ranges per block of ranked rows.
+RANGES_PER_BLOCK = 4
 # Hot-key tables up to this many keys are broadcast (always < rows/hot_rows).
 MAX_BROADCAST_KEYS = 1_000_000
 
@@ -41,44 +43,55 @@ FrameFn = Callable[[DataFrame, Sequence[Column | str], Sequence[str]], DataFrame
 
 
 def require_numeric_order(df: DataFrame, order_cols: Sequence[str]) -> None:
-    """Ranges and buckets are cut on the first order column: it must be a
-    number (an arrival position or an epoch time)."""
+    """Buckets are cut on the first order column: it must be a number (an
+    arrival position or an epoch time)."""
     dtype = df.schema[order_cols[0]].dataType
     if not isinstance(dtype, T.NumericType):
         raise ValueError(f"first order column {order_cols[0]!r} must be numeric, "
                          f"not {dtype.simpleString()}")
 
-_HELPERS = ("_n", "_lo", "_hi", "_sub", "_nsub", "_start", "_lrn", "_rn",
-            "_copy", "_block", "_halo")
 
+_HELPERS = ("_sub", "_start", "_lrn", "_rn", "_copy", "_block", "_halo")
 
-HotKeys = tuple  # (DataFrame of hot keys with _n/_lo/_hi, number of hot keys)
 
+HotKeys = tuple  # (DataFrame of hot keys with their rows _n, number of hot keys)
 
-def hot_key_tables(df: DataFrame, keys: Sequence[str], order_col: str,
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def hot_key_tables(df: DataFrame, keys: Sequence[str],
                    hot_rows: int = DEFAULT_HOT_ROWS) -> dict[str, HotKeys]:
     """Hot keys of several key columns in one pass (grouping sets).
 
-    One aggregate over ``(key1), (key2), …`` reads the data once for all
-    keys; the small result is cached, and one tiny job counts it per key.
+    One aggregate over ``(key1), (key2), …`` reads the key columns once; the
+    small result is written down, and one tiny job counts it per key.
     """
     keys = list(keys)
-    require_numeric_order(df, [order_col])
-    rc = F.col(order_col)
-    agg = (df.groupingSets([[k] for k in keys], *keys)
-           .agg(F.count(F.lit(1)).alias("_n"), F.min(rc).alias("_lo"),
-                F.max(rc).alias("_hi"), F.grouping_id().alias("_gid"))
-           .where(F.col("_n") > F.lit(int(hot_rows))).cache())
+    agg = _written(df.groupingSets([[k] for k in keys], *keys)
+                   .agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid"))
+                   .where(F.col("_n") > F.lit(int(hot_rows))), "hot-keys")
     counts = {r["_gid"]: r["count"] for r in agg.groupBy("_gid").count().collect()}
     out = {}
     for i, k in enumerate(keys):
         # grouping_id has a 1 bit for every key column not grouped in the set
         gid = sum(1 << (len(keys) - 1 - j) for j in range(len(keys)) if j != i)
-        out[k] = (agg.where(F.col("_gid") == gid).select(k, "_n", "_lo", "_hi"),
+        out[k] = (agg.where(F.col("_gid") == gid).select(k, "_n"),
                   counts.get(gid, 0))
     return out
 
 
+def deal_by_range(df: DataFrame, by: Sequence[str], rows: int, per_range: int) -> DataFrame:
+    """``df`` (of ``rows`` rows) with ``_sub``, its range of about ``per_range`` rows in the
+    order of ``by``. Written down, so that every later step sees the same ranges."""
+    ranges = max(1, -(-int(rows) // int(per_range)))
+    return _written(df.repartitionByRange(ranges, *by).withColumn("_sub", F.spark_partition_id()),
+                    "hot-rows")
+
+
 def keyed_frames(df: DataFrame, key: str, order_cols: Sequence[str],
                  lookback: int, frame_fn: FrameFn,
                  hot_rows: int | None = DEFAULT_HOT_ROWS,
@@ -96,16 +109,12 @@ def keyed_frames(df: DataFrame, key: str, order_cols: Sequence[str],
                          "stateful processors")
     if hot_rows is None:
         return frame_fn(df, [key], order_cols)
-    require_numeric_order(df, order_cols)
     block = max(int(hot_rows), lookback + 1)
-    rc = F.col(order_cols[0])
 
     if hot_keys is None:
-        # One job over (key, order column). The hot-key table is small (fewer
-        # than total_rows / hot_rows keys can exceed hot_rows); it is cached
-        # by the count, so the choice and the joins read it without another
-        # pass (a lost block is recomputed from its short lineage).
-        hot_keys = hot_key_tables(df, [key], order_cols[0], hot_rows)[key]
+        # One job over the key column. The table is small: fewer than
+        # total_rows / hot_rows keys can exceed hot_rows.
+        hot_keys = hot_key_tables(df, [key], hot_rows)[key]
     stats, n_hot = hot_keys
     if n_hot == 0:
         return frame_fn(df, [key], order_cols)
@@ -114,15 +123,9 @@ def keyed_frames(df: DataFrame, key: str, order_cols: Sequence[str],
     cold = df.join(hot.select(key), on=key, how="left_anti")
     cold_out = frame_fn(cold, [key], order_cols)
 
-    # Range chunks ~16x smaller than a block: a key whose rows crowd into a
-    # short stretch of arrival order still yields chunks of bounded size.
-    chunk = max(lookback + 1, block // CHUNKS_PER_BLOCK)
-    nsub = F.ceil(F.col("_n") / F.lit(chunk)).cast("long")
-    span = (F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double")
-    sub = F.least(
-        nsub - 1,
-        F.floor((rc - F.col("_lo")).cast("double") / span * nsub).cast("long"))
-    hot_rows_df = df.join(hot, on=key, how="inner").withColumn("_sub", sub)
+    hot_rows_df = deal_by_range(
+        df.join(hot.select(key), on=key, how="left_semi"), [key, *order_cols],
+        stats.agg(F.sum("_n")).first()[0], max(lookback + 1, block // RANGES_PER_BLOCK))
 
     starts = (hot_rows_df.groupBy(key, "_sub").agg(F.count(F.lit(1)).alias("_c"))
               .withColumn("_start", F.coalesce(F.sum("_c").over(

@@ -25,11 +25,11 @@ from cardstream.operators.scoring import score_alerts
 from cardstream.operators.sequence import DEFAULT_HOT_ROWS
 from cardstream.schema import (
     FIVE_MINUTE_WINDOW_MS, MINUTE_ALLOWED_LATENESS_MS, MINUTE_WINDOW_MS,
-    RULE_WINDOW_MINUTES,
+    RULE_HIGH_AMOUNT, RULE_IMPOSSIBLE_TRAVEL, RULE_WINDOW_MINUTES,
 )
 from cardstream.session import ensure_streaming_conf, scratch_path, stream_partitions
 from cardstream.sources.json_lines import parse_lines, tx_columns
-from cardstream.streaming.exact import ExactWindowsBatchWriter
+from cardstream.streaming.exact import ExactWindowsBatchWriter, read_exact_windows
 from cardstream.streaming.late import LateSplitBatchWriter
 from cardstream.streaming.processors import (
     stream_high_amount_alerts, stream_impossible_travel_alerts,
@@ -169,6 +169,8 @@ def start_streaming_job(spark: SparkSession, source: str | DataFrame, out_root:
     * ``late_transactions``: exact late split per micro-batch;
     * ``rejects``: undecodable lines.
 
+    ``max_files_per_trigger`` bounds the batches read from a drop folder; the other
+    queries read what bronze has committed, always in whole batches.
     ``state_partitions`` (default: the cluster's default parallelism) fixes
     the shuffle/state partitions of the new queries. With an ``availableNow``
     trigger the bronze query finishes before the others start.
@@ -195,10 +197,9 @@ def start_streaming_job(spark: SparkSession, source: str | DataFrame, out_root:
                 queries["bronze"].awaitTermination()
 
             def decoded():
-                reader = spark.readStream.schema(raw.schema)
-                if max_files_per_trigger:
-                    reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-                return reader.parquet(f"{out}/bronze")
+                # whole bronze batches: a limit on files would cut a batch in file order,
+                # which is not arrival order
+                return spark.readStream.schema(raw.schema).parquet(f"{out}/bronze")
         else:
             def decoded():
                 return lines_of()
@@ -208,6 +209,24 @@ def start_streaming_job(spark: SparkSession, source: str | DataFrame, out_root:
     return queries
 
 
+def exact_scored_alerts(spark: SparkSession, exact_out: str, ordered: DataFrame,
+                        risky_merchants: DataFrame, blacklisted_countries: DataFrame) -> DataFrame:
+    """Scored alerts of a stream with the reference's late-row dropping: the windowed
+    rules' alerts from the exact windows in ``exact_out``, and the ``ordered`` rules' alerts."""
+    exact = read_exact_windows(spark, exact_out)
+    return score_alerts(union_alerts(exact["high_frequency_alerts"], exact["merchant_burst_alerts"], ordered),
+                        risky_merchants, blacklisted_countries)
+
+
+def read_job_alerts(spark: SparkSession, out_root: str, risky_merchants: DataFrame,
+                    blacklisted_countries: DataFrame) -> DataFrame:
+    """``exact_scored_alerts`` of a streaming job's output folder."""
+    out = out_root.rstrip("/")
+    alerts = spark.read.option("basePath", f"{out}/alerts").parquet(f"{out}/alerts/batch_id=*")
+    ordered = alerts.where(F.col("rule").isin(RULE_HIGH_AMOUNT, RULE_IMPOSSIBLE_TRAVEL))
+    return exact_scored_alerts(spark, f"{out}/exact", ordered, risky_merchants, blacklisted_countries)
+
+
 def _start_all(decoded, out, ck, risky_merchants, blacklisted_countries,
                delay, minute_delay, trigger, with_seq=True) -> dict[str, StreamingQuery]:
     queries: dict[str, StreamingQuery] = {}

@@ -3,8 +3,8 @@
 Each one turns the ``events`` table into JSON-line files in arrival order (the
 drop folder a producer would fill), runs the streaming form of the operator
 over it with ``availableNow`` and several micro-batches, and reads the sink
-back. Windowed streams use a watermark delay longer than the fixture's
-largest disorder (120 s), so they must equal the batch results over all rows;
+back. Windowed streams use a watermark delay as long as the table's largest
+disorder, as measured, so they must equal the batch results over all rows;
 the stateful rules, the late split and the scored union equal their batch
 twins whatever the micro-batch cut.
 """
@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from cardstream.operators import metrics, rules
 from cardstream.operators.alerts import union_alerts
 from cardstream.operators.scoring import score_alerts
-from cardstream.plans.catalog import TX_COLUMNS, damaged_lines, default_refs
+from cardstream.operators.late import with_watermark_before
+from cardstream.plans.catalog import TX_COLUMNS, damaged_lines, default_refs, load_tx
+from cardstream.plans.job import exact_scored_alerts
 from cardstream.plans.oracle import BATCH_SQL
 from cardstream.schema import (
     MINUTE_ALLOWED_LATENESS_MS, MINUTE_WINDOW_MS, flatten_alerts,
@@ -38,10 +40,10 @@ from cardstream.streaming.source import (
     write_lines_folder,
 )
 
-# Micro-batches per registered stream query (one file per trigger).
-STREAM_FILES = 6
-# Longer than the fixture's disorder: no row is dropped natively.
-STREAM_DELAY = "10 minutes"
+# Drop files (one per micro-batch): several even of a small table, and of a large one as
+# many as keep a file near this many rows.
+MIN_STREAM_FILES = 6
+ROWS_PER_STREAM_FILE = 5_000_000
 AVAILABLE_NOW = {"availableNow": True}
 
 
@@ -50,16 +52,29 @@ AVAILABLE_NOW = {"availableNow": True}
 ROWS_PER_STATE_PARTITION = 5_000
 
 
+def stream_files(spark: SparkSession, sf_dir: str) -> int:
+    rows = read_events(spark, sf_dir).count()        # parquet footer count
+    return max(MIN_STREAM_FILES, -(-rows // ROWS_PER_STREAM_FILE))
+
+
+def stream_delay(spark: SparkSession, sf_dir: str) -> str:
+    """The watermark delay that drops no row of the table: the longest that an event time
+    lies behind one that arrived before it."""
+    marked = with_watermark_before(load_tx(spark, sf_dir), delay_ms=0)
+    lag = marked.agg(F.max(F.col("wm_before") - F.col("event_time"))).first()[0]
+    return f"{max(lag or 0, 0) + 1} milliseconds"
+
+
 def state_partitions_for(spark: SparkSession, sf_dir: str) -> int:
     rows = read_events(spark, sf_dir).count()        # parquet footer count
-    per_batch = max(1, rows // STREAM_FILES)
+    per_batch = max(1, rows // stream_files(spark, sf_dir))
     n = -(-per_batch // ROWS_PER_STATE_PARTITION)
     return max(2, min(spark.sparkContext.defaultParallelism, n))
 
 
 def _drop(spark: SparkSession, sf_dir: str, root: str) -> str:
     tx = fixture_transactions(spark, sf_dir)
-    return write_drop_folder(spark, tx, f"{root}/in", STREAM_FILES)
+    return write_drop_folder(spark, tx, f"{root}/in", stream_files(spark, sf_dir))
 
 
 def run_append(spark: SparkSession, sf_dir: str, name: str,
@@ -68,7 +83,7 @@ def run_append(spark: SparkSession, sf_dir: str, name: str,
     ensure_streaming_conf(spark)
     root = scratch_path(spark, name)
     drop = _drop(spark, sf_dir, root)
-    tx = watermarked_transactions(decoded_stream(spark, drop), STREAM_DELAY)
+    tx = watermarked_transactions(decoded_stream(spark, drop), stream_delay(spark, sf_dir))
     result = build(tx)
     with stream_partitions(spark, state_partitions_for(spark, sf_dir)):
         q = append_sink(result, f"{root}/out", f"{root}/ckpt", "parquet", AVAILABLE_NOW)
@@ -142,7 +157,7 @@ def s_minute_totals_upsert(spark, sf_dir):
     ensure_streaming_conf(spark)
     root = scratch_path(spark, "stream_minute_upsert")
     drop = _drop(spark, sf_dir, root)
-    tx = watermarked_transactions(decoded_stream(spark, drop), STREAM_DELAY)
+    tx = watermarked_transactions(decoded_stream(spark, drop), stream_delay(spark, sf_dir))
     totals = metrics.minute_totals(tx)
     with stream_partitions(spark, state_partitions_for(spark, sf_dir)):
         q = upsert_sink(totals, f"{root}/out", f"{root}/ckpt", AVAILABLE_NOW)
@@ -154,7 +169,7 @@ def s_rejects(spark, sf_dir):
     """Undecodable lines of a damaged feed, kept aside by the stream."""
     root = scratch_path(spark, "stream_rejects")
     lines = damaged_lines(fixture_transactions(spark, sf_dir))
-    drop = write_lines_folder(spark, lines, f"{root}/in", STREAM_FILES)
+    drop = write_lines_folder(spark, lines, f"{root}/in", stream_files(spark, sf_dir))
     rejects = stream_rejects(decoded_stream(spark, drop))
     with stream_partitions(spark, state_partitions_for(spark, sf_dir)):
         q = append_sink(rejects, f"{root}/out", f"{root}/ckpt", "parquet", AVAILABLE_NOW)
@@ -177,6 +192,25 @@ def run_exact_windows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return flatten_alerts(out) if "tx" in out.columns else out
 
 
+def s_scored_alerts_ontime(spark, sf_dir):
+    """The job's alerts with exact late-row dropping: windowed rules from the exact
+    windows, ordered rules over every row."""
+    ensure_streaming_conf(spark)
+    root = scratch_path(spark, "stream_scored_ontime")
+    drop = _drop(spark, sf_dir, root)
+    tx = decoded_stream(spark, drop).where(F.col("_kind") == "tx").select(*TX_COLUMNS)
+    ordered = union_alerts(stream_high_amount_alerts(tx), stream_impossible_travel_alerts(tx))
+    with stream_partitions(spark, state_partitions_for(spark, sf_dir)):
+        started = [
+            append_sink(ordered, f"{root}/ordered", f"{root}/ckpt-ordered", "parquet", AVAILABLE_NOW),
+            (tx.writeStream.option("checkpointLocation", f"{root}/ckpt-exact")
+             .foreachBatch(ExactWindowsBatchWriter(f"{root}/exact")).trigger(**AVAILABLE_NOW).start())]
+    for q in started:
+        q.awaitTermination()
+    rows = spark.read.schema(ordered.schema).parquet(f"{root}/ordered")
+    return flatten_alerts(exact_scored_alerts(spark, f"{root}/exact", rows, *default_refs(spark)))
+
+
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_minute_totals": s_minute_totals,
     "stream_category_average": s_category_average,
@@ -199,6 +233,7 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         lambda spark, sf_dir: run_exact_windows(spark, sf_dir, "high_frequency_alerts"),
     "stream_merchant_burst_alerts_ontime":
         lambda spark, sf_dir: run_exact_windows(spark, sf_dir, "merchant_burst_alerts"),
+    "stream_scored_alerts_ontime": s_scored_alerts_ontime,
 }
 
 _TWIN = {"stream_minute_totals_upsert": "minute_totals"}

@@ -56,30 +56,36 @@ class ExactWindowsBatchWriter:
         log = _Log(batch.sparkSession, f"{self.out}/_carry")
         carry = log.latest_before(batch_id)
         batch = batch.persist()
-        order = resolve_order(batch, self.order_by)
-        marked = with_watermark_before(batch, order, self.delay_ms, carry_ms=carry)
-        marked = marked.persist()
-        seq = order[0]
-        parts = []
-        for name, (window_ms, lateness_ms, key) in WINDOWED.items():
-            on = (marked.where(~late_flag(window_ms, lateness_ms))
-                  .withColumn("window_end", tumbling_end_ms("event_time", window_ms)))
-            keys = ["window_end"] + ([key] if key else [])
-            aggs = [F.count(F.lit(1)).alias("n"),
-                    F.sum("amount_cents").alias("cents")]
-            if name in ("high_frequency", "merchant_burst"):
-                aggs += [F.max_by(tx_struct(), F.col(seq)).alias("tx"),
-                         F.max(seq).alias("last_seq")]
-            parts.append(on.groupBy(*keys).agg(*aggs).withColumn("output", F.lit(name)))
-        # All five partial tables in one write (one job per micro-batch).
-        merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-        (merged.write.mode("overwrite").partitionBy("output")
-         .parquet(f"{self.out}/partials/batch_id={batch_id}"))
-        bmax = batch.agg(F.max("event_time")).first()[0]
+        try:
+            self._write(batch, batch_id, carry)
+            bmax = batch.agg(F.max("event_time")).first()[0]
+        finally:
+            batch.unpersist()
         values = [v for v in (carry, bmax) if v is not None]
         log.write(batch_id, max(values) if values else None)
-        marked.unpersist()
-        batch.unpersist()
+
+    def _write(self, batch: DataFrame, batch_id: int, carry: int | None) -> None:
+        order = resolve_order(batch, self.order_by)
+        seq = order[0]
+        marked = with_watermark_before(batch, order, self.delay_ms, carry_ms=carry).persist()
+        try:
+            parts = []
+            for name, (window_ms, lateness_ms, key) in WINDOWED.items():
+                on = (marked.where(~late_flag(window_ms, lateness_ms))
+                      .withColumn("window_end", tumbling_end_ms("event_time", window_ms)))
+                keys = ["window_end"] + ([key] if key else [])
+                aggs = [F.count(F.lit(1)).alias("n"),
+                        F.sum("amount_cents").alias("cents")]
+                if name in ("high_frequency", "merchant_burst"):
+                    aggs += [F.max_by(tx_struct(), F.col(seq)).alias("tx"),
+                             F.max(seq).alias("last_seq")]
+                parts.append(on.groupBy(*keys).agg(*aggs).withColumn("output", F.lit(name)))
+            # All five partial tables in one write (one job per micro-batch).
+            merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+            (merged.write.mode("overwrite").partitionBy("output")
+             .parquet(f"{self.out}/partials/batch_id={batch_id}"))
+        finally:
+            marked.unpersist()
 
 
 def _partials(spark: SparkSession, out: str, name: str) -> DataFrame:

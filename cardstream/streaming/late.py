@@ -80,14 +80,16 @@ class LateSplitBatchWriter:
         log = _Log(batch.sparkSession, f"{self.out}/_carry")
         carry = log.latest_before(batch_id)
         batch = batch.persist()
-        on_time, late = split_late(batch, self.window_ms, self.lateness_ms,
-                                   self.delay_ms, self.order_by, carry_ms=carry)
-        late.write.mode("overwrite").format(self.fmt).save(
-            f"{self.out}/late/batch_id={batch_id}")
-        if self.write_on_time:
-            on_time.write.mode("overwrite").format(self.fmt).save(
-                f"{self.out}/on_time/batch_id={batch_id}")
-        bmax = batch.agg(F.max("event_time")).first()[0]
+        try:
+            on_time, late = split_late(batch, self.window_ms, self.lateness_ms,
+                                       self.delay_ms, self.order_by, carry_ms=carry)
+            late.write.mode("overwrite").format(self.fmt).save(
+                f"{self.out}/late/batch_id={batch_id}")
+            if self.write_on_time:
+                on_time.write.mode("overwrite").format(self.fmt).save(
+                    f"{self.out}/on_time/batch_id={batch_id}")
+            bmax = batch.agg(F.max("event_time")).first()[0]
+        finally:
+            batch.unpersist()
         values = [v for v in (carry, bmax) if v is not None]
         log.write(batch_id, max(values) if values else None)
-        batch.unpersist()

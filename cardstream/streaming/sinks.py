@@ -55,12 +55,15 @@ class UpsertBatchWriter:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if self.line is not None:
             batch = batch.persist()
-        (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").format(self.fmt_name)
-         .save(f"{self.path}/batch={batch_id}"))
-        if self.line is not None:
-            write_lines(batch, self.line(), f"{self.path}_lines/batch={batch_id}")
-            batch.unpersist()
+        try:
+            (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+             .write.mode("overwrite").format(self.fmt_name)
+             .save(f"{self.path}/batch={batch_id}"))
+            if self.line is not None:
+                write_lines(batch, self.line(), f"{self.path}_lines/batch={batch_id}")
+        finally:
+            if self.line is not None:
+                batch.unpersist()
 
 
 class RowsAndLinesBatchWriter:
@@ -73,9 +76,11 @@ class RowsAndLinesBatchWriter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
-        write_lines(batch, self.line(), f"{self.path}_lines/batch_id={batch_id}")
-        batch.unpersist()
+        try:
+            batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+            write_lines(batch, self.line(), f"{self.path}_lines/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
 
 def write_lines(df: DataFrame, line: Column, path: str) -> None:

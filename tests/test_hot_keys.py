@@ -42,7 +42,7 @@ def test_split_on_unskewed_fixture(spark):
 
 
 def test_split_with_event_time_order(spark):
-    """Fallback order (event_time, transaction_id): ties stay in one range chunk."""
+    """Fallback order (event_time, transaction_id)."""
     tx = _skewed(spark).drop("arrival_seq")
     order = ["event_time", "transaction_id"]
     for rule, hot in ((rules.high_amount_alerts, 150), (rules.impossible_travel_alerts, 40)):
@@ -55,8 +55,21 @@ def test_one_pass_detection_for_both_rules(spark):
     from cardstream.operators.alerts import all_rule_alerts
     from cardstream.operators.sequence import hot_key_tables
     tx = _skewed(spark)
-    hot = hot_key_tables(tx, ["customer_id", "card_id"], "arrival_seq", 150)
+    hot = hot_key_tables(tx, ["customer_id", "card_id"], 150)
     assert [r.customer_id for r in hot["customer_id"][0].collect()] == ["cust-hot"]
     assert hot["customer_id"][1] == 1
     assert "card-hot" in [r.card_id for r in hot["card_id"][0].collect()]
     assert _rows(all_rule_alerts(tx, hot_rows=150)) == _rows(all_rule_alerts(tx, hot_rows=None))
+
+
+def test_ranges_hold_despite_gaps_and_ties(spark):
+    """One row at time 0 far from the rest, and half of all rows at one time."""
+    from cardstream.operators.sequence import deal_by_range
+    start = 1_700_000_000_000
+    rows = spark.range(40_000).select(
+        F.lit("k").alias("key"), F.col("id").cast("string").alias("transaction_id"),
+        F.when(F.col("id") == 0, 0).when(F.col("id") % 2 == 0, start)
+        .otherwise(F.lit(start) + F.col("id") * 60_000).alias("event_time"))
+    dealt = deal_by_range(rows, ["key", "event_time", "transaction_id"], 40_000, 2_500)
+    sizes = [r["count"] for r in dealt.groupBy("_sub").count().collect()]
+    assert len(sizes) >= 14 and max(sizes) < 10_000 and sum(sizes) == 40_000

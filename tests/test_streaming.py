@@ -120,6 +120,32 @@ def test_streaming_job_end_to_end(spark, tx, bronze):
     assert ", Average Amount: " in cat_lines.first().value
 
 
+def test_bronze_batch_of_many_files_keeps_arrival_order(spark, tx):
+    """One drop file read in many splits makes many bronze files; no limit cuts them apart."""
+    from cardstream.plans.catalog import default_refs, q_scored_alerts_ontime
+    from cardstream.plans.job import read_job_alerts, start_streaming_job
+    from cardstream.streaming.exact import read_exact_windows
+    root = scratch_path(spark, "t-bronze")
+    drop = write_drop_folder(spark, tx, f"{root}/in", 1)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        queries = start_streaming_job(spark, drop, f"{root}/out", trigger={"availableNow": True},
+                                      max_files_per_trigger=1)
+        for q in queries.values():
+            q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    files = spark.read.parquet(f"{root}/out/bronze").select(F.input_file_name()).distinct().count()
+    assert files >= 8
+    assert spark.read.parquet(f"{root}/out/late/late/batch_id=*").count() == 7
+    assert read_exact_windows(spark, f"{root}/out/exact")["minute_totals"].count() == 60
+    alerts = flatten_alerts(read_job_alerts(spark, f"{root}/out", *default_refs(spark)))
+    want = q_scored_alerts_ontime(spark, SF001)
+    assert _rows(alerts.select(*want.columns)) == _rows(want)
+    assert alerts.count() == 73
+
+
 def test_batch_job_reference_semantics(spark, tx):
     """The batch job reproduces the reference's outputs (FIXTURES counts)."""
     from cardstream.plans.job import run_batch_job
