@@ -69,7 +69,9 @@ def openness(name: str) -> float:
 
 
 def tokens_of(expression: str) -> list[str]:
-    return expression.replace("(", " ( ").replace(")", " ) ").split()
+    """Words and brackets; punctuation around a word is no part of an identifier."""
+    words = (w.strip(",;:.\"'") for w in expression.replace("(", " ( ").replace(")", " ) ").split())
+    return [w for w in words if w]
 
 
 def to_postfix(tokens: list[str]) -> list[str]:

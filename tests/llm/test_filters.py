@@ -149,3 +149,8 @@ def test_license_edges(spark, edge, empty):
     r = next(r for r in rows if r.doc_id == 8)
     assert r.base_labels == "" and r.labels == "apache-2,bsd-3-clause,mit" and r.score == 1.0 and r.openness == 1.0
     assert C.license_scan(empty).count() == 0
+
+
+def test_punctuation_after_an_identifier_is_not_in_its_label():
+    found = licenses.scan(b"SPDX-License-Identifier: MIT, see the file\n# SPDX-License-Identifier: (MPL-2.0; or GPL-3.0)")
+    assert found["labels"] == "gpl-3.0,mit,mpl-2.0"
