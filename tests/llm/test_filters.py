@@ -152,5 +152,5 @@ def test_license_edges(spark, edge, empty):
 
 
 def test_punctuation_after_an_identifier_is_not_in_its_label():
-    found = licenses.scan(b"SPDX-License-Identifier: MIT, see the file\n# SPDX-License-Identifier: (MPL-2.0; or GPL-3.0)")
+    found = C.scan(b"SPDX-License-Identifier: MIT, see the file\n# SPDX-License-Identifier: (MPL-2.0; or GPL-3.0)")
     assert found["labels"] == "gpl-3.0,mit,mpl-2.0"
