@@ -14,6 +14,27 @@ def amount_cents(amount: Column | str = "amount") -> Column:
     return F.round(amount * 100).cast("bigint")
 
 
+# An amount is its whole cents and a rest in thousand-millionths of a unit of money. The
+# rest of a two-decimal amount is exactly 0; sums of both are exact and order independent.
+RESTS_PER_CENT = 10_000_000
+
+
+def amount_rest() -> Column:
+    """What ``amount`` has beyond ``amount_cents``: at most half a cent either way."""
+    beyond = F.col("amount") - F.col("amount_cents").cast("double") / F.lit(100.0)
+    return F.floor(beyond * F.lit(1e9) + F.lit(0.5)).cast("bigint")
+
+
+def exact_cents(cents: Column, rest: Column) -> Column:
+    """Cents with their fraction, of an amount or of sums of both parts."""
+    return cents.cast("double") + rest.cast("double") / F.lit(float(RESTS_PER_CENT))
+
+
+def whole_cents(cents: Column, rest: Column) -> Column:
+    """The nearest whole cent of a total: rounded once, after summing."""
+    return cents + F.floor(rest.cast("double") / F.lit(float(RESTS_PER_CENT)) + F.lit(0.5)).cast("bigint")
+
+
 def with_event_time(df: DataFrame) -> DataFrame:
     """Add ``ts`` (event time as TIMESTAMP) and ``amount_cents``."""
     out = df.withColumn("ts", F.timestamp_millis(F.col("event_time")))

@@ -1,7 +1,7 @@
 """Tumbling-window metrics (MET-1..3, AGG-1, AGG-2).
 
-Aggregation is in integer cents, so totals and averages do not depend on the
-order in which partial sums meet. Every function runs unchanged on a batch
+Cents and the rest beyond them are summed as integers, so totals and averages keep
+sub-cent amounts and do not depend on the order in which partial sums meet. Every function runs unchanged on a batch
 DataFrame and on a watermarked streaming DataFrame.
 """
 
@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardstream.functions import format as fmt
-from cardstream.functions.timecols import tumbling_end_ms, window_end_ms
+from cardstream.functions.timecols import (
+    amount_rest, exact_cents, tumbling_end_ms, whole_cents, window_end_ms,
+)
 from cardstream.schema import (
     FIVE_MINUTE_WINDOW_MS, MINUTE_ALLOWED_LATENESS_MS, MINUTE_WINDOW_MS,
     OUT_OF_ORDERNESS_MS, resolve_order,
@@ -24,30 +26,45 @@ def _window(window_ms: int):
     return F.window("ts", f"{int(window_ms)} milliseconds").alias("window")
 
 
-def _money(total_cents):
-    return (total_cents.cast("double") / F.lit(100.0))
+def amount_sums(prefix: str = "_") -> list[Column]:
+    """Sums of the two parts of the amounts, ``<prefix>cents`` and ``<prefix>rest``."""
+    return [F.sum("amount_cents").alias(f"{prefix}cents"), F.sum(amount_rest()).alias(f"{prefix}rest")]
+
+
+def _money(cents, rest):
+    return exact_cents(cents, rest) / F.lit(100.0)
+
+
+def with_totals(agg: DataFrame) -> DataFrame:
+    """``total_cents`` and ``total_amount`` in place of ``_cents`` and ``_rest``."""
+    cents, rest = F.col("_cents"), F.col("_rest")
+    return (agg.withColumn("total_cents", whole_cents(cents, rest))
+            .withColumn("total_amount", _money(cents, rest)).drop("_cents", "_rest"))
+
+
+def with_average(agg: DataFrame) -> DataFrame:
+    """``sum_cents`` and ``avg_amount`` (over ``n_tx``) in place of ``_cents`` and ``_rest``."""
+    cents, rest = F.col("_cents"), F.col("_rest")
+    avg = F.when(F.col("n_tx") == 0, F.lit(0.0)).otherwise(
+        exact_cents(cents, rest) / (F.col("n_tx") * 100).cast("double"))
+    return (agg.withColumn("sum_cents", whole_cents(cents, rest))
+            .withColumn("avg_amount", avg).drop("_cents", "_rest"))
 
 
 def minute_totals(tx: DataFrame, window_ms: int = MINUTE_WINDOW_MS) -> DataFrame:
     """Metric 1: global count and total amount per window (not keyed)."""
     agg = tx.groupBy(_window(window_ms)).agg(
-        F.count(F.lit(1)).alias("n_tx"),
-        F.sum("amount_cents").alias("total_cents"))
-    return agg.select(
-        window_end_ms().alias("window_end"), "n_tx", "total_cents",
-        _money(F.col("total_cents")).alias("total_amount"))
+        F.count(F.lit(1)).alias("n_tx"), *amount_sums())
+    return with_totals(agg.select(
+        window_end_ms().alias("window_end"), "n_tx", "_cents", "_rest"))
 
 
 def category_average(tx: DataFrame, window_ms: int = FIVE_MINUTE_WINDOW_MS) -> DataFrame:
     """Metric 2: average amount per merchant category per window."""
     agg = tx.groupBy(_window(window_ms), "merchant_category").agg(
-        F.count(F.lit(1)).alias("n_tx"),
-        F.sum("amount_cents").alias("sum_cents"))
-    avg = F.when(F.col("n_tx") == 0, F.lit(0.0)).otherwise(
-        F.col("sum_cents").cast("double") / (F.col("n_tx") * 100).cast("double"))
-    return agg.select(
-        window_end_ms().alias("window_end"), "merchant_category", "n_tx",
-        "sum_cents", avg.alias("avg_amount"))
+        F.count(F.lit(1)).alias("n_tx"), *amount_sums())
+    return with_average(agg.select(
+        window_end_ms().alias("window_end"), "merchant_category", "n_tx", "_cents", "_rest"))
 
 
 def country_counts(tx: DataFrame, window_ms: int = FIVE_MINUTE_WINDOW_MS) -> DataFrame:
@@ -83,12 +100,14 @@ def minute_total_emissions(tx: DataFrame, window_ms: int = MINUTE_WINDOW_MS,
     marked = with_watermark_before(tx, order, delay_ms, width)
     on = (marked.where(~late_flag(window_ms, lateness_ms))
           .withColumn("window_end", tumbling_end_ms("event_time", window_ms))
+          .withColumn("_amount_rest", amount_rest())
           .withColumn("_pre", F.col("wm_before").isNull()
                       | (F.col("wm_before") < F.col("window_end"))))
     pre = F.col("_pre")
     base = on.groupBy("window_end").agg(
         F.count(F.when(pre, F.lit(1))).alias("_n_pre"),
         F.coalesce(F.sum(F.when(pre, F.col("amount_cents"))), F.lit(0)).alias("_c_pre"),
+        F.coalesce(F.sum(F.when(pre, F.col("_amount_rest"))), F.lit(0)).alias("_r_pre"),
         F.max("event_time").alias("_wmax"))
     # Late rows never raise the maximum, so the max over on-time rows is the
     # max of the input. One row per window: a small, bounded window.
@@ -97,15 +116,14 @@ def minute_total_emissions(tx: DataFrame, window_ms: int = MINUTE_WINDOW_MS,
         "window_end", F.lit(0).cast("long").alias("emission"),
         F.when(F.col("window_end") + F.lit(delay_ms) <= F.col("_gmax"), F.lit("watermark"))
         .otherwise(F.lit("end_of_input")).alias("fired_by"),
-        F.col("_n_pre").alias("n_tx"), F.col("_c_pre").alias("total_cents"))
+        F.col("_n_pre").alias("n_tx"), F.col("_c_pre").alias("_cents"), F.col("_r_pre").alias("_rest"))
     running = keyed_running_totals(on.where(~pre), "window_end", order,
-                                   "amount_cents", width)
-    again = running.join(base.select("window_end", "_n_pre", "_c_pre"),
+                                   ["amount_cents", "_amount_rest"], width)
+    again = running.join(base.select("window_end", "_n_pre", "_c_pre", "_r_pre"),
                          on="window_end", how="inner").select(
         "window_end", F.col("_run_n").cast("long").alias("emission"),
         F.lit("late_row").alias("fired_by"),
         (F.col("_n_pre") + F.col("_run_n")).alias("n_tx"),
-        (F.col("_c_pre") + F.col("_run_sum")).alias("total_cents"))
-    out = first.unionByName(again).withColumn(
-        "total_amount", F.col("total_cents").cast("double") / F.lit(100.0))
-    return out.withColumn("line", fmt.minute_line())
+        (F.col("_c_pre") + F.col("_run_amount_cents")).alias("_cents"),
+        (F.col("_r_pre") + F.col("_run__amount_rest")).alias("_rest"))
+    return with_totals(first.unionByName(again)).withColumn("line", fmt.minute_line())

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardstream.functions import format as fmt
+from cardstream.functions.timecols import amount_rest, exact_cents
 from cardstream.operators.sequence import DEFAULT_HOT_ROWS, HotKeys, keyed_frames
 from cardstream.schema import (
     HIGH_AMOUNT_HISTORY, HIGH_AMOUNT_MIN_AMOUNT, HIGH_AMOUNT_MIN_HISTORY,
@@ -99,19 +100,16 @@ def merchant_burst_alerts(tx: DataFrame, threshold: int = MERCHANT_BURST_MAX_TX,
                              MERCHANT_BURST_NORMAL_LOAD, order_by)
 
 
-def high_amount_condition(amount_cents, hist_n, hist_sum_cents,
-                          min_history=HIGH_AMOUNT_MIN_HISTORY,
+def high_amount_condition(hist_n, hist_cents, min_history=HIGH_AMOUNT_MIN_HISTORY,
                           ratio=HIGH_AMOUNT_RATIO, min_amount=HIGH_AMOUNT_MIN_AMOUNT):
-    """``amount >= ratio * avg(history)`` and ``amount > min_amount``, in cents."""
-    min_cents = int(round(min_amount * 100))
-    return ((hist_n >= F.lit(min_history))
-            & ((amount_cents * hist_n).cast("double")
-               >= F.lit(float(ratio)) * hist_sum_cents.cast("double"))
-            & (amount_cents > F.lit(min_cents)))
-
+    """``amount >= ratio * avg(history)`` and ``amount > min_amount``.
 
-def hist_average(hist_sum_cents, hist_n):
-    return hist_sum_cents.cast("double") / (hist_n * 100).cast("double")
+    The average is compared as a sum (``hist_cents``, with its fraction), so that amounts
+    of whole cents are compared without a division."""
+    return ((hist_n >= F.lit(min_history))
+            & (exact_cents(F.col("amount_cents") * hist_n, amount_rest() * hist_n)
+               >= F.lit(float(ratio)) * hist_cents)
+            & (F.col("amount") > F.lit(float(min_amount))))
 
 
 def high_amount_alerts(tx: DataFrame, history: int = HIGH_AMOUNT_HISTORY,
@@ -131,10 +129,12 @@ def high_amount_alerts(tx: DataFrame, history: int = HIGH_AMOUNT_HISTORY,
     def frames(df, part, order_cols):
         w = Window.partitionBy(*part).orderBy(*order_cols).rowsBetween(-history, -1)
         return (df.withColumn("hist_n", F.count("amount_cents").over(w))
-                .withColumn("hist_sum_cents", F.sum("amount_cents").over(w)))
+                .withColumn("hist_sum_cents", F.sum("amount_cents").over(w))
+                .withColumn("hist_sum_rest", F.sum("_amount_rest").over(w)))
 
     cols = list(dict.fromkeys([*order, *TX_FIELDS, "amount_cents"]))
-    hist = keyed_frames(tx.select(*cols), "customer_id", order, history, frames,
+    rows = tx.select(*cols, amount_rest().alias("_amount_rest"))
+    hist = keyed_frames(rows, "customer_id", order, history, frames,
                         hot_rows, hot_keys)
     return high_amount_from_history(hist, min_history, ratio, min_amount)
 
@@ -143,11 +143,12 @@ def high_amount_from_history(hist: DataFrame,
                              min_history: int = HIGH_AMOUNT_MIN_HISTORY,
                              ratio: float = HIGH_AMOUNT_RATIO,
                              min_amount: float = HIGH_AMOUNT_MIN_AMOUNT) -> DataFrame:
-    """Alerts from rows carrying ``hist_n`` / ``hist_sum_cents`` (batch or stream)."""
+    """Alerts from rows carrying ``hist_n`` and the two parts of the history's sum,
+    ``hist_sum_cents`` and ``hist_sum_rest`` (batch or stream)."""
+    hist_cents = exact_cents(F.col("hist_sum_cents"), F.col("hist_sum_rest"))
     hits = hist.where(high_amount_condition(
-        F.col("amount_cents"), F.col("hist_n"), F.col("hist_sum_cents"),
-        min_history, ratio, min_amount))
-    avg = hist_average(F.col("hist_sum_cents"), F.col("hist_n"))
+        F.col("hist_n"), hist_cents, min_history, ratio, min_amount))
+    avg = hist_cents / (F.col("hist_n") * 100).cast("double")
     text = F.format_string(fmt.HIGH_AMOUNT_TEXT, F.col("amount"), avg)
     return hits.select(*alert_frame(
         F.col("event_time"), "Customer", F.col("customer_id"), RULE_HIGH_AMOUNT,

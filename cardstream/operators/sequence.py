@@ -151,9 +151,9 @@ def keyed_frames(df: DataFrame, key: str, order_cols: Sequence[str],
 
 
 def keyed_running_totals(df: DataFrame, key: str, order_cols: Sequence[str],
-                         value: str, bucket_width: int) -> DataFrame:
-    """Running count and sum of ``value`` per key in order (current row
-    included): ``_run_n`` and ``_run_sum``.
+                         values: Sequence[str], bucket_width: int) -> DataFrame:
+    """Running count and sums of ``values`` per key in order (current row
+    included): ``_run_n`` and ``_run_<value>``.
 
     Skew-safe without a per-key window over all of a key's rows: rows are
     bucketed by ranges of the first order column; per (key, bucket) totals
@@ -164,17 +164,17 @@ def keyed_running_totals(df: DataFrame, key: str, order_cols: Sequence[str],
     require_numeric_order(df, order_cols)
     b = df.withColumn("_rbk", F.floor(F.col(order_cols[0]) / F.lit(bucket_width)).cast("long"))
     per_bucket = b.groupBy(key, "_rbk").agg(F.count(F.lit(1)).alias("_bn"),
-                                           F.sum(value).alias("_bs"))
+                                           *[F.sum(v).alias(f"_b_{v}") for v in values])
     before = Window.partitionBy(key).orderBy("_rbk").rowsBetween(Window.unboundedPreceding, -1)
     carry = per_bucket.select(
         key, "_rbk",
         F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_cn"),
-        F.coalesce(F.sum("_bs").over(before), F.lit(0)).alias("_cs"))
+        *[F.coalesce(F.sum(f"_b_{v}").over(before), F.lit(0)).alias(f"_c_{v}") for v in values])
     local = (Window.partitionBy(key, "_rbk").orderBy(*order_cols)
              .rowsBetween(Window.unboundedPreceding, 0))
-    out = (b.withColumn("_ln", F.count(F.lit(1)).over(local))
-           .withColumn("_ls", F.sum(value).over(local))
+    sums = {f"_l_{v}": F.sum(v).over(local) for v in values}
+    out = (b.withColumns({"_ln": F.count(F.lit(1)).over(local), **sums})
            .join(carry, on=[key, "_rbk"], how="inner"))
     return (out.withColumn("_run_n", F.col("_cn") + F.col("_ln"))
-            .withColumn("_run_sum", F.col("_cs") + F.col("_ls"))
-            .drop("_rbk", "_ln", "_ls", "_cn", "_cs"))
+            .withColumns({f"_run_{v}": F.col(f"_c_{v}") + F.col(f"_l_{v}") for v in values})
+            .drop("_rbk", "_ln", "_cn", *sums, *[f"_c_{v}" for v in values]))

@@ -36,8 +36,8 @@ RULE_WINDOW_MS = RULE_WINDOW_MINUTES * 60_000
 REJECT_EVERY = 50
 
 
-def load_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_event_time(fixture_transactions(spark, sf_dir))
+def load_tx(spark: SparkSession, sf_dir: str, sub_cent: bool = False) -> DataFrame:
+    return with_event_time(fixture_transactions(spark, sf_dir, sub_cent))
 
 
 def on_time(tx: DataFrame, window_ms: int, lateness_ms: int = 0) -> DataFrame:
@@ -181,6 +181,23 @@ def q_metric_lines(spark, sf_dir):
     return metric_lines(load_tx(spark, sf_dir))
 
 
+# --- amounts of more than two decimals ----------------------------------------
+def q_minute_totals_subcent(spark, sf_dir):
+    return metrics.minute_totals(load_tx(spark, sf_dir, sub_cent=True))
+
+
+def q_category_average_subcent(spark, sf_dir):
+    return metrics.category_average(load_tx(spark, sf_dir, sub_cent=True))
+
+
+def q_minute_total_emissions_subcent(spark, sf_dir):
+    return metrics.minute_total_emissions(load_tx(spark, sf_dir, sub_cent=True))
+
+
+def q_high_amount_alerts_subcent(spark, sf_dir):
+    return flatten_alerts(rules.high_amount_alerts(load_tx(spark, sf_dir, sub_cent=True)))
+
+
 # --- rules ------------------------------------------------------------------
 def q_high_frequency_alerts(spark, sf_dir):
     return flatten_alerts(rules.high_frequency_alerts(load_tx(spark, sf_dir)))
@@ -258,6 +275,10 @@ BATCH_QUERIES: dict[str, Query] = {
     "country_counts": q_country_counts,
     "country_counts_ontime": q_country_counts_ontime,
     "metric_lines": q_metric_lines,
+    "minute_totals_subcent": q_minute_totals_subcent,
+    "category_average_subcent": q_category_average_subcent,
+    "minute_total_emissions_subcent": q_minute_total_emissions_subcent,
+    "high_amount_alerts_subcent": q_high_amount_alerts_subcent,
     "high_frequency_alerts": q_high_frequency_alerts,
     "high_frequency_alerts_ontime": q_high_frequency_alerts_ontime,
     "high_amount_alerts": q_high_amount_alerts,

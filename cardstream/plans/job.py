@@ -29,6 +29,7 @@ from cardstream.schema import (
 )
 from cardstream.session import ensure_streaming_conf, scratch_path, stream_partitions
 from cardstream.sources.json_lines import parse_lines, tx_columns
+from cardstream.streaming.emissions import MinuteEmissionsWriter
 from cardstream.streaming.exact import ExactWindowsBatchWriter, read_exact_windows
 from cardstream.streaming.late import LateSplitBatchWriter
 from cardstream.streaming.processors import (
@@ -164,8 +165,10 @@ def start_streaming_job(spark: SparkSession, source: str | DataFrame, out_root:
       text lines;
     * ``alerts``: four rules, union, scoring; parquet rows + text lines;
     * ``exact_windows``: the windowed outputs with the reference's exact
-      late-row dropping, as per-batch partial aggregates (read them with
+      late-row dropping, closed windows and the open ones (read them with
       ``streaming.exact.read_exact_windows(spark, out + "/exact")``);
+    * ``minute_emissions``: metric 1 as printed, a line when a window fires and one per row
+      accepted afterwards (``streaming.emissions.read_minute_emissions``);
     * ``late_transactions``: exact late split per micro-batch;
     * ``rejects``: undecodable lines.
 
@@ -254,6 +257,9 @@ def _start_all(decoded, out, ck, risky_merchants, blacklisted_countries,
     w = (raw_tx.writeStream.option("checkpointLocation", f"{ck}/exact")
          .foreachBatch(ExactWindowsBatchWriter(f"{out}/exact")))
     queries["exact_windows"] = (w.trigger(**trigger) if trigger else w).start()
+    w = (raw_tx.writeStream.option("checkpointLocation", f"{ck}/minute_emissions")
+         .foreachBatch(MinuteEmissionsWriter(f"{out}/minute_emissions")))
+    queries["minute_emissions"] = (w.trigger(**trigger) if trigger else w).start()
     w = (raw_tx.writeStream.option("checkpointLocation", f"{ck}/late")
          .foreachBatch(LateSplitBatchWriter(f"{out}/late", MINUTE_WINDOW_MS,
                                             MINUTE_ALLOWED_LATENESS_MS)))

@@ -280,3 +280,65 @@ BATCH_SQL: dict[str, str] = {
         f"FROM scored_l"),
 }
 BATCH_SQL["job_scored_alerts"] = BATCH_SQL["scored_alerts_ontime"]
+
+# --- amounts of more than two decimals ---------------------------------------------
+# Sums are of whole cents and of what amounts have beyond them, in 1e-7 cents.
+SUBCENT_TX = TX_CTE.replace("round(value * 10, 2) AS amount", "value * 100 / 7 AS amount").replace(
+    "\ntx AS (SELECT *,", "\ntx1 AS (SELECT *,").replace("FROM tx0)", """FROM tx0),
+tx AS (SELECT *, CAST(floor((amount - CAST(amount_cents AS DOUBLE) / 100) * 1e9 + 0.5) AS BIGINT) AS rest
+       FROM tx1)""")
+
+
+def _exact(cents: str, rest: str) -> str:
+    return f"(CAST({cents} AS DOUBLE) + CAST({rest} AS DOUBLE) / 1e7)"
+
+
+def _whole(cents: str, rest: str) -> str:
+    return f"CAST({cents} + floor(CAST({rest} AS DOUBLE) / 1e7 + 0.5) AS BIGINT)"
+
+
+def _double_text(x: str) -> str:
+    return money_text(f"CAST(round(({x}) * 100) AS BIGINT)")
+
+
+_C, _R = "sum(amount_cents)", "sum(rest)"
+_WITH_SUBCENT = f"WITH {SUBCENT_TX}"
+BATCH_SQL["minute_totals_subcent"] = f"""{_WITH_SUBCENT}
+SELECT {wend(60000)} AS window_end, count(*) AS n_tx, {_whole(_C, _R)} AS total_cents,
+  {_exact(_C, _R)} / 100 AS total_amount
+FROM tx GROUP BY 1"""
+BATCH_SQL["category_average_subcent"] = f"""{_WITH_SUBCENT}
+SELECT {wend(300000)} AS window_end, merchant_category, count(*) AS n_tx,
+  {_whole(_C, _R)} AS sum_cents, {_exact(_C, _R)} / CAST(count(*) * 100 AS DOUBLE) AS avg_amount
+FROM tx GROUP BY 1, 2"""
+BATCH_SQL["high_amount_alerts_subcent"] = f"""{_WITH_SUBCENT},
+h AS (SELECT *, count(*) OVER w AS hist_n, {_exact("sum(amount_cents) OVER w", "sum(rest) OVER w")} AS hist
+      FROM tx WINDOW w AS (PARTITION BY customer_id ORDER BY arrival_seq
+                           ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)),
+a AS (SELECT *, hist / CAST(hist_n * 100 AS DOUBLE) AS hist_avg FROM h
+      WHERE hist_n >= 5 AND amount > 500
+        AND {_exact("(amount_cents * hist_n)", "(rest * hist_n)")} >= 3 * hist)
+SELECT event_time AS timestamp, 'Customer' AS entity_type, customer_id AS entity_id,
+  'High Amount' AS rule,
+  'Amount: ' || {_double_text("amount")} || ', Historical Avg: ' || {_double_text("hist_avg")}
+    AS decision_values,
+  {_null("BIGINT")} AS n_in_window, hist_n, hist_avg, {_null("VARCHAR")} AS prev_country,
+  {_null("BIGINT")} AS gap_minutes, {", ".join(f"{c} AS tx_{c}" for c in TX_FIELDS)}
+FROM a"""
+BATCH_SQL["minute_total_emissions_subcent"] = f"""{_WITH_SUBCENT}, {ONTIME_1M},
+r AS (SELECT *, {wend(60000)} AS window_end,
+        (wm_before IS NULL OR wm_before < {wend(60000)}) AS pre FROM ot1),
+g AS (SELECT max(event_time) AS gmax FROM r),
+run AS (SELECT *, count(*) OVER w AS n, sum(amount_cents) OVER w AS c, sum(rest) OVER w AS q,
+          count(*) FILTER (WHERE NOT pre) OVER w AS again,
+          row_number() OVER (PARTITION BY window_end, pre ORDER BY arrival_seq DESC) AS from_end
+        FROM r WINDOW w AS (PARTITION BY window_end ORDER BY pre DESC, arrival_seq
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+em AS (SELECT window_end, CAST(again AS BIGINT) AS emission,
+         CASE WHEN NOT pre THEN 'late_row' WHEN window_end + 5000 <= gmax THEN 'watermark'
+              ELSE 'end_of_input' END AS fired_by,
+         n AS n_tx, {_whole("c", "q")} AS total_cents, {_exact("c", "q")} / 100 AS total_amount
+       FROM run, g WHERE NOT pre OR from_end = 1)
+SELECT *, 'Timestamp: ' || CAST(window_end AS VARCHAR) || ', Total Transactions: '
+  || CAST(n_tx AS VARCHAR) || ', Total Amount: ' || {_double_text("total_amount")} AS line
+FROM em"""

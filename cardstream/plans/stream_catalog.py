@@ -24,11 +24,12 @@ from cardstream.plans.catalog import TX_COLUMNS, damaged_lines, default_refs, lo
 from cardstream.plans.job import exact_scored_alerts
 from cardstream.plans.oracle import BATCH_SQL
 from cardstream.schema import (
-    MINUTE_ALLOWED_LATENESS_MS, MINUTE_WINDOW_MS, flatten_alerts,
+    MINUTE_ALLOWED_LATENESS_MS, MINUTE_WINDOW_MS, TX_FIELDS, flatten_alerts,
 )
 from cardstream.session import ensure_streaming_conf, scratch_path, stream_partitions
 from cardstream.sources.fixtures import fixture_transactions, read_events
 from cardstream.functions import format as fmt
+from cardstream.streaming.emissions import MinuteEmissionsWriter, read_minute_emissions
 from cardstream.streaming.exact import ExactWindowsBatchWriter, read_exact_windows
 from cardstream.streaming.late import LateSplitBatchWriter
 from cardstream.streaming.processors import (
@@ -211,6 +212,34 @@ def s_scored_alerts_ontime(spark, sf_dir):
     return flatten_alerts(exact_scored_alerts(spark, f"{root}/exact", rows, *default_refs(spark)))
 
 
+def s_minute_total_emissions(spark, sf_dir):
+    """Metric 1 as printed by a stream: firing lines and re-emissions, then those of the end."""
+    ensure_streaming_conf(spark)
+    root = scratch_path(spark, "stream_minute_emissions")
+    drop = _drop(spark, sf_dir, root)
+    tx = decoded_stream(spark, drop).where(F.col("_kind") == "tx").select(*TX_COLUMNS)
+    with stream_partitions(spark, state_partitions_for(spark, sf_dir)):
+        q = (tx.writeStream.option("checkpointLocation", f"{root}/ckpt")
+             .foreachBatch(MinuteEmissionsWriter(f"{root}/out")).trigger(**AVAILABLE_NOW).start())
+    q.awaitTermination()
+    return read_minute_emissions(spark, f"{root}/out", ended=True)
+
+
+def s_high_amount_alerts_subcent(spark, sf_dir):
+    """Rule 2 over lines whose amounts have all their decimals."""
+    ensure_streaming_conf(spark)
+    root = scratch_path(spark, "stream_high_amount_subcent")
+    tx = fixture_transactions(spark, sf_dir, sub_cent=True)
+    lines = tx.select("arrival_seq", F.to_json(F.struct(*TX_FIELDS, "arrival_seq")).alias("value"))
+    drop = write_lines_folder(spark, lines, f"{root}/in", stream_files(spark, sf_dir))
+    rows = decoded_stream(spark, drop).where(F.col("_kind") == "tx").select(*TX_COLUMNS)
+    result = stream_high_amount_alerts(rows)
+    with stream_partitions(spark, state_partitions_for(spark, sf_dir)):
+        q = append_sink(result, f"{root}/out", f"{root}/ckpt", "parquet", AVAILABLE_NOW)
+    q.awaitTermination()
+    return flatten_alerts(spark.read.schema(result.schema).parquet(f"{root}/out"))
+
+
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_minute_totals": s_minute_totals,
     "stream_category_average": s_category_average,
@@ -223,6 +252,8 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_scored_alerts": s_scored_alerts,
     "stream_minute_totals_upsert": s_minute_totals_upsert,
     "stream_rejects": s_rejects,
+    "stream_minute_total_emissions": s_minute_total_emissions,
+    "stream_high_amount_alerts_subcent": s_high_amount_alerts_subcent,
     "stream_minute_totals_ontime":
         lambda spark, sf_dir: run_exact_windows(spark, sf_dir, "minute_totals"),
     "stream_category_average_ontime":

@@ -44,8 +44,9 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
 
 
-def transactions_from_events(events: DataFrame) -> DataFrame:
-    """Flat transactions (plus ``arrival_seq`` and ``amount_cents``)."""
+def transactions_from_events(events: DataFrame, sub_cent: bool = False) -> DataFrame:
+    """Flat transactions (plus ``arrival_seq`` and ``amount_cents``); of two decimals, or
+    with ``sub_cent`` sevenths of the value."""
     k = F.get_json_object("props", "$.k").cast("int")
     cardno = F.col("user_id") * 2 + F.col("event_id") % 2
     travel_shift = F.when((F.col("event_type") == "error") & (k < 10), 1).otherwise(0)
@@ -57,7 +58,8 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
         F.col("event_id") % LATE_EVERY == LATE_EVERY - 1,
         F.lit(LATE_BASE_MS) + (F.col("event_id") * LATE_MULTIPLIER) % LATE_SPREAD_MS,
     ).otherwise(0)
-    amount = F.round(F.col("value") * 10, 2)
+    value = F.col("value")
+    amount = value * 100 / F.lit(7.0) if sub_cent else F.round(value * 10, 2)
     return (
         events.select(
             F.col("event_id").alias("arrival_seq"),
@@ -79,5 +81,5 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def fixture_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transactions_from_events(read_events(spark, sf_dir))
+def fixture_transactions(spark: SparkSession, sf_dir: str, sub_cent: bool = False) -> DataFrame:
+    return transactions_from_events(read_events(spark, sf_dir), sub_cent)

@@ -4,13 +4,14 @@ Spark's native watermark keeps a superset of the rows the reference keeps
 (its late filter uses the previous micro-batch's watermark). This
 ``foreachBatch`` writer applies the exact per-row late rule instead: each
 micro-batch is split with the batch operator, seeded with the largest event
-time of earlier batches (the same carry log as the late-row writer), and only
-*partial aggregates* of the on-time rows are written, per micro-batch:
-counts and cent sums per window and key, plus the last-arrived transaction.
-Partials merge associatively (sums; ``max_by`` on arrival order), so
-:func:`read_exact_windows` gives exactly the on-time results of the batch
-form whatever the micro-batch cut. Writes are per ``batch_id`` and overwritten
-on replay; there is no state-store state to grow.
+time of earlier batches (the same carry log as the late-row writer), and its
+on-time rows become counts and amount sums per window and key, plus the last-arrived
+transaction. These merge associatively (sums; ``max_by`` on arrival order) with the table
+of open windows that the batch before wrote. Windows that the watermark has passed go to
+``closed`` and are final; the others go to this batch's table of ``open`` windows, which
+holds as many rows as windows and keys are open, whatever the stream's length.
+:func:`read_exact_windows` joins both, and gives exactly the on-time results of the batch
+form whatever the micro-batch cut. Writes are per ``batch_id`` and overwritten on replay.
 """
 
 from __future__ import annotations
@@ -20,15 +21,17 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardstream.functions.timecols import tumbling_end_ms
 from cardstream.operators.late import late_flag, with_watermark_before
+from cardstream.operators.metrics import amount_sums, with_average, with_totals
 from cardstream.operators.rules import window_alerts_from_counts
 from cardstream.schema import (
     FIVE_MINUTE_WINDOW_MS, HIGH_FREQUENCY_MAX_TX, MERCHANT_BURST_MAX_TX,
     MERCHANT_BURST_NORMAL_LOAD, MINUTE_ALLOWED_LATENESS_MS, MINUTE_WINDOW_MS,
     OUT_OF_ORDERNESS_MS, RULE_HIGH_FREQUENCY, RULE_MERCHANT_BURST,
-    RULE_WINDOW_MINUTES, resolve_order, tx_struct,
+    RULE_WINDOW_MINUTES, TX_STRUCT, resolve_order, tx_struct,
 )
 from cardstream.streaming.late import _Log
 
@@ -41,10 +44,17 @@ WINDOWED = {
     "high_frequency": (RULE_WINDOW_MS, 0, "card_id"),
     "merchant_burst": (RULE_WINDOW_MS, 0, "merchant_id"),
 }
+# A window of one output, with its key (none: null): what ``closed`` and ``open`` hold.
+WINDOWS = T.StructType([
+    T.StructField("output", T.StringType()), T.StructField("window_end", T.LongType()),
+    T.StructField("closes", T.LongType()), T.StructField("key", T.StringType()),
+    T.StructField("n", T.LongType()), T.StructField("cents", T.LongType()),
+    T.StructField("rest", T.LongType()), T.StructField("tx", TX_STRUCT),
+    T.StructField("last_seq", T.LongType())])
 
 
 class ExactWindowsBatchWriter:
-    """``foreachBatch`` function writing per-batch partial window aggregates."""
+    """``foreachBatch`` function writing the windows that each micro-batch closes."""
 
     def __init__(self, out_path: str, delay_ms: int = OUT_OF_ORDERNESS_MS,
                  order_by: Sequence[str] | None = None):
@@ -55,71 +65,83 @@ class ExactWindowsBatchWriter:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         log = _Log(batch.sparkSession, f"{self.out}/_carry")
         carry = log.latest_before(batch_id)
-        batch = batch.persist()
-        try:
-            self._write(batch, batch_id, carry)
-            bmax = batch.agg(F.max("event_time")).first()[0]
-        finally:
-            batch.unpersist()
-        values = [v for v in (carry, bmax) if v is not None]
-        log.write(batch_id, max(values) if values else None)
-
-    def _write(self, batch: DataFrame, batch_id: int, carry: int | None) -> None:
         order = resolve_order(batch, self.order_by)
-        seq = order[0]
         marked = with_watermark_before(batch, order, self.delay_ms, carry_ms=carry).persist()
         try:
-            parts = []
-            for name, (window_ms, lateness_ms, key) in WINDOWED.items():
-                on = (marked.where(~late_flag(window_ms, lateness_ms))
-                      .withColumn("window_end", tumbling_end_ms("event_time", window_ms)))
-                keys = ["window_end"] + ([key] if key else [])
-                aggs = [F.count(F.lit(1)).alias("n"),
-                        F.sum("amount_cents").alias("cents")]
-                if name in ("high_frequency", "merchant_burst"):
-                    aggs += [F.max_by(tx_struct(), F.col(seq)).alias("tx"),
-                             F.max(seq).alias("last_seq")]
-                parts.append(on.groupBy(*keys).agg(*aggs).withColumn("output", F.lit(name)))
-            # All five partial tables in one write (one job per micro-batch).
-            merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-            (merged.write.mode("overwrite").partitionBy("output")
-             .parquet(f"{self.out}/partials/batch_id={batch_id}"))
+            latest = marked.agg(F.max("event_time")).first()[0]
+            latest = max((v for v in (carry, latest) if v is not None), default=None)
+            self._write(marked, order[0], batch_id, latest)
         finally:
             marked.unpersist()
+        log.write(batch_id, latest)
+        # a replay of this batch reads the table before it; nothing reads older ones
+        log.drop(f"{self.out}/open/batch_id={batch_id - 2}")
+
+    def _write(self, marked: DataFrame, seq: str, batch_id: int, latest: int | None) -> None:
+        spark = marked.sparkSession
+        parts = []
+        for name, (window_ms, lateness_ms, key) in WINDOWED.items():
+            on = (marked.where(~late_flag(window_ms, lateness_ms))
+                  .withColumn("window_end", tumbling_end_ms("event_time", window_ms)))
+            keys = ["window_end"] + ([F.col(key).alias("key")] if key else [])
+            aggs = [F.count(F.lit(1)).alias("n"), *amount_sums("")]
+            if name in ("high_frequency", "merchant_burst"):
+                aggs += [F.max_by(tx_struct(), F.col(seq)).alias("tx"),
+                         F.max(seq).cast("bigint").alias("last_seq")]
+            parts.append(on.groupBy(*keys).agg(*aggs).withColumns({
+                "output": F.lit(name),
+                "closes": F.col("window_end") + F.lit(lateness_ms)}))
+        here = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        if batch_id:
+            here = here.unionByName(spark.read.schema(WINDOWS).parquet(
+                f"{self.out}/open/batch_id={batch_id - 1}"), allowMissingColumns=True)
+        merged = (here.groupBy("output", "window_end", "closes", "key").agg(
+            *[F.sum(c).alias(c) for c in ("n", "cents", "rest")],
+            F.max_by("tx", "last_seq").alias("tx"), F.max("last_seq").alias("last_seq"))
+            .select(*WINDOWS.fieldNames()).persist())
+        closed = F.lit(False) if latest is None else F.col("closes") <= F.lit(latest - self.delay_ms)
+        try:
+            # closed windows first: a reader takes those up to the newest open table's batch
+            for table, rows in (("closed", merged.where(closed)), ("open", merged.where(~closed))):
+                rows.write.mode("overwrite").parquet(f"{self.out}/{table}/batch_id={batch_id}")
+        finally:
+            merged.unpersist()
 
 
-def _partials(spark: SparkSession, out: str, name: str) -> DataFrame:
-    root = f"{out.rstrip('/')}/partials"
-    return (spark.read.option("basePath", root).parquet(f"{root}/batch_id=*")
-            .where(F.col("output") == name))
+def _windows(spark: SparkSession, out: str) -> DataFrame:
+    """Every window of the stream once: the closed ones, and those of the newest open table
+    (which, once a row came, is never empty: the window of the latest row is open)."""
+    root = out.rstrip("/")
+    schema = T.StructType([*WINDOWS.fields, T.StructField("batch_id", T.LongType())])
+    opened, closed = (spark.read.schema(schema).option("basePath", f"{root}/{t}").parquet(f"{root}/{t}")
+                      for t in ("open", "closed"))
+    last = opened.agg(F.max("batch_id")).first()[0]
+    last = -1 if last is None else last
+    return (opened.where(F.col("batch_id") == last)
+            .unionByName(closed.where(F.col("batch_id") <= last)).drop("batch_id"))
 
 
 def read_exact_windows(spark: SparkSession, out: str) -> dict[str, DataFrame]:
-    """Merged results: on-time metrics and the two windowed alert outputs."""
-    p = lambda n: _partials(spark, out, n)
-    minute = p("minute_totals").groupBy("window_end").agg(
-        F.sum("n").alias("n_tx"), F.sum("cents").alias("total_cents"))
-    category = p("category_average").groupBy("window_end", "merchant_category").agg(
-        F.sum("n").alias("n_tx"), F.sum("cents").alias("sum_cents"))
-    country = p("country_counts").groupBy("window_end", "country").agg(
-        F.sum("n").alias("n_tx"))
-
-    def alerts(name, key, entity, rule, threshold, suffix):
-        merged = p(name).groupBy("window_end", F.col(key).alias("entity_id")).agg(
-            F.sum("n").alias("n_in_window"), F.max_by("tx", "last_seq").alias("tx"))
-        return window_alerts_from_counts(merged, entity, rule, threshold,
+    """On-time metrics and the two windowed alert outputs."""
+    windows = _windows(spark, out)
+
+    def of(name, *cols):
+        return windows.where(F.col("output") == name).select("window_end", *cols)
+
+    n_tx, sums = F.col("n").alias("n_tx"), [F.col("cents").alias("_cents"), F.col("rest").alias("_rest")]
+
+    def alerts(name, entity, rule, threshold, suffix):
+        counts = of(name, F.col("key").alias("entity_id"), F.col("n").alias("n_in_window"), "tx")
+        return window_alerts_from_counts(counts, entity, rule, threshold,
                                          RULE_WINDOW_MINUTES, suffix)
 
     return {
-        "minute_totals": minute.withColumn(
-            "total_amount", F.col("total_cents").cast("double") / F.lit(100.0)),
-        "category_average": category.withColumn(
-            "avg_amount", F.col("sum_cents").cast("double")
-            / (F.col("n_tx") * 100).cast("double")),
-        "country_counts": country,
-        "high_frequency_alerts": alerts("high_frequency", "card_id", "Card",
-                                        RULE_HIGH_FREQUENCY, HIGH_FREQUENCY_MAX_TX, ""),
-        "merchant_burst_alerts": alerts("merchant_burst", "merchant_id", "Merchant",
-                                        RULE_MERCHANT_BURST, MERCHANT_BURST_MAX_TX,
-                                        MERCHANT_BURST_NORMAL_LOAD),
+        "minute_totals": with_totals(of("minute_totals", n_tx, *sums)),
+        "category_average": with_average(
+            of("category_average", F.col("key").alias("merchant_category"), n_tx, *sums)),
+        "country_counts": of("country_counts", F.col("key").alias("country"), n_tx),
+        "high_frequency_alerts": alerts("high_frequency", "Card", RULE_HIGH_FREQUENCY,
+                                        HIGH_FREQUENCY_MAX_TX, ""),
+        "merchant_burst_alerts": alerts("merchant_burst", "Merchant", RULE_MERCHANT_BURST,
+                                        MERCHANT_BURST_MAX_TX, MERCHANT_BURST_NORMAL_LOAD),
     }

@@ -55,6 +55,10 @@ class _Log:
         older = [i for i in ids if i < batch_id]
         return self.read(older[-1]) if older else None
 
+    def drop(self, path: str) -> None:
+        """Remove a folder that no batch will read again; one that is gone is no error."""
+        self.fs.delete(self.jvm.org.apache.hadoop.fs.Path(path), True)
+
     def write(self, batch_id: int, value):
         out = self.fs.create(self._p(batch_id), True)
         out.write(bytearray(json.dumps({"max_event_time": value}).encode()))

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from cardstream.functions.timecols import RESTS_PER_CENT
 from cardstream.operators.rules import high_amount_from_history, travel_from_previous
 from cardstream.schema import (
     HIGH_AMOUNT_HISTORY, HIGH_AMOUNT_MIN_AMOUNT, HIGH_AMOUNT_MIN_HISTORY,
@@ -32,16 +33,18 @@ HISTORY_OUT = T.StructType(_TX_OUT + [
     T.StructField("amount_cents", T.LongType()),
     T.StructField("hist_n", T.LongType()),
     T.StructField("hist_sum_cents", T.LongType()),
+    T.StructField("hist_sum_rest", T.LongType()),
 ])
 TRAVEL_OUT = T.StructType(_TX_OUT + [
     T.StructField("_has_prev", T.BooleanType()),
     T.StructField("prev_country", T.StringType()),
     T.StructField("prev_event_time", T.LongType()),
 ])
-HISTORY_TX = [f.name for f in HISTORY_OUT.fields][:-2]
+HISTORY_TX = [f.name for f in HISTORY_OUT.fields][:-3]
 TRAVEL_TX = [f.name for f in TRAVEL_OUT.fields][:-3]
 # State schemas are built from StructType objects (no JVM on the worker).
-HISTORY_STATE = T.StructType([T.StructField("amounts", T.ArrayType(T.LongType()))])
+HISTORY_STATE = T.StructType([T.StructField("cents", T.ArrayType(T.LongType())),
+                              T.StructField("rests", T.ArrayType(T.LongType()))])
 LOCATION_STATE = T.StructType([T.StructField("country", T.StringType()),
                                T.StructField("event_time", T.LongType())])
 
@@ -58,7 +61,7 @@ def _sorted(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
 
 
 class HighAmountProcessor(StatefulProcessor):
-    """Per customer: the last ``history`` amounts (cents) in arrival order.
+    """Per customer: the last ``history`` amounts (cents and rests) in arrival order.
 
     Each row is checked against the count and sum of the amounts that arrived
     before it (at most ``history``), then joins the list. Only rows meeting
@@ -74,7 +77,7 @@ class HighAmountProcessor(StatefulProcessor):
         self.history = int(history)
         self.min_history = int(min_history)
         self.ratio = float(ratio)
-        self.min_cents = int(round(min_amount * 100))
+        self.min_amount = float(min_amount)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("amounts", HISTORY_STATE)
@@ -82,24 +85,32 @@ class HighAmountProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows, self.order)
         stored = self.state.get()          # None when the key is new
-        prior = np.asarray((stored[0] or []) if stored is not None else [],
-                           dtype=np.int64)
-        new = pdf["amount_cents"].to_numpy(dtype=np.int64)
-        allv = np.concatenate([prior, new])
-        csum = np.concatenate([[0], np.cumsum(allv)])
-        pos = np.arange(len(prior), len(allv))          # index of each new row
+        cents0, rests0 = stored if stored is not None else ([], [])
+        amounts = pdf["amount"].to_numpy(dtype=np.float64)
+        cents = pdf["amount_cents"].to_numpy(dtype=np.int64)
+        # the same arithmetic as amount_rest() on the Spark side
+        rests = np.floor((amounts - cents / 100.0) * 1e9 + 0.5).astype(np.int64)
+        all_cents = np.concatenate([np.asarray(cents0, dtype=np.int64), cents])
+        all_rests = np.concatenate([np.asarray(rests0, dtype=np.int64), rests])
+        pos = np.arange(len(cents0), len(all_cents))    # index of each new row
         lo = np.maximum(pos - self.history, 0)
         hist_n = (pos - lo).astype(np.int64)
-        hist_sum = (csum[pos] - csum[lo]).astype(np.int64)
-        self.state.update((allv[-self.history:].tolist(),))
+
+        def before(values):
+            csum = np.concatenate([[0], np.cumsum(values)]).astype(np.int64)
+            return csum[pos] - csum[lo]
+
+        sum_cents, sum_rests = before(all_cents), before(all_rests)
+        self.state.update((all_cents[-self.history:].tolist(), all_rests[-self.history:].tolist()))
         fire = ((hist_n >= self.min_history)
-                & ((new * hist_n).astype(np.float64)
-                   >= self.ratio * hist_sum.astype(np.float64))
-                & (new > self.min_cents))
+                & ((cents * hist_n) + (rests * hist_n) / RESTS_PER_CENT
+                   >= self.ratio * (sum_cents + sum_rests / RESTS_PER_CENT))
+                & (amounts > self.min_amount))
         if fire.any():
             out = pdf.loc[fire, HISTORY_TX].copy()
             out["hist_n"] = hist_n[fire]
-            out["hist_sum_cents"] = hist_sum[fire]
+            out["hist_sum_cents"] = sum_cents[fire]
+            out["hist_sum_rest"] = sum_rests[fire]
             yield out
 
     def close(self) -> None:

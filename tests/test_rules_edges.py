@@ -116,3 +116,26 @@ def test_impossible_travel_late_row_becomes_reference(spark):
     ]
     out = rules.impossible_travel_alerts(make_tx(spark, rows)).collect()
     assert [a.tx.event_time for a in out] == [base - 3_600_000]
+
+
+def test_amounts_of_more_than_two_decimals(spark):
+    """Amounts are not rounded before they are compared, averaged or summed."""
+    cases = {"over": ([20.0] * 6, 500.004), "eq": ([20.0] * 6, 500.0),
+             "under3x": ([200.004] * 5, 600.011), "eq3x": ([200.004] * 5, 600.012)}
+    rows = [r for cust, (hist, last) in cases.items() for r in _amount_rows(cust, hist, last)]
+    rows = [dict(r, arrival_seq=i) for i, r in enumerate(rows)]
+    out = _ha(spark, rows)
+    assert set(out) == {"over", "eq3x"}
+    assert out["eq3x"].hist_avg == 200.004
+    assert out["over"].decision_values == "Amount: 500.00, Historical Avg: 20.00"
+
+
+def test_totals_of_amounts_below_a_cent(spark):
+    from cardstream.operators import metrics
+    tx = make_tx(spark, [dict(event_time=i, amount=0.004) for i in range(1000)]
+                 + [dict(event_time=60_000 + i, amount=-0.004) for i in range(3)])
+    first, second = metrics.minute_totals(tx).orderBy("window_end").collect()
+    assert (first.n_tx, first.total_cents, first.total_amount) == (1000, 400, 4.0)
+    assert (second.n_tx, second.total_cents, second.total_amount) == (3, -1, -0.012)
+    avg = metrics.category_average(tx).collect()
+    assert [round(r.avg_amount, 12) for r in avg] == [round(3.988 / 1003, 12)]

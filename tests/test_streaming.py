@@ -159,3 +159,41 @@ def test_batch_job_reference_semantics(spark, tx):
     assert levels == {"HIGH": 20, "MEDIUM": 53}
     assert out["minute_totals"].count() == 60
     assert out["alert_lines"].count() == 73
+
+
+@pytest.mark.parametrize("n_files", [1, 9])
+def test_minute_emissions_stream(spark, tx, n_files):
+    """Lines of the stream equal the batch replay, and none is printed before its window fires."""
+    from cardstream.operators.metrics import minute_total_emissions
+    from cardstream.streaming.emissions import MinuteEmissionsWriter, read_minute_emissions
+    root = scratch_path(spark, f"t-emissions-{n_files}")
+    drop = write_drop_folder(spark, tx, f"{root}/in", n_files)
+    stx = decoded_stream(spark, drop).where(F.col("_kind") == "tx").select(*TX_COLUMNS)
+    q = (stx.writeStream.option("checkpointLocation", f"{root}/ckpt")
+         .foreachBatch(MinuteEmissionsWriter(f"{root}/out")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    want = minute_total_emissions(with_event_time(tx))
+    got = read_minute_emissions(spark, f"{root}/out", ended=True)
+    assert _rows(got.select(*want.columns)) == _rows(want)
+    printed = read_minute_emissions(spark, f"{root}/out")
+    assert set(r.fired_by for r in printed.select("fired_by").collect()) <= {"watermark", "late_row"}
+    assert (sorted(r.value for r in spark.read.text(f"{root}/out/text/batch_id=*").collect())
+            == sorted(r.line for r in printed.select("line").collect()))
+    # the newest two tables of open windows stay, each a few windows wide
+    left = spark.read.option("basePath", f"{root}/out/open").parquet(f"{root}/out/open")
+    assert 0 < left.count() <= 2 * 3 * 2
+
+
+def test_exact_windows_keep_open_windows_only(spark, tx):
+    from cardstream.streaming.exact import ExactWindowsBatchWriter
+    writer = ExactWindowsBatchWriter(out := scratch_path(spark, "t-exact-open"))
+    n = tx.count()
+    for i in list(range(6)) + [5]:                  # the last batch comes twice, as after a failure
+        writer(tx.where(F.floor(F.col("arrival_seq") * 6 / n) == i), i)
+    folders = {r.batch_id for r in spark.read.option("basePath", f"{out}/open").parquet(f"{out}/open")
+               .select("batch_id").distinct().collect()}
+    assert folders == {4, 5}
+    closed = spark.read.option("basePath", f"{out}/closed").parquet(f"{out}/closed")
+    assert closed.where("output = 'minute_totals'").groupBy("window_end").count().where("count > 1").count() == 0
+    from cardstream.streaming.exact import read_exact_windows
+    assert read_exact_windows(spark, out)["minute_totals"].count() == 60
