@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ddl, text_bytes
+from .common import ddl, give_back_memory, text_bytes
 
 SEQUENCE = 4096
 WINDOW = 256               # sequences packed together
@@ -226,6 +226,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         if held:
             room = [SEQUENCE] * (held // SEQUENCE) + powers_of_two(held % SEQUENCE)
             yield emit(pack(waiting, room)[0])
+        del batches, waiting
+        give_back_memory()
 
     return rows.mapInArrow(run, f"`{id_col}` {id_type}, {PIECE_DDL}")
 
