@@ -40,7 +40,7 @@ SEQUENCE = 4096
 WINDOW = 256               # sequences packed together
 LINEAR, QUADRATIC = 1.0, 1.0 / 2048
 CLOSING_ID = 2
-CACHE_WORDS = 250_000      # words, and as many runs, whose ids a worker remembers
+CACHE_WORDS = 600_000      # words, and as many runs, whose ids a worker remembers
 
 PIECE_DDL = ("start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
              "sequence_id bigint, offset bigint, padded bigint")
