@@ -28,6 +28,7 @@ from .common import written
 
 K = 3
 SKETCHES = 16
+EDIT_SKETCHES = 64     # of the registered query: half-copies share no tuple in (8/9)**64 = 0.05 % of cases (16 bins: 15 %)
 TUPLE = 2
 POS_BITS = 24
 EMPTY = "0" * 16
@@ -77,10 +78,18 @@ def with_fingerprint(df: DataFrame, text: Column, name: str = "fp", k: int = K,
     least = F.filter("__t", lambda x, i: (i < size) | (bin_of(F.get("__t", i - size)) != bin_of(x)))
     df = _barrier(df, __m=F.when(F.size("__t") > 0, F.sort_array(F.transform(least, lambda x: F.struct(
         bin_of(x).alias("b"), place(x).alias("p"), F.get("__h", place(x).cast("int")).alias("h"))))))
-    of_bin = lambda b: F.transform(F.filter("__m", lambda x: x["b"] == b), lambda x: x["h"])
-    fp = F.transform(F.sequence(F.lit(0), F.lit(sketches - 1)), lambda b: F.when(
-        F.size(of_bin(b)) > 0, F.xxhash64(of_bin(b))).otherwise(F.lit(0)))
-    fp = F.when(F.col("__m").isNull(), F.array_repeat(F.lit(0).cast("bigint"), sketches)).otherwise(fp)
+    # one hash per filled bin (its members are neighbours), then zeros between the filled bins
+    bin_at = lambda j: F.get("__m", j)["b"]
+    firsts = F.filter(F.sequence(F.lit(0), F.size("__m") - 1), lambda j: (j == 0) | (bin_at(j - 1) != bin_at(j)))
+    df = _barrier(df, __f=F.when(F.col("__m").isNotNull(), F.transform(firsts, lambda j: F.struct(
+        bin_at(j).cast("int").alias("b"),
+        F.xxhash64(F.transform(F.filter(F.slice("__m", j + 1, size), lambda x: x["b"] == bin_at(j)),
+                               lambda x: x["h"])).alias("t")))))
+    zeros = lambda n: F.array_repeat(F.lit(0).cast("bigint"), n)
+    before = lambda i: F.coalesce(F.get("__f", i - 1)["b"], F.lit(-1))
+    fp = F.concat(F.flatten(F.transform("__f", lambda x, i: F.concat(zeros(x["b"] - before(i) - 1), F.array(x["t"])))),
+                  zeros(F.lit(sketches - 1) - F.element_at("__f", -1)["b"]))
+    fp = F.when(F.col("__f").isNull(), zeros(sketches)).otherwise(fp)
     return _barrier(df, **{name: fp}).select(*kept, name)
 
 
@@ -117,7 +126,7 @@ def next_keys(keys: DataFrame) -> DataFrame:
             .select("k1", "k2", after["k1"].alias("n1"), after["k2"].alias("n2")))
 
 
-def edit_fingerprints(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def edit_fingerprints(docs: DataFrame, id_col: str = "doc_id", sketches: int = SKETCHES) -> DataFrame:
     """Per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next. The edited text has its second half replaced by the next
     document's head. (The least long stands for a null id, which orders the same.)"""
@@ -131,14 +140,14 @@ def edit_fingerprints(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     want = (keys.join(after, (F.col("k1") == F.col("a1")) & (F.col("k2") == F.col("a2")))
             .select("n1", "n2", F.col("k1").alias("p1"), F.col("k2").alias("p2"), F.expr("n div 2").alias("wanted")))
     # both uses read the same columns, so that one shuffle of the texts serves them
-    printed = with_fingerprint(rows, F.col("body"))
+    printed = with_fingerprint(rows, F.col("body"), sketches=sketches)
     heads = (printed.join(want, (F.col("k1") == F.col("n1")) & (F.col("k2") == F.col("n2")))
              .select("p1", "p2", F.expr("left(body, least(wanted, n))").alias("head"), F.col("fp").alias("next_fp"))
              .dropDuplicates(["p1", "p2"]))
     edited = (printed.join(heads, (F.col("k1") == F.col("p1")) & (F.col("k2") == F.col("p2")))
               .select("k1", "n", "fp", "next_fp",
                       F.concat(F.expr("left(body, n - n div 2)"), F.col("head")).alias("edited")))
-    both = with_fingerprint(edited, F.col("edited"), "efp")
+    both = with_fingerprint(edited, F.col("edited"), "efp", sketches=sketches)
     return both.select(
         F.nullif(F.col("k1"), no_id).alias("doc_id"), F.col("n").cast("bigint").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),

@@ -50,7 +50,7 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_minhash.edit_fingerprints(table(spark, sf_dir, "documents"))
+    return order_minhash.edit_fingerprints(table(spark, sf_dir, "documents"), sketches=order_minhash.EDIT_SKETCHES)
 
 
 def op9_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

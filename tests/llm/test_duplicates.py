@@ -346,3 +346,15 @@ def test_order_minhash_feels_order(spark):
     df = O.with_fingerprint(O.with_fingerprint(O.with_fingerprint(df, F.col("a"), "fa"), F.col("b"), "fb"), F.col("c"), "fc")
     r = df.select(O.likeness(F.col("fa"), F.col("fb")).alias("moved"), O.likeness(F.col("fa"), F.col("fc")).alias("cut")).first()
     assert r.moved < r.cut and r.cut >= 0.7
+
+
+def test_order_minhash_finds_half_copies(spark, tmp_path):
+    """The registered query: every text of 100 words or more is nearer to its half-copy than to an unrelated text."""
+    from cardstream.llm.queries import op8_order_minhash
+    rng = random.Random(11)
+    rows = [(i, " ".join(f"w{rng.randrange(10**5):05d}" for _ in range(rng.randrange(100, 200))), "en", "a", 0)
+            for i in range(400)]
+    spark.createDataFrame(rows, DOC_DDL).write.parquet(str(tmp_path / "documents.parquet"))
+    got = op8_order_minhash(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows)
+    assert [r.doc_id for r in got if r.near_edited <= r.near_next] == []
