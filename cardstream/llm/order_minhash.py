@@ -12,8 +12,8 @@ Every step is a Spark SQL expression over one row's arrays; nothing is
 exploded or shuffled for a fingerprint.
 
 Defined cases: null text counts as empty; a text without a word fills no bin, and
-two such texts have likeness 1; a text of fewer than ``K`` words is one k-mer; k-mers after the 16,777,216th
-keep their place in the selection but not among themselves in the order; equal
+two such texts have likeness 1; a text of fewer than ``K`` words is one k-mer; k-mers of one bin whose
+hashes agree in their first 32 bits are selected by position; equal
 texts have equal fingerprints. In the order of ``next_heads``, fully repeated rows are
 one document; a null id comes last; one document alone is its own next. Other
 columns are never read.
@@ -30,7 +30,7 @@ K = 3
 SKETCHES = 16
 EDIT_SKETCHES = 64     # of the registered query: half-copies share no tuple in (8/9)**64 = 0.05 % of cases (16 bins: 15 %)
 TUPLE = 2
-POS_BITS = 24
+POS_BITS = 31          # every position an array can have
 EMPTY = "0" * 16
 
 
@@ -40,6 +40,17 @@ def _barrier(df: DataFrame, **cols: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(row)))
 
 
+def packed(h: Column, i: Column) -> Column:
+    """A number per k-mer that sorts by its hash's first bits and ends in its position."""
+    shift = 63 - POS_BITS
+    return F.shiftleft(F.shiftrightunsigned(h, 64 - shift), POS_BITS).bitwiseOR(i.cast("bigint"))
+
+
+def place(number: Column) -> Column:
+    """The position that a packed number ends in."""
+    return number.bitwiseAND(F.lit((1 << POS_BITS) - 1))
+
+
 def with_fingerprint(df: DataFrame, text: Column, name: str = "fp", k: int = K,
                      sketches: int = SKETCHES, size: int = TUPLE) -> DataFrame:
     """``df`` with ``name``: the fingerprint of ``text``, an array of ``sketches`` hashes (0: bin unfilled)."""
@@ -64,17 +75,12 @@ def with_fingerprint(df: DataFrame, text: Column, name: str = "fp", k: int = K,
     numbered = F.transform(F.arrays_zip(F.col("__s").alias("s"), F.flatten(lengths).alias("o")),
                            lambda x: F.struct(F.xxhash64(x["s"]["h"], x["o"]).alias("h"), x["s"]["i"].alias("i")))
     first = F.transform("__h", lambda h, i: F.struct(F.xxhash64(h, F.lit(0)).alias("h"), i.alias("i")))
-    # a number per k-mer that sorts by bin, then hash, and ends in the position
-    shift = 63 - POS_BITS
-    packed = lambda x: F.shiftleft(F.shiftrightunsigned(x["h"], 64 - shift), POS_BITS).bitwiseOR(
-        F.least(x["i"], F.lit((1 << POS_BITS) - 1)).cast("bigint"))
     df = _barrier(df, __t=F.sort_array(F.transform(
-        F.when(F.col("__s").isNotNull(), numbered).otherwise(first), packed)))
+        F.when(F.col("__s").isNotNull(), numbered).otherwise(first), lambda x: packed(x["h"], x["i"]))))
     bits = sketches.bit_length() - 1
     if 1 << bits != sketches:
         raise ValueError("sketches must be a power of two")
     bin_of = lambda x: F.shiftright(x, 63 - bits)
-    place = lambda x: x.bitwiseAND(F.lit((1 << POS_BITS) - 1))
     least = F.filter("__t", lambda x, i: (i < size) | (bin_of(F.get("__t", i - size)) != bin_of(x)))
     df = _barrier(df, __m=F.when(F.size("__t") > 0, F.sort_array(F.transform(least, lambda x: F.struct(
         bin_of(x).alias("b"), place(x).alias("p"), F.get("__h", place(x).cast("int")).alias("h"))))))

@@ -358,3 +358,13 @@ def test_order_minhash_finds_half_copies(spark, tmp_path):
     got = op8_order_minhash(spark, str(tmp_path)).collect()
     assert len(got) == len(rows)
     assert [r.doc_id for r in got if r.near_edited <= r.near_next] == []
+
+
+def test_order_minhash_keeps_every_position(spark):
+    """No position an array can have is clamped: each k-mer is looked up by its own."""
+    at = [0, 2**24 - 1, 2**24, 2**24 + 1, 2**31 - 2]
+    rows = spark.createDataFrame([(h, i) for h in (-1, 0, 2**63 - 1) for i in at], "h bigint, i int")
+    numbers = rows.select("h", "i", O.packed(F.col("h"), F.col("i")).alias("n"))
+    got = numbers.select("h", "i", "n", O.place(F.col("n")).alias("p")).collect()
+    assert all(r.p == r.i and r.n >= 0 for r in got)
+    assert [(r.h % 2**64, r.i) for r in sorted(got, key=lambda r: r.n)] == sorted((r.h % 2**64, r.i) for r in got)
