@@ -7,8 +7,9 @@ after a tag is read by a shunting-yard parser (``with`` binds tighter than
 least open side, ``or`` the most open, ``with`` opens a licence a little.
 
 Defined cases: null text counts as empty (no words, empty labels, score 0); an
-expression that does not parse still yields the licence names in it, at half
-score; phrases match across line ends and punctuation, since only words count;
+expression that words follow is read up to them, at half score (a name unknown
+here counts there if it has a digit or hyphen or an operator or sign follows); a tag with no
+expression still yields the listed licences named in its line, at half score; phrases match across line ends and punctuation, since only words count;
 repeated rows each get the same result; other columns are never read.
 """
 
@@ -64,10 +65,20 @@ def words_of(lowered: bytes) -> list[bytes]:
 
 def openness(name: str) -> float:
     """How freely a licence lets its text be used, 0 to 1, by its longest known start."""
-    starts = [k for k in OPENNESS if name.startswith(k)]
+    starts = families(name)
     return OPENNESS[max(starts, key=len)] if starts else UNKNOWN
 
 
+def families(name: str) -> list[str]:
+    """Listed families that an identifier is of: their name, alone or before ``-`` or ``+``."""
+    return [k for k in OPENNESS if name == k or name.startswith((f"{k}-", f"{k}+"))]
+
+
+def is_identifier(word: str) -> bool:
+    """Whether a word with prose after it reads as a licence's identifier."""
+    return bool(families(word)) or any(c.isdigit() for c in word) or "-" in word.strip("-")
+
+
 def tokens_of(expression: str) -> list[str]:
     """Words and brackets; punctuation around a word is no part of an identifier."""
     words = (w.strip(",;:.\"'") for w in expression.replace("(", " ( ").replace(")", " ) ").split())
@@ -124,14 +135,47 @@ def evaluate(postfix: list[str]) -> tuple[float, set[str]]:
     return stack[0]
 
 
+def longest_start(tokens: list[str]) -> list[str]:
+    """The longest start of the tokens that is an expression of identifiers, as postfix (or none).
+
+    It ends at the latest where an operator is due and another word comes, or where
+    an identifier is due and a word of prose comes.
+    """
+    depth, operand_due, ends = 0, True, 0
+    for i, t in enumerate(tokens):
+        if t == "(":
+            if not operand_due:
+                break
+            depth += 1
+        elif t == ")":
+            if operand_due or not depth:
+                break
+            depth -= 1
+        elif t in PRIORITY:
+            if operand_due:
+                break
+            operand_due = True
+        else:
+            after = tokens[i + 1] if i + 1 < len(tokens) else ")"
+            if not operand_due or not (is_identifier(t) or after in PRIORITY or not after[0].isalnum()):
+                break
+            operand_due = False
+        if not operand_due and not depth:
+            ends = i + 1
+    return to_postfix(tokens[:ends]) if ends else []
+
+
 def read_expression(line: str) -> tuple[float, set[str], bool]:
-    """(openness, licences, parsed?) of the text after a tag."""
+    """(openness, licences, parsed to the end?) of the text after a tag."""
     tokens = tokens_of(line.strip().strip("*/#-<>!;. \t"))
     try:
         value, names = evaluate(to_postfix(tokens))
         return value, names, True
     except ValueError:
-        known = {t for t in tokens if any(t.startswith(k) for k in OPENNESS)}
+        start = longest_start(tokens)
+        if start:
+            return *evaluate(start), False
+        known = {t for t in tokens if families(t)}
         return min(map(openness, known), default=UNKNOWN), known, False
 
 

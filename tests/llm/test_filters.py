@@ -154,3 +154,14 @@ def test_license_edges(spark, edge, empty):
 def test_punctuation_after_an_identifier_is_not_in_its_label():
     found = C.scan(b"SPDX-License-Identifier: MIT, see the file\n# SPDX-License-Identifier: (MPL-2.0; or GPL-3.0)")
     assert found["labels"] == "gpl-3.0,mit,mpl-2.0"
+
+
+@pytest.mark.parametrize("line,value,names", [
+    ("Artistic-2.0 see the file", 0.2, "artistic-2.0"), ("BSL-1.0 // boost", 0.2, "bsl-1.0"),
+    ("Ruby // of the gem", 0.2, "ruby"), ("MIT we mitigate what mitochondrial and MPLS do", 1.0, "mit"),
+    ("GPL-2.0 OR MIT in this repository", 1.0, "gpl-2.0,mit"), ("MIT OR later at your option", 1.0, "mit"),
+    ("(MIT OR GPL-2.0) AND AGPL-3.0 see (the file", 0.2, "agpl-3.0,gpl-2.0,mit"),
+    ("GPL-2.0+ with the rest", 0.3, "gpl-2.0+"), ("see the MIT file", 1.0, "mit"), ("see the file", None, "")])
+def test_expression_before_prose(line, value, names):
+    found = C.scan(f"SPDX-License-Identifier: {line}".encode())
+    assert (found["openness"], found["labels"]) == (value, names)
