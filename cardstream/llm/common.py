@@ -69,6 +69,18 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return df.mapInArrow(run, schema)
 
 
+def pieces(text: bytes, stop: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """The text in pieces of about ``size`` bytes, each but the last ending at ``stop``."""
+    at = 0
+    while len(text) - at > size:
+        end = text.find(stop, at + size) + 1
+        if not end:
+            break
+        yield text[at: end]
+        at = end
+    yield text[at:] if at else text
+
+
 def give_back_memory() -> None:
     """Return what a task's Arrow and C heaps have free: the worker lives on, idle, beside
     those that run."""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (language_id, licenses, mixing, order_minhash, packing, quality_rules, sharding, simhash,
-               suffix_dedup, warc)
+from . import (chat, language_id, licenses, mixing, order_minhash, packing, quality_rules, resampling, sharding,
+               simhash, spelling, suffix_dedup, warc)
 from .common import table
 
 
@@ -61,6 +61,25 @@ def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op11_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: A conversation whose texts are nothing but control strings and what they frame.
+CONTROLS_IN_CONTENT = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame(CONTROLS_IN_CONTENT, "conv_id bigint, turn bigint, role string, text string")
+    return chat.digests(rows.unionByName(more), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -69,9 +88,14 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_language_id, op3_warc_normaliser, op4_license_scan, op5_cost_packing, op6_simhash,
-        op7_suffix_dedup, op8_order_minhash, op9_minimax_shards, op10_mixture, pipeline)}
+        op7_suffix_dedup, op8_order_minhash, op9_minimax_shards, op10_mixture, op11_target_resampling,
+        op12_chat_format, op13_spelling_variants, pipeline)}
 
 _WORD = r"[^\x20\x09-\x0D]+"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_CRC = 0xEDB88320                  # the polynomial of CRC-32, bits reversed
+_CONTROL = r"(<\\*|\[\\*)(/?s>|/?INST\]|<SYS>>|</SYS>>|/?ROLE\]|/TURN\])"
 
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": rf"""
@@ -156,4 +180,87 @@ SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
        CASE WHEN page_id = last OR last IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id = last OR last IS NULL THEN NULL ELSE last END AS refers_to
 FROM p JOIN g USING (h)""",
+    "op11_target_resampling": rf"""
+WITH crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, {_CRC}) ELSE c >> 1 END)) AS tab),
+w AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '{_LETTERS}')) AS word
+  FROM documents),
+b AS (
+  SELECT unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '{_LETTERS}')) AS word FROM benchmark),
+known AS (
+  SELECT word, xor(list_reduce([4294967295] || list_transform(range(1, strlen(word) + 1),
+           lambda i: ('0x' || substr(hex(encode(word)), (2 * i - 1)::BIGINT, 2))::BIGINT),
+           lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT word FROM w UNION SELECT word FROM b), crc),
+s AS (SELECT bucket, count(*) AS n FROM w JOIN known USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM b JOIN known USING (word) GROUP BY bucket),
+gain AS (
+  SELECT s.bucket, floor(1000.0::DOUBLE * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT sum(n) FROM s) + 10000)::DOUBLE
+         / ((s.n + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM t), 0) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM s LEFT JOIN t USING (bucket)),
+f AS (
+  SELECT doc_id, count(*) AS n, sum(gain)::BIGINT AS weight
+  FROM w JOIN known USING (word) JOIN gain USING (bucket) GROUP BY doc_id),
+d AS (
+  SELECT doc_id, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         coalesce(weight, 0)::BIGINT + floor(-1000.0::DOUBLE * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT::DOUBLE + 0.5)
+           / 4294967296.0::DOUBLE)))::BIGINT AS score
+  FROM documents LEFT JOIN f USING (doc_id)),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM d WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN rank <= (SELECT count(*) FROM r) * 10 // 100 THEN rank END AS rank, n_features AS n_words
+FROM d LEFT JOIN r USING (doc_id)""",
+    "op12_chat_format": rf"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e AS (
+  SELECT *, length(regexp_replace(text, '{_CONTROL}', '\1\\\2', 'g')) + CASE role
+    WHEN 'user' THEN 13 WHEN 'assistant' THEN 4 WHEN 'system' THEN 15
+    ELSE 20 + length(regexp_replace(role, '{_CONTROL}', '\1\\\2', 'g')) END AS chars FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id""",
+    "op13_spelling_variants": rf"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, {_CRC}) ELSE c >> 1 END)) AS tab),
+runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), '{_UPPER}', '{_LOWER}') AS run
+    FROM documents) GROUP BY doc_id, run HAVING length(run) >= 6),
+hashed AS (
+  SELECT run, n, xor(list_reduce([4294967295] || list_transform(range(1, strlen(doc_id || ':' || run) + 1),
+           lambda i: ('0x' || substr(hex(encode(doc_id || ':' || run)), (2 * i - 1)::BIGINT, 2))::BIGINT),
+           lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) AS h
+  FROM runs, crc),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END
+             AS word, n FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+gone AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (
+    SELECT word, unnest(generate_series(1, length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other FROM gone a JOIN gone b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+    AND length(a.word) = length(b.word)
+  UNION SELECT w.word, g.word FROM words w JOIN gone g ON g.rest = w.word
+  UNION SELECT g.word, w.word FROM words w JOIN gone g ON g.rest = w.word),
+best AS (
+  SELECT near.word, count(*) AS n_near, max(o.n) AS form_n, arg_min(other, (-o.n, other)) AS form
+  FROM near JOIN words o ON o.word = near.other GROUP BY near.word),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * w.n THEN form END AS form,
+         CASE WHEN form_n >= 5 * w.n THEN form_n END AS form_n
+  FROM words w LEFT JOIN best ON best.word = w.word),
+chain AS (
+  SELECT word, word AS root FROM forms
+  UNION ALL SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.root WHERE forms.form IS NOT NULL)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM forms f
+JOIN (SELECT chain.word, arg_min(root, forms.n) FILTER (forms.form IS NULL) AS root
+      FROM chain JOIN forms ON forms.word = chain.root GROUP BY chain.word) c ON c.word = f.word""",
 }
