@@ -40,8 +40,9 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--source", required=True, help="drop folder of JSON-line files")
     s.add_argument("--no-seq", action="store_true",
                    help="lines carry no arrival_seq: order by event time")
-    s.add_argument("--delay", default="5 seconds")
-    s.add_argument("--minute-delay", default="15 seconds")
+    s.add_argument("--number-lines", action="store_true",
+                   help="lines carry no arrival_seq: order by file time, path and line")
+    s.add_argument("--delay-ms", type=int, default=5000, help="out-of-orderness of the feed")
     s.add_argument("--max-files-per-trigger", type=int, default=None)
     s.add_argument("--available-now", action="store_true",
                    help="process what is there, then stop")
@@ -71,12 +72,10 @@ def run(spark: SparkSession, argv: list[str]) -> int:
                 writer.parquet(f"{out}/{name}")
         return 0
     trigger = {"availableNow": True} if args.available_now else None
-    queries = start_streaming_job(
-        spark, args.source, out, risky, blacklist, delay=args.delay,
-        minute_delay=args.minute_delay, trigger=trigger,
-        max_files_per_trigger=args.max_files_per_trigger, lines_carry_seq=not args.no_seq)
-    for q in queries.values():
-        q.awaitTermination()
+    start_streaming_job(
+        spark, args.source, out, risky, blacklist, delay_ms=args.delay_ms, trigger=trigger,
+        max_files_per_trigger=args.max_files_per_trigger, lines_carry_seq=not args.no_seq,
+        number_file_lines=args.number_lines).awaitTermination()
     return 0
 
 

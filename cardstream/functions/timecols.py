@@ -30,9 +30,19 @@ def exact_cents(cents: Column, rest: Column) -> Column:
     return cents.cast("double") + rest.cast("double") / F.lit(float(RESTS_PER_CENT))
 
 
+def exact_sum(value: Column | str) -> Column:
+    """The sum of 64-bit integers as a decimal of 38 digits. The high and the low 24 bits are
+    summed apart, as integers, so no sum of under 2^39 values overflows."""
+    value = F.col(value) if isinstance(value, str) else value
+    high, low = F.sum(F.shiftright(value, 24)), F.sum(value.bitwiseAND(F.lit((1 << 24) - 1).cast("bigint")))
+    return high.cast("decimal(30,0)") * F.lit(1 << 24) + low.cast("decimal(20,0)")
+
+
 def whole_cents(cents: Column, rest: Column) -> Column:
-    """The nearest whole cent of a total: rounded once, after summing."""
-    return cents + F.floor(rest.cast("double") / F.lit(float(RESTS_PER_CENT)) + F.lit(0.5)).cast("bigint")
+    """The nearest whole cent of a total, rounded once, after summing; null where a 64-bit
+    integer cannot hold it (the amount beside it does)."""
+    return (cents + F.floor(rest.cast("double") / F.lit(float(RESTS_PER_CENT)) + F.lit(0.5)).cast("bigint")
+            ).try_cast("bigint")
 
 
 def with_event_time(df: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Tumbling-window metrics (MET-1..3, AGG-1, AGG-2).
 
-Cents and the rest beyond them are summed as integers, so totals and averages keep
-sub-cent amounts and do not depend on the order in which partial sums meet. Every function runs unchanged on a batch
-DataFrame and on a watermarked streaming DataFrame.
+Cents and the rest beyond them are summed as integers that cannot overflow, so totals and
+averages keep sub-cent amounts and do not depend on the order in which partial sums meet.
+Every function runs unchanged on a batch DataFrame and on a watermarked streaming DataFrame.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cardstream.functions import format as fmt
 from cardstream.functions.timecols import (
-    amount_rest, exact_cents, tumbling_end_ms, whole_cents, window_end_ms,
+    amount_rest, exact_cents, exact_sum, tumbling_end_ms, whole_cents, window_end_ms,
 )
 from cardstream.schema import (
     FIVE_MINUTE_WINDOW_MS, MINUTE_ALLOWED_LATENESS_MS, MINUTE_WINDOW_MS,
@@ -28,7 +28,7 @@ def _window(window_ms: int):
 
 def amount_sums(prefix: str = "_") -> list[Column]:
     """Sums of the two parts of the amounts, ``<prefix>cents`` and ``<prefix>rest``."""
-    return [F.sum("amount_cents").alias(f"{prefix}cents"), F.sum(amount_rest()).alias(f"{prefix}rest")]
+    return [exact_sum("amount_cents").alias(f"{prefix}cents"), F.sum(amount_rest()).alias(f"{prefix}rest")]
 
 
 def _money(cents, rest):
@@ -106,7 +106,7 @@ def minute_total_emissions(tx: DataFrame, window_ms: int = MINUTE_WINDOW_MS,
     pre = F.col("_pre")
     base = on.groupBy("window_end").agg(
         F.count(F.when(pre, F.lit(1))).alias("_n_pre"),
-        F.coalesce(F.sum(F.when(pre, F.col("amount_cents"))), F.lit(0)).alias("_c_pre"),
+        F.coalesce(exact_sum(F.when(pre, F.col("amount_cents"))), F.lit(0)).alias("_c_pre"),
         F.coalesce(F.sum(F.when(pre, F.col("_amount_rest"))), F.lit(0)).alias("_r_pre"),
         F.max("event_time").alias("_wmax"))
     # Late rows never raise the maximum, so the max over on-time rows is the
@@ -117,7 +117,8 @@ def minute_total_emissions(tx: DataFrame, window_ms: int = MINUTE_WINDOW_MS,
         F.when(F.col("window_end") + F.lit(delay_ms) <= F.col("_gmax"), F.lit("watermark"))
         .otherwise(F.lit("end_of_input")).alias("fired_by"),
         F.col("_n_pre").alias("n_tx"), F.col("_c_pre").alias("_cents"), F.col("_r_pre").alias("_rest"))
-    running = keyed_running_totals(on.where(~pre), "window_end", order,
+    again = on.where(~pre).withColumn("amount_cents", F.col("amount_cents").cast("decimal(20,0)"))
+    running = keyed_running_totals(again, "window_end", order,
                                    ["amount_cents", "_amount_rest"], width)
     again = running.join(base.select("window_end", "_n_pre", "_c_pre", "_r_pre"),
                          on="window_end", how="inner").select(

@@ -3,8 +3,7 @@
 Windowed rules (1, 4) are plain ``groupBy(window, key)`` aggregates with
 partial aggregation, and run unchanged on streams. The ordered rules (2, 3)
 use ROWS windows along arrival order through :func:`keyed_frames`, which
-splits very large keys; their streaming forms are in
-``cardstream.streaming.processors``.
+splits very large keys; ``cardstream.streaming.ordered`` runs the same windows on streams.
 """
 
 from __future__ import annotations
@@ -112,6 +111,24 @@ def high_amount_condition(hist_n, hist_cents, min_history=HIGH_AMOUNT_MIN_HISTOR
             & (F.col("amount") > F.lit(float(min_amount))))
 
 
+def history_frames(history: int):
+    """Window function of rule 2: number and sum (both parts) of the ``history`` amounts before a row."""
+    def frames(df, part, order_cols):
+        w = Window.partitionBy(*part).orderBy(*order_cols).rowsBetween(-history, -1)
+        return (df.withColumn("hist_n", F.count("amount_cents").over(w))
+                .withColumn("hist_sum_cents", F.sum("amount_cents").over(w))
+                .withColumn("hist_sum_rest", F.sum("_amount_rest").over(w)))
+    return frames
+
+
+def previous_frames(df: DataFrame, part, order_cols) -> DataFrame:
+    """Window function of rule 3: country and event time of the row before."""
+    w = Window.partitionBy(*part).orderBy(*order_cols)
+    return (df.withColumn("_has_prev", F.lag(F.lit(1)).over(w).isNotNull())
+            .withColumn("prev_country", F.lag("country").over(w))
+            .withColumn("prev_event_time", F.lag("event_time").over(w)))
+
+
 def high_amount_alerts(tx: DataFrame, history: int = HIGH_AMOUNT_HISTORY,
                        min_history: int = HIGH_AMOUNT_MIN_HISTORY,
                        ratio: float = HIGH_AMOUNT_RATIO,
@@ -126,15 +143,9 @@ def high_amount_alerts(tx: DataFrame, history: int = HIGH_AMOUNT_HISTORY,
     """
     order = resolve_order(tx, order_by)
 
-    def frames(df, part, order_cols):
-        w = Window.partitionBy(*part).orderBy(*order_cols).rowsBetween(-history, -1)
-        return (df.withColumn("hist_n", F.count("amount_cents").over(w))
-                .withColumn("hist_sum_cents", F.sum("amount_cents").over(w))
-                .withColumn("hist_sum_rest", F.sum("_amount_rest").over(w)))
-
     cols = list(dict.fromkeys([*order, *TX_FIELDS, "amount_cents"]))
     rows = tx.select(*cols, amount_rest().alias("_amount_rest"))
-    hist = keyed_frames(rows, "customer_id", order, history, frames,
+    hist = keyed_frames(rows, "customer_id", order, history, history_frames(history),
                         hot_rows, hot_keys)
     return high_amount_from_history(hist, min_history, ratio, min_amount)
 
@@ -163,14 +174,8 @@ def impossible_travel_alerts(tx: DataFrame, max_gap_ms: int = TRAVEL_MAX_GAP_MS,
     and ``event_time - previous < max_gap`` (a negative gap also fires)."""
     order = resolve_order(tx, order_by)
 
-    def frames(df, part, order_cols):
-        w = Window.partitionBy(*part).orderBy(*order_cols)
-        return (df.withColumn("_has_prev", F.lag(F.lit(1)).over(w).isNotNull())
-                .withColumn("prev_country", F.lag("country").over(w))
-                .withColumn("prev_event_time", F.lag("event_time").over(w)))
-
     cols = list(dict.fromkeys([*order, *TX_FIELDS]))
-    prev = keyed_frames(tx.select(*cols), "card_id", order, 1, frames, hot_rows,
+    prev = keyed_frames(tx.select(*cols), "card_id", order, 1, previous_frames, hot_rows,
                         hot_keys)
     return travel_from_previous(prev, max_gap_ms)
 

@@ -71,6 +71,8 @@ def hot_key_tables(df: DataFrame, keys: Sequence[str],
     small result is written down, and one tiny job counts it per key.
     """
     keys = list(keys)
+    if df.count() <= hot_rows:           # no key can have more; the count reads no column
+        return {k: (None, 0) for k in keys}
     agg = _written(df.groupingSets([[k] for k in keys], *keys)
                    .agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid"))
                    .where(F.col("_n") > F.lit(int(hot_rows))), "hot-keys")
@@ -105,8 +107,8 @@ def keyed_frames(df: DataFrame, key: str, order_cols: Sequence[str],
     """
     order_cols = list(order_cols)
     if df.isStreaming:
-        raise ValueError("keyed_frames is the batch form; streams use the "
-                         "stateful processors")
+        raise ValueError("keyed_frames is the batch form; streams run it over their "
+                         "micro-batches (streaming.ordered)")
     if hot_rows is None:
         return frame_fn(df, [key], order_cols)
     block = max(int(hot_rows), lookback + 1)

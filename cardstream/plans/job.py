@@ -10,6 +10,7 @@ row everywhere instead.
 
 from __future__ import annotations
 
+import warnings
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,20 +26,17 @@ from cardstream.operators.scoring import score_alerts
 from cardstream.operators.sequence import DEFAULT_HOT_ROWS
 from cardstream.schema import (
     FIVE_MINUTE_WINDOW_MS, MINUTE_ALLOWED_LATENESS_MS, MINUTE_WINDOW_MS,
-    RULE_HIGH_AMOUNT, RULE_IMPOSSIBLE_TRAVEL, RULE_WINDOW_MINUTES,
+    OUT_OF_ORDERNESS_MS, RULE_WINDOW_MINUTES,
 )
-from cardstream.session import ensure_streaming_conf, scratch_path, stream_partitions
-from cardstream.sources.json_lines import parse_lines, tx_columns
-from cardstream.streaming.emissions import MinuteEmissionsWriter
-from cardstream.streaming.exact import ExactWindowsBatchWriter, read_exact_windows
-from cardstream.streaming.late import LateSplitBatchWriter
-from cardstream.streaming.processors import (
-    stream_high_amount_alerts, stream_impossible_travel_alerts,
-)
-from cardstream.streaming.sinks import append_sink, rows_and_lines_sink, upsert_sink
-from cardstream.streaming.source import (
-    decoded_stream, stream_rejects, watermarked_transactions,
+from cardstream.session import scratch_path, stream_partitions
+from cardstream.sources.json_lines import (
+    number_lines, parse_lines, stream_lines, stream_placed_lines, tx_columns,
 )
+from cardstream.streaming.emissions import MinuteEmissionsWriter
+from cardstream.streaming.exact import ExactWindowsBatchWriter, read_exact_windows, window_outputs
+from cardstream.streaming.ordered import OrderedRules
+from cardstream.streaming.progress import Progress, together
+from cardstream.streaming.sinks import write_lines
 
 
 def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -52,6 +50,11 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _warn_no_order() -> None:
+    warnings.warn("no arrival order: rows are taken in the order of event time, in which hardly any row is "
+                  "late. Number the lines to get the late rows of the feed.", stacklevel=3)
+
+
 def run_batch_job(spark: SparkSession, lines: DataFrame | None = None,
                   risky_merchants: DataFrame | None = None,
                   blacklisted_countries: DataFrame | None = None,
@@ -76,13 +79,16 @@ def run_batch_job(spark: SparkSession, lines: DataFrame | None = None,
     """
     rejects = None
     if transactions is None:
-        typed = parse_lines(lines, seq_col="arrival_seq" if "arrival_seq" in lines.columns else None)
+        numbered = "arrival_seq" in lines.columns
+        if not (numbered or lines_carry_seq):
+            _warn_no_order()
+        typed = parse_lines(lines, seq_col="arrival_seq" if numbered else None, carry_seq=lines_carry_seq)
         typed = typed.withColumn(
             "line", F.when(F.col("_kind") == "reject", F.col("line")))
         if materialize_input:
             typed = materialize(spark, typed, "decoded")
         transactions = (typed.where(F.col("_kind") == "tx")
-                        .select(*tx_columns(lines_carry_seq)))
+                        .select(*tx_columns(numbered or lines_carry_seq)))
         rejects = typed.where(F.col("_kind") == "reject").select("line", "reason")
     tx = with_event_time(transactions)
     if risky_merchants is None or blacklisted_countries is None:
@@ -123,93 +129,156 @@ def run_batch_job(spark: SparkSession, lines: DataFrame | None = None,
     return out
 
 
-class _AlertBatchWriter:
-    """Scored alerts of one micro-batch -> parquet rows and text lines."""
+class JobBatchWriter:
+    """``foreachBatch`` function of the whole job: all outputs of one micro-batch.
+
+    The micro-batch is decoded and numbered once, written to ``bronze``, and every output
+    takes exactly that batch; so a backlog of n micro-batches is n batches of every output,
+    each as large as the source's limit. Every output is one folder per batch, overwritten when
+    the batch comes again; the batch's row in ``progress`` is written last.
+
+    Heartbeats take part in the running maximum of event time and in nothing else: windows
+    close and lines are printed after one though no transaction came.
+    """
 
-    def __init__(self, out_root: str):
+    def __init__(self, out_root: str, risky_merchants: DataFrame, blacklisted_countries: DataFrame,
+                 numbering: str = "field", delay_ms: int = OUT_OF_ORDERNESS_MS,
+                 hot_rows: int = DEFAULT_HOT_ROWS):
         self.out = out_root.rstrip("/")
+        self.refs = (risky_merchants, blacklisted_countries)
+        self.numbering, self.delay_ms = numbering, delay_ms
+        self.order = ["event_time", "transaction_id"] if numbering == "none" else ["arrival_seq"]
+        self.exact = ExactWindowsBatchWriter(f"{self.out}/exact", delay_ms)
+        self.emissions = MinuteEmissionsWriter(f"{self.out}/minute_emissions", delay_ms=delay_ms)
+        self.ordered = OrderedRules(f"{self.out}/ordered", hot_rows=hot_rows)
+
+    def _decode(self, batch: DataFrame, first: int) -> DataFrame:
+        if self.numbering == "files":
+            lines = number_lines(batch.withColumn("_row", F.monotonically_increasing_id()), first)
+            return parse_lines(lines, seq_col="arrival_seq")
+        if self.numbering == "column":
+            return parse_lines(batch, seq_col="arrival_seq")
+        return parse_lines(batch, carry_seq=self.numbering == "field")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        progress = Progress(spark, f"{self.out}/progress")
+        before = progress.before(batch_id)
         batch = batch.persist()
         try:
-            batch.write.mode("overwrite").parquet(f"{self.out}/alerts/batch_id={batch_id}")
-            (batch.select(fmt.alert_line().alias("value"))
-             .write.mode("overwrite").text(f"{self.out}/alert_lines/batch_id={batch_id}"))
+            typed = self._decode(batch, before.lines)
+            typed = typed.withColumn("line", F.when(F.col("_kind") == "reject", F.col("line")))
+            typed.write.mode("overwrite").parquet(f"{self.out}/bronze/batch_id={batch_id}")
+            lines = before.lines + batch.count()
         finally:
             batch.unpersist()
+        typed = spark.read.schema(typed.schema).parquet(f"{self.out}/bronze/batch_id={batch_id}")
+        # a heartbeat without a position counts once the batch's rows are in
+        beats = typed.where("_kind = 'heartbeat'" if self.numbering in ("field", "none") else "false")
+        timed = (typed.where("_kind <> 'reject'" if self.numbering in ("files", "column") else "_kind = 'tx'")
+                 .withColumn("event_time", F.coalesce("heartbeat_time", "event_time")))
+        events = (with_watermark_before(timed, self.order, self.delay_ms, carry_ms=before.max_event_time)
+                  .select("_kind", *tx_columns(True), "wm_before").persist())
+        try:
+            here = events.agg(F.max("event_time").alias("m"), F.count(F.lit(1)).alias("n")).crossJoin(
+                beats.agg(F.max("heartbeat_time").alias("beat"))).first()            # one row each
+            n = here.n
+            latest = max((v for v in (before.max_event_time, here.m, here.beat) if v is not None), default=None)
+            tx = events.where("_kind = 'tx'").drop("_kind")
+            if self.numbering == "none":
+                tx = tx.drop("arrival_seq")
+            self._outputs(typed, tx, batch_id, latest, n)
+        finally:
+            events.unpersist()
+        progress.commit(batch_id, latest, lines)
+
+    def _outputs(self, typed: DataFrame, tx: DataFrame, batch_id: int, latest: int | None, n: int) -> None:
+        at, spark = f"batch_id={batch_id}", tx.sparkSession
+
+        def rejects():
+            (typed.where("_kind = 'reject'").select("line", "reason")
+             .write.mode("overwrite").parquet(f"{self.out}/rejects/{at}"))
+
+        def late():
+            rows = tx.where(late_flag(MINUTE_WINDOW_MS, MINUTE_ALLOWED_LATENESS_MS)).drop("wm_before")
+            rows.write.mode("overwrite").parquet(f"{self.out}/late/{at}")
+            write_lines(rows, fmt.late_line(), f"{self.out}/late_lines/{at}")
+
+        together(spark, rejects, late, lambda: self.emissions.write(tx, self.order, batch_id, latest),
+                 lambda: self.exact.write(tx, self.order, batch_id, latest))
+        closed = window_outputs(self.exact.closed(spark, batch_id))
+        rows = self.ordered.with_halo(tx.drop("wm_before"), batch_id)
+
+        def lines(name, line):
+            return lambda: write_lines(closed[name], line(), f"{self.out}/{name}_lines/{at}")
+
+        def alerts():
+            found = union_alerts(closed["high_frequency_alerts"], closed["merchant_burst_alerts"],
+                                 self.ordered.alerts(rows, self.order, n > self.ordered.hot_rows))
+            scored = score_alerts(found, *self.refs)
+            scored.write.mode("overwrite").parquet(f"{self.out}/alerts/{at}")
+            write_lines(spark.read.schema(scored.schema).parquet(f"{self.out}/alerts/{at}"), fmt.alert_line(),
+                        f"{self.out}/alert_lines/{at}")
+
+        together(spark, alerts, lambda: self.ordered.commit(rows, self.order, batch_id),
+                 lines("category_average", fmt.category_line), lines("country_counts", fmt.country_line))
 
 
 def start_streaming_job(spark: SparkSession, source: str | DataFrame, out_root: str,
                         risky_merchants: DataFrame | None = None,
                         blacklisted_countries: DataFrame | None = None,
-                        delay: str = "5 seconds", minute_delay: str = "15 seconds",
+                        delay_ms: int = OUT_OF_ORDERNESS_MS,
                         trigger: dict | None = None,
                         max_files_per_trigger: int | None = None,
                         state_partitions: int | None = None,
-                        bronze: bool = True,
                         lines_carry_seq: bool = True,
-                        ) -> dict[str, StreamingQuery]:
-    """Start the streaming job; one query per output with its own watermark.
+                        number_file_lines: bool = False,
+                        hot_rows: int = DEFAULT_HOT_ROWS) -> StreamingQuery:
+    """Start the streaming job: one query, whose outputs are those of the reference's job.
 
     ``source`` is a drop folder or any streaming DataFrame of lines (``value``, and
-    ``arrival_seq`` where the source knows it, as ``stream_kafka_lines`` does). With
-    ``lines_carry_seq=False`` (lines as the reference writes them) order falls back
-    to event time.
-
-    * ``bronze``: decodes every line once into a parquet table (exactly-once
-      file sink) that the other queries stream from, instead of each query
-      decoding the JSON itself;
-    * ``minute_totals``: update mode (re-emits within the allowed lateness),
-      upsert log keyed by window end, plus one text line per emission;
-    * ``category_average`` / ``country_counts``: append, final rows and their
-      text lines;
-    * ``alerts``: four rules, union, scoring; parquet rows + text lines;
-    * ``exact_windows``: the windowed outputs with the reference's exact
-      late-row dropping, closed windows and the open ones (read them with
-      ``streaming.exact.read_exact_windows(spark, out + "/exact")``);
-    * ``minute_emissions``: metric 1 as printed, a line when a window fires and one per row
-      accepted afterwards (``streaming.emissions.read_minute_emissions``);
-    * ``late_transactions``: exact late split per micro-batch;
-    * ``rejects``: undecodable lines.
-
-    ``max_files_per_trigger`` bounds the batches read from a drop folder; the other
-    queries read what bronze has committed, always in whole batches.
-    ``state_partitions`` (default: the cluster's default parallelism) fixes
-    the shuffle/state partitions of the new queries. With an ``availableNow``
-    trigger the bronze query finishes before the others start.
+    ``arrival_seq`` where the source knows it, as ``stream_kafka_lines`` does). Arrival order
+    is that column; with ``number_file_lines`` the place of the line in the drop folder's files
+    (by modification time, path and line; lines as the reference writes them); else the field
+    ``arrival_seq`` of every line; with ``lines_carry_seq=False`` event time.
+
+    Under ``out_root``, one folder per micro-batch each: ``bronze`` (decoded lines), ``rejects``,
+    ``late`` and ``late_lines``, ``minute_emissions`` (metric 1 as printed), ``exact`` (windows,
+    closed and open), ``category_average_lines`` and ``country_counts_lines`` (as windows close),
+    ``alerts`` and ``alert_lines``: each alert once, those of a window when it closes, with the
+    reference's dropping of late rows. Read them with the ``read_job_*`` functions.
+
+    ``max_files_per_trigger`` bounds the micro-batches of a drop folder, and so those of
+    every output.
     """
-    ensure_streaming_conf(spark)
     if risky_merchants is None or blacklisted_countries is None:
         from cardstream.plans.catalog import default_refs
         risky_merchants, blacklisted_countries = default_refs(spark)
+    if isinstance(source, str):
+        numbering = "files" if number_file_lines else "field" if lines_carry_seq else "none"
+        read = stream_placed_lines if number_file_lines else stream_lines
+        lines = read(spark, source, max_files_per_trigger)
+    else:
+        numbering = "column" if "arrival_seq" in source.columns else "field" if lines_carry_seq else "none"
+        lines = source
+    if numbering == "none":
+        _warn_no_order()
     out = out_root.rstrip("/")
-    ck = f"{out}/_checkpoints"
-    queries: dict[str, StreamingQuery] = {}
+    writer = JobBatchWriter(out, risky_merchants, blacklisted_countries, numbering, delay_ms, hot_rows)
+    with stream_partitions(spark, state_partitions):
+        w = (lines.writeStream.option("checkpointLocation", f"{out}/_checkpoints/job").foreachBatch(writer))
+        return (w.trigger(**trigger) if trigger else w).start()
 
-    def lines_of():
-        if isinstance(source, str):
-            return decoded_stream(spark, source, max_files_per_trigger)
-        return parse_lines(source, seq_col="arrival_seq" if "arrival_seq" in source.columns else None)
 
-    with stream_partitions(spark, state_partitions):
-        if bronze:
-            raw = lines_of()
-            queries["bronze"] = append_sink(raw, f"{out}/bronze", f"{ck}/bronze",
-                                            "parquet", trigger)
-            if trigger and trigger.get("availableNow"):
-                queries["bronze"].awaitTermination()
-
-            def decoded():
-                # whole bronze batches: a limit on files would cut a batch in file order,
-                # which is not arrival order
-                return spark.readStream.schema(raw.schema).parquet(f"{out}/bronze")
-        else:
-            def decoded():
-                return lines_of()
-
-        queries.update(_start_all(decoded, out, ck, risky_merchants,
-                                  blacklisted_countries, delay, minute_delay, trigger, lines_carry_seq))
-    return queries
+def read_job_alerts(spark: SparkSession, out_root: str) -> DataFrame:
+    """The alert log of a streaming job, as rows."""
+    return spark.read.parquet(f"{out_root.rstrip('/')}/alerts/batch_id=*")
+
+
+def read_job_windows(spark: SparkSession, out_root: str) -> dict[str, DataFrame]:
+    """Metrics and windowed alerts of a streaming job up to now, open windows included."""
+    out = out_root.rstrip("/")
+    return read_exact_windows(spark, f"{out}/exact", f"{out}/progress")
 
 
 def exact_scored_alerts(spark: SparkSession, exact_out: str, ordered: DataFrame,
@@ -219,51 +288,3 @@ def exact_scored_alerts(spark: SparkSession, exact_out: str, ordered: DataFrame,
     exact = read_exact_windows(spark, exact_out)
     return score_alerts(union_alerts(exact["high_frequency_alerts"], exact["merchant_burst_alerts"], ordered),
                         risky_merchants, blacklisted_countries)
-
-
-def read_job_alerts(spark: SparkSession, out_root: str, risky_merchants: DataFrame,
-                    blacklisted_countries: DataFrame) -> DataFrame:
-    """``exact_scored_alerts`` of a streaming job's output folder."""
-    out = out_root.rstrip("/")
-    alerts = spark.read.option("basePath", f"{out}/alerts").parquet(f"{out}/alerts/batch_id=*")
-    ordered = alerts.where(F.col("rule").isin(RULE_HIGH_AMOUNT, RULE_IMPOSSIBLE_TRAVEL))
-    return exact_scored_alerts(spark, f"{out}/exact", ordered, risky_merchants, blacklisted_countries)
-
-
-def _start_all(decoded, out, ck, risky_merchants, blacklisted_countries,
-               delay, minute_delay, trigger, with_seq=True) -> dict[str, StreamingQuery]:
-    queries: dict[str, StreamingQuery] = {}
-    tx_minute = watermarked_transactions(decoded(), minute_delay, with_seq)
-    queries["minute_totals"] = upsert_sink(
-        metrics.minute_totals(tx_minute), f"{out}/minute_totals",
-        f"{ck}/minute_totals", trigger, line=fmt.minute_line)
-    tx5 = watermarked_transactions(decoded(), delay, with_seq)
-    queries["category_average"] = rows_and_lines_sink(
-        metrics.category_average(tx5), f"{out}/category_average",
-        f"{ck}/category_average", fmt.category_line, trigger)
-    queries["country_counts"] = rows_and_lines_sink(
-        metrics.country_counts(watermarked_transactions(decoded(), delay, with_seq)),
-        f"{out}/country_counts", f"{ck}/country_counts", fmt.country_line, trigger)
-    txa = watermarked_transactions(decoded(), delay, with_seq)
-    alerts = union_alerts(
-        rules.high_frequency_alerts(txa), stream_high_amount_alerts(txa),
-        stream_impossible_travel_alerts(txa), rules.merchant_burst_alerts(txa))
-    scored = score_alerts(alerts, risky_merchants, blacklisted_countries)
-    w = (scored.writeStream.outputMode("append")
-         .option("checkpointLocation", f"{ck}/alerts")
-         .foreachBatch(_AlertBatchWriter(out)))
-    queries["alerts"] = (w.trigger(**trigger) if trigger else w).start()
-    raw_tx = decoded().where(F.col("_kind") == "tx").select(*tx_columns(with_seq))
-    w = (raw_tx.writeStream.option("checkpointLocation", f"{ck}/exact")
-         .foreachBatch(ExactWindowsBatchWriter(f"{out}/exact")))
-    queries["exact_windows"] = (w.trigger(**trigger) if trigger else w).start()
-    w = (raw_tx.writeStream.option("checkpointLocation", f"{ck}/minute_emissions")
-         .foreachBatch(MinuteEmissionsWriter(f"{out}/minute_emissions")))
-    queries["minute_emissions"] = (w.trigger(**trigger) if trigger else w).start()
-    w = (raw_tx.writeStream.option("checkpointLocation", f"{ck}/late")
-         .foreachBatch(LateSplitBatchWriter(f"{out}/late", MINUTE_WINDOW_MS,
-                                            MINUTE_ALLOWED_LATENESS_MS)))
-    queries["late_transactions"] = (w.trigger(**trigger) if trigger else w).start()
-    queries["rejects"] = append_sink(stream_rejects(decoded()), f"{out}/rejects",
-                                     f"{ck}/rejects", "parquet", trigger)
-    return queries

@@ -21,20 +21,22 @@ from cardstream.operators.alerts import union_alerts
 from cardstream.operators.scoring import score_alerts
 from cardstream.operators.late import with_watermark_before
 from cardstream.plans.catalog import TX_COLUMNS, damaged_lines, default_refs, load_tx
-from cardstream.plans.job import exact_scored_alerts
+from cardstream.plans.job import (
+    exact_scored_alerts, read_job_alerts, read_job_windows, start_streaming_job,
+)
 from cardstream.plans.oracle import BATCH_SQL
 from cardstream.schema import (
-    MINUTE_ALLOWED_LATENESS_MS, MINUTE_WINDOW_MS, TX_FIELDS, flatten_alerts,
+    MINUTE_ALLOWED_LATENESS_MS, MINUTE_WINDOW_MS, RULE_HIGH_AMOUNT, RULE_IMPOSSIBLE_TRAVEL, TX_FIELDS,
+    flatten_alerts,
 )
 from cardstream.session import ensure_streaming_conf, scratch_path, stream_partitions
 from cardstream.sources.fixtures import fixture_transactions, read_events
+from cardstream.sources.json_lines import HEARTBEAT_FORMAT
 from cardstream.functions import format as fmt
 from cardstream.streaming.emissions import MinuteEmissionsWriter, read_minute_emissions
 from cardstream.streaming.exact import ExactWindowsBatchWriter, read_exact_windows
 from cardstream.streaming.late import LateSplitBatchWriter
-from cardstream.streaming.processors import (
-    stream_high_amount_alerts, stream_impossible_travel_alerts,
-)
+from cardstream.streaming.ordered import OrderedRules, read_ordered_alerts
 from cardstream.streaming.sinks import append_sink, read_upserts, upsert_sink
 from cardstream.streaming.source import (
     decoded_stream, stream_rejects, watermarked_transactions, write_drop_folder,
@@ -114,27 +116,53 @@ def s_merchant_burst_alerts(spark, sf_dir):
                                      rules.merchant_burst_alerts))
 
 
+def _tx_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return decoded_stream(spark, folder).where(F.col("_kind") == "tx").select(*TX_COLUMNS)
+
+
+def _foreach(spark: SparkSession, sf_dir: str, rows: DataFrame, writer, checkpoint: str):
+    """Start ``writer`` over the micro-batches of ``rows``."""
+    with stream_partitions(spark, state_partitions_for(spark, sf_dir)):
+        return (rows.writeStream.option("checkpointLocation", checkpoint)
+                .foreachBatch(writer).trigger(**AVAILABLE_NOW).start())
+
+
+def run_ordered(spark: SparkSession, sf_dir: str, name: str, rule: str) -> DataFrame:
+    """An ordered rule on a stream: halo rows from the tables of key tails."""
+    root = scratch_path(spark, name)
+    tx = _tx_stream(spark, _drop(spark, sf_dir, root))
+    _foreach(spark, sf_dir, tx, OrderedRules(f"{root}/out", [rule]), f"{root}/ckpt").awaitTermination()
+    return read_ordered_alerts(spark, f"{root}/out")
+
+
 def s_high_amount_alerts(spark, sf_dir):
-    return flatten_alerts(run_append(spark, sf_dir, "stream_high_amount",
-                                     stream_high_amount_alerts))
+    return flatten_alerts(run_ordered(spark, sf_dir, "stream_high_amount", RULE_HIGH_AMOUNT))
 
 
 def s_impossible_travel_alerts(spark, sf_dir):
-    return flatten_alerts(run_append(spark, sf_dir, "stream_impossible_travel",
-                                     stream_impossible_travel_alerts))
+    return flatten_alerts(run_ordered(spark, sf_dir, "stream_impossible_travel", RULE_IMPOSSIBLE_TRAVEL))
 
 
-def stream_scored(spark: SparkSession, tx: DataFrame) -> DataFrame:
-    risky, blacklist = default_refs(spark)
-    alerts = union_alerts(
-        rules.high_frequency_alerts(tx), stream_high_amount_alerts(tx),
-        stream_impossible_travel_alerts(tx), rules.merchant_burst_alerts(tx))
-    return score_alerts(alerts, risky, blacklist)
+def windowed_alerts(tx: DataFrame) -> DataFrame:
+    """Rules 1 and 4 over a watermarked stream."""
+    return union_alerts(rules.high_frequency_alerts(tx), rules.merchant_burst_alerts(tx))
 
 
 def s_scored_alerts(spark, sf_dir):
-    return flatten_alerts(run_append(spark, sf_dir, "stream_scored_alerts",
-                                     lambda tx: stream_scored(spark, tx)))
+    """The four rules over one drop folder: the windowed ones under Spark's watermark, the
+    ordered ones over their key tails; united and scored."""
+    ensure_streaming_conf(spark)
+    root = scratch_path(spark, "stream_scored_alerts")
+    drop = _drop(spark, sf_dir, root)
+    windowed = windowed_alerts(watermarked_transactions(decoded_stream(spark, drop), stream_delay(spark, sf_dir)))
+    with stream_partitions(spark, state_partitions_for(spark, sf_dir)):
+        started = [append_sink(windowed, f"{root}/windowed", f"{root}/ckpt-windowed", "parquet", AVAILABLE_NOW)]
+    started.append(_foreach(spark, sf_dir, _tx_stream(spark, drop), OrderedRules(f"{root}/ordered"), f"{root}/ckpt-ordered"))
+    for q in started:
+        q.awaitTermination()
+    rows = spark.read.schema(windowed.schema).parquet(f"{root}/windowed")
+    alerts = union_alerts(rows, read_ordered_alerts(spark, f"{root}/ordered"))
+    return flatten_alerts(score_alerts(alerts, *default_refs(spark)))
 
 
 def s_late_transactions(spark, sf_dir):
@@ -200,15 +228,11 @@ def s_scored_alerts_ontime(spark, sf_dir):
     root = scratch_path(spark, "stream_scored_ontime")
     drop = _drop(spark, sf_dir, root)
     tx = decoded_stream(spark, drop).where(F.col("_kind") == "tx").select(*TX_COLUMNS)
-    ordered = union_alerts(stream_high_amount_alerts(tx), stream_impossible_travel_alerts(tx))
-    with stream_partitions(spark, state_partitions_for(spark, sf_dir)):
-        started = [
-            append_sink(ordered, f"{root}/ordered", f"{root}/ckpt-ordered", "parquet", AVAILABLE_NOW),
-            (tx.writeStream.option("checkpointLocation", f"{root}/ckpt-exact")
-             .foreachBatch(ExactWindowsBatchWriter(f"{root}/exact")).trigger(**AVAILABLE_NOW).start())]
+    started = [_foreach(spark, sf_dir, tx, OrderedRules(f"{root}/ordered"), f"{root}/ckpt-ordered"),
+               _foreach(spark, sf_dir, tx, ExactWindowsBatchWriter(f"{root}/exact"), f"{root}/ckpt-exact")]
     for q in started:
         q.awaitTermination()
-    rows = spark.read.schema(ordered.schema).parquet(f"{root}/ordered")
+    rows = read_ordered_alerts(spark, f"{root}/ordered")
     return flatten_alerts(exact_scored_alerts(spark, f"{root}/exact", rows, *default_refs(spark)))
 
 
@@ -232,12 +256,63 @@ def s_high_amount_alerts_subcent(spark, sf_dir):
     tx = fixture_transactions(spark, sf_dir, sub_cent=True)
     lines = tx.select("arrival_seq", F.to_json(F.struct(*TX_FIELDS, "arrival_seq")).alias("value"))
     drop = write_lines_folder(spark, lines, f"{root}/in", stream_files(spark, sf_dir))
-    rows = decoded_stream(spark, drop).where(F.col("_kind") == "tx").select(*TX_COLUMNS)
-    result = stream_high_amount_alerts(rows)
-    with stream_partitions(spark, state_partitions_for(spark, sf_dir)):
-        q = append_sink(result, f"{root}/out", f"{root}/ckpt", "parquet", AVAILABLE_NOW)
-    q.awaitTermination()
-    return flatten_alerts(spark.read.schema(result.schema).parquet(f"{root}/out"))
+    writer = OrderedRules(f"{root}/out", [RULE_HIGH_AMOUNT])
+    _foreach(spark, sf_dir, _tx_stream(spark, drop), writer, f"{root}/ckpt").awaitTermination()
+    return flatten_alerts(read_ordered_alerts(spark, f"{root}/out"))
+
+
+def plain_lines(tx: DataFrame, heartbeat_after_ms: int | None = 86_400_000) -> DataFrame:
+    """Lines as the reference writes them (no position in them), and a last heartbeat."""
+    lines = tx.select("arrival_seq", fmt.tx_json().alias("value"))
+    if heartbeat_after_ms is None:
+        return lines
+    last = tx.agg(F.max("arrival_seq").alias("s"), F.max("event_time").alias("m")).select(
+        (F.col("s") + 1).alias("arrival_seq"),
+        F.format_string(HEARTBEAT_FORMAT, F.col("m") + F.lit(int(heartbeat_after_ms))).alias("value"))
+    return lines.unionByName(last)
+
+
+_JOB_RUNS: dict[tuple[str, str], str] = {}
+
+
+def run_job(spark: SparkSession, sf_dir: str) -> str:
+    """The whole streaming job over a drop folder of plain lines; its output folder. One run
+    of an application serves all queries over its outputs."""
+    run = (spark.sparkContext.applicationId, sf_dir)
+    if run not in _JOB_RUNS:
+        _JOB_RUNS[run] = _run_job(spark, sf_dir, scratch_path(spark, "stream-job"))
+    return _JOB_RUNS[run]
+
+
+def _run_job(spark: SparkSession, sf_dir: str, root: str) -> str:
+    drop = write_lines_folder(spark, plain_lines(fixture_transactions(spark, sf_dir)), f"{root}/in",
+                              stream_files(spark, sf_dir))
+    start_streaming_job(spark, drop, f"{root}/out", trigger=AVAILABLE_NOW, max_files_per_trigger=1,
+                        number_file_lines=True,
+                        state_partitions=state_partitions_for(spark, sf_dir)).awaitTermination()
+    return f"{root}/out"
+
+
+def s_job_scored_alerts(spark, sf_dir):
+    """The job's alert log: every on-time alert once."""
+    return flatten_alerts(read_job_alerts(spark, run_job(spark, sf_dir)))
+
+
+def s_job_late_transactions(spark, sf_dir):
+    """The job's late output, with positions taken from the files."""
+    late = spark.read.parquet(run_job(spark, sf_dir) + "/late/batch_id=*")
+    return late.select(*TX_COLUMNS, fmt.tx_json().alias("line"))
+
+
+def s_job_minute_total_emissions(spark, sf_dir):
+    """What the job prints of metric 1, up to the last heartbeat."""
+    out = run_job(spark, sf_dir)
+    return read_minute_emissions(spark, f"{out}/minute_emissions", True, f"{out}/progress")
+
+
+def s_job_metrics(name: str):
+    """A metric of the job, from its closed windows."""
+    return lambda spark, sf_dir: read_job_windows(spark, run_job(spark, sf_dir))[name]
 
 
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -265,9 +340,24 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_merchant_burst_alerts_ontime":
         lambda spark, sf_dir: run_exact_windows(spark, sf_dir, "merchant_burst_alerts"),
     "stream_scored_alerts_ontime": s_scored_alerts_ontime,
+    "stream_job_scored_alerts": s_job_scored_alerts,
+    "stream_job_late_transactions": s_job_late_transactions,
+    "stream_job_minute_total_emissions": s_job_minute_total_emissions,
+    "stream_job_category_average": s_job_metrics("category_average"),
+    "stream_job_country_counts": s_job_metrics("country_counts"),
 }
 
-_TWIN = {"stream_minute_totals_upsert": "minute_totals"}
+_TWIN = {
+    "stream_minute_totals_upsert": "minute_totals",
+    "stream_job_scored_alerts": "scored_alerts_ontime",
+    "stream_job_late_transactions": "late_transactions",
+    "stream_job_category_average": "category_average_ontime",
+    "stream_job_country_counts": "country_counts_ontime",
+}
 STREAM_ORACLE: dict[str, str] = {
     name: BATCH_SQL[_TWIN.get(name, name[len("stream_"):])] for name in STREAM_QUERIES
+    if name != "stream_job_minute_total_emissions"
 }
+# After the feed's last heartbeat the watermark has fired every window.
+STREAM_ORACLE["stream_job_minute_total_emissions"] = (
+    BATCH_SQL["minute_total_emissions"].replace("'end_of_input'", "'watermark'"))

@@ -35,8 +35,8 @@ JSON_OPTIONS = {
     "allowNonNumericNumbers": "false",
 }
 
-# What the job can count in exact integers: event times whose microseconds, and
-# amounts whose cents (a thousand billion of them summed), fit a 64-bit integer.
+# What the job can count in exact integers: event times whose microseconds, and amounts whose
+# cents, fit a 64-bit integer (sums of amounts have 38 digits).
 MAX_EVENT_TIME = 9_000_000_000_000_000
 MAX_AMOUNT = 1e12
 
@@ -58,33 +58,45 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 MAX_BROADCAST_SPLITS = 1_000_000
+# Where a line stands: its file (by modification time, then path), and its split in the file.
+SPLIT = ("_time", "_path", "_block")
+_SPLIT_META = ("file_modification_time", "file_path", "file_block_start")
+
+
+def _with_split(lines: DataFrame) -> DataFrame:
+    return lines.select("value", *[F.col(f"_metadata.{m}").alias(c) for m, c in zip(_SPLIT_META, SPLIT)])
+
+
+def number_lines(lines: DataFrame, first: int = 0) -> DataFrame:
+    """``value`` and ``arrival_seq`` from ``first`` on, of lines with their split and ``_row``
+    (ascending in a split): a running count over the splits, one row each, plus the line's
+    place in its split."""
+    splits = lines.groupBy(*SPLIT).agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    before = Window.orderBy(*SPLIT).rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select(*[F.col(c).alias(f"{c}_s") for c in SPLIT], (
+        F.coalesce(F.sum("_n").over(before), F.lit(0)) + F.lit(first) - F.col("_first")).alias("_offset"))
+    if splits.limit(MAX_BROADCAST_SPLITS + 1).count() <= MAX_BROADCAST_SPLITS:
+        splits = F.broadcast(splits)
+    on = [F.col(c) == F.col(f"{c}_s") for c in SPLIT]
+    return lines.join(splits, on[0] & on[1] & on[2]).select(
+        "value", (F.col("_row") + F.col("_offset")).alias("arrival_seq"))
 
 
 def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines (``value``) with ``arrival_seq``, their dense position in the input.
 
     The order is that of the files (modification time, then path), of the splits in
-    a file, and of the lines in a split. The lines are written to the shared folder
-    once; positions are a running count over the splits (one row each) plus the
-    line's place in its split.
+    a file, and of the lines in a split. The lines are written to the shared folder once.
     """
-    split = ["_time", "_path", "_block"]
-    meta = ("file_modification_time", "file_path", "file_block_start")
-    lines = spark.read.text(path).select(
-        "value", *[F.col(f"_metadata.{m}").alias(c) for m, c in zip(meta, split)],
-        F.monotonically_increasing_id().alias("_row"))
+    lines = _with_split(spark.read.text(path)).withColumn("_row", F.monotonically_increasing_id())
     target = scratch_path(spark, "numbered-lines")
     lines.write.parquet(target)
-    lines = spark.read.schema(lines.schema).parquet(target)
-    splits = lines.groupBy(*split).agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
-    before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.select(*[F.col(c).alias(f"{c}_s") for c in split], (
-        F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_offset"))
-    if splits.limit(MAX_BROADCAST_SPLITS + 1).count() <= MAX_BROADCAST_SPLITS:
-        splits = F.broadcast(splits)
-    on = [F.col(c) == F.col(f"{c}_s") for c in split]
-    return lines.join(splits, on[0] & on[1] & on[2]).select(
-        "value", (F.col("_row") + F.col("_offset")).alias("arrival_seq"))
+    return number_lines(spark.read.schema(lines.schema).parquet(target))
+
+
+def stream_placed_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming lines of a drop folder with their split, for ``number_lines`` in each micro-batch."""
+    return _with_split(stream_lines(spark, path, max_files_per_trigger))
 
 
 def stream_lines(spark: SparkSession, path: str,
@@ -117,18 +129,23 @@ def _whole_long(text: Column) -> Column:
     return text.try_cast(T.DecimalType(38, 9)).try_cast(T.LongType())
 
 
-def _json_container(text: Column) -> Column:
-    """A string value that is itself a JSON object or array."""
+def _json_container(line: Column, text: Column, field: str) -> Column:
+    """Whether a field that is read as text is a JSON object or array in its line, rather than a
+    string that looks like one. Only lines with such a look are parsed as VARIANT, which keeps
+    the types; one that VARIANT refuses (a field twice) counts as a container."""
     first = F.substring(java_trim(text), 1, 1)
-    return first.isin("{", "[") & F.get_json_object(text, "$").isNotNull()
+    looks = first.isin("{", "[") & F.get_json_object(text, "$").isNotNull()
+    value = F.try_variant_get(F.try_parse_json(line), f"$.{field}", "variant")
+    return F.when(looks, F.coalesce(F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)"), F.lit(True))).otherwise(False)
 
 
 def parse_lines(lines: DataFrame, value_col: str = "value",
-                seq_col: str | None = None) -> DataFrame:
+                seq_col: str | None = None, carry_seq: bool = True) -> DataFrame:
     """Typed rows with ``_kind`` in {tx, reject, heartbeat} and ``line``.
 
-    ``arrival_seq`` comes from the line's own ``arrival_seq`` field, or from
-    column ``seq_col`` of ``lines`` (e.g. the Kafka offset) when given.
+    ``arrival_seq`` comes from column ``seq_col`` of ``lines`` (a position, the Kafka offset)
+    when given, else from the line's own ``arrival_seq`` field; without ``carry_seq`` such a
+    field is any unknown one, and the column is null.
     """
     v = F.col(value_col)
     p = F.from_json(v, RAW_SCHEMA, JSON_OPTIONS)
@@ -143,16 +160,18 @@ def parse_lines(lines: DataFrame, value_col: str = "value",
     r = lambda c: F.col(f"_p.{c}")
     event_time = _whole_long(r("event_time"))
     amount = r("amount").try_cast(T.DoubleType())
-    seq = F.col("_seq_in") if seq_col else _whole_long(r("arrival_seq"))
+    own_seq = carry_seq and not seq_col
+    seq = (F.col("_seq_in") if seq_col else _whole_long(r("arrival_seq")) if own_seq
+           else F.lit(None).cast("bigint"))
     heartbeat = _whole_long(r("heartbeat_time"))
     heartbeat = F.when(F.abs(heartbeat) <= F.lit(MAX_EVENT_TIME), heartbeat)
     malformed = F.col("_p").isNull() | r("_corrupt").isNotNull()
     bad_value = ((r("event_time").isNotNull() & event_time.isNull())
                  | (r("amount").isNotNull() & amount.isNull()))
-    if not seq_col:
+    if own_seq:
         bad_value = bad_value | (r("arrival_seq").isNotNull() & seq.isNull())
     for c in STRING_FIELDS:
-        bad_value = bad_value | F.coalesce(_json_container(r(c)), F.lit(False))
+        bad_value = bad_value | F.coalesce(_json_container(line, r(c), c), F.lit(False))
     missing_key = F.lit(False)
     for c in KEY_FIELDS:
         missing_key = missing_key | r(c).isNull()
@@ -193,7 +212,7 @@ def parse_transactions(lines: DataFrame, value_col: str = "value",
                        with_seq: bool = False,
                        seq_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Decode lines into ``(transactions, rejects)``; heartbeats are dropped."""
-    typed = parse_lines(lines, value_col, seq_col)
+    typed = parse_lines(lines, value_col, seq_col, carry_seq=with_seq)
     tx = typed.where(F.col("_kind") == "tx").select(*tx_columns(with_seq))
     rejects = typed.where(F.col("_kind") == "reject").select("line", "reason")
     return tx, rejects

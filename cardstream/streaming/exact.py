@@ -4,12 +4,12 @@ Spark's native watermark keeps a superset of the rows the reference keeps
 (its late filter uses the previous micro-batch's watermark). This
 ``foreachBatch`` writer applies the exact per-row late rule instead: each
 micro-batch is split with the batch operator, seeded with the largest event
-time of earlier batches (the same carry log as the late-row writer), and its
-on-time rows become counts and amount sums per window and key, plus the last-arrived
-transaction. These merge associatively (sums; ``max_by`` on arrival order) with the table
-of open windows that the batch before wrote. Windows that the watermark has passed go to
-``closed`` and are final; the others go to this batch's table of ``open`` windows, which
-holds as many rows as windows and keys are open, whatever the stream's length.
+time of earlier batches (a one-row table per batch), and its on-time rows become
+counts and amount sums per window and key, plus the last-arrived transaction. These merge
+associatively (sums; ``max_by`` on the whole order) with the table of open windows that the
+batch before wrote. Windows that the watermark has passed go to ``closed`` and are final; the
+others go to this batch's table of ``open`` windows, which holds as many rows as windows and
+keys are open, whatever the stream's length.
 :func:`read_exact_windows` joins both, and gives exactly the on-time results of the batch
 form whatever the micro-batch cut. Writes are per ``batch_id`` and overwritten on replay.
 """
@@ -33,7 +33,7 @@ from cardstream.schema import (
     OUT_OF_ORDERNESS_MS, RULE_HIGH_FREQUENCY, RULE_MERCHANT_BURST,
     RULE_WINDOW_MINUTES, TX_STRUCT, resolve_order, tx_struct,
 )
-from cardstream.streaming.late import _Log
+from cardstream.streaming.progress import Progress, drop_folder, latest_time, newest_batch
 
 RULE_WINDOW_MS = RULE_WINDOW_MINUTES * 60_000
 # output -> (window ms, allowed lateness ms, key column or None)
@@ -48,9 +48,10 @@ WINDOWED = {
 WINDOWS = T.StructType([
     T.StructField("output", T.StringType()), T.StructField("window_end", T.LongType()),
     T.StructField("closes", T.LongType()), T.StructField("key", T.StringType()),
-    T.StructField("n", T.LongType()), T.StructField("cents", T.LongType()),
+    T.StructField("n", T.LongType()), T.StructField("cents", T.DecimalType(38, 0)),
     T.StructField("rest", T.LongType()), T.StructField("tx", TX_STRUCT),
-    T.StructField("last_seq", T.LongType())])
+    T.StructField("last", T.StructType([          # the order of the last row: its number, and its tie-break
+        T.StructField("seq", T.LongType()), T.StructField("tie", T.StringType())]))])
 
 
 class ExactWindowsBatchWriter:
@@ -63,31 +64,31 @@ class ExactWindowsBatchWriter:
         self.order_by = order_by
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        log = _Log(batch.sparkSession, f"{self.out}/_carry")
-        carry = log.latest_before(batch_id)
+        progress = Progress(batch.sparkSession, f"{self.out}/progress")
+        carry = progress.before(batch_id).max_event_time
         order = resolve_order(batch, self.order_by)
         marked = with_watermark_before(batch, order, self.delay_ms, carry_ms=carry).persist()
         try:
-            latest = marked.agg(F.max("event_time")).first()[0]
-            latest = max((v for v in (carry, latest) if v is not None), default=None)
-            self._write(marked, order[0], batch_id, latest)
+            latest = latest_time(marked, carry)
+            self.write(marked, order, batch_id, latest)
         finally:
             marked.unpersist()
-        log.write(batch_id, latest)
-        # a replay of this batch reads the table before it; nothing reads older ones
-        log.drop(f"{self.out}/open/batch_id={batch_id - 2}")
+        progress.commit(batch_id, latest)
 
-    def _write(self, marked: DataFrame, seq: str, batch_id: int, latest: int | None) -> None:
+    def write(self, marked: DataFrame, order: Sequence[str], batch_id: int, latest: int | None) -> None:
+        """Closed and open windows of a batch whose rows carry ``wm_before``; ``latest`` is the
+        largest event time up to its end."""
         spark = marked.sparkSession
         parts = []
+        tie = F.col(order[1]).cast("string") if len(order) > 1 else F.lit(None).cast("string")
+        last = F.struct(F.col(order[0]).cast("bigint").alias("seq"), tie.alias("tie"))
         for name, (window_ms, lateness_ms, key) in WINDOWED.items():
             on = (marked.where(~late_flag(window_ms, lateness_ms))
                   .withColumn("window_end", tumbling_end_ms("event_time", window_ms)))
             keys = ["window_end"] + ([F.col(key).alias("key")] if key else [])
             aggs = [F.count(F.lit(1)).alias("n"), *amount_sums("")]
             if name in ("high_frequency", "merchant_burst"):
-                aggs += [F.max_by(tx_struct(), F.col(seq)).alias("tx"),
-                         F.max(seq).cast("bigint").alias("last_seq")]
+                aggs += [F.max_by(tx_struct(), last).alias("tx"), F.max(last).alias("last")]
             parts.append(on.groupBy(*keys).agg(*aggs).withColumns({
                 "output": F.lit(name),
                 "closes": F.col("window_end") + F.lit(lateness_ms)}))
@@ -97,34 +98,43 @@ class ExactWindowsBatchWriter:
                 f"{self.out}/open/batch_id={batch_id - 1}"), allowMissingColumns=True)
         merged = (here.groupBy("output", "window_end", "closes", "key").agg(
             *[F.sum(c).alias(c) for c in ("n", "cents", "rest")],
-            F.max_by("tx", "last_seq").alias("tx"), F.max("last_seq").alias("last_seq"))
-            .select(*WINDOWS.fieldNames()).persist())
+            F.max_by("tx", "last").alias("tx"), F.max("last").alias("last"))
+            .select(*[F.col(f.name).cast(f.dataType) for f in WINDOWS.fields]).persist())
         closed = F.lit(False) if latest is None else F.col("closes") <= F.lit(latest - self.delay_ms)
         try:
-            # closed windows first: a reader takes those up to the newest open table's batch
             for table, rows in (("closed", merged.where(closed)), ("open", merged.where(~closed))):
                 rows.write.mode("overwrite").parquet(f"{self.out}/{table}/batch_id={batch_id}")
         finally:
             merged.unpersist()
+        # a replay of this batch reads the table before it; nothing reads older ones
+        drop_folder(spark, f"{self.out}/open/batch_id={batch_id - 2}")
 
+    def closed(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """The windows that a batch closed."""
+        return spark.read.schema(WINDOWS).parquet(f"{self.out}/closed/batch_id={batch_id}")
 
-def _windows(spark: SparkSession, out: str) -> DataFrame:
-    """Every window of the stream once: the closed ones, and those of the newest open table
-    (which, once a row came, is never empty: the window of the latest row is open)."""
+
+def _windows(spark: SparkSession, out: str, progress: str | None) -> DataFrame:
+    """Every window of the stream once: the closed ones, and those that the newest committed
+    batch left open."""
     root = out.rstrip("/")
+    last = newest_batch(spark, progress or f"{root}/progress")
+    if last < 0:
+        return spark.createDataFrame([], WINDOWS)
     schema = T.StructType([*WINDOWS.fields, T.StructField("batch_id", T.LongType())])
-    opened, closed = (spark.read.schema(schema).option("basePath", f"{root}/{t}").parquet(f"{root}/{t}")
-                      for t in ("open", "closed"))
-    last = opened.agg(F.max("batch_id")).first()[0]
-    last = -1 if last is None else last
-    return (opened.where(F.col("batch_id") == last)
-            .unionByName(closed.where(F.col("batch_id") <= last)).drop("batch_id"))
+    closed = spark.read.schema(schema).option("basePath", f"{root}/closed").parquet(f"{root}/closed")
+    return (spark.read.schema(WINDOWS).parquet(f"{root}/open/batch_id={last}")
+            .unionByName(closed.where(F.col("batch_id") <= last).drop("batch_id")))
+
 
+def read_exact_windows(spark: SparkSession, out: str, progress: str | None = None) -> dict[str, DataFrame]:
+    """On-time metrics and the two windowed alert outputs. ``progress`` names the writer's
+    progress table, if it lies elsewhere."""
+    return window_outputs(_windows(spark, out, progress))
 
-def read_exact_windows(spark: SparkSession, out: str) -> dict[str, DataFrame]:
-    """On-time metrics and the two windowed alert outputs."""
-    windows = _windows(spark, out)
 
+def window_outputs(windows: DataFrame) -> dict[str, DataFrame]:
+    """The outputs that rows of ``WINDOWS`` hold."""
     def of(name, *cols):
         return windows.where(F.col("output") == name).select("window_end", *cols)
 

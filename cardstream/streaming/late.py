@@ -1,68 +1,20 @@
 """Exact late-row split on a stream (EVT-3 S form) via ``foreachBatch``.
 
-Each micro-batch is split with the batch operator, seeded with the largest
-event time of all earlier micro-batches. That running maximum is kept as a
-tiny log beside the output (``_carry/<batch_id>``: max up to and including
-the batch), so a replayed batch finds the same seed and overwrites its own
-output: the result is idempotent and does not depend on batch boundaries.
+Each micro-batch is split with the batch operator, seeded with the largest event time of
+all earlier micro-batches, which a one-row table per batch carries. A replayed batch finds
+the same seed and overwrites its own output: the result is idempotent and does not depend
+on batch boundaries.
 """
 
 from __future__ import annotations
 
-import json
 from typing import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cardstream.operators.late import split_late
 from cardstream.schema import OUT_OF_ORDERNESS_MS
-
-
-class _Log:
-    def __init__(self, spark, path: str):
-        jvm = spark.sparkContext._jvm
-        self.jvm = jvm
-        self.root = jvm.org.apache.hadoop.fs.Path(path)
-        self.fs = self.root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _p(self, batch_id: int):
-        return self.jvm.org.apache.hadoop.fs.Path(self.root, f"{batch_id:012d}.json")
-
-    def read(self, batch_id: int):
-        p = self._p(batch_id)
-        if not self.fs.exists(p):
-            return None
-        stream = self.fs.open(p)
-        reader = self.jvm.java.io.BufferedReader(self.jvm.java.io.InputStreamReader(stream))
-        text = reader.readLine()
-        reader.close()
-        return json.loads(text)["max_event_time"]
-
-    def latest_before(self, batch_id: int):
-        """Cumulative max of the newest logged batch older than ``batch_id``.
-
-        Micro-batches run in order, so this is normally the entry of
-        ``batch_id - 1``; the log is listed only when that entry is missing.
-        """
-        if batch_id > 0 and self.fs.exists(self._p(batch_id - 1)):
-            return self.read(batch_id - 1)
-        if not self.fs.exists(self.root):
-            return None
-        ids = sorted(int(str(s.getPath().getName()).split(".")[0])
-                     for s in self.fs.listStatus(self.root)
-                     if str(s.getPath().getName()).endswith(".json"))
-        older = [i for i in ids if i < batch_id]
-        return self.read(older[-1]) if older else None
-
-    def drop(self, path: str) -> None:
-        """Remove a folder that no batch will read again; one that is gone is no error."""
-        self.fs.delete(self.jvm.org.apache.hadoop.fs.Path(path), True)
-
-    def write(self, batch_id: int, value):
-        out = self.fs.create(self._p(batch_id), True)
-        out.write(bytearray(json.dumps({"max_event_time": value}).encode()))
-        out.close()
+from cardstream.streaming.progress import Progress, latest_time
 
 
 class LateSplitBatchWriter:
@@ -81,8 +33,8 @@ class LateSplitBatchWriter:
         self.fmt = fmt
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        log = _Log(batch.sparkSession, f"{self.out}/_carry")
-        carry = log.latest_before(batch_id)
+        progress = Progress(batch.sparkSession, f"{self.out}/progress")
+        carry = progress.before(batch_id).max_event_time
         batch = batch.persist()
         try:
             on_time, late = split_late(batch, self.window_ms, self.lateness_ms,
@@ -92,8 +44,7 @@ class LateSplitBatchWriter:
             if self.write_on_time:
                 on_time.write.mode("overwrite").format(self.fmt).save(
                     f"{self.out}/on_time/batch_id={batch_id}")
-            bmax = batch.agg(F.max("event_time")).first()[0]
+            latest = latest_time(batch, carry)
         finally:
             batch.unpersist()
-        values = [v for v in (carry, bmax) if v is not None]
-        log.write(batch_id, max(values) if values else None)
+        progress.commit(batch_id, latest)

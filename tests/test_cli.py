@@ -85,6 +85,7 @@ def test_stream_cli_plain_lines(spark):
     last = tx.agg((F.max("arrival_seq") + 1).alias("arrival_seq"), F.max("event_time").alias("m")).select(
         "arrival_seq", F.format_string('{"heartbeat_time":%d}', F.col("m") + 86_400_000).alias("value"))
     drop = write_lines_folder(spark, lines.unionByName(last), f"{root}/in", 2)
-    assert run(spark, ["stream", "--source", drop, "--out", f"{root}/out", "--available-now", "--no-seq"]) == 0
+    assert run(spark, ["stream", "--source", drop, "--out", f"{root}/out", "--available-now", "--number-lines"]) == 0
+    assert spark.read.parquet(f"{root}/out/late/batch_id=*").count() == 7
     alerts = spark.read.parquet(f"{root}/out/alerts/batch_id=*")
     assert alerts.where(F.col("rule") == "High Frequency").count() == 1

@@ -105,3 +105,51 @@ def test_no_value_stops_the_job(spark):
     assert with_event_time(tx).count() == 1
     reasons = sorted(r.reason for r in rejects.collect())
     assert reasons.count("out_of_range") >= 6 and len(reasons) == 8
+
+
+def _line(**fields):
+    import json
+    return json.dumps({**{k: "x" for k in ("transaction_id", "card_id", "customer_id", "merchant_id",
+                                           "merchant_category", "country")}, "event_time": 1, "amount": 2, **fields})
+
+
+def test_text_that_looks_like_json_is_text(spark):
+    """A quoted object is a string; an object, an array or a field given twice is not."""
+    from cardstream.sources.json_lines import parse_lines
+    lines = [_line(merchant_id='{"a": 1}'), _line(merchant_id="[1, 2]"), _line(merchant_id=" {} "),
+             _line(merchant_id={"a": 1}), _line(merchant_id=[1]), _line(merchant_id="{not json"),
+             '{"merchant_id":"x","x":1,' + _line(merchant_id='{"a": 1}')[1:]]
+    rows = parse_lines(spark.createDataFrame([(v,) for v in lines], "value string")).collect()
+    got = [(r["_kind"], r["reason"], r["merchant_id"]) for r in rows]
+    assert [g[:2] for g in got] == [("tx", None)] * 3 + [("reject", "bad_value")] * 2 + [("tx", None), ("reject", "bad_value")]
+    assert [g[2] for g in got[:3]] == ['{"a": 1}', "[1, 2]", " {} "]
+
+
+def test_foreign_position_field_is_ignored(spark):
+    from cardstream.sources.json_lines import parse_lines
+    lines = spark.createDataFrame([(0, _line(arrival_seq="x7"))], "arrival_seq bigint, value string")
+    assert [r["_kind"] for r in parse_lines(lines, carry_seq=False).collect()] == ["tx"]
+    assert [(r["_kind"], r.arrival_seq) for r in parse_lines(lines, seq_col="arrival_seq").collect()] == [("tx", 0)]
+    assert [r.reason for r in parse_lines(lines).collect()] == ["bad_value"]
+
+
+def test_sums_of_the_largest_amounts(spark):
+    """100,000 accepted lines of 1e12 in one minute: a total, in batch and on a stream."""
+    from pyspark.sql import functions as F
+    from cardstream.operators.metrics import category_average, minute_total_emissions, minute_totals
+    from cardstream.session import scratch_path
+    from cardstream.sources.json_lines import parse_lines
+    from cardstream.functions.timecols import with_event_time
+    from cardstream.streaming.exact import ExactWindowsBatchWriter, read_exact_windows
+    lines = spark.range(100_000).select(F.col("id").alias("arrival_seq"), F.lit(_line(amount=1e12)).alias("value"))
+    tx = with_event_time(parse_lines(lines, seq_col="arrival_seq"))
+    row = minute_totals(tx).first()
+    assert row.total_amount == 1e17 and row.total_cents is None and row.n_tx == 100_000
+    assert category_average(tx).first().avg_amount == 1e12
+    assert minute_total_emissions(tx).first().total_amount == 1e17
+    writer = ExactWindowsBatchWriter(out := scratch_path(spark, "t-large-sums"))
+    writer(tx.where("arrival_seq < 60000"), 0)
+    writer(tx.where("arrival_seq >= 60000"), 1)
+    assert read_exact_windows(spark, out)["minute_totals"].first().total_amount == 1e17
+    small = minute_totals(tx.where("arrival_seq < 3")).first()
+    assert small.total_cents == 3 * 10**14
