@@ -27,15 +27,16 @@ def all_rule_alerts(tx: DataFrame, windowed_tx: DataFrame | None = None,
     """The four rules over ``tx``; windowed rules may read a different input
     (e.g. only on-time rows) through ``windowed_tx``."""
     wtx = tx if windowed_tx is None else windowed_tx
+    rows = tx.count()                    # bounds every key's and window's rows
     hot = {"customer_id": None, "card_id": None}
     if hot_rows is not None:
         # One pass finds the hot customers and the hot cards for rules 2 and 3.
-        hot = hot_key_tables(tx, ["customer_id", "card_id"], hot_rows)
+        hot = hot_key_tables(tx, ["customer_id", "card_id"], hot_rows, rows)
     return union_alerts(
-        high_frequency_alerts(wtx, order_by=order_by),
+        high_frequency_alerts(wtx, order_by=order_by, rows=rows),
         high_amount_alerts(tx, order_by=order_by, hot_rows=hot_rows,
                            hot_keys=hot["customer_id"]),
         impossible_travel_alerts(tx, order_by=order_by, hot_rows=hot_rows,
                                  hot_keys=hot["card_id"]),
-        merchant_burst_alerts(wtx, order_by=order_by),
+        merchant_burst_alerts(wtx, order_by=order_by, rows=rows),
     )

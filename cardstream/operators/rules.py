@@ -1,7 +1,7 @@
 """The four anomaly rules in batch form (RUL-1..4, AGG-3, AGG-4, FLT-2..4).
 
-Windowed rules (1, 4) are plain ``groupBy(window, key)`` aggregates with
-partial aggregation, and run unchanged on streams. The ordered rules (2, 3)
+Windowed rules (1, 4) are ``groupBy(window, key)`` aggregates with partial
+aggregation, and run unchanged on streams. The ordered rules (2, 3)
 use ROWS windows along arrival order through :func:`keyed_frames`, which
 splits very large keys; ``cardstream.streaming.ordered`` runs the same windows on streams.
 """
@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from cardstream.functions import format as fmt
 from cardstream.functions.timecols import amount_rest, exact_cents
-from cardstream.operators.sequence import DEFAULT_HOT_ROWS, HotKeys, keyed_frames
+from cardstream.operators.sequence import DEFAULT_HOT_ROWS, HotKeys, keyed_frames, written
 from cardstream.schema import (
     HIGH_AMOUNT_HISTORY, HIGH_AMOUNT_MIN_AMOUNT, HIGH_AMOUNT_MIN_HISTORY,
     HIGH_AMOUNT_RATIO, HIGH_FREQUENCY_MAX_TX, MERCHANT_BURST_MAX_TX,
@@ -36,37 +36,55 @@ def tx_type(df: DataFrame) -> T.DataType:
     return df.schema["tx"].dataType
 
 
+# Up to so many rows, an aggregate that carries whole rows beats a second read of the input.
+ONE_PASS_ROWS = DEFAULT_HOT_ROWS
+# Fired groups whose positions (16 bytes each) are broadcast.
+MAX_BROADCAST_FIRED = 1_000_000
+
+
 def window_count_rule(tx: DataFrame, key: str, entity_type: str, rule: str,
                       threshold: int, window_minutes: int = RULE_WINDOW_MINUTES,
-                      text_suffix: str = "",
-                      order_by: Sequence[str] | None = None) -> DataFrame:
+                      text_suffix: str = "", order_by: Sequence[str] | None = None,
+                      rows: int | None = None, one_pass_rows: int = ONE_PASS_ROWS) -> DataFrame:
     """Count per key per tumbling window; alert when ``count > threshold``.
 
     The alert carries the last-arrived transaction of the window (max by the
-    order columns) and its event time.
+    order columns) and its event time. ``rows`` bounds the rows of ``tx``, if known.
     """
     order = resolve_order(tx, order_by)
     window = F.window("ts", f"{int(window_minutes)} minutes").alias("window")
-    last = F.max_by(tx_struct(), _order_key(order)).alias("tx")
-    if tx.isStreaming or len(order) > 1 or not isinstance(tx.schema[order[0]].dataType, T.IntegralType):
+    agg = None
+    if not tx.isStreaming and len(order) == 1 and isinstance(tx.schema[order[0]].dataType, T.IntegralType):
+        if (tx.count() if rows is None else rows) > one_pass_rows:
+            agg = _last_rows_fetched(tx, key, window, order[0], threshold)
+    if agg is None:
         agg = tx.groupBy(window, F.col(key).alias("entity_id")).agg(
-            F.count(F.lit(1)).alias("n_in_window"), last)
-    else:
-        # Two fixed-width values per group (a hash aggregate); the few groups that fire
-        # then fetch their last row.
-        fired = (tx.groupBy(window, F.col(key).alias("_key")).agg(
-            F.count(F.lit(1)).alias("n_in_window"), F.max(order[0]).alias("_last"))
-            .where(F.col("n_in_window") > F.lit(threshold))
-            .select(F.col("window").alias("_window"), "_key", "n_in_window", "_last"))
-        rows = tx.withColumn("_at", window)
-        agg = (rows.join(fired, (F.col("_at") == F.col("_window")) & (F.col(key) == F.col("_key"))
-                         & F.col(order[0]).eqNullSafe(F.col("_last")))
-               .groupBy(F.col("_window").alias("window"), F.col("_key").alias("entity_id"))
-               .agg(F.first("n_in_window").alias("n_in_window"), last))
+            F.count(F.lit(1)).alias("n_in_window"), F.max_by(tx_struct(), _order_key(order)).alias("tx"))
     return window_alerts_from_counts(agg, entity_type, rule, threshold,
                                      window_minutes, text_suffix)
 
 
+def _last_rows_fetched(tx: DataFrame, key: str, window, seq: str, threshold: int) -> DataFrame | None:
+    """Fired windows with their last row. Only two numbers per group are shuffled (a hash
+    aggregate); the fired groups' last positions are written down, and their rows fetched by a
+    broadcast of these. None where too many groups fire for that."""
+    fired = (tx.groupBy(window, F.col(key).alias("entity_id"))
+             .agg(F.count(F.lit(1)).alias("n_in_window"), F.max(seq).alias("_last"))
+             .where(F.col("n_in_window") > F.lit(threshold))
+             # a position tells a row; rows without one are refused below
+             .select("window", "entity_id", "n_in_window", "_last"))
+    fired = written(fired, "fired-windows")
+    n = fired.count()
+    if n > MAX_BROADCAST_FIRED:
+        return None
+    found = tx.join(F.broadcast(fired.select(F.col("_last").alias("_at"))), F.col(seq) == F.col("_at")).select(
+        F.col("_at"), F.col(key).alias("_key"), tx_struct().alias("tx"))
+    # both sides have no more rows than windows fired; equal positions are told apart by key
+    rows = found.groupBy("_at", "_key").agg(F.first("tx").alias("tx"))
+    return fired.join(rows, (F.col("_last") == F.col("_at")) & F.col("entity_id").eqNullSafe(F.col("_key")),
+                      "left").select("window", "entity_id", "n_in_window", "tx")
+
+
 def window_alerts_from_counts(counts: DataFrame, entity_type: str, rule: str,
                               threshold: int, window_minutes: int = RULE_WINDOW_MINUTES,
                               text_suffix: str = "") -> DataFrame:
@@ -84,19 +102,19 @@ def window_alerts_from_counts(counts: DataFrame, entity_type: str, rule: str,
 
 def high_frequency_alerts(tx: DataFrame, threshold: int = HIGH_FREQUENCY_MAX_TX,
                           window_minutes: int = RULE_WINDOW_MINUTES,
-                          order_by: Sequence[str] | None = None) -> DataFrame:
+                          order_by: Sequence[str] | None = None, rows: int | None = None) -> DataFrame:
     """Rule 1: more than ``threshold`` transactions per card per window."""
     return window_count_rule(tx, "card_id", "Card", RULE_HIGH_FREQUENCY,
-                             threshold, window_minutes, "", order_by)
+                             threshold, window_minutes, "", order_by, rows)
 
 
 def merchant_burst_alerts(tx: DataFrame, threshold: int = MERCHANT_BURST_MAX_TX,
                           window_minutes: int = RULE_WINDOW_MINUTES,
-                          order_by: Sequence[str] | None = None) -> DataFrame:
+                          order_by: Sequence[str] | None = None, rows: int | None = None) -> DataFrame:
     """Rule 4: more than ``threshold`` transactions per merchant per window."""
     return window_count_rule(tx, "merchant_id", "Merchant", RULE_MERCHANT_BURST,
                              threshold, window_minutes,
-                             MERCHANT_BURST_NORMAL_LOAD, order_by)
+                             MERCHANT_BURST_NORMAL_LOAD, order_by, rows)
 
 
 def high_amount_condition(hist_n, hist_cents, min_history=HIGH_AMOUNT_MIN_HISTORY,

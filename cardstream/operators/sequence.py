@@ -57,23 +57,23 @@ _HELPERS = ("_sub", "_start", "_lrn", "_rn", "_copy", "_block", "_halo")
 HotKeys = tuple  # (DataFrame of hot keys with their rows _n, number of hot keys)
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def hot_key_tables(df: DataFrame, keys: Sequence[str],
-                   hot_rows: int = DEFAULT_HOT_ROWS) -> dict[str, HotKeys]:
+def hot_key_tables(df: DataFrame, keys: Sequence[str], hot_rows: int = DEFAULT_HOT_ROWS,
+                   rows: int | None = None) -> dict[str, HotKeys]:
     """Hot keys of several key columns in one pass (grouping sets).
 
     One aggregate over ``(key1), (key2), …`` reads the key columns once; the
     small result is written down, and one tiny job counts it per key.
     """
     keys = list(keys)
-    if df.count() <= hot_rows:           # no key can have more; the count reads no column
+    if (df.count() if rows is None else rows) <= hot_rows:      # then no key has more
         return {k: (None, 0) for k in keys}
-    agg = _written(df.groupingSets([[k] for k in keys], *keys)
+    agg = written(df.groupingSets([[k] for k in keys], *keys)
                    .agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid"))
                    .where(F.col("_n") > F.lit(int(hot_rows))), "hot-keys")
     counts = {r["_gid"]: r["count"] for r in agg.groupBy("_gid").count().collect()}
@@ -90,7 +90,7 @@ def deal_by_range(df: DataFrame, by: Sequence[str], rows: int, per_range: int) -
     """``df`` (of ``rows`` rows) with ``_sub``, its range of about ``per_range`` rows in the
     order of ``by``. Written down, so that every later step sees the same ranges."""
     ranges = max(1, -(-int(rows) // int(per_range)))
-    return _written(df.repartitionByRange(ranges, *by).withColumn("_sub", F.spark_partition_id()),
+    return written(df.repartitionByRange(ranges, *by).withColumn("_sub", F.spark_partition_id()),
                     "hot-rows")
 
 

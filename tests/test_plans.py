@@ -56,3 +56,27 @@ def test_fixture_does_not_depend_on_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert utc == sg
+
+
+def test_windowed_rule_joins_no_rows(spark):
+    """One aggregate; or beyond its size, a narrow one and a broadcast of the fired positions."""
+    from cardstream.operators.rules import window_count_rule
+    from cardstream.schema import flatten_alerts
+    tx = load_tx(spark, SF01)
+    one = window_count_rule(tx, "merchant_id", "Merchant", "r", 10)
+    assert "Join" not in plan(one) and len(re.findall(r"\) Exchange", plan(one))) <= 2
+    two = window_count_rule(tx, "merchant_id", "Merchant", "r", 10, one_pass_rows=0)
+    p = plan(two)
+    # all rows meet the fired positions by broadcast; only fetched rows are shuffled
+    assert "BroadcastHashJoin" in p and "hashpartitioning(arrival_seq" not in p
+    rows = lambda df: sorted(tuple(r) for r in flatten_alerts(df).collect())
+    assert len(rows(one)) > 100 and rows(one) == rows(two)
+
+
+def test_windowed_rule_with_equal_positions(spark):
+    """Positions that repeat over keys: every alert keeps a row of its own key."""
+    from conftest import make_tx
+    from cardstream.operators.rules import window_count_rule
+    tx = make_tx(spark, [{"event_time": 60_000, "arrival_seq": i % 7, "card_id": f"c{i // 7}"} for i in range(21)])
+    got = window_count_rule(tx, "card_id", "Card", "r", 5, one_pass_rows=0).collect()
+    assert sorted((r.entity_id, r.tx.card_id, r.n_in_window) for r in got) == [(f"c{k}", f"c{k}", 7) for k in range(3)]
