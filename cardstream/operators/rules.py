@@ -133,18 +133,18 @@ def history_frames(history: int):
     """Window function of rule 2: number and sum (both parts) of the ``history`` amounts before a row."""
     def frames(df, part, order_cols):
         w = Window.partitionBy(*part).orderBy(*order_cols).rowsBetween(-history, -1)
-        return (df.withColumn("hist_n", F.count("amount_cents").over(w))
-                .withColumn("hist_sum_cents", F.sum("amount_cents").over(w))
-                .withColumn("hist_sum_rest", F.sum("_amount_rest").over(w)))
+        return df.withColumns({"hist_n": F.count("amount_cents").over(w),
+                               "hist_sum_cents": F.sum("amount_cents").over(w),
+                               "hist_sum_rest": F.sum("_amount_rest").over(w)})
     return frames
 
 
 def previous_frames(df: DataFrame, part, order_cols) -> DataFrame:
     """Window function of rule 3: country and event time of the row before."""
     w = Window.partitionBy(*part).orderBy(*order_cols)
-    return (df.withColumn("_has_prev", F.lag(F.lit(1)).over(w).isNotNull())
-            .withColumn("prev_country", F.lag("country").over(w))
-            .withColumn("prev_event_time", F.lag("event_time").over(w)))
+    return df.withColumns({"_has_prev": F.lag(F.lit(1)).over(w).isNotNull(),
+                           "prev_country": F.lag("country").over(w),
+                           "prev_event_time": F.lag("event_time").over(w)})
 
 
 def high_amount_alerts(tx: DataFrame, history: int = HIGH_AMOUNT_HISTORY,

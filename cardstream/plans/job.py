@@ -207,21 +207,22 @@ class JobBatchWriter:
         together(spark, rejects, late, lambda: self.emissions.write(tx, self.order, batch_id, latest),
                  lambda: self.exact.write(tx, self.order, batch_id, latest))
         closed = window_outputs(self.exact.closed(spark, batch_id))
-        rows = self.ordered.with_halo(tx.drop("wm_before"), batch_id)
+        large = n > self.ordered.hot_rows
 
         def lines(name, line):
             return lambda: write_lines(closed[name], line(), f"{self.out}/{name}_lines/{at}")
 
         def alerts():
             found = union_alerts(closed["high_frequency_alerts"], closed["merchant_burst_alerts"],
-                                 self.ordered.alerts(rows, self.order, n > self.ordered.hot_rows))
+                                 self.ordered.alerts(rows, self.order, large))
             scored = score_alerts(found, *self.refs)
             scored.write.mode("overwrite").parquet(f"{self.out}/alerts/{at}")
             write_lines(spark.read.schema(scored.schema).parquet(f"{self.out}/alerts/{at}"), fmt.alert_line(),
                         f"{self.out}/alert_lines/{at}")
 
-        together(spark, alerts, lambda: self.ordered.commit(rows, self.order, batch_id),
-                 lines("category_average", fmt.category_line), lines("country_counts", fmt.country_line))
+        with self.ordered.prepared(tx.drop("wm_before"), batch_id, large) as rows:
+            together(spark, alerts, lambda: self.ordered.commit(rows, self.order, batch_id),
+                     lines("category_average", fmt.category_line), lines("country_counts", fmt.country_line))
 
 
 def start_streaming_job(spark: SparkSession, source: str | DataFrame, out_root: str,

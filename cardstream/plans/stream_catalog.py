@@ -30,7 +30,7 @@ from cardstream.schema import (
     flatten_alerts,
 )
 from cardstream.session import ensure_streaming_conf, scratch_path, stream_partitions
-from cardstream.sources.fixtures import fixture_transactions, read_events
+from cardstream.sources.fixtures import fixture_transactions
 from cardstream.sources.json_lines import HEARTBEAT_FORMAT
 from cardstream.functions import format as fmt
 from cardstream.streaming.emissions import MinuteEmissionsWriter, read_minute_emissions
@@ -55,8 +55,12 @@ AVAILABLE_NOW = {"availableNow": True}
 ROWS_PER_STATE_PARTITION = 5_000
 
 
+def event_rows(spark: SparkSession, sf_dir: str) -> int:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").count()        # parquet footers
+
+
 def stream_files(spark: SparkSession, sf_dir: str) -> int:
-    rows = read_events(spark, sf_dir).count()        # parquet footer count
+    rows = event_rows(spark, sf_dir)
     return max(MIN_STREAM_FILES, -(-rows // ROWS_PER_STREAM_FILE))
 
 
@@ -69,7 +73,7 @@ def stream_delay(spark: SparkSession, sf_dir: str) -> str:
 
 
 def state_partitions_for(spark: SparkSession, sf_dir: str) -> int:
-    rows = read_events(spark, sf_dir).count()        # parquet footer count
+    rows = event_rows(spark, sf_dir)
     per_batch = max(1, rows // stream_files(spark, sf_dir))
     n = -(-per_batch // ROWS_PER_STATE_PARTITION)
     return max(2, min(spark.sparkContext.defaultParallelism, n))

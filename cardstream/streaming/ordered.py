@@ -15,6 +15,7 @@ overwrites its own outputs.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -99,6 +100,21 @@ class OrderedRules:
             out[rule] = rows.unionByName(past, allowMissingColumns=True)
         return out
 
+    @contextmanager
+    def prepared(self, batch: DataFrame, batch_id: int, large: bool):
+        """``with_halo`` for use by ``alerts`` and ``commit``: of a batch that no key can make
+        large, the rows are dealt by key once, for both."""
+        rows = self.with_halo(batch, batch_id)
+        if large:
+            yield rows
+            return
+        rows = {r: df.repartition(TAILS[r][0]).persist() for r, df in rows.items()}
+        try:
+            yield rows
+        finally:
+            for df in rows.values():
+                df.unpersist()
+
     def _tails(self, rows: dict[str, DataFrame], order: Sequence[str], batch_id: int) -> DataFrame:
         """The last rows of each touched key. Spark cuts each key's rows to that number before
         the shuffle, so a large key is no large partition."""
@@ -160,11 +176,12 @@ class OrderedRules:
         order = resolve_order(batch, self.order_by)
         batch = batch.persist()
         try:
-            rows = self.with_halo(batch, batch_id)
-            alerts = self.alerts(rows, order, batch.count() > self.hot_rows)
-            together(batch.sparkSession,
-                     lambda: alerts.write.mode("overwrite").parquet(f"{self.out}/alerts/batch_id={batch_id}"),
-                     lambda: self.commit(rows, order, batch_id))
+            large = batch.count() > self.hot_rows
+            with self.prepared(batch, batch_id, large) as rows:
+                alerts = self.alerts(rows, order, large)
+                together(batch.sparkSession,
+                         lambda: alerts.write.mode("overwrite").parquet(f"{self.out}/alerts/batch_id={batch_id}"),
+                         lambda: self.commit(rows, order, batch_id))
         finally:
             batch.unpersist()
 
