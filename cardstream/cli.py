@@ -11,6 +11,7 @@ under ``--out`` (parquet rows, text lines for alerts/metrics/late rows).
 from __future__ import annotations
 
 import argparse
+import hashlib
 import os
 import sys
 
@@ -18,6 +19,7 @@ from pyspark.sql import SparkSession
 
 CONF_DIR = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "conf")
 TEXT_OUTPUTS = {"alert_lines", "late_lines"}
+ALERT_LOG = {"alerts", "alert_lines"}
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -30,6 +32,7 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--blacklist", default=os.path.join(CONF_DIR, "country_blacklist.txt"))
     b = sub.choices["batch"]
     b.add_argument("--input", required=True, help="JSON transaction lines (file/folder/glob)")
+    b.add_argument("--run-id", help="names this run in the alert log (default: a hash of --input)")
     b.add_argument("--complete", action="store_true",
                    help="count every row (no late-row dropping)")
     b.add_argument("--no-seq", action="store_true",
@@ -63,13 +66,15 @@ def run(spark: SparkSession, argv: list[str]) -> int:
         outputs = run_batch_job(spark, lines=read(spark, args.input),
                                 risky_merchants=risky, blacklisted_countries=blacklist,
                                 complete=args.complete, lines_carry_seq=not args.no_seq)
+        run_id = args.run_id or hashlib.sha256(args.input.encode()).hexdigest()[:16]
         for name, df in outputs.items():
-            # the alert log grows from run to run
-            writer = df.write.mode("append" if name in ("alerts", "alert_lines") else "overwrite")
+            # the alert log grows from run to run; a run that is retried replaces its own part
+            folder = f"{out}/{name}/run={run_id}" if name in ALERT_LOG else f"{out}/{name}"
+            writer = df.write.mode("overwrite")
             if name in TEXT_OUTPUTS:
-                writer.text(f"{out}/{name}")
+                writer.text(folder)
             else:
-                writer.parquet(f"{out}/{name}")
+                writer.parquet(folder)
         return 0
     trigger = {"availableNow": True} if args.available_now else None
     start_streaming_job(

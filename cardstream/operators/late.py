@@ -20,16 +20,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardstream.functions.timecols import tumbling_end_ms
-from cardstream.operators.sequence import require_numeric_order
+from cardstream.operators.sequence import counted_width, require_numeric_order
 from cardstream.schema import OUT_OF_ORDERNESS_MS, resolve_order
 
-# Width of a bucket in units of the first order column (arrival_seq).
-DEFAULT_BUCKET_WIDTH = 1 << 20
-
 
 def with_watermark_before(df: DataFrame, order_by: Sequence[str] | None = None,
                           delay_ms: int = OUT_OF_ORDERNESS_MS,
-                          bucket_width: int = DEFAULT_BUCKET_WIDTH,
+                          bucket_width: int | None = None,
                           carry_ms: int | None = None) -> DataFrame:
     """Add ``wm_before``: watermark (ms) in force when the row arrived.
 
@@ -41,9 +38,9 @@ def with_watermark_before(df: DataFrame, order_by: Sequence[str] | None = None,
     # a row without a position has no watermark: refuse it instead of misplacing it
     position = F.coalesce(F.col(order[0]), F.raise_error(
         F.lit("order column is null: pass order_by, or number the lines")).cast(df.schema[order[0]].dataType))
-    bucket = F.floor(position / F.lit(bucket_width)).cast("long")
+    bucket = F.floor(position / F.lit(bucket_width or counted_width(df, order[0]))).cast("long")
     b = df.withColumn("_bucket", bucket)
-    # Bucket maxima: one row per bucket (rows / bucket_width of them, e.g.
+    # Bucket maxima: one row per bucket (rows / BUCKET_ROWS of them, e.g.
     # 10^6 rows for 10^12 input rows). The prefix max over this small table is
     # the only unpartitioned window here; it never sees the data rows.
     bucket_max = b.groupBy("_bucket").agg(F.max("event_time").alias("_bmax"))
@@ -73,7 +70,7 @@ def late_flag(window_ms: int, lateness_ms: int = 0):
 def split_late(df: DataFrame, window_ms: int, lateness_ms: int = 0,
                delay_ms: int = OUT_OF_ORDERNESS_MS,
                order_by: Sequence[str] | None = None,
-               bucket_width: int = DEFAULT_BUCKET_WIDTH,
+               bucket_width: int | None = None,
                carry_ms: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Return ``(on_time, late)`` for one window size / lateness setting."""
     marked = with_watermark_before(df, order_by, delay_ms, bucket_width, carry_ms)

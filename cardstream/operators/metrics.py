@@ -90,14 +90,11 @@ def minute_total_emissions(tx: DataFrame, window_ms: int = MINUTE_WINDOW_MS,
     (``emission`` 1, 2, … in arrival order, ``fired_by`` late_row). The last
     line of each window equals its on-time total.
     """
-    from cardstream.operators.late import (
-        DEFAULT_BUCKET_WIDTH, late_flag, with_watermark_before,
-    )
+    from cardstream.operators.late import late_flag, with_watermark_before
     from cardstream.operators.sequence import keyed_running_totals
 
     order = resolve_order(tx, order_by)
-    width = bucket_width or DEFAULT_BUCKET_WIDTH
-    marked = with_watermark_before(tx, order, delay_ms, width)
+    marked = with_watermark_before(tx, order, delay_ms, bucket_width)
     on = (marked.where(~late_flag(window_ms, lateness_ms))
           .withColumn("window_end", tumbling_end_ms("event_time", window_ms))
           .withColumn("_amount_rest", amount_rest())
@@ -119,7 +116,7 @@ def minute_total_emissions(tx: DataFrame, window_ms: int = MINUTE_WINDOW_MS,
         F.col("_n_pre").alias("n_tx"), F.col("_c_pre").alias("_cents"), F.col("_r_pre").alias("_rest"))
     again = on.where(~pre).withColumn("amount_cents", F.col("amount_cents").cast("decimal(20,0)"))
     running = keyed_running_totals(again, "window_end", order,
-                                   ["amount_cents", "_amount_rest"], width)
+                                   ["amount_cents", "_amount_rest"], bucket_width)
     again = running.join(base.select("window_end", "_n_pre", "_c_pre", "_r_pre"),
                          on="window_end", how="inner").select(
         "window_end", F.col("_run_n").cast("long").alias("emission"),

@@ -152,19 +152,36 @@ def keyed_frames(df: DataFrame, key: str, order_cols: Sequence[str],
     return cold_out.unionByName(hot_out.select(*cold_out.columns))
 
 
+# Rows of a bucket, about.
+BUCKET_ROWS = 1 << 20
+
+
+def counted_width(df: DataFrame, col: str) -> int:
+    """Width of ranges of ``col`` that hold about ``BUCKET_ROWS`` rows each: of a dense position
+    that number, else (an event time, sparse offsets) by the count and the span of the rows."""
+    if col == "arrival_seq":
+        return BUCKET_ROWS
+    low, high, n = df.agg(F.min(col), F.max(col), F.count(F.lit(1))).first()
+    if low is None:
+        return 1
+    return max(1, -(-(int(high) - int(low) + 1) // max(1, -(-n // BUCKET_ROWS))))
+
+
 def keyed_running_totals(df: DataFrame, key: str, order_cols: Sequence[str],
-                         values: Sequence[str], bucket_width: int) -> DataFrame:
+                         values: Sequence[str], bucket_width: int | None = None) -> DataFrame:
     """Running count and sums of ``values`` per key in order (current row
     included): ``_run_n`` and ``_run_<value>``.
 
     Skew-safe without a per-key window over all of a key's rows: rows are
     bucketed by ranges of the first order column; per (key, bucket) totals
     (a small table) give each bucket its carried totals, and a running total
-    inside each (key, bucket) — at most ``bucket_width`` positions — finishes it.
+    inside each (key, bucket) — about ``BUCKET_ROWS`` rows of all keys, or
+    ``bucket_width`` positions — finishes it.
     """
     order_cols = list(order_cols)
     require_numeric_order(df, order_cols)
-    b = df.withColumn("_rbk", F.floor(F.col(order_cols[0]) / F.lit(bucket_width)).cast("long"))
+    width = bucket_width or counted_width(df, order_cols[0])
+    b = df.withColumn("_rbk", F.floor(F.col(order_cols[0]) / F.lit(width)).cast("long"))
     per_bucket = b.groupBy(key, "_rbk").agg(F.count(F.lit(1)).alias("_bn"),
                                            *[F.sum(v).alias(f"_b_{v}") for v in values])
     before = Window.partitionBy(key).orderBy("_rbk").rowsBetween(Window.unboundedPreceding, -1)

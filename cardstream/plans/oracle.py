@@ -280,6 +280,9 @@ BATCH_SQL: dict[str, str] = {
         f"FROM scored_l"),
 }
 BATCH_SQL["job_scored_alerts"] = BATCH_SQL["scored_alerts_ontime"]
+BATCH_SQL["job_late_transactions"] = BATCH_SQL["late_transactions"]
+for _name in ("minute_totals", "category_average", "country_counts"):
+    BATCH_SQL[f"job_{_name}"] = BATCH_SQL[f"{_name}_ontime"]
 
 # --- amounts of more than two decimals ---------------------------------------------
 # Sums are of whole cents and of what amounts have beyond them, in 1e-7 cents.

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from cardstream.functions import format as fmt
 from cardstream.functions.timecols import amount_rest, exact_sum, tumbling_end_ms
-from cardstream.operators.late import DEFAULT_BUCKET_WIDTH, late_flag, with_watermark_before
+from cardstream.operators.late import late_flag, with_watermark_before
 from cardstream.operators.metrics import with_totals
 from cardstream.operators.sequence import keyed_running_totals
 from cardstream.schema import (
@@ -45,7 +45,7 @@ class MinuteEmissionsWriter:
 
     def __init__(self, out_path: str, window_ms: int = MINUTE_WINDOW_MS,
                  lateness_ms: int = MINUTE_ALLOWED_LATENESS_MS, delay_ms: int = OUT_OF_ORDERNESS_MS,
-                 order_by: Sequence[str] | None = None, bucket_width: int = DEFAULT_BUCKET_WIDTH):
+                 order_by: Sequence[str] | None = None, bucket_width: int | None = None):
         self.out = out_path.rstrip("/")
         self.window_ms, self.lateness_ms, self.delay_ms = window_ms, lateness_ms, delay_ms
         self.order_by, self.bucket_width = order_by, bucket_width

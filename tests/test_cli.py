@@ -12,9 +12,12 @@ def test_batch_cli(spark):
     json_lines_with_seq(fixture_transactions(spark, SF001)).select("value") \
         .write.text(f"{root}/in")
     assert run(spark, ["batch", "--input", f"{root}/in", "--out", f"{root}/out"]) == 0
-    alerts = spark.read.parquet(f"{root}/out/alerts")
-    assert alerts.count() == 73
+    assert spark.read.parquet(f"{root}/out/alerts").count() == 73
+    # a retried run replaces its alerts, another run adds its own
+    assert run(spark, ["batch", "--input", f"{root}/in", "--out", f"{root}/out"]) == 0
     assert spark.read.text(f"{root}/out/alert_lines").count() == 73
+    assert run(spark, ["batch", "--input", f"{root}/in", "--out", f"{root}/out", "--run-id", "second"]) == 0
+    assert spark.read.text(f"{root}/out/alert_lines").count() == 2 * 73
     assert spark.read.parquet(f"{root}/out/late_transactions").count() == 7
     assert spark.read.parquet(f"{root}/out/rejects").count() == 0
 

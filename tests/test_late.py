@@ -40,3 +40,13 @@ def test_order_column_must_be_numeric(spark):
     tx = make_tx(spark, [dict(event_time=1)])
     with pytest.raises(ValueError, match="must be numeric"):
         split_late(tx, 60_000, order_by=["transaction_id"])
+
+
+def test_bucket_width_follows_the_rows(spark):
+    """Sparse positions and event times: about as many buckets as the rows fill, one task's worth each."""
+    from cardstream.operators import sequence
+    from pyspark.sql import functions as F
+    rows = spark.range(1000).select((F.col("id") * 10**9).alias("offset"), F.col("id").alias("arrival_seq"))
+    assert sequence.counted_width(rows, "arrival_seq") == sequence.BUCKET_ROWS
+    assert sequence.counted_width(rows, "offset") > 999 * 10**9
+    assert sequence.counted_width(rows.limit(0), "offset") == 1
