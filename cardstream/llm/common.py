@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,29 +21,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_SCRATCH: list[str] = []
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scratch_tables", default=None)
+
+
+@contextmanager
+def scratch_scope() -> Iterator[list[str]]:
+    """Collects the tables that ``written`` makes inside the ``with`` block, for ``remove`` once
+    what reads them is stored. Tables made outside any scope stay."""
+    made: list[str] = []
+    token = _SCOPE.set(made)
+    try:
+        yield made
+    finally:
+        _SCOPE.reset(token)
 
 
 def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Cut lineage: write ``df`` under ``spark.checkpoint.dir`` and read it back.
 
-    The folder is shared by all executors, so a lost executor loses nothing. Unless
-    it is to be kept, ``release`` may remove it.
+    The folder is shared by all executors, so a lost executor loses nothing. With ``keep``
+    the table belongs to no scope.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    if not keep:
-        _SCRATCH.append(path)
+    made = _SCOPE.get()
+    if made is not None and not keep:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Remove the tables that ``written`` made so far, for callers that have stored all
-    results which read them."""
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that nothing will read again."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _SCRATCH:
-        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+    while paths:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
         path.getFileSystem(conf).delete(path, True)
 
 

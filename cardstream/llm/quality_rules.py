@@ -8,12 +8,14 @@ sketches, and documents are filtered by a join with their group's fences.
 The sketch is a log-linear histogram: a ratio in parts per million is an
 integer, and its bucket is the integer with all but its top seven bits
 cleared, so a quantile is right to one part in 64. Two sketches merge by adding
-counts; merging is exact, needs no order and no random numbers, and lets a
-small group fall back on its language's and then the whole corpus's sketch.
+counts; merging is exact, needs no order and no random numbers. A language's sketch
+is merged with the whole corpus's at the weight of ``PRIOR`` documents, and a group's
+with its language's in the same way: a small group is judged by its language, a large
+one by itself, and no size switches between the two.
 
 Defined cases: null text counts as empty (no words, so the base rule rejects
-it); null ``lang`` or ``source`` is a group of its own; repeated rows each get
-the same result; an empty table gives an empty result; extra columns are
+it); null ``lang`` or ``source`` is a group of its own; a very long text is counted
+whole; a value on a fence is inside; repeated rows each get the same result; an empty table gives an empty result; extra columns are
 carried by ``quality_filter`` whatever their names.
 """
 
@@ -38,8 +40,10 @@ RATIOS = {
     "upper_share": (False, 60_000),
 }
 FENCE = 6.0            # spreads beyond the quartiles
-MIN_GROUP = 200        # documents a group needs for fences of its own
+PRIOR = 200            # documents that a language's sketch counts for in a group's, and the corpus's in its
+UNIT = 100             # parts of a document that merged sketches count in
 MAX_BROADCAST_GROUPS = 100_000
+MAX_BROADCAST_BUCKETS = 1_000_000
 
 
 def _repeat_words(words: list[bytes]) -> int:
@@ -128,48 +132,61 @@ def sketches(counts: DataFrame) -> DataFrame:
             .unionByName(whole.withColumns({"lang": null, "source": null, "level": F.lit(2)}).select(order)))
 
 
+def _merged(own: DataFrame, parent: DataFrame, keys: list[str], shared: list[str]) -> DataFrame:
+    """Sketch rows (keys, bucket, n in units): ``own`` (keys, bucket, n in units) plus the
+    ``parent``'s (shared, bucket, n) at the weight of ``PRIOR`` documents."""
+    whole = F.sum("n").over(Window.partitionBy(*shared))              # one sketch of the parent
+    prior = parent.select(*[F.col(c).alias(f"p_{c}") for c in shared], "bucket",
+                          F.expr(f"{PRIOR * UNIT}L * n").alias("n"), whole.alias("whole"))
+    prior = prior.selectExpr(*[f"p_{c}" for c in shared], "bucket", "n div whole AS n").where("n > 0")
+    prior = written(prior, "quality-prior")
+    if prior.limit(MAX_BROADCAST_BUCKETS + 1).count() <= MAX_BROADCAST_BUCKETS:
+        prior = F.broadcast(prior)
+    on = F.lit(True)
+    for c in shared:
+        on &= F.col(c).eqNullSafe(F.col(f"p_{c}"))
+    given = own.select(*keys).distinct().join(prior, on).select(*keys, "bucket", "n")
+    return own.unionByName(given).groupBy(*keys, "bucket").agg(F.sum("n").alias("n"))
+
+
+def smoothed(sketch: DataFrame) -> DataFrame:
+    """Sketches of the groups (lang, source, ratio, bucket, n in units), each merged with its
+    language's, and that with the corpus's."""
+    level = lambda k, *keys: sketch.where(F.col("level") == k).select(
+        *keys, "ratio", "bucket", (F.col("n") * UNIT).alias("n"))
+    lang = _merged(level(1, "lang"), level(2), ["lang", "ratio"], ["ratio"])
+    return _merged(level(0, "lang", "source"), lang, ["lang", "source", "ratio"], ["lang", "ratio"])
+
+
 def fences(sketch: DataFrame) -> DataFrame:
-    """Per (lang, source, level): its documents ``n`` and a lower and upper fence per ratio.
+    """Per (lang, source): a lower and an upper fence per ratio.
 
     A window holds one sketch: its buckets, at most 64 for each power of two.
     """
-    keys = ["lang", "source", "level", "ratio"]
+    keys = ["lang", "source", "ratio"]
     rank = Window.partitionBy(*keys).orderBy("bucket")
     cum = sketch.withColumns({
         "upto": F.sum("n").over(rank),
         "total": F.sum("n").over(Window.partitionBy(*keys)),
     })
-    quantile = lambda q: F.min(F.when(F.col("upto") >= F.col("total") * q, F.col("bucket")))
+    quartile = lambda k: F.min(F.when(4 * F.col("upto") >= k * F.col("total"), F.col("bucket")))
     least = F.create_map(*[x for r, (_, s) in RATIOS.items() for x in (F.lit(r), F.lit(float(s)))])
     spread = F.greatest(F.col("q3") - F.col("q1"), least[F.col("ratio")])
     lower = F.col("ratio").isin([r for r, (low, _) in RATIOS.items() if low])
     per_ratio = (cum.groupBy(*keys)
-                 .agg(quantile(0.25).alias("q1"), quantile(0.75).alias("q3"), F.max("total").alias("n"))
+                 .agg(quartile(1).alias("q1"), quartile(3).alias("q3"))
                  .withColumn("hi", F.col("q3") + F.lit(FENCE) * spread)
                  .withColumn("lo", F.when(lower, F.col("q1") - F.lit(FENCE) * spread)))
-    return (per_ratio.groupBy("lang", "source", "level")
-            .agg(F.max("n").alias("n"), *[
-                F.max(F.when(F.col("ratio") == r, F.col(side))).alias(f"{r}_{side}")
-                for r in RATIOS for side in ("lo", "hi")]))
+    return (per_ratio.groupBy("lang", "source")
+            .agg(*[F.max(F.when(F.col("ratio") == r, F.col(side))).alias(f"{r}_{side}")
+                   for r in RATIOS for side in ("lo", "hi")]))
 
 
-def thresholds(counts: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
-    """One row per (lang, source): fences of the group, of its language where the group
-    has fewer than ``min_group`` documents, of all documents where the language has too."""
-    level = fences(sketches(counts))
+def thresholds(counts: DataFrame) -> DataFrame:
+    """One row per (lang, source): the fences of its smoothed sketches."""
     sides = [f"{r}_{s}" for r in RATIOS for s in ("lo", "hi")]
-
-    def at(k: int, keys: list[str]) -> DataFrame:
-        return level.where(F.col("level") == k).select(
-            *[F.col(c).alias(f"{c}{k}") for c in keys],
-            F.struct(F.col("n"), *[F.col(s) for s in sides]).alias(f"f{k}"))
-
-    # at most one row of level 2, one row per language of level 1
-    g = at(0, ["lang", "source"]).join(at(1, ["lang"]), F.col("lang0").eqNullSafe(F.col("lang1")))
-    g = g.join(F.broadcast(at(2, [])), F.lit(True))
-    pick = (F.when(F.col("f0.n") >= min_group, F.col("f0"))
-            .when(F.col("f1.n") >= min_group, F.col("f1")).otherwise(F.col("f2")))
-    return g.select(F.col("lang0").alias("t_lang"), F.col("source0").alias("t_source"), pick.alias("fence"))
+    return fences(smoothed(written(sketches(counts), "quality-sketches"))).select(
+        F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), F.struct(*sides).alias("fence"))
 
 
 def verdict(counts: DataFrame, limits: DataFrame) -> DataFrame:

@@ -134,29 +134,35 @@ u AS (
 b AS (
   SELECT lang, source, ratio, (v >> greatest(length(bin(v)) - 7, 0)) << greatest(length(bin(v)) - 7, 0) AS bucket
   FROM u),
+g AS (SELECT lang, source, ratio, bucket, count(*) * 100 AS n FROM b GROUP BY ALL),
+l AS (SELECT lang, ratio, bucket, sum(n)::BIGINT AS n FROM g GROUP BY ALL),
+a AS (
+  SELECT ratio, bucket, (20000 * sum(n)::BIGINT) // (sum(sum(n)) OVER (PARTITION BY ratio))::BIGINT AS n
+  FROM l GROUP BY ratio, bucket),
+ls AS (
+  SELECT lang, ratio, bucket, sum(n)::BIGINT AS n FROM (
+    SELECT * FROM l
+    UNION ALL SELECT k.lang, k.ratio, a.bucket, a.n FROM (SELECT DISTINCT lang, ratio FROM l) k JOIN a USING (ratio))
+  GROUP BY ALL),
+lp AS (SELECT lang, ratio, bucket, (20000 * n) // (sum(n) OVER (PARTITION BY lang, ratio))::BIGINT AS n FROM ls),
 s AS (
-  SELECT 0 AS level, lang, source, ratio, bucket, count(*) AS n FROM b GROUP BY ALL
-  UNION ALL SELECT 1, lang, NULL, ratio, bucket, count(*) FROM b GROUP BY ALL
-  UNION ALL SELECT 2, NULL, NULL, ratio, bucket, count(*) FROM b GROUP BY ALL),
+  SELECT lang, source, ratio, bucket, sum(n)::BIGINT AS n FROM (
+    SELECT * FROM g
+    UNION ALL SELECT k.lang, k.source, k.ratio, lp.bucket, lp.n
+    FROM (SELECT DISTINCT lang, source, ratio FROM g) k
+    JOIN lp ON lp.ratio = k.ratio AND lp.lang IS NOT DISTINCT FROM k.lang)
+  GROUP BY ALL),
 c AS (
-  SELECT *, sum(n) OVER (PARTITION BY level, lang, source, ratio ORDER BY bucket) AS upto,
-         sum(n) OVER (PARTITION BY level, lang, source, ratio) AS total FROM s),
+  SELECT *, sum(n) OVER (PARTITION BY lang, source, ratio ORDER BY bucket) AS upto,
+         sum(n) OVER (PARTITION BY lang, source, ratio) AS total FROM s),
 q AS (
-  SELECT level, lang, source, ratio, max(total) AS n,
-         min(CASE WHEN upto >= total * 0.25 THEN bucket END) AS q1,
-         min(CASE WHEN upto >= total * 0.75 THEN bucket END) AS q3 FROM c GROUP BY ALL),
-f AS (
-  SELECT level, lang, source, ratio, n,
-         q3 + 6 * greatest(q3 - q1, least_spread) AS hi,
+  SELECT lang, source, ratio, min(CASE WHEN 4 * upto >= total THEN bucket END) AS q1,
+         min(CASE WHEN 4 * upto >= 3 * total THEN bucket END) AS q3 FROM c GROUP BY ALL),
+bounds AS (
+  SELECT lang, source, ratio, q3 + 6 * greatest(q3 - q1, least_spread) AS hi,
          CASE WHEN ratio = 'chars_per_word' THEN q1 - 6 * greatest(q3 - q1, least_spread) END AS lo
   FROM q JOIN (VALUES ('symbols_per_word', 30000), ('chars_per_word', 300000),
                       ('repeat_share', 30000), ('upper_share', 60000)) x(ratio, least_spread) USING (ratio)),
-bounds AS (
-  SELECT g.lang, g.source, g.ratio,
-         CASE WHEN g.n >= 200 THEN g.hi WHEN l.n >= 200 THEN l.hi ELSE a.hi END AS hi,
-         CASE WHEN g.n >= 200 THEN g.lo WHEN l.n >= 200 THEN l.lo ELSE a.lo END AS lo
-  FROM f g JOIN f l ON l.level = 1 AND l.ratio = g.ratio AND l.lang IS NOT DISTINCT FROM g.lang
-  JOIN f a ON a.level = 2 AND a.ratio = g.ratio WHERE g.level = 0),
 wide AS (
   SELECT lang, source, max(hi) FILTER (ratio = 'symbols_per_word') AS s_hi,
          max(hi) FILTER (ratio = 'chars_per_word') AS c_hi, max(lo) FILTER (ratio = 'chars_per_word') AS c_lo,

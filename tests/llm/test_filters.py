@@ -165,3 +165,22 @@ def test_punctuation_after_an_identifier_is_not_in_its_label():
 def test_expression_before_prose(line, value, names):
     found = C.scan(f"SPDX-License-Identifier: {line}".encode())
     assert (found["openness"], found["labels"]) == (value, names)
+
+
+def test_groups_of_any_size_are_judged_alike(spark):
+    """Sources of another form than their language: no size switches the verdict."""
+    from pyspark.sql import functions as F
+    counts = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, n_upper bigint"
+    prose = [("en", f"s{i % 3}", 100 + i % 40, 500 + 7 * (i % 40), i % 3, 0, 0, 4) for i in range(3000)]
+    kept = {}
+    for n in (150, 199, 200, 250):
+        code = [("en", "code", 100, 520, 45 + i % 11, 0, 0, 4) for i in range(n)]
+        rows = spark.createDataFrame(prose + code, f"lang string, source string, {counts}")
+        judged = Q.verdict(rows, Q.thresholds(rows))
+        got = {r.source: r["kept"] / r.n for r in judged.groupBy("source").agg(
+            F.sum(F.col("kept").cast("int")).alias("kept"), F.count(F.lit(1)).alias("n")).collect()}
+        kept[n] = got.pop("code")
+        assert set(got.values()) == {1.0}
+    assert set(kept.values()) == {1.0}
+    one = spark.createDataFrame(prose + [("en", "new", 100, 520, 90, 0, 0, 4)], f"lang string, source string, {counts}")
+    assert [r.kept for r in Q.verdict(one, Q.thresholds(one)).where("source = 'new'").collect()] == [False]

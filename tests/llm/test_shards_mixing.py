@@ -196,3 +196,17 @@ def test_sql_of_registered_queries(spark):
     for name, sql in R.ORACLE_SQL.items():
         res = compare(R.QUERIES[name](spark, SF001), con, sql, exact=True)
         assert res["ok"], (name, res)
+
+
+def test_stages_remove_their_own_tables_alone(spark, docs):
+    """A frame that a caller holds outlives a pipeline; a stage's tables go with the next stage."""
+    from cardstream.llm import quality_rules
+    from cardstream.llm.common import written
+    held = quality_rules.quality_rules(docs)
+    kept = written(corpus_pipeline.quality(spark, docs, "x"), "t-kept")
+    made = list(corpus_pipeline._MADE[corpus_pipeline.get_ident(), "x"])
+    corpus_pipeline.near_duplicates(spark, kept, "y")           # another run
+    assert made and corpus_pipeline._MADE[corpus_pipeline.get_ident(), "x"] == made
+    corpus_pipeline.near_duplicates(spark, kept, "x")
+    assert not set(made) & set(corpus_pipeline._MADE[corpus_pipeline.get_ident(), "x"])
+    assert held.count() == docs.count()
