@@ -73,7 +73,8 @@ class WordIds:
     #: Fixed value: the tokenizer file's own split pattern.
     RUNS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
-    def __init__(self, tokenizer_path: str):
+    def __init__(self, tokenizer_path: str, remember: int = CACHE_WORDS):
+        self.remember = remember
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
@@ -120,9 +121,9 @@ class WordIds:
         self.words.update(zip(new, range(k, k + len(new))))
 
     def ids(self, text: bytes) -> np.ndarray:
-        if len(self.words) > CACHE_WORDS or self.used > 16 * CACHE_WORDS:
+        if len(self.words) > self.remember or self.used > 16 * self.remember:
             self.clear()
-        if len(self.runs) > CACHE_WORDS:
+        if len(self.runs) > self.remember:
             self.runs = {}
         plain = b"\xcc" not in text and b"\xcd" not in text and b"<|" not in text
         words = (text.lower() if plain else text).split()
@@ -174,14 +175,15 @@ def powers_of_two(n: int) -> list[int]:
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
-                   text: str = "text") -> DataFrame:
+                   text: str = "text", remember: int = CACHE_WORDS) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset and
-    ``padded``, the length that its sequence takes up."""
+    ``padded``, the length that its sequence takes up. A worker remembers the ids of
+    ``remember`` words between its tasks (memory against time; the rows are the same)."""
     rows = docs.select(F.col(id_col), text_bytes(text).alias("__text"))
     id_type = rows.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _word_ids(tokenizer_path)
+        words = _word_ids(tokenizer_path, remember)
         first = TaskContext.get().partitionId() << 33
         made = 0
         id_kind: pa.DataType | None = None
@@ -232,11 +234,11 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     return rows.mapInArrow(run, f"`{id_col}` {id_type}, {PIECE_DDL}")
 
 
-_LOADED: dict[str, WordIds] = {}
+_LOADED: dict[tuple[str, int], WordIds] = {}
 
 
-def _word_ids(path: str) -> WordIds:
+def _word_ids(path: str, remember: int) -> WordIds:
     """A worker keeps its tokenizer and remembered words between tasks."""
-    if path not in _LOADED:
-        _LOADED[path] = WordIds(path)
-    return _LOADED[path]
+    if (path, remember) not in _LOADED:
+        _LOADED[path, remember] = WordIds(path, remember)
+    return _LOADED[path, remember]
