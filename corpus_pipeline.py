@@ -71,7 +71,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of up to 4096 tokens."""
-    return packing.pack_documents(docs, tokenizer_path())
+    return packing.pack_documents(docs, tokenizer_path(), remember=200_000)      # workers serve all stages
 
 
 STAGES = [
