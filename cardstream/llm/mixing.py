@@ -2,9 +2,17 @@
 
 The tokens of every (source, language, topic) cell are raked: their weights are
 scaled in turn so that the sources', then the languages', then the topics' sums
-meet the targets, until no sum is off by more than ``TOLERANCE``. A document's
-weight is its cell's fitted weight over the cell's tokens; the largest weight is
-sampled with probability ``rate`` (1 by default), the others in proportion. The draw is a
+meet the targets, until no sum is off by more than ``TOLERANCE``. Targets that no
+weights can meet together (a source and a language that only occur with each other,
+say) leave sums that stand still beside their targets: raking then ends with a warning
+that names the marginals and how far off they are, and topics, raked last, are met.
+
+A document's weight is its cell's fitted weight over the cell's tokens. Documents are
+sampled in proportion to it, at a rate that the bulk of the corpus sets: cells of
+the largest weights that together hold at most ``SHORT`` of the fitted weight are drawn
+whole (probability ``rate``, 1 by default), and the largest weight below them has that probability as well.
+So a rare value, which would need more documents than it has, does not thin out the
+others; the expected share of any value is off by at most ``SHORT`` through it. The draw is a
 hash of the row and a seed, so a run repeats itself on any cluster.
 
 Targets are shares per value; by default each marginal is tempered: a value's
@@ -21,14 +29,18 @@ empty table gives no rows; extra columns may have any names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import warnings
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ROW, whole_rows, written
 
 TEMPER = {"source": 0.9, "lang": 0.95, "topic": 0.95}
 TOLERANCE = 1e-6
-MAX_ROUNDS = 50
+STILL = 1e-3                  # raking stands still when three rounds gain less than this share
+SHORT = 0.01                  # fitted weight that cells too small for the rate may hold
+STEPS = 64                    # weights are ranked in so many steps per power of two
 SEED = 20
 MARGINS = ("source", "lang", "topic")
 MAX_BROADCAST_CELLS = 100_000
@@ -72,37 +84,57 @@ def target_shares(cell: DataFrame, margin: str, given: dict[str, float] | None)
         F.col(margin).alias("value"), (F.col("raw") / F.col("whole")).alias("share"))
 
 
-def rake(cell: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE,
-         max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def rake(cell: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE) -> DataFrame:
     """``cell`` with ``weight``: fitted shares, starting from the cells' tokens."""
     whole = cell.agg(F.sum("tokens").alias("whole"))
     now = written(cell.join(F.broadcast(whole), F.lit(True)).withColumn(
         "weight", F.col("tokens") / F.col("whole")).drop("whole"), "mix-cells")
     shares = {m: written(t, f"mix-{m}") for m, t in targets.items()}
-    for _ in range(max_rounds):
-        step = now.withColumn("off", F.lit(0.0))
+    best, idle = float("inf"), 0
+    while True:
+        step = now.drop(*[f"off_{m}" for m in MARGINS])
         for m in MARGINS:
             sums = step.groupBy(m).agg(F.sum("weight").alias("sum"))
             scale = sums.join(shares[m], F.col(m) == F.col("value")).select(
-                F.col(m).alias("s_value"), "share", "sum",
+                F.col(m).alias("s_value"), F.abs(F.col("sum") - F.col("share")).alias(f"off_{m}"),
                 F.when(F.col("sum") > 0, F.col("share") / F.col("sum")).otherwise(0.0).alias("scale"))
-            step = step.join(scale, F.col(m) == F.col("s_value")).select(
-                *MARGINS, "tokens", "docs", (F.col("weight") * F.col("scale")).alias("weight"),
-                F.greatest("off", F.abs(F.col("sum") - F.col("share"))).alias("off"))
+            step = step.join(scale, F.col(m) == F.col("s_value")).withColumn(
+                "weight", F.col("weight") * F.col("scale")).drop("s_value", "scale")
         now = written(step, "mix-cells")
-        off = now.agg(F.max("off")).first()[0]
-        if off is None or off <= tolerance:
+        off = now.agg(*[F.max(f"off_{m}").alias(m) for m in MARGINS]).first().asDict()
+        worst = max((x for x in off.values() if x is not None), default=0.0)
+        if worst <= tolerance:
+            break
+        idle = idle + 1 if worst > best * (1 - STILL) else 0
+        best = min(best, worst)
+        if idle == 3:
+            told = ", ".join(f"{m} {x:.6f}" for m, x in off.items())
+            warnings.warn(f"targets contradict each other: largest deviations that remain are {told}")
             break
-    return now.drop("off")
+    return now.select(*cell.columns, "weight")
+
+
+def common_top(each: DataFrame, short: float) -> DataFrame:
+    """One row, ``top``: the largest weight per token once the cells of the largest ones,
+    ``short`` of the whole weight at most, are set aside.
+
+    Cells are counted into steps of a 64th of a power of two, a table bounded by the
+    range of doubles, in which the steps are summed from above.
+    """
+    steps = (each.where("each > 0").groupBy(F.floor(F.log2("each") * STEPS).alias("step"))
+             .agg(F.sum("weight").alias("weight"), F.max("each").alias("most")))
+    above = Window.orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return steps.withColumns({"down_to": F.sum("weight").over(above),
+                              "whole": F.sum("weight").over(Window.partitionBy())}).where(
+        F.col("down_to") > F.lit(short) * F.col("whole")).agg(F.max("most").alias("top"))
 
 
-def probabilities(fitted: DataFrame, rate: float = 1.0) -> DataFrame:
+def probabilities(fitted: DataFrame, rate: float = 1.0, short: float = SHORT) -> DataFrame:
     """Cells with the probability with which each of their documents is drawn."""
     each = fitted.withColumn("each", F.col("weight") / F.col("tokens"))
-    top = each.agg(F.max("each").alias("top"))
-    return each.join(F.broadcast(top), F.lit(True)).select(                     # one row
+    return each.join(F.broadcast(common_top(each, short)), F.lit(True)).select(        # one row
         *[F.col(m).alias(f"p_{m}") for m in MARGINS], "weight",
-        F.when(F.col("top") > 0, F.least(F.lit(1.0), F.lit(rate) * F.col("each") / F.col("top")))
+        F.when(F.col("top") > 0, F.lit(min(rate, 1.0)) * F.least(F.lit(1.0), F.col("each") / F.col("top")))
         .otherwise(0.0).alias("probability"))
 
 
@@ -113,7 +145,7 @@ def draw(*cols: Column) -> Column:
 
 def mixture(docs: DataFrame, id_col: str = "doc_id", topic_col: Column | None = None,
             targets: dict[str, dict[str, float]] | None = None, rate: float = 1.0,
-            carry: bool = False) -> DataFrame:
+            short: float = SHORT, carry: bool = False) -> DataFrame:
     """Per document: doc_id, source, lang, topic, tokens, weight, probability, sampled
     (and the whole row, with ``carry``)."""
     column = lambda n: F.col(f"`{n}`") if n in docs.columns else F.lit(None)
@@ -124,8 +156,8 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", topic_col: Column | None =
         *([whole_rows(docs)] if carry else []))
     narrow = written(cells(rows), "mix-counts")
     given = targets or {}
-    chance = written(probabilities(rake(narrow, {m: target_shares(narrow, m, given.get(m)) for m in MARGINS}), rate),
-                     "mix-chance")
+    fitted = rake(narrow, {m: target_shares(narrow, m, given.get(m)) for m in MARGINS})
+    chance = written(probabilities(fitted, rate, short), "mix-chance")
     if chance.limit(MAX_BROADCAST_CELLS + 1).count() <= MAX_BROADCAST_CELLS:
         chance = F.broadcast(chance)
     on = [F.col(m) == F.col(f"p_{m}") for m in MARGINS]

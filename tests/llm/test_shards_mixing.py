@@ -1,5 +1,6 @@
 """Sharding, mixing, the pipeline and the registered queries."""
 
+import math
 import random
 import zlib
 from collections import defaultdict
@@ -110,14 +111,28 @@ def cells_of(rows):
     return cells
 
 
-def check_mixture(rows, targets):
+def brute_top(want, cells, short):
+    """Largest weight per token below the steps that together hold at most ``short``."""
+    steps = defaultdict(lambda: [0.0, 0.0])
+    for k, w in want.items():
+        if w > 0:
+            s = steps[math.floor(math.log2(w / cells[k]) * M.STEPS)]
+            s[0], s[1] = s[0] + w, max(s[1], w / cells[k])
+    whole, down_to = sum(w for w, _ in steps.values()), 0.0
+    for _, (w, most) in sorted(steps.items(), reverse=True):
+        down_to += w
+        if down_to > short * whole:
+            return most
+
+
+def check_mixture(rows, targets, short=M.SHORT):
     cells = cells_of(rows)
     want = brute_rake(cells, targets)
-    top = max(want[k] / cells[k] for k in cells)
+    top = brute_top(want, cells, short)
     for r in rows:
         k = r.source, r.lang, r.topic
         assert r.weight == pytest.approx(want[k], rel=1e-3, abs=1e-9)
-        assert r.probability == pytest.approx(want[k] / cells[k] / top, rel=1e-3, abs=1e-9)
+        assert r.probability == pytest.approx(min(1.0, want[k] / cells[k] / top), rel=1e-3, abs=1e-9)
     # expected tokens meet every marginal
     for m, target in enumerate(targets):
         got = defaultdict(float)
@@ -126,7 +141,7 @@ def check_mixture(rows, targets):
         whole = sum(got.values())
         for v, share in target.items():
             if v in got:
-                assert got[v] / whole == pytest.approx(share, abs=1e-4)
+                assert got[v] / whole == pytest.approx(share, abs=1e-4 + short)
 
 
 def tempered(rows):
@@ -146,6 +161,8 @@ def test_mixture_documents(spark):
     rows = M.mixture(docs).collect()
     assert len(rows) == docs.count()
     check_mixture(rows, tempered(rows))
+    exact = M.mixture(docs, short=0.0).collect()
+    check_mixture(exact, tempered(exact), 0.0)
     drawn = sum(r.sampled for r in rows)
     mean = sum(r.probability for r in rows)
     assert abs(drawn - mean) < 5 * np.sqrt(sum(r.probability * (1 - r.probability) for r in rows) + 1)
@@ -162,6 +179,27 @@ def test_mixture_given_targets(spark):
     check_mixture(rows, [targets["source"], {"a": 0.3, "b": 0.7}, targets["topic"]])
 
 
+def test_one_stray_source_sets_no_rate(spark):
+    """A document of a new source leaves the others' probabilities as they are (nearly)."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source")
+    stray = spark.createDataFrame([(-1, "a stray text of a few words", "en", "stray")], docs.schema)
+    mean = lambda df: df.agg(F.avg("probability")).first()[0]
+    before = mean(M.mixture(docs))
+    rows = M.mixture(docs.union(stray))
+    assert mean(rows) > before - 0.02
+    assert rows.where("source = 'stray'").first().probability == 1.0
+
+
+def test_contradicting_targets_end_with_a_warning(spark):
+    """A source alone in its language: both tempered targets cannot be met."""
+    docs = spark.createDataFrame([(i, "x" * 400, "zz" if i % 3 == 0 else "en", "hot" if i % 3 == 0 else f"s{i % 2}")
+                                  for i in range(300)], "doc_id int, text string, lang string, source string")
+    targets = {"source": {"hot": 0.2, "s0": 0.4, "s1": 0.4}, "lang": {"zz": 0.3, "en": 0.7}, "topic": {"note": 1.0}}
+    with pytest.warns(UserWarning, match="contradict"):
+        rows = M.mixture(docs, targets=targets).collect()
+    assert len(rows) == 300 and all(0 < r.probability <= 1 for r in rows)
+
+
 def test_mixture_edges(edge, empty):
     rows = M.mixture(edge).collect()
     assert len(rows) == len(EDGE) and {r.source for r in rows} == {"(none)", "a", "b"}
