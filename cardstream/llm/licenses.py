@@ -1,20 +1,32 @@
 """Licence scan: notice phrases and identifier tags, and what their expressions allow.
 
 An Aho-Corasick automaton finds, in one pass over a text's words, every notice
-phrase and every identifier tag (``SPDX-License-Identifier:``). The expression
-after a tag is read by a shunting-yard parser (``with`` binds tighter than
-``and``, ``and`` tighter than ``or``; brackets group) and evaluated: ``and`` takes the
-least open side, ``or`` the most open, ``with`` opens a licence a little.
+phrase and every identifier tag (``SPDX-License-Identifier:``). From the place
+where the automaton found a tag, the longest expression is read, token by token, to the
+first token that cannot go on with it, at the latest to the line's end or the next tag, so
+a text is read once however many tags it has. A shunting-yard parser
+(``with`` binds tighter than ``and``, ``and`` tighter than ``or``; brackets group)
+orders it, and it is evaluated: ``and`` takes the least open side, ``or`` the most open,
+``with`` opens a licence a little.
+
+An identifier is a listed family's name, alone or followed by ``-`` or ``+`` and more
+(``gpl-2.0-or-later``), a family's name followed by ``license`` and a version (``Apache
+License 2.0`` is ``apache-2.0``), or a ``LicenseRef-``; after ``with``, a name that holds
+``exception`` or ends in ``-note``. No other word is a licence.
 
 Defined cases: null text counts as empty (no words, empty labels, score 0); an
-expression that words follow is read up to them, at half score (a name unknown
-here counts there if it has a digit or hyphen or an operator or sign follows); a tag with no
-expression still yields the listed licences named in its line, at half score; phrases match across line ends and punctuation, since only words count;
-repeated rows each get the same result; other columns are never read.
+expression that words follow is read up to them, at half score; a tag without
+an expression still yields the identifiers named up to the line's end or the next tag, at half score; a text of any length is read whole, in time that grows
+with its length; bytes that are not UTF-8 are replaced; phrases match across line ends and
+punctuation, since only words count; of equal findings each counts (ties need no order);
+repeated rows each get the same result; an empty table gives no rows; other columns are never read.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -47,11 +59,25 @@ NOTICE_PHRASES = {
 TAG = "spdx license identifier"
 # How open a licence family is, by the start of its identifier.
 OPENNESS = {
-    "mit": 1.0, "apache": 1.0, "bsd": 1.0, "isc": 1.0, "unlicense": 1.0, "cc0": 1.0, "0bsd": 1.0,
-    "zlib": 1.0, "cc-by-nc": 0.1, "cc-by-nd": 0.1, "cc-by-sa": 0.5, "cc-by": 0.9, "mpl": 0.6,
-    "epl": 0.6, "lgpl": 0.6, "agpl": 0.2, "gpl": 0.3, "all-rights-reserved": 0.0,
+    # permissive
+    "0bsd": 1.0, "afl": 0.9, "apache": 1.0, "artistic": 0.8, "blessing": 1.0, "blueoak": 1.0, "bsd": 1.0, "bsl": 1.0,
+    "cc0": 1.0, "curl": 1.0, "ecl": 1.0, "fsfap": 1.0, "fsful": 1.0, "ftl": 0.9, "hpnd": 1.0, "ibm-pibs": 1.0,
+    "icu": 1.0, "ijg": 1.0, "isc": 1.0, "libpng": 1.0, "libtiff": 1.0, "mit": 1.0, "mit-0": 1.0, "mulanpsl": 1.0,
+    "ncsa": 1.0, "ntp": 1.0, "openssl": 0.8, "pddl": 1.0, "php": 0.8, "postgresql": 1.0, "psf": 0.9, "python": 0.9,
+    "ruby": 0.9, "tcl": 1.0, "unicode": 0.9, "unlicense": 1.0, "upl": 1.0, "vim": 0.8, "w3c": 0.9, "wtfpl": 1.0,
+    "x11": 1.0, "zlib": 1.0, "zpl": 0.9,
+    # share alike, per file or library
+    "apsl": 0.5, "cddl": 0.5, "cecill-b": 0.9, "cecill-c": 0.6, "cpal": 0.4, "cpl": 0.5, "epl": 0.6, "eupl": 0.4, "lgpl": 0.6,
+    "lppl": 0.6, "mpl": 0.6, "ms-pl": 0.6, "ms-rl": 0.5, "odbl": 0.5, "ofl": 0.7, "osl": 0.3, "qpl": 0.4,
+    # share alike, whole works
+    "agpl": 0.2, "cecill": 0.3, "gfdl": 0.3, "gpl": 0.3, "sleepycat": 0.3, "sspl": 0.1,
+    # texts and media
+    "cc-by": 0.9, "cc-by-nc": 0.1, "cc-by-nd": 0.1, "cc-by-sa": 0.5, "cc-pddc": 1.0,
+    # not open
+    "busl": 0.1, "elastic": 0.1, "json": 0.5, "polyform": 0.1, "all-rights-reserved": 0.0,
 }
-UNKNOWN = 0.2
+OWN = ("licenseref-", "documentref-")      # identifiers that a document defines itself
+UNKNOWN = 0.2                              # openness of those
 PRIORITY = {"or": 1, "and": 2, "with": 3}
 
 _NOT_WORD = bytes(range(0x30)) + bytes(range(0x3A, 0x61)) + bytes(range(0x7B, 0x80))
@@ -63,26 +89,68 @@ def words_of(lowered: bytes) -> list[bytes]:
     return lowered.translate(_WORDS).split()
 
 
+def family(name: str) -> str | None:
+    """The longest listed family that an identifier is of: its name, alone or before ``-`` or ``+``."""
+    starts = [k for k in OPENNESS if name.startswith(k) and name[len(k): len(k) + 1] in ("", "-", "+")]
+    return max(starts, key=len, default=None)
+
+
 def openness(name: str) -> float:
-    """How freely a licence lets its text be used, 0 to 1, by its longest known start."""
-    starts = families(name)
-    return OPENNESS[max(starts, key=len)] if starts else UNKNOWN
+    """How freely a licence lets its text be used, 0 to 1, by its family."""
+    known = family(name)
+    return UNKNOWN if known is None else OPENNESS[known]
+
 
+def is_licence(word: str) -> bool:
+    return family(word) is not None or word.startswith(OWN)
 
-def families(name: str) -> list[str]:
-    """Listed families that an identifier is of: their name, alone or before ``-`` or ``+``."""
-    return [k for k in OPENNESS if name == k or name.startswith((f"{k}-", f"{k}+"))]
 
+def is_exception(word: str) -> bool:
+    return "exception" in word or word.endswith("-note") or word.startswith("additionref-")
 
-def is_identifier(word: str) -> bool:
-    """Whether a word with prose after it reads as a licence's identifier."""
-    return bool(families(word)) or any(c.isdigit() for c in word) or "-" in word.strip("-")
 
+def tokens_of(line: bytes, at: int, stop: int) -> Iterator[str]:
+    """Words and brackets of ``line[at:stop]``, one by one; punctuation around a word is no part of it."""
+    for found in _TOKEN.finditer(line, at, stop):
+        word = found[0].strip(_AROUND)
+        if word:
+            yield word.decode("utf-8", "replace")
 
-def tokens_of(expression: str) -> list[str]:
-    """Words and brackets; punctuation around a word is no part of an identifier."""
-    words = (w.strip(",;:.\"'") for w in expression.replace("(", " ( ").replace(")", " ) ").split())
-    return [w for w in words if w]
+
+def longest_start(tokens: Iterator[str]) -> tuple[list[str], bool]:
+    """The longest start of the tokens that is an expression, and whether it is all of them.
+
+    Tokens are taken until one cannot go on with an expression: where an operator is due and
+    another word comes, or a licence is due and a word that is none comes. A version after
+    a family's name and ``license`` joins that name.
+    """
+    taken: list[str] = []
+    depth, due, ends, beyond = 0, "licence", 0, False
+    between = 0                                   # words between a family's name and its version
+    for t in tokens:
+        named = due == "operator" and taken[-1] in OPENNESS
+        if named and t in _FILLERS and between < 2:
+            between += 1
+            continue
+        if named and _VERSION.fullmatch(t) and (between or t.startswith("v")):
+            taken[-1], between = f"{taken[-1]}-{t.lstrip('v')}", 0
+            continue
+        between = 0
+        if t == "(" and due == "licence":
+            depth += 1
+        elif t == ")" and due == "operator" and depth:
+            depth -= 1
+        elif t in PRIORITY and due == "operator":
+            due = "exception" if t == "with" else "licence"
+        elif due == "licence" and is_licence(t) or due == "exception" and is_exception(t):
+            due = "operator"
+        else:
+            beyond = True
+            break
+        taken.append(t)
+        if due == "operator" and not depth:
+            ends = len(taken)
+    return taken[:ends], ends == len(taken) and ends > 0 and not beyond
 
 
 def to_postfix(tokens: list[str]) -> list[str]:
@@ -120,63 +188,31 @@ def to_postfix(tokens: list[str]) -> list[str]:
     return out + waiting[::-1]
 
 
-def evaluate(postfix: list[str]) -> tuple[float, set[str]]:
-    """Openness of the expression and the licences it names."""
-    stack: list[tuple[float, set[str]]] = []
+def evaluate(postfix: list[str]) -> float:
+    """Openness of an expression."""
+    stack: list[float] = []
     for t in postfix:
         if t not in PRIORITY:
-            stack.append((openness(t), {t}))
+            stack.append(openness(t))
             continue
-        (b, right), (a, left) = stack.pop(), stack.pop()
+        right, left = stack.pop(), stack.pop()
         if t == "with":                       # an exception widens its licence and is no licence
-            stack.append((min(1.0, a + 0.2), left))
+            stack.append(min(1.0, left + 0.2))
         else:
-            stack.append((min(a, b) if t == "and" else max(a, b), left | right))
+            stack.append(min(left, right) if t == "and" else max(left, right))
     return stack[0]
 
 
-def longest_start(tokens: list[str]) -> list[str]:
-    """The longest start of the tokens that is an expression of identifiers, as postfix (or none).
-
-    It ends at the latest where an operator is due and another word comes, or where
-    an identifier is due and a word of prose comes.
-    """
-    depth, operand_due, ends = 0, True, 0
-    for i, t in enumerate(tokens):
-        if t == "(":
-            if not operand_due:
-                break
-            depth += 1
-        elif t == ")":
-            if operand_due or not depth:
-                break
-            depth -= 1
-        elif t in PRIORITY:
-            if operand_due:
-                break
-            operand_due = True
-        else:
-            after = tokens[i + 1] if i + 1 < len(tokens) else ")"
-            if not operand_due or not (is_identifier(t) or after in PRIORITY or not after[0].isalnum()):
-                break
-            operand_due = False
-        if not operand_due and not depth:
-            ends = i + 1
-    return to_postfix(tokens[:ends]) if ends else []
-
-
-def read_expression(line: str) -> tuple[float, set[str], bool]:
-    """(openness, licences, parsed to the end?) of the text after a tag."""
-    tokens = tokens_of(line.strip().strip("*/#-<>!;. \t"))
-    try:
-        value, names = evaluate(to_postfix(tokens))
-        return value, names, True
-    except ValueError:
-        start = longest_start(tokens)
-        if start:
-            return *evaluate(start), False
-        known = {t for t in tokens if families(t)}
-        return min(map(openness, known), default=UNKNOWN), known, False
+def read_expression(line: bytes, at: int = 0, stop: int | None = None) -> tuple[float, set[str], bool]:
+    """(openness, licences, read to the end?) of the expression that starts at ``at``."""
+    stop = len(line) if stop is None else stop
+    tokens, whole = longest_start(tokens_of(line, at, stop))
+    if not tokens:
+        named = {t for t in tokens_of(line, at, stop) if is_licence(t)}
+        return min(map(openness, named), default=UNKNOWN), named, False
+    names = {t for before, t in zip(["", *tokens], tokens)
+             if before != "with" and t not in PRIORITY and t not in "()"}
+    return evaluate(to_postfix(tokens)), names, whole
 
 
 def canonical(name: str) -> str:
@@ -202,6 +238,26 @@ def automaton() -> ahocorasick.Automaton:
 
 _FOUND = automaton()
 _TAG_TEXT = b"spdx-license-identifier:"
+_WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+_TOKEN = re.compile(rb"[()]|[^\s()]+")
+_AROUND = b",;:.\"'*/#<>!-"
+_FILLERS = ("license", "licence", "version")
+_VERSION = re.compile(r"v?\d+(\.\d+)*")
+
+
+def tag_ends(lowered: bytes, tags: list[int]) -> list[int]:
+    """Where the text of each tag that begins at the given word (ascending) ends; words in
+    between that are no tag as written (``spdx license identifier``) are left out."""
+    ends, due = [], iter(tags)
+    next_tag = next(due)
+    for k, found in enumerate(_WORD.finditer(lowered)):
+        if k == next_tag:
+            if lowered.startswith(_TAG_TEXT, found.start()):
+                ends.append(found.start() + len(_TAG_TEXT))
+            next_tag = next(due, None)
+            if next_tag is None:
+                break
+    return ends
 
 
 def scan(text: bytes) -> dict:
@@ -209,8 +265,8 @@ def scan(text: bytes) -> dict:
     lowered = text.lower()                         # bytes.lower(): A-Z alone
     words = words_of(lowered)
     line = f" {b' '.join(words).decode('utf-8', 'replace')} "
-    starts, base, labels, scores, open_to = [], set(), set(), [], []
-    tags = seen = word = 0                         # ``word`` words begin before ``seen``
+    starts, base, labels, scores, open_to, tags = [], set(), set(), [], [], []
+    seen = word = 0                                # ``word`` words begin before ``seen``
     for end, (back, kinds) in _FOUND.iter(line):
         start = end - back
         word += line.count(" ", seen, start) if start >= seen else -line.count(" ", start, seen)
@@ -226,18 +282,15 @@ def scan(text: bytes) -> dict:
                 scores.append(0.7)
                 open_to.append(openness(label))
             else:
-                tags += 1
-    if tags:
-        at = lowered.find(_TAG_TEXT)
-        while at >= 0:
-            stop = lowered.find(b"\n", at)
-            rest = lowered[at + len(_TAG_TEXT): stop if stop >= 0 else len(lowered)]
-            value, names, parsed = read_expression(rest.decode("utf-8", "replace"))
-            labels |= {canonical(n) for n in names}
-            if names:
-                scores.append(1.0 if parsed else 0.5)
-                open_to.append(value)
-            at = lowered.find(_TAG_TEXT, at + 1)
+                tags.append(word)
+    ends = tag_ends(lowered, sorted(tags)) if tags else []
+    for at, after in zip(ends, [*(e - len(_TAG_TEXT) for e in ends[1:]), len(lowered)]):
+        stop = lowered.find(b"\n", at, after)
+        value, names, whole = read_expression(lowered, at, stop if stop >= 0 else after)
+        labels |= {canonical(n) for n in names}
+        if names:
+            scores.append(1.0 if whole else 0.5)
+            open_to.append(value)
     return {
         "n_words": len(words), "n_base": len(starts),
         "first_word": min(starts, default=None), "last_word": max(starts, default=None),
