@@ -16,7 +16,8 @@ are revisits that refer to it. Defined cases: null html is an empty payload
 (equal to other empty ones); a null page_id counts as the smallest, and where a
 group has no other, all its records are responses; rows repeated with the largest
 page_id are all responses; a null url is written empty; an empty table gives
-archives without records; extra columns are not written.
+archives without records; very long pages are written whole, few or one to a file; extra
+columns are not written.
 """
 
 from __future__ import annotations
@@ -37,6 +38,7 @@ from cardstream.session import scratch_path
 from .common import written
 
 RECORDS_PER_FILE = 2_000
+FILE_BYTES = 128 << 20            # inflated payloads of a file, unless one record alone is larger
 SEGMENT_BYTES = 8 << 20           # a normalised archive is closed when it is this large
 MAX_BROADCAST_GROUPS = 200_000
 CRLF = "\r\n"
@@ -63,8 +65,25 @@ def _roles(pages: DataFrame) -> DataFrame:
         "refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last")))
 
 
-def write_monolithic(pages: DataFrame, path: str) -> None:
-    """Write (page_id, url, html) as WARC records, each file one gzip stream."""
+def size_class(size: Column, file_bytes: int = FILE_BYTES) -> Column:
+    """0 for records of which ``RECORDS_PER_FILE`` fill a file at most, then one more for each 16 times."""
+    limit, found = file_bytes // RECORDS_PER_FILE, F.lit(0)
+    for k in range(1, 4):
+        found = F.when(size > limit * 16 ** (k - 1), k).otherwise(found)
+    return found
+
+
+def records_per_file(k: int, file_bytes: int = FILE_BYTES) -> int:
+    """Records of a size class that a file may hold; of the last class, one."""
+    return 1 if k == 3 else max(1, file_bytes // (file_bytes // RECORDS_PER_FILE * 16 ** k))
+
+
+def write_monolithic(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> None:
+    """Write (page_id, url, html) as WARC records, each file one gzip stream.
+
+    Records are written by size class, so that a file's records have ``file_bytes`` at most, or
+    are one: readers take whole files, and no file may grow with the pages in it.
+    """
     rows = _roles(pages.select(
         F.col("page_id").cast("bigint").alias("page_id"),
         F.regexp_replace(F.coalesce(F.col("url"), F.lit("")), r"[\r\n]", " ").alias("url"),
@@ -82,9 +101,15 @@ def write_monolithic(pages: DataFrame, path: str) -> None:
                                  F.col("refers_to").cast("string"), F.lit(">"))).otherwise(F.lit("")),
         F.lit(f"{CRLF}Content-Type: application/http;msgtype=response{CRLF}Content-Length: "),
         (F.octet_length(http) + F.octet_length(body)).cast("string"), F.lit(CRLF * 2))
-    (rows.select(F.concat(header, http, body).alias("record")).write
-     .option("lineSep", CRLF * 2).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE)
-     .option("zlib.compress.level", "BEST_SPEED").text(path))
+    kind = size_class(F.coalesce(F.octet_length("html"), F.lit(0))
+                      + F.coalesce(F.octet_length("url"), F.lit(0)), file_bytes)
+    classes = sorted(r[0] for r in pages.select(kind.alias("k")).distinct().collect()) or [0]   # four at most
+    for k in classes:
+        some = rows if len(classes) == 1 else rows.where(kind == k)
+        (some.select(F.concat(header, http, body).alias("record")).write.mode("append")
+         .option("lineSep", CRLF * 2).option("compression", "gzip")
+         .option("maxRecordsPerFile", records_per_file(k, file_bytes))
+         .option("zlib.compress.level", "BEST_SPEED").text(path))
 
 
 # ---------------------------------------------------------------- records

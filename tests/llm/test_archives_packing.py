@@ -50,6 +50,21 @@ def test_warc_edges(spark):
     assert read(pages.limit(0)) == []
 
 
+def test_files_are_closed_by_bytes(spark):
+    """Whatever the pages' sizes, a file holds ``file_bytes`` of payload at most, or one record."""
+    sizes = [10] * 300 + [900] * 300 + [20_000] * 40 + [300_000] * 3
+    pages = spark.createDataFrame([(i, "u", f"{i}:" + "z" * n) for i, n in enumerate(sizes)],
+                                  "page_id bigint, url string, html string").coalesce(1)
+    first, limit = scratch_path(spark, "t-mono"), 200_000
+    W.write_monolithic(pages, first, limit)
+    seen = 0
+    for r in spark.read.format("binaryFile").load(first).where("length > 0").collect():
+        found = list(W.records(W.inflate(bytes(r.content))))
+        seen += len(found)
+        assert len(found) == 1 or sum(W.read_record(x)["payload_bytes"] for x in found) <= limit
+    assert seen == len(sizes)
+
+
 def test_normalised_members_and_index(spark, monkeypatch):
     pages = spark.read.parquet(f"{SF001}/pages.parquet")
     first, second = scratch_path(spark, "t-mono"), scratch_path(spark, "t-warc")
