@@ -156,6 +156,22 @@ def keyed_frames(df: DataFrame, key: str, order_cols: Sequence[str],
 BUCKET_ROWS = 1 << 20
 
 
+PARTITION_BITS = 16                       # a source has up to 65,536 partitions
+
+
+def packed_position(partition: Column, offset: Column) -> Column:
+    """One arrival position for a line of a source of several partitions: ordered by offset, then
+    partition, whatever the order in which the partitions are read."""
+    known = partition.between(0, (1 << PARTITION_BITS) - 1)
+    return F.when(known, F.shiftleft(offset.cast("bigint"), PARTITION_BITS).bitwiseOR(partition.cast("bigint"))).otherwise(
+        F.raise_error(F.lit("source partition out of range")).cast("bigint"))
+
+
+def source_partition(position: Column) -> Column:
+    """The partition in a packed position."""
+    return position.bitwiseAND(F.lit((1 << PARTITION_BITS) - 1))
+
+
 def counted_width(df: DataFrame, col: str) -> int:
     """Width of ranges of ``col`` that hold about ``BUCKET_ROWS`` rows each: of a dense position
     that number, else (an event time, sparse offsets) by the count and the span of the rows."""

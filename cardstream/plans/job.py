@@ -21,7 +21,7 @@ from cardstream.functions import format as fmt
 from cardstream.functions.timecols import with_event_time
 from cardstream.operators import metrics, rules
 from cardstream.operators.alerts import all_rule_alerts, union_alerts
-from cardstream.operators.late import late_flag, with_watermark_before
+from cardstream.operators.late import late_flag, partition_times, with_watermark_before
 from cardstream.operators.scoring import score_alerts
 from cardstream.operators.sequence import DEFAULT_HOT_ROWS
 from cardstream.schema import (
@@ -38,6 +38,8 @@ from cardstream.streaming.ordered import OrderedRules
 from cardstream.streaming.progress import Progress, together
 from cardstream.streaming.sinks import write_lines
 
+PARTITION_DDL = "source_partition bigint, max_event_time bigint"
+
 
 def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
@@ -139,12 +141,21 @@ class JobBatchWriter:
 
     Heartbeats take part in the running maximum of event time and in nothing else: windows
     close and lines are printed after one though no transaction came.
+
+    With ``source_partitions`` n > 1 positions are ``packed_position``s of partitions 0 to n - 1.
+    A table per batch (``partition_times``) carries each partition's maximum; rows are late by
+    their own partition's, windows close by the least of them, none before every partition
+    has had a line (a heartbeat moves its own partition's). Metric 1 then prints one line per window,
+    when it closes, as an order of updates across partitions would be chance.
     """
 
     def __init__(self, out_root: str, risky_merchants: DataFrame, blacklisted_countries: DataFrame,
                  numbering: str = "field", delay_ms: int = OUT_OF_ORDERNESS_MS,
-                 hot_rows: int = DEFAULT_HOT_ROWS):
+                 hot_rows: int = DEFAULT_HOT_ROWS, source_partitions: int = 1):
+        if source_partitions > 1 and numbering != "column":
+            raise ValueError("several source partitions need lines with packed positions in arrival_seq")
         self.out = out_root.rstrip("/")
+        self.source_partitions = source_partitions
         self.refs = (risky_merchants, blacklisted_countries)
         self.numbering, self.delay_ms = numbering, delay_ms
         self.order = ["event_time", "transaction_id"] if numbering == "none" else ["arrival_seq"]
@@ -177,13 +188,19 @@ class JobBatchWriter:
         beats = typed.where("_kind = 'heartbeat'" if self.numbering in ("field", "none") else "false")
         timed = (typed.where("_kind <> 'reject'" if self.numbering in ("files", "column") else "_kind = 'tx'")
                  .withColumn("event_time", F.coalesce("heartbeat_time", "event_time")))
-        events = (with_watermark_before(timed, self.order, self.delay_ms, carry_ms=before.max_event_time)
+        several, carry = self.source_partitions > 1, None
+        if several and batch_id:
+            carry = spark.read.schema(PARTITION_DDL).parquet(f"{self.out}/partition_times/batch_id={batch_id - 1}")
+        events = (with_watermark_before(timed, self.order, self.delay_ms, partitioned=several, carry=carry,
+                                        carry_ms=None if several else before.max_event_time)
                   .select("_kind", *tx_columns(True), "wm_before").persist())
         try:
             here = events.agg(F.max("event_time").alias("m"), F.count(F.lit(1)).alias("n")).crossJoin(
                 beats.agg(F.max("heartbeat_time").alias("beat"))).first()            # one row each
             n = here.n
             latest = max((v for v in (before.max_event_time, here.m, here.beat) if v is not None), default=None)
+            if several:
+                latest = self._least_time(events, carry, batch_id)
             tx = events.where("_kind = 'tx'").drop("_kind")
             if self.numbering == "none":
                 tx = tx.drop("arrival_seq")
@@ -192,6 +209,16 @@ class JobBatchWriter:
             events.unpersist()
         progress.commit(batch_id, latest, lines)
 
+    def _least_time(self, events: DataFrame, carry: DataFrame | None, batch_id: int) -> int | None:
+        """The least of the partitions' largest event times; none until each has one."""
+        at = f"{self.out}/partition_times/batch_id={batch_id}"
+        partition_times(events, carry).coalesce(1).write.mode("overwrite").parquet(at)
+        times = events.sparkSession.read.schema(PARTITION_DDL).parquet(at)
+        here = times.agg(F.count(F.lit(1)).alias("n"), F.min("max_event_time").alias("least")).first()
+        if here.n > self.source_partitions:
+            raise ValueError(f"lines of {here.n} partitions, {self.source_partitions} declared")
+        return here.least if here.n == self.source_partitions else None
+
     def _outputs(self, typed: DataFrame, tx: DataFrame, batch_id: int, latest: int | None, n: int) -> None:
         at, spark = f"batch_id={batch_id}", tx.sparkSession
 
@@ -204,8 +231,11 @@ class JobBatchWriter:
             rows.write.mode("overwrite").parquet(f"{self.out}/late/{at}")
             write_lines(rows, fmt.late_line(), f"{self.out}/late_lines/{at}")
 
-        together(spark, rejects, late, lambda: self.emissions.write(tx, self.order, batch_id, latest),
-                 lambda: self.exact.write(tx, self.order, batch_id, latest))
+        def emissions():
+            if self.source_partitions == 1:
+                self.emissions.write(tx, self.order, batch_id, latest)
+
+        together(spark, rejects, late, emissions, lambda: self.exact.write(tx, self.order, batch_id, latest))
         closed = window_outputs(self.exact.closed(spark, batch_id))
         large = n > self.ordered.hot_rows
 
@@ -222,7 +252,8 @@ class JobBatchWriter:
 
         with self.ordered.prepared(tx.drop("wm_before"), batch_id, large) as rows:
             together(spark, alerts, lambda: self.ordered.commit(rows, self.order, batch_id),
-                     lines("category_average", fmt.category_line), lines("country_counts", fmt.country_line))
+                     lines("category_average", fmt.category_line), lines("country_counts", fmt.country_line),
+                     *([lines("minute_totals", fmt.minute_line)] if self.source_partitions > 1 else []))
 
 
 def start_streaming_job(spark: SparkSession, source: str | DataFrame, out_root: str,
@@ -234,7 +265,8 @@ def start_streaming_job(spark: SparkSession, source: str | DataFrame, out_root:
                         state_partitions: int | None = None,
                         lines_carry_seq: bool = True,
                         number_file_lines: bool = False,
-                        hot_rows: int = DEFAULT_HOT_ROWS) -> StreamingQuery:
+                        hot_rows: int = DEFAULT_HOT_ROWS,
+                        source_partitions: int = 1) -> StreamingQuery:
     """Start the streaming job: one query, whose outputs are those of the reference's job.
 
     ``source`` is a drop folder or any streaming DataFrame of lines (``value``, and
@@ -250,7 +282,8 @@ def start_streaming_job(spark: SparkSession, source: str | DataFrame, out_root:
     reference's dropping of late rows. Read them with the ``read_job_*`` functions.
 
     ``max_files_per_trigger`` bounds the micro-batches of a drop folder, and so those of
-    every output.
+    every output. ``source_partitions`` says how many partitions the source has (see
+    ``JobBatchWriter``); its lines come from ``positioned_lines`` with the same number.
     """
     if risky_merchants is None or blacklisted_countries is None:
         from cardstream.plans.catalog import default_refs
@@ -265,7 +298,8 @@ def start_streaming_job(spark: SparkSession, source: str | DataFrame, out_root:
     if numbering == "none":
         _warn_no_order()
     out = out_root.rstrip("/")
-    writer = JobBatchWriter(out, risky_merchants, blacklisted_countries, numbering, delay_ms, hot_rows)
+    writer = JobBatchWriter(out, risky_merchants, blacklisted_countries, numbering, delay_ms, hot_rows,
+                            source_partitions)
     with stream_partitions(spark, state_partitions):
         w = (lines.writeStream.option("checkpointLocation", f"{out}/_checkpoints/job").foreachBatch(writer))
         return (w.trigger(**trigger) if trigger else w).start()

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardstream.functions.timecols import amount_cents
+from cardstream.operators.sequence import packed_position
 from cardstream.schema import KEY_FIELDS, TX_FIELDS
 from cardstream.session import scratch_path
 
@@ -110,18 +111,26 @@ def stream_lines(spark: SparkSession, path: str,
 
 def stream_kafka_lines(spark: SparkSession, bootstrap_servers: str, topic: str,
                        starting_offsets: str = "earliest",
-                       max_offsets_per_trigger: int | None = None) -> DataFrame:
+                       max_offsets_per_trigger: int | None = None,
+                       source_partitions: int = 1) -> DataFrame:
     """Streaming lines from a Kafka topic (needs the Kafka connector on the
     classpath). ``arrival_seq`` is the record offset, i.e. arrival order for a
-    single-partition topic (the reference reads one ordered feed)."""
+    single-partition topic (the reference reads one ordered feed); of a topic with several,
+    partition and offset (``positioned_lines``)."""
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", bootstrap_servers)
               .option("subscribe", topic)
               .option("startingOffsets", starting_offsets))
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-    return reader.load().select(F.col("value").cast("string").alias("value"),
-                                F.col("offset").alias("arrival_seq"))
+    return positioned_lines(reader.load(), source_partitions)
+
+
+def positioned_lines(records: DataFrame, source_partitions: int = 1) -> DataFrame:
+    """``value`` and ``arrival_seq`` of records with ``value``, ``partition`` and ``offset``."""
+    position = (F.col("offset").cast("bigint") if source_partitions == 1
+                else packed_position(F.col("partition"), F.col("offset")))
+    return records.select(F.col("value").cast("string").alias("value"), position.alias("arrival_seq"))
 
 
 def _whole_long(text: Column) -> Column:
