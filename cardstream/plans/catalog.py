@@ -17,6 +17,7 @@ from cardstream.functions.timecols import with_event_time
 from cardstream.operators import metrics, rules
 from cardstream.operators.alerts import all_rule_alerts
 from cardstream.operators.late import split_late
+from cardstream.operators.sequence import packed_position
 from cardstream.operators.scoring import reference_frame, score_alerts
 from cardstream.schema import (
     DEFAULT_BLACKLISTED_COUNTRIES, DEFAULT_RISKY_MERCHANTS,
@@ -165,6 +166,21 @@ def q_late_transactions(spark, sf_dir):
     return late.select(*TX_COLUMNS, fmt.tx_json().alias("line"))
 
 
+SOURCE_PARTITIONS = 4
+
+
+def card_partition():
+    """Partition of a row where a source deals its lines to ``SOURCE_PARTITIONS`` by card number."""
+    return (F.substring("card_id", 6, 20).cast("bigint") % SOURCE_PARTITIONS).cast("int")
+
+
+def q_late_transactions_partitioned(spark, sf_dir):
+    """Late rows of a source of several partitions, each by its own partition's rows."""
+    tx = load_tx(spark, sf_dir).withColumn("position", packed_position(card_partition(), F.col("arrival_seq")))
+    _, late = split_late(tx, MINUTE_WINDOW_MS, MINUTE_ALLOWED_LATENESS_MS, order_by=["position"], partitioned=True)
+    return late.select(*TX_COLUMNS, fmt.tx_json().alias("line"))
+
+
 def q_category_average(spark, sf_dir):
     return metrics.category_average(load_tx(spark, sf_dir))
 
@@ -291,6 +307,7 @@ BATCH_QUERIES: dict[str, Query] = {
     "minute_totals_ontime": q_minute_totals_ontime,
     "minute_total_emissions": q_minute_total_emissions,
     "late_transactions": q_late_transactions,
+    "late_transactions_partitioned": q_late_transactions_partitioned,
     "category_average": q_category_average,
     "category_average_ontime": q_category_average_ontime,
     "country_counts": q_country_counts,

@@ -50,11 +50,11 @@ def wend(ms: int) -> str:
     return f"(event_time - event_time % {ms} + {ms})"
 
 
-def late_ctes(name: str, window_ms: int, lateness_ms: int) -> str:
-    """CTE ``name`` = on-time rows of ``tx``; ``name``_late = late rows."""
+def late_ctes(name: str, window_ms: int, lateness_ms: int, by: str = "") -> str:
+    """CTE ``name`` = on-time rows of ``tx``; ``name``_late = late rows. ``by``: a PARTITION BY."""
     return f"""
 {name}_wm AS (
-  SELECT *, max(event_time) OVER (ORDER BY arrival_seq ROWS BETWEEN
+  SELECT *, max(event_time) OVER ({by} ORDER BY arrival_seq ROWS BETWEEN
     UNBOUNDED PRECEDING AND 1 PRECEDING) - 5000 AS wm_before FROM tx),
 {name} AS (SELECT * FROM {name}_wm WHERE NOT coalesce(
   {wend(window_ms)} + {lateness_ms} <= wm_before, false)),
@@ -279,6 +279,11 @@ BATCH_SQL: dict[str, str] = {
         f"SELECT rule, entity_id, timestamp, tx_transaction_id, {ALERT_LINE} AS line "
         f"FROM scored_l"),
 }
+# A source of four partitions, dealt by the card's number: late by the own partition's rows.
+OWN_1M = late_ctes("op1", 60000, 10000, "PARTITION BY CAST(substr(card_id, 6) AS BIGINT) % 4")
+BATCH_SQL["late_transactions_partitioned"] = _with(OWN_1M) + f"SELECT {TX_COLS}, {tx_json_sql()} AS line FROM op1_late"
+PARTITIONED_MINUTE_SQL = _with(OWN_1M) + minute_sql("op1")
+
 BATCH_SQL["job_scored_alerts"] = BATCH_SQL["scored_alerts_ontime"]
 BATCH_SQL["job_late_transactions"] = BATCH_SQL["late_transactions"]
 for _name in ("minute_totals", "category_average", "country_counts"):

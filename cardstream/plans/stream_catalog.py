@@ -20,18 +20,21 @@ from cardstream.operators import metrics, rules
 from cardstream.operators.alerts import union_alerts
 from cardstream.operators.scoring import score_alerts
 from cardstream.operators.late import with_watermark_before
-from cardstream.plans.catalog import TX_COLUMNS, damaged_lines, default_refs, load_tx
+from cardstream.operators.sequence import PARTITION_BITS
+from cardstream.plans.catalog import (
+    SOURCE_PARTITIONS, TX_COLUMNS, card_partition, damaged_lines, default_refs, load_tx,
+)
 from cardstream.plans.job import (
     exact_scored_alerts, read_job_alerts, read_job_windows, start_streaming_job,
 )
-from cardstream.plans.oracle import BATCH_SQL
+from cardstream.plans.oracle import BATCH_SQL, PARTITIONED_MINUTE_SQL
 from cardstream.schema import (
     MINUTE_ALLOWED_LATENESS_MS, MINUTE_WINDOW_MS, RULE_HIGH_AMOUNT, RULE_IMPOSSIBLE_TRAVEL, TX_FIELDS,
     flatten_alerts,
 )
 from cardstream.session import ensure_streaming_conf, scratch_path, stream_partitions
 from cardstream.sources.fixtures import fixture_transactions
-from cardstream.sources.json_lines import HEARTBEAT_FORMAT
+from cardstream.sources.json_lines import HEARTBEAT_FORMAT, positioned_lines, stream_lines
 from cardstream.functions import format as fmt
 from cardstream.streaming.emissions import MinuteEmissionsWriter, read_minute_emissions
 from cardstream.streaming.exact import ExactWindowsBatchWriter, read_exact_windows
@@ -319,6 +322,39 @@ def s_job_metrics(name: str):
     return lambda spark, sf_dir: read_job_windows(spark, run_job(spark, sf_dir))[name]
 
 
+def run_partitioned_job(spark: SparkSession, sf_dir: str) -> str:
+    """The job over records (partition, offset, line) of a source of several partitions, each of
+    which ends with a heartbeat; its output folder, shared like ``run_job``'s."""
+    run = (spark.sparkContext.applicationId, f"{sf_dir} partitioned")
+    if run not in _JOB_RUNS:
+        root, tx = scratch_path(spark, "stream-job-partitioned"), fixture_transactions(spark, sf_dir)
+        lines = tx.select("arrival_seq", card_partition().alias("partition"), fmt.tx_json().alias("value"))
+        beats = tx.agg(F.max("arrival_seq").alias("s"), F.max("event_time").alias("m")).select(
+            F.explode(F.sequence(F.lit(0), F.lit(SOURCE_PARTITIONS - 1))).alias("partition"), "s", "m").select(
+            (F.col("s") + 1 + F.col("partition")).alias("arrival_seq"), "partition",
+            F.format_string(HEARTBEAT_FORMAT, F.col("m") + F.lit(86_400_000)).alias("value"))
+        record = F.to_json(F.struct("partition", F.col("arrival_seq").alias("offset"), "value"))
+        drop = write_lines_folder(spark, lines.unionByName(beats).select("arrival_seq", record.alias("value")),
+                                  f"{root}/in", stream_files(spark, sf_dir))
+        records = stream_lines(spark, drop, 1).select(
+            F.from_json("value", "partition int, offset bigint, value string").alias("r")).select("r.*")
+        start_streaming_job(spark, positioned_lines(records, SOURCE_PARTITIONS), f"{root}/out", trigger=AVAILABLE_NOW,
+                            source_partitions=SOURCE_PARTITIONS,
+                            state_partitions=state_partitions_for(spark, sf_dir)).awaitTermination()
+        _JOB_RUNS[run] = f"{root}/out"
+    return _JOB_RUNS[run]
+
+
+def s_partitioned_late(spark, sf_dir):
+    late = spark.read.parquet(run_partitioned_job(spark, sf_dir) + "/late/batch_id=*")
+    return (late.withColumn("arrival_seq", F.shiftright("arrival_seq", PARTITION_BITS))
+            .select(*TX_COLUMNS, fmt.tx_json().alias("line")))
+
+
+def s_partitioned_minute_totals(spark, sf_dir):
+    return read_job_windows(spark, run_partitioned_job(spark, sf_dir))["minute_totals"]
+
+
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_minute_totals": s_minute_totals,
     "stream_category_average": s_category_average,
@@ -349,19 +385,23 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_job_minute_total_emissions": s_job_minute_total_emissions,
     "stream_job_category_average": s_job_metrics("category_average"),
     "stream_job_country_counts": s_job_metrics("country_counts"),
+    "stream_job_partitioned_late": s_partitioned_late,
+    "stream_job_partitioned_minute_totals": s_partitioned_minute_totals,
 }
 
 _TWIN = {
     "stream_minute_totals_upsert": "minute_totals",
     "stream_job_scored_alerts": "scored_alerts_ontime",
     "stream_job_late_transactions": "late_transactions",
+    "stream_job_partitioned_late": "late_transactions_partitioned",
     "stream_job_category_average": "category_average_ontime",
     "stream_job_country_counts": "country_counts_ontime",
 }
 STREAM_ORACLE: dict[str, str] = {
     name: BATCH_SQL[_TWIN.get(name, name[len("stream_"):])] for name in STREAM_QUERIES
-    if name != "stream_job_minute_total_emissions"
+    if name not in ("stream_job_minute_total_emissions", "stream_job_partitioned_minute_totals")
 }
+STREAM_ORACLE["stream_job_partitioned_minute_totals"] = PARTITIONED_MINUTE_SQL
 # After the feed's last heartbeat the watermark has fired every window.
 STREAM_ORACLE["stream_job_minute_total_emissions"] = (
     BATCH_SQL["minute_total_emissions"].replace("'end_of_input'", "'watermark'"))
