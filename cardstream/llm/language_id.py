@@ -15,7 +15,8 @@ every whole text.
 Defined cases: null text or text without a letter is ``und`` with score 0, as is
 every text where nothing could be learned; null ``lang`` is never trained on;
 ties go to the alphabetically first language; a null id counts as the empty text
-for the fold. Other columns are never read.
+for the fold; a very long text is read whole, word by distinct word; repeated rows each get the same
+result and each count in training; an empty table gives no rows. Other columns are never read.
 """
 
 from __future__ import annotations

@@ -23,7 +23,8 @@ read once to count and once to draw.
 Defined cases: null and empty source, language or topic are one value,
 ``(none)``; null text counts as no tokens, and a document without tokens takes part
 with one; values named by a target but absent are left out and the rest scaled up; values
-absent from a given target get weight zero; repeated rows share one draw; an
+absent from a given target get weight zero; a very long text counts by its whole length;
+repeated rows share one draw, and so do equal texts of one id (no tie is broken); an
 empty table gives no rows; extra columns may have any names.
 """
 

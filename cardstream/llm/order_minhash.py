@@ -15,8 +15,8 @@ Defined cases: null text counts as empty; a text without a word fills no bin, an
 two such texts have likeness 1; a text of fewer than ``K`` words is one k-mer; k-mers of one bin whose
 hashes agree in their first 32 bits are selected by position; equal
 texts have equal fingerprints. In the order of ``next_heads``, fully repeated rows are
-one document; a null id comes last; one document alone is its own next. Other
-columns are never read.
+one document; a null id comes last; one document alone is its own next; a very long text is read whole;
+an empty table gives no rows. Other columns are never read.
 """
 
 from __future__ import annotations

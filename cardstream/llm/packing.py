@@ -17,11 +17,13 @@ recomputed should be written first.)
 
 Defined cases: null or empty text is one piece of length one (the closing id);
 repeated rows are packed each; a long text is cut as often as needed; an empty
-table gives no rows; other columns are never read.
+table gives no rows; pieces of equal cost keep the order of their rows, and of sequences of equal
+cost the first is filled; any tokenizer file may be given (see ``WordIds``); other columns are never read.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -66,6 +68,9 @@ class WordIds:
     with combining marks or ``<|``, where that could change the ids. A new word of
     plain Latin characters is cut into letter, digit and other runs here and goes
     straight to the tokenizer's model; any other takes the tokenizer's whole way.
+
+    All this holds for tokenizers that normalise and split as ``NORMALIZER`` and ``SPLITTER``
+    say, which is checked when one is loaded; any other encodes whole texts itself.
     """
 
     #: No white space, controls, combining marks or letters whose lower case has two characters.
@@ -73,12 +78,22 @@ class WordIds:
     #: Fixed value: the tokenizer file's own split pattern.
     RUNS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
+    # The steps of the tokenizer file before its model.
+    NORMALIZER = {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+    SPLITTER = {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": RUNS.pattern}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
     def __init__(self, tokenizer_path: str, remember: int = CACHE_WORDS):
         self.remember = remember
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.model = self.tokenizer.model
+        told = [None if part is None else json.loads(part.__getstate__())
+                for part in (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer)]
+        self.by_words = told == [self.NORMALIZER, self.SPLITTER]
         self.byte_chars = _byte_chars()
         self.runs: dict[str, tuple[int, ...]] = {}
         self.clear()
@@ -121,6 +136,8 @@ class WordIds:
         self.words.update(zip(new, range(k, k + len(new))))
 
     def ids(self, text: bytes) -> np.ndarray:
+        if not self.by_words:
+            return np.array(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32)
         if len(self.words) > self.remember or self.used > 16 * self.remember:
             self.clear()
         if len(self.runs) > self.remember:

@@ -20,7 +20,8 @@ Exact copies share a fingerprint and are one node.
 Defined cases: null or empty text, or text without a word, has fingerprint zero
 and is linked like any other; repeated rows share a component; null ids never name
 a component (its id is the smallest id that is not null, or null); ``near_duplicates``
-works on rows, so extra columns may have any names.
+works on rows, so extra columns may have any names; a very long text is read whole; ties (bits set in
+just half the hashes are 0, equal ids are one) need no order; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -23,7 +23,8 @@ Rows are known by a 64-bit hash of id and text, windows by two 64-bit hashes.
 
 Defined cases: null text counts as empty; texts shorter than ``LENGTH`` bytes lose
 nothing; fully repeated rows repeat each other's text; overlapping repeats
-within one text count; an empty table gives no rows; ``repeats_removed`` keeps whole
+within one text count; an empty table gives no rows; a null id counts as a value like any other; a very
+long text is read whole, in pieces that overlap; ``repeats_removed`` keeps whole
 characters (a character is removed only if all its bytes are) and works on rows of
 any further columns.
 """
