@@ -1,19 +1,21 @@
 """Order MinHash fingerprints, sensitive to edit distance.
 
 A text's k-mers are its runs of ``K`` words. Each is numbered by its occurrence
-(first, second, ...), so that equal k-mers differ, and hashed. The hash falls in
-one of ``SKETCHES`` bins; in each bin the ``TUPLE`` k-mers of least hash are
-selected, put back in the order in which the text has them, and hashed as a tuple.
+(first, second, ...), so that equal k-mers differ, and hashed. Sketch ``j`` of
+``SKETCHES`` ranks the k-mers by a hash of its own: the one hash, turned round by ``j`` parts
+of its range, so that its least k-mers are those from the start of part ``j`` on, and behind
+the last part from the first on. The ``TUPLE`` k-mers of least rank are selected, put back in the
+order in which the text has them, and hashed as a tuple. So every sketch has a whole tuple, also in
+short texts, where neighbouring sketches may have the same.
 The fingerprint is the list of these tuple hashes: it changes with what k-mers a
-text has, how often, and in what order. Likeness is the share of equal tuple
-hashes among the bins that either text fills.
+text has, how often, and in what order. Likeness is the share of equal tuple hashes.
 
 Every step is a Spark SQL expression over one row's arrays; nothing is
 exploded or shuffled for a fingerprint.
 
-Defined cases: null text counts as empty; a text without a word fills no bin, and
-two such texts have likeness 1; a text of fewer than ``K`` words is one k-mer; k-mers of one bin whose
-hashes agree in their first 32 bits are selected by position; equal
+Defined cases: null text counts as empty; a text without a word has no tuple (all hashes 0), and
+two such texts have likeness 1; a text of fewer than ``K`` words is one k-mer; a text of fewer than ``TUPLE``
+k-mers has them all in every tuple; k-mers whose hashes agree in their first 32 bits are ranked by position; equal
 texts have equal fingerprints. In the order of ``next_heads``, fully repeated rows are
 one document; a null id comes last; one document alone is its own next; a very long text is read whole;
 an empty table gives no rows. Other columns are never read.
@@ -27,8 +29,7 @@ from pyspark.sql import functions as F
 from .common import written
 
 K = 3
-SKETCHES = 16
-EDIT_SKETCHES = 64     # of the registered query: half-copies share no tuple in (8/9)**64 = 0.05 % of cases (16 bins: 15 %)
+SKETCHES = 64          # a long text and its half-copy share no tuple in (8/9)**64 = 0.05 % of cases
 TUPLE = 2
 POS_BITS = 31          # every position an array can have
 EMPTY = "0" * 16
@@ -53,7 +54,7 @@ def place(number: Column) -> Column:
 
 def with_fingerprint(df: DataFrame, text: Column, name: str = "fp", k: int = K,
                      sketches: int = SKETCHES, size: int = TUPLE) -> DataFrame:
-    """``df`` with ``name``: the fingerprint of ``text``, an array of ``sketches`` hashes (0: bin unfilled)."""
+    """``df`` with ``name``: the fingerprint of ``text``, an array of ``sketches`` hashes (0: text without words)."""
     kept = df.columns
     words = F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
     df = _barrier(df, __words=words)
@@ -75,32 +76,31 @@ def with_fingerprint(df: DataFrame, text: Column, name: str = "fp", k: int = K,
     numbered = F.transform(F.arrays_zip(F.col("__s").alias("s"), F.flatten(lengths).alias("o")),
                            lambda x: F.struct(F.xxhash64(x["s"]["h"], x["o"]).alias("h"), x["s"]["i"].alias("i")))
     first = F.transform("__h", lambda h, i: F.struct(F.xxhash64(h, F.lit(0)).alias("h"), i.alias("i")))
-    df = _barrier(df, __t=F.sort_array(F.transform(
-        F.when(F.col("__s").isNotNull(), numbered).otherwise(first), lambda x: packed(x["h"], x["i"]))))
+    df = _barrier(df, __t=F.when(F.size("__h") > 0, F.sort_array(F.transform(
+        F.when(F.col("__s").isNotNull(), numbered).otherwise(first), lambda x: packed(x["h"], x["i"])))))
     bits = sketches.bit_length() - 1
     if 1 << bits != sketches:
         raise ValueError("sketches must be a power of two")
-    bin_of = lambda x: F.shiftright(x, 63 - bits)
-    least = F.filter("__t", lambda x, i: (i < size) | (bin_of(F.get("__t", i - size)) != bin_of(x)))
-    df = _barrier(df, __m=F.when(F.size("__t") > 0, F.sort_array(F.transform(least, lambda x: F.struct(
-        bin_of(x).alias("b"), place(x).alias("p"), F.get("__h", place(x).cast("int")).alias("h"))))))
-    # one hash per filled bin (its members are neighbours), then zeros between the filled bins
-    bin_at = lambda j: F.get("__m", j)["b"]
-    firsts = F.filter(F.sequence(F.lit(0), F.size("__m") - 1), lambda j: (j == 0) | (bin_at(j - 1) != bin_at(j)))
-    df = _barrier(df, __f=F.when(F.col("__m").isNotNull(), F.transform(firsts, lambda j: F.struct(
-        bin_at(j).cast("int").alias("b"),
-        F.xxhash64(F.transform(F.filter(F.slice("__m", j + 1, size), lambda x: x["b"] == bin_at(j)),
-                               lambda x: x["h"])).alias("t")))))
-    zeros = lambda n: F.array_repeat(F.lit(0).cast("bigint"), n)
+    bin_at = lambda j: F.shiftright(F.get("__t", j), 63 - bits).cast("int")
+    many = F.size("__t")
+    # where each bin that has k-mers begins; a sketch begins with the first k-mer at or after its own bin's start
+    begin = F.filter(F.sequence(F.lit(0), many - 1), lambda j: (j == 0) | (bin_at(j - 1) != bin_at(j)))
+    df = _barrier(df, __f=F.when(F.col("__t").isNotNull(), F.transform(
+        begin, lambda j: F.struct(bin_at(j).alias("b"), j.alias("j")))))
     before = lambda i: F.coalesce(F.get("__f", i - 1)["b"], F.lit(-1))
-    fp = F.concat(F.flatten(F.transform("__f", lambda x, i: F.concat(zeros(x["b"] - before(i) - 1), F.array(x["t"])))),
-                  zeros(F.lit(sketches - 1) - F.element_at("__f", -1)["b"]))
-    fp = F.when(F.col("__f").isNull(), zeros(sketches)).otherwise(fp)
+    starts = F.concat(
+        F.flatten(F.transform("__f", lambda x, i: F.array_repeat(x["j"], x["b"] - before(i)))),
+        F.array_repeat(F.lit(0), F.lit(sketches - 1) - F.element_at("__f", -1)["b"]))     # behind the last: the first
+    df = _barrier(df, __a=F.when(F.col("__f").isNotNull(), starts))
+    ring = F.sequence(F.lit(0), F.least(many, F.lit(size)) - 1)
+    chosen = lambda j: F.sort_array(F.transform(ring, lambda o: place(F.get("__t", (j + o) % many)).cast("int")))
+    fp = F.transform("__a", lambda j: F.xxhash64(F.transform(chosen(j), lambda p: F.get("__h", p))))
+    fp = F.when(F.col("__a").isNull(), F.array_repeat(F.lit(0).cast("bigint"), sketches)).otherwise(fp)
     return _barrier(df, **{name: fp}).select(*kept, name)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal tuple hashes among the bins that either fills; 1 if neither fills any."""
+    """Share of equal tuple hashes; 1 if neither text has any."""
     pair = F.arrays_zip(a.alias("a"), b.alias("b"))
     filled = F.size(F.filter(pair, lambda x: (x["a"] != 0) | (x["b"] != 0)))
     equal = F.size(F.filter(pair, lambda x: (x["a"] == x["b"]) & (x["a"] != 0)))

@@ -274,12 +274,15 @@ def brute_omh(spark, texts):
         r = {(x.h, x.c): x.r for x in df.select("h", "c", F.xxhash64("h", "c").alias("r")).collect()}
     chosen = []
     for ks in rows:
-        seen, bins = Counter(), {}
+        seen, ranked = Counter(), []
         for pos, k in enumerate(ks):
-            rank = (r[h[k], seen[k]] % 2**64) >> 25
+            ranked.append(((r[h[k], seen[k]] % 2**64) >> 32, pos, h[k]))
             seen[k] += 1
-            bins.setdefault(rank >> 35, []).append((rank, pos, h[k]))
-        chosen.append({b: [x[2] for x in sorted(sorted(v)[:O.TUPLE], key=lambda x: x[1])] for b, v in bins.items()})
+        sketches = {}
+        for j in range(O.SKETCHES if ks else 0):          # each with the hash turned by its part of the range
+            own = sorted(ranked, key=lambda x: ((x[0] - j * 2**32 // O.SKETCHES) % 2**32, x[1]))[:O.TUPLE]
+            sketches[j] = [x[2] for x in sorted(own, key=lambda x: x[1])]
+        chosen.append(sketches)
     flat = sorted({tuple(v) for c in chosen for v in c.values()})
     made = {}
     if flat:
@@ -348,6 +351,18 @@ def test_order_minhash_feels_order(spark):
     assert r.moved < r.cut and r.cut >= 0.7
 
 
+@pytest.mark.parametrize("n", [40, 100, 400])
+def test_order_minhash_of_swapped_halves(spark, n):
+    """The mean is the method's own value at every length: both k-mers of a tuple stem from one half, whose
+    (n - 4) / 2 k-mers stay, out of the n that the two texts have."""
+    rng = random.Random(n)
+    texts = [[f"w{rng.randrange(10**6)}" for _ in range(n)] for _ in range(200)]
+    df = spark.createDataFrame([(" ".join(t), " ".join(t[n // 2:] + t[:n // 2])) for t in texts], "a string, b string")
+    df = O.with_fingerprint(O.with_fingerprint(df, F.col("a"), "fa"), F.col("b"), "fb")
+    exact = (n - 4) * (n - 6) / (2 * n * (n - 1))        # 0.39, 0.46, 0.49
+    assert abs(df.select(F.avg(O.likeness(F.col("fa"), F.col("fb")))).first()[0] - exact) <= 0.02
+
+
 def test_order_minhash_finds_half_copies(spark, tmp_path):
     """The registered query: every text of 100 words or more is nearer to its half-copy than to an unrelated text."""
     from cardstream.llm.queries import op8_order_minhash

@@ -69,7 +69,7 @@ def test_suffixes(long):
 
 
 def test_order_minhash(long):
-    got = by_id(O.edit_fingerprints(long, sketches=O.EDIT_SKETCHES))
+    got = by_id(O.edit_fingerprints(long))
     assert [got[i].n_chars for i in (1, 9)] == [len(LONG), len(OTHER)]
     assert got[5].near_next > 0.9 and got[9].near_next < 0.2 and 0.05 < got[9].near_edited < 0.9
 
