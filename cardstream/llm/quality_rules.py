@@ -13,6 +13,11 @@ is merged with the whole corpus's at the weight of ``PRIOR`` documents, and a gr
 with its language's in the same way: a small group is judged by its language, a large
 one by itself, and no size switches between the two.
 
+A fence lies ``FENCE`` spreads beyond the median, and the spread is twice the distance from the
+median to the quartile on the other side. Up to nearly half of a group's documents can then lie
+beyond the fence without moving it far: they shift the median and the far quartile within the
+values of the rest, and are never the quartile that is read.
+
 Defined cases: null text counts as empty (no words, so the base rule rejects
 it); null ``lang`` or ``source`` is a group of its own; a very long text is counted
 whole; a value on a fence is inside; repeated rows each get the same result; an empty table gives an empty result; extra columns are
@@ -29,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import ROW, ddl, map_batches, text_bytes, whole_rows, with_columns, written
 
 SYMBOLS = b"#*$%&|<>"
-COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper"]
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_lines"]
 
 # ratio -> (lower fence?, least spread in parts per million). The least spread keeps
 # a group whose values are all alike from rejecting what differs a little.
@@ -38,9 +43,10 @@ RATIOS = {
     "chars_per_word": (True, 300_000),
     "repeat_share": (False, 30_000),
     "upper_share": (False, 60_000),
+    "dup_line_share": (False, 60_000),      # one repeated line of three is inside
 }
-FENCE = 6.0            # spreads beyond the quartiles
-PRIOR = 200            # documents that a language's sketch counts for in a group's, and the corpus's in its
+FENCE = 6              # spreads beyond the median
+PRIOR = 50             # documents that a language's sketch counts for in a group's, and the corpus's in its
 UNIT = 100             # parts of a document that merged sketches count in
 MAX_BROADCAST_GROUPS = 100_000
 MAX_BROADCAST_BUCKETS = 1_000_000
@@ -72,7 +78,7 @@ def _repeat_words(words: list[bytes]) -> int:
     return int(np.count_nonzero(np.cumsum(edge)[:n]))
 
 
-def count_text(text: bytes) -> tuple[int, int, int, int, int, int]:
+def count_text(text: bytes) -> tuple[int, ...]:
     """The counts of one text, in the order of ``COUNTS``."""
     words = text.split()                       # bytes.split(): exactly \x20 and \x09-\x0D
     chars = sum(map(len, words))
@@ -82,7 +88,7 @@ def count_text(text: bytes) -> tuple[int, int, int, int, int, int]:
     lines = [x for x in text.split(b"\n") if x.strip()]
     upper = len(text) - len(text.translate(None, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
     return (len(words), chars, len(text) - len(text.translate(None, SYMBOLS)),
-            len(lines) - len(set(lines)), _repeat_words(words), upper)
+            len(lines) - len(set(lines)), _repeat_words(words), upper, len(lines))
 
 
 def quality_counts(df: DataFrame, text: str = "text") -> DataFrame:
@@ -104,6 +110,7 @@ def ratios() -> dict[str, Column]:
         "chars_per_word": F.expr("word_chars * 1000000 div greatest(n_words, 1)"),
         "repeat_share": F.expr("n_repeat_words * 1000000 div greatest(n_words, 1)"),
         "upper_share": F.expr("n_upper * 1000000 div greatest(word_chars, 1)"),
+        "dup_line_share": F.expr("n_dup_lines * 1000000 div greatest(n_lines, 1)"),
     }
 
 
@@ -170,13 +177,13 @@ def fences(sketch: DataFrame) -> DataFrame:
         "total": F.sum("n").over(Window.partitionBy(*keys)),
     })
     quartile = lambda k: F.min(F.when(4 * F.col("upto") >= k * F.col("total"), F.col("bucket")))
-    least = F.create_map(*[x for r, (_, s) in RATIOS.items() for x in (F.lit(r), F.lit(float(s)))])
-    spread = F.greatest(F.col("q3") - F.col("q1"), least[F.col("ratio")])
+    least = F.create_map(*[x for r, (_, s) in RATIOS.items() for x in (F.lit(r), F.lit(s))])[F.col("ratio")]
     lower = F.col("ratio").isin([r for r, (low, _) in RATIOS.items() if low])
+    away = lambda near, far: FENCE * F.greatest(2 * (F.col(far) - F.col(near)), least)
     per_ratio = (cum.groupBy(*keys)
-                 .agg(quartile(1).alias("q1"), quartile(3).alias("q3"))
-                 .withColumn("hi", F.col("q3") + F.lit(FENCE) * spread)
-                 .withColumn("lo", F.when(lower, F.col("q1") - F.lit(FENCE) * spread)))
+                 .agg(quartile(1).alias("q1"), quartile(2).alias("q2"), quartile(3).alias("q3"))
+                 .withColumn("hi", F.col("q2") + away("q1", "q2"))
+                 .withColumn("lo", F.when(lower, F.col("q2") - away("q2", "q3"))))
     return (per_ratio.groupBy("lang", "source")
             .agg(*[F.max(F.when(F.col("ratio") == r, F.col(side))).alias(f"{r}_{side}")
                    for r in RATIOS for side in ("lo", "hi")]))

@@ -21,7 +21,7 @@ def tokenizer_path() -> str:
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper",
-        "base_failed", "kept")
+        "n_lines", "base_failed", "kept")
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +111,7 @@ rep AS (
     SELECT g.doc_id, unnest(generate_series(g.i, g.i + 4)) AS p
     FROM grams g JOIN twice USING (doc_id, gram)) GROUP BY doc_id),
 lines AS (
-  SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n, count(*) AS n_lines FROM (
     SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
   WHERE regexp_matches(line, '{_WORD}') GROUP BY doc_id),
 m AS (
@@ -119,32 +119,34 @@ m AS (
          coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
          coalesce(lines.n, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
-         length(regexp_replace(t, '[^A-Z]', '', 'g'))::BIGINT AS n_upper
+         length(regexp_replace(t, '[^A-Z]', '', 'g'))::BIGINT AS n_upper, coalesce(n_lines, 0)::BIGINT AS n_lines
   FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN lines USING (doc_id)),
 r AS (
   SELECT *, n_symbols * 1000000 // greatest(n_words, 1) AS symbols_per_word,
          word_chars * 1000000 // greatest(n_words, 1) AS chars_per_word,
          n_repeat_words * 1000000 // greatest(n_words, 1) AS repeat_share,
-         n_upper * 1000000 // greatest(word_chars, 1) AS upper_share FROM m),
+         n_upper * 1000000 // greatest(word_chars, 1) AS upper_share,
+         n_dup_lines * 1000000 // greatest(n_lines, 1) AS dup_line_share FROM m),
 u AS (
   SELECT lang, source, 'symbols_per_word' AS ratio, symbols_per_word AS v FROM r WHERE n_words > 0
   UNION ALL SELECT lang, source, 'chars_per_word', chars_per_word FROM r WHERE n_words > 0
   UNION ALL SELECT lang, source, 'repeat_share', repeat_share FROM r WHERE n_words > 0
-  UNION ALL SELECT lang, source, 'upper_share', upper_share FROM r WHERE n_words > 0),
+  UNION ALL SELECT lang, source, 'upper_share', upper_share FROM r WHERE n_words > 0
+  UNION ALL SELECT lang, source, 'dup_line_share', dup_line_share FROM r WHERE n_words > 0),
 b AS (
   SELECT lang, source, ratio, (v >> greatest(length(bin(v)) - 7, 0)) << greatest(length(bin(v)) - 7, 0) AS bucket
   FROM u),
 g AS (SELECT lang, source, ratio, bucket, count(*) * 100 AS n FROM b GROUP BY ALL),
 l AS (SELECT lang, ratio, bucket, sum(n)::BIGINT AS n FROM g GROUP BY ALL),
 a AS (
-  SELECT ratio, bucket, (20000 * sum(n)::BIGINT) // (sum(sum(n)) OVER (PARTITION BY ratio))::BIGINT AS n
+  SELECT ratio, bucket, (5000 * sum(n)::BIGINT) // (sum(sum(n)) OVER (PARTITION BY ratio))::BIGINT AS n
   FROM l GROUP BY ratio, bucket),
 ls AS (
   SELECT lang, ratio, bucket, sum(n)::BIGINT AS n FROM (
     SELECT * FROM l
     UNION ALL SELECT k.lang, k.ratio, a.bucket, a.n FROM (SELECT DISTINCT lang, ratio FROM l) k JOIN a USING (ratio))
   GROUP BY ALL),
-lp AS (SELECT lang, ratio, bucket, (20000 * n) // (sum(n) OVER (PARTITION BY lang, ratio))::BIGINT AS n FROM ls),
+lp AS (SELECT lang, ratio, bucket, (5000 * n) // (sum(n) OVER (PARTITION BY lang, ratio))::BIGINT AS n FROM ls),
 s AS (
   SELECT lang, source, ratio, bucket, sum(n)::BIGINT AS n FROM (
     SELECT * FROM g
@@ -157,24 +159,26 @@ c AS (
          sum(n) OVER (PARTITION BY lang, source, ratio) AS total FROM s),
 q AS (
   SELECT lang, source, ratio, min(CASE WHEN 4 * upto >= total THEN bucket END) AS q1,
+         min(CASE WHEN 4 * upto >= 2 * total THEN bucket END) AS q2,
          min(CASE WHEN 4 * upto >= 3 * total THEN bucket END) AS q3 FROM c GROUP BY ALL),
 bounds AS (
-  SELECT lang, source, ratio, q3 + 6 * greatest(q3 - q1, least_spread) AS hi,
-         CASE WHEN ratio = 'chars_per_word' THEN q1 - 6 * greatest(q3 - q1, least_spread) END AS lo
+  SELECT lang, source, ratio, q2 + 6 * greatest(2 * (q2 - q1), least_spread) AS hi,
+         CASE WHEN ratio = 'chars_per_word' THEN q2 - 6 * greatest(2 * (q3 - q2), least_spread) END AS lo
   FROM q JOIN (VALUES ('symbols_per_word', 30000), ('chars_per_word', 300000),
-                      ('repeat_share', 30000), ('upper_share', 60000)) x(ratio, least_spread) USING (ratio)),
+                      ('repeat_share', 30000), ('upper_share', 60000), ('dup_line_share', 60000)) x(ratio, least_spread) USING (ratio)),
 wide AS (
   SELECT lang, source, max(hi) FILTER (ratio = 'symbols_per_word') AS s_hi,
          max(hi) FILTER (ratio = 'chars_per_word') AS c_hi, max(lo) FILTER (ratio = 'chars_per_word') AS c_lo,
-         max(hi) FILTER (ratio = 'repeat_share') AS r_hi, max(hi) FILTER (ratio = 'upper_share') AS u_hi
+         max(hi) FILTER (ratio = 'repeat_share') AS r_hi, max(hi) FILTER (ratio = 'upper_share') AS u_hi,
+         max(hi) FILTER (ratio = 'dup_line_share') AS d_hi
   FROM bounds GROUP BY ALL),
 judged AS (
   SELECT r.*, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
          coalesce(symbols_per_word <= s_hi, true) AND coalesce(chars_per_word <= c_hi, true)
          AND coalesce(chars_per_word >= c_lo, true) AND coalesce(repeat_share <= r_hi, true)
-         AND coalesce(upper_share <= u_hi, true) AS inside
+         AND coalesce(upper_share <= u_hi, true) AND coalesce(dup_line_share <= d_hi, true) AS inside
   FROM r LEFT JOIN wide ON wide.lang IS NOT DISTINCT FROM r.lang AND wide.source IS NOT DISTINCT FROM r.source)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_upper, base_failed,
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_upper, n_lines, base_failed,
        NOT base_failed AND inside AS kept FROM judged""",
     "op3_warc_normaliser": r"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),

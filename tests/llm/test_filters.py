@@ -202,20 +202,53 @@ def test_expression_before_prose(line, value, names):
     assert (found["openness"], found["labels"]) == (value, names)
 
 
+JUDGED = "lang string, source string, " + ", ".join(f"{c} bigint" for c in Q.COUNTS)
+
+
 def test_groups_of_any_size_are_judged_alike(spark):
     """Sources of another form than their language: no size switches the verdict."""
     from pyspark.sql import functions as F
-    counts = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, n_upper bigint"
-    prose = [("en", f"s{i % 3}", 100 + i % 40, 500 + 7 * (i % 40), i % 3, 0, 0, 4) for i in range(3000)]
+    prose = [("en", f"s{i % 3}", 100 + i % 40, 500 + 7 * (i % 40), i % 3, 0, 0, 4, 9) for i in range(3000)]
     kept = {}
     for n in (150, 199, 200, 250):
-        code = [("en", "code", 100, 520, 45 + i % 11, 0, 0, 4) for i in range(n)]
-        rows = spark.createDataFrame(prose + code, f"lang string, source string, {counts}")
+        code = [("en", "code", 100, 520, 45 + i % 11, 0, 0, 4, 9) for i in range(n)]
+        rows = spark.createDataFrame(prose + code, JUDGED)
         judged = Q.verdict(rows, Q.thresholds(rows))
         got = {r.source: r["kept"] / r.n for r in judged.groupBy("source").agg(
             F.sum(F.col("kept").cast("int")).alias("kept"), F.count(F.lit(1)).alias("n")).collect()}
         kept[n] = got.pop("code")
         assert set(got.values()) == {1.0}
     assert set(kept.values()) == {1.0}
-    one = spark.createDataFrame(prose + [("en", "new", 100, 520, 90, 0, 0, 4)], f"lang string, source string, {counts}")
+    one = spark.createDataFrame(prose + [("en", "new", 100, 520, 90, 0, 0, 4, 9)], JUDGED)
     assert [r.kept for r in Q.verdict(one, Q.thresholds(one)).where("source = 'new'").collect()] == [False]
+
+
+@pytest.mark.parametrize("share", [0.1, 0.34, 0.45])
+def test_a_polluted_hot_source_keeps_its_fences(spark, share):
+    """Junk in a third or more of a hot source's documents does not move the fences: it goes, the rest stays."""
+    from pyspark.sql import functions as F
+    n = 4000
+    bad = int(n * share)
+    prose = [("en", "small", 100 + i % 40, 500 + 7 * (i % 40), i % 3, 0, 0, 4, 9) for i in range(300)]
+    clean = [("en", "hot", 100 + i % 40, 500 + 7 * (i % 40), i % 3, 0, 0, 4, 9) for i in range(n - bad)]
+    junk = {"symbols": (100, 520, 120, 0, 0, 4, 9), "lines": (100, 520, 1, 8, 0, 4, 9), "letters": (100, 120, 1, 0, 0, 4, 9),
+            "upper": (100, 520, 1, 0, 0, 500, 9), "long words": (100, 3000, 1, 0, 0, 4, 9)}
+    for name, counts in junk.items():
+        rows = spark.createDataFrame(prose + clean + [("en", "hot", *counts)] * bad, JUDGED)
+        judged = Q.verdict(rows, Q.thresholds(rows)).withColumn("junk", F.array(*Q.COUNTS) == F.array(*[F.lit(c).cast("bigint") for c in counts]))
+        got = {r.junk: (r.n, r["kept"]) for r in judged.groupBy("junk").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.col("kept").cast("int")).alias("kept")).collect()}
+        assert got == {True: (bad, 0), False: (n - bad + 300, n - bad + 300)}, name
+
+
+def test_repeated_lines_are_judged(spark):
+    """A text goes by its share of repeated lines alone, where no window of words repeats."""
+    line = lambda i, j: " ".join(f"word{i:03d}x{j}x{k}" for k in range(6))
+    rows = [(i, "\n".join(line(i, j) for j in range(6)), "en", "a") for i in range(300)]
+    rows.append((900, "\n".join(f"{line(900, j)}\nmenu" for j in range(10)), "en", "a"))
+    rows.append((901, "\n".join([f"{line(901, 0)} {line(901, 1)}", "menu", "menu"]), "en", "a"))     # one of three stays
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in Q.quality_rules(df).collect()}
+    assert (got[900].n_lines, got[900].n_dup_lines, got[900].n_repeat_words) == (20, 9, 0)
+    assert [i for i, r in got.items() if not r.kept and i < 900] == []
+    assert not got[900].base_failed and not got[900].kept and (got[901].n_dup_lines, got[901].kept) == (1, True)
