@@ -7,10 +7,11 @@ language; an unseen word falls back to its known four-grams, failing those to
 its three-grams, and so on down to single letters. The best total wins.
 
 The classifier is fitted on a bounded sample: at most about ``MAX_TRAIN_DOCS``
-documents per language, chosen by a hash of the row, and it keeps at most
-``MAX_ENTRIES`` grams of each order over all languages (the most frequent of each
-language, in equal parts). These two bounds are parameters. Prediction reads
-every whole text.
+documents per language, chosen by a hash of the row, and it keeps the
+``MAX_ENTRIES`` most frequent grams of each order and language, however many languages
+there are. These two bounds are parameters. The model is sparse: a gram holds the
+languages that have it, so it grows with the languages and not with their square. Prediction
+reads every whole text.
 
 Defined cases: null text or text without a letter is ``und`` with score 0, as is
 every text where nothing could be learned; null ``lang`` is never trained on;
@@ -25,6 +26,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import ddl, map_batches, text_bytes, with_columns, written
 
 MAX_TRAIN_DOCS = 4_000        # per language, in expectation
-MAX_ENTRIES = 120_000         # per gram order, over all languages
+MAX_ENTRIES = 30_000          # per gram order and language
 ORDERS = (4, 3, 2, 1)         # n-gram lengths of the backoff; order 0 is the word itself
 SMOOTH = 0.5
 MAX_BROADCAST_LANGS = 10_000
@@ -91,52 +93,75 @@ def gram_counts(sample: DataFrame) -> DataFrame:
     return part.groupBy("lang", "ord", "gram").agg(F.sum("n").alias("n"))
 
 
+class Grams:
+    """One order's log frequencies: ``base`` of a gram that a language does not have, and per gram
+    (``index``: its row) the languages that have it, ``cols``, with what they have above that, ``more``."""
+
+    def __init__(self, rows: np.ndarray, cols: np.ndarray, counts: np.ndarray, index: dict[str, int], total: np.ndarray):
+        by_row = np.argsort(rows, kind="stable")
+        self.index = index
+        self.ends = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(index)))])
+        self.cols = cols[by_row]
+        self.more = np.log(counts[by_row] + SMOOTH) - np.log(SMOOTH)
+        self.base = np.log(SMOOTH) - np.log(total + SMOOTH * (len(index) + 1))
+
+    def summed(self, rows: list[int], times: list[int]) -> np.ndarray:
+        """Per language: the log frequencies of the rows, each as often as ``times`` says."""
+        at, times = np.array(rows), np.array(times, float)
+        begin = self.ends[at]
+        sizes = self.ends[at + 1] - begin
+        upto = np.cumsum(sizes)
+        each = np.arange(upto[-1]) + np.repeat(begin - upto + sizes, sizes)
+        return times.sum() * self.base + np.bincount(
+            self.cols[each], self.more[each] * np.repeat(times, sizes), len(self.base))
+
+
 class Model:
-    """Per order: gram -> row number, and the rows' log frequencies, one column per language."""
+    """The learned languages and each order's grams."""
 
-    def __init__(self, langs: list[str], index: dict[int, dict[str, int]], rows: dict[int, np.ndarray]):
-        self.langs, self.index, self.rows = langs, index, rows
+    def __init__(self, langs: list[str], grams: dict[int, Grams]):
+        self.langs, self.grams = langs, grams
         self.cache: dict[str, np.ndarray | None] = {}
 
     @classmethod
     def fit(cls, sample: DataFrame, max_entries: int = MAX_ENTRIES) -> "Model":
-        """Collects at most ``max_entries`` grams of each order."""
+        """Collects at most ``max_entries`` grams of each order and language."""
         counts = written(gram_counts(sample), "language-grams")
         totals = counts.groupBy("lang", "ord").agg(F.sum("n").alias("n")).collect()
         langs = sorted({r.lang for r in totals})
-        each = max(1, max_entries // max(len(langs), 1))
         rank = Window.partitionBy("lang", "ord").orderBy(F.desc("n"), "gram")
-        top = counts.withColumn("k", F.row_number().over(rank)).where(F.col("k") <= each)
+        top = counts.withColumn("k", F.row_number().over(rank)).where(F.col("k") <= max_entries)
         # the other languages' counts of a chosen gram count too
         chosen = top.select("ord", "gram").distinct()
-        found = counts.join(chosen, ["ord", "gram"]).select("lang", "ord", "gram", "n").collect()
+        found = counts.join(chosen, ["ord", "gram"]).select("lang", "ord", "gram", "n").toArrow()
         col = {lang: i for i, lang in enumerate(langs)}
         total = {o: np.zeros(len(langs)) for o in (0, *ORDERS)}
         for r in totals:
             total[r.ord][col[r.lang]] = r.n
-        index: dict[int, dict[str, int]] = {o: {} for o in (0, *ORDERS)}
-        for r in found:
-            index[r.ord].setdefault(r.gram, len(index[r.ord]))
-        rows = {o: np.zeros((len(grams), len(langs))) for o, grams in index.items()}
-        for r in found:
-            rows[r.ord][index[r.ord][r.gram], col[r.lang]] = r.n
-        return cls(langs, index, {
-            o: np.log(n + SMOOTH) - np.log(total[o] + SMOOTH * (len(n) + 1)) for o, n in rows.items()})
+        grams = {}
+        for o, t in total.items():
+            own = found.filter(pc.equal(found["ord"], o))
+            names = own["gram"].to_pylist()
+            index: dict[str, int] = {}
+            rows = np.array([index.setdefault(g, len(index)) for g in names], np.int64)
+            cols = np.array([col[x] for x in own["lang"].to_pylist()], np.int64)
+            grams[o] = Grams(rows, cols, own["n"].to_numpy(), index, t)
+        return cls(langs, grams)
 
     def unseen(self, word: str) -> np.ndarray | None:
         """Mean log frequency of the word's known n-grams of the longest length that has any."""
         for order in ORDERS:
-            index = self.index[order]
+            index = self.grams[order].index
             known = [index[g] for g in grams_of(word, order) if g in index]
             if known:
-                return self.rows[order][known].mean(axis=0)
+                return self.grams[order].summed(known, [1] * len(known)) / len(known)
         return None
 
     def score(self, text: str) -> tuple[str, float]:
         counts = Counter(LETTERS.findall(text.lower()))
         if not counts or not self.langs:
             return "und", 0.0
-        index, cache = self.index[0], self.cache
+        index, cache = self.grams[0].index, self.cache
         at, times, weight = [], [], 0
         total = np.zeros(len(self.langs))
         for word, n in counts.items():
@@ -157,7 +182,7 @@ class Model:
                 total += n * scores
                 weight += n
         if at:
-            total += np.array(times, float) @ self.rows[0][at]
+            total += self.grams[0].summed(at, times)
             weight += sum(times)
         best = int(np.argmax(total))
         if not weight:                                # letters of no learned script
@@ -169,7 +194,7 @@ class Model:
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``text`` (its UTF-8 bytes) replaced by ``lang_pred`` and ``score``."""
     carried = [c for c in docs.columns if c != text]
-    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.index, model.rows))
+    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.grams))
     local: dict[str, Model] = {}
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:

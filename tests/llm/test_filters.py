@@ -1,5 +1,6 @@
 """Quality rules, language identification, licence scan."""
 
+import math
 import re
 import time
 import zlib
@@ -102,6 +103,68 @@ def test_backoff_prefers_words_then_long_grams(spark):
     assert model.score("123") == ("und", 0.0)
 
 
+def brute_languages(train, texts, entries):
+    """The model as plain counts, and each text scored word by word."""
+    orders = (0, *L.ORDERS)
+    parts = lambda word, o: [word] if o == 0 else L.grams_of(word, o)
+    counts = {}
+    for lang, text in train:
+        for word in L.LETTERS.findall(text.lower()):
+            for o in orders:
+                counts.setdefault((lang, o), Counter()).update(parts(word, o))
+    langs = sorted({lang for lang, _ in counts})
+    known = {o: {g for lang in langs for g, _ in sorted(
+        counts[lang, o].items(), key=lambda x: (-x[1], x[0]))[:entries]} for o in orders}
+    log = lambda g, o: [math.log((counts[lang, o][g] + L.SMOOTH) / (
+        sum(counts[lang, o].values()) + L.SMOOTH * (len(known[o]) + 1))) for lang in langs]
+    scores = {}
+
+    def word_score(word):
+        for o in orders:
+            hit = [log(g, o) for g in parts(word, o) if g in known[o]]
+            if hit:
+                return [sum(x) / len(hit) for x in zip(*hit)]
+
+    out = []
+    for text in texts:
+        words = L.LETTERS.findall((text or "").lower())
+        rows = [scores[w] if w in scores else scores.setdefault(w, word_score(w)) for w in words]
+        rows = [r for r in rows if r]
+        if not rows:
+            out.append(("und" if not words else langs[0], 0.0))
+            continue
+        mean = [sum(x) / len(rows) for x in zip(*rows)]
+        best = max(mean)
+        out.append((langs[mean.index(best)], 1 / sum(math.exp(x - best) for x in mean)))
+    return out
+
+
+@pytest.mark.parametrize("entries", [L.MAX_ENTRIES, 40])
+def test_language_equals_brute_force(spark, docs, plain, edge, entries):
+    """At the registered size, and with so few grams that words fall back through every length."""
+    from pyspark.sql import functions as F
+    model = L.Model.fit(L.training_sample(docs), entries)
+    train = [(lang, text or "") for doc_id, text, lang, _ in plain
+             if lang is not None and zlib.crc32(str(doc_id).encode()) % 4 != 2]
+    for frame, rows in ((docs, [p[:2] for p in plain]), (edge, [e[:2] for e in EDGE])):
+        got = L.identify(frame.select("doc_id", L.text_bytes().alias("text"), F.col("text").alias("t")), model).collect()
+        want = dict(zip((t or "" for _, t in rows), brute_languages(train, [t for _, t in rows], entries)))
+        assert len(got) == len(rows)
+        for r in got:
+            lang, score = want[r.t or ""]
+            assert r.lang_pred == lang and r.score == pytest.approx(score, abs=1e-9)
+
+
+def test_every_language_keeps_its_own_grams(spark):
+    """The grams that a language keeps do not depend on how many others there are."""
+    rows = [(f"l{i:02d}", f"only{chr(97 + i // 5)}{chr(97 + i % 5)} {chr(107 + i // 5)}{chr(107 + i % 5)}word".encode())
+            for i in range(25)]
+    df = spark.createDataFrame([(a, bytearray(b)) for a, b in rows], "lang string, text binary")
+    model = L.Model.fit(df, 2)
+    assert len(model.grams[0].index) == 50
+    assert [model.score(b.decode())[0] for _, b in rows] == [a for a, _ in rows]
+
+
 def brute_licenses(text):
     low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
