@@ -39,6 +39,7 @@ ORDERS = (4, 3, 2, 1)         # n-gram lengths of the backoff; order 0 is the wo
 SMOOTH = 0.5
 MAX_BROADCAST_LANGS = 10_000
 CACHE_WORDS = 400_000         # unseen words a worker remembers
+MAX_ROWS = 1 << 16            # grams of a text that are summed at a time
 
 LETTERS = regex.compile(r"\p{L}+")
 
@@ -105,7 +106,7 @@ class Grams:
         self.more = np.log(counts[by_row] + SMOOTH) - np.log(SMOOTH)
         self.base = np.log(SMOOTH) - np.log(total + SMOOTH * (len(index) + 1))
 
-    def summed(self, rows: list[int], times: list[int]) -> np.ndarray:
+    def summed(self, rows: list[int], times: list[float]) -> np.ndarray:
         """Per language: the log frequencies of the rows, each as often as ``times`` says."""
         at, times = np.array(rows), np.array(times, float)
         begin = self.ends[at]
@@ -121,7 +122,7 @@ class Model:
 
     def __init__(self, langs: list[str], grams: dict[int, Grams]):
         self.langs, self.grams = langs, grams
-        self.cache: dict[str, np.ndarray | None] = {}
+        self.cache: dict[str, tuple[int, list[int]] | None] = {}
 
     @classmethod
     def fit(cls, sample: DataFrame, max_entries: int = MAX_ENTRIES) -> "Model":
@@ -148,13 +149,13 @@ class Model:
             grams[o] = Grams(rows, cols, own["n"].to_numpy(), index, t)
         return cls(langs, grams)
 
-    def unseen(self, word: str) -> np.ndarray | None:
-        """Mean log frequency of the word's known n-grams of the longest length that has any."""
+    def unseen(self, word: str) -> tuple[int, list[int]] | None:
+        """The word's known n-grams of the longest length that has any: that length and their rows."""
         for order in ORDERS:
             index = self.grams[order].index
             known = [index[g] for g in grams_of(word, order) if g in index]
             if known:
-                return self.grams[order].summed(known, [1] * len(known)) / len(known)
+                return order, known
         return None
 
     def score(self, text: str) -> tuple[str, float]:
@@ -162,28 +163,34 @@ class Model:
         if not counts or not self.langs:
             return "und", 0.0
         index, cache = self.grams[0].index, self.cache
-        at, times, weight = [], [], 0
-        total = np.zeros(len(self.langs))
+        found: dict[int, tuple[list[int], list[float]]] = {o: ([], []) for o in self.grams}
+        weight, total = 0, np.zeros(len(self.langs))
         for word, n in counts.items():
             row = index.get(word)
             if row is not None:
-                at.append(row)
-                times.append(n)
-                continue
-            if word in cache:
-                scores = cache[word]
+                order, rows = 0, [row]
             else:
-                if len(cache) >= CACHE_WORDS:
-                    cache.clear()
-                scores = self.unseen(word)
-                if len(word) <= 40:
-                    cache[word] = scores
-            if scores is not None:
-                total += n * scores
-                weight += n
-        if at:
-            total += self.grams[0].summed(at, times)
-            weight += sum(times)
+                if word in cache:
+                    fallback = cache[word]
+                else:
+                    if len(cache) >= CACHE_WORDS:
+                        cache.clear()
+                    fallback = self.unseen(word)
+                    if len(word) <= 40:
+                        cache[word] = fallback
+                if fallback is None:
+                    continue
+                order, rows = fallback
+            at, times = found[order]
+            at += rows
+            times += [n / len(rows)] * len(rows)          # an unseen word scores the mean of its grams
+            weight += n
+            if len(at) >= MAX_ROWS:
+                total += self.grams[order].summed(at, times)
+                found[order] = [], []
+        for order, (at, times) in found.items():
+            if at:
+                total += self.grams[order].summed(at, times)
         best = int(np.argmax(total))
         if not weight:                                # letters of no learned script
             return self.langs[best], 0.0
