@@ -21,7 +21,7 @@ from cardstream.functions import format as fmt
 from cardstream.functions.timecols import amount_rest, exact_sum, tumbling_end_ms
 from cardstream.operators.late import late_flag, with_watermark_before
 from cardstream.operators.metrics import with_totals
-from cardstream.operators.sequence import keyed_running_totals
+from cardstream.operators.sequence import STREAM_BUCKET_ROWS, keyed_running_totals
 from cardstream.schema import (
     MINUTE_ALLOWED_LATENESS_MS, MINUTE_WINDOW_MS, OUT_OF_ORDERNESS_MS, resolve_order,
 )
@@ -54,12 +54,15 @@ class MinuteEmissionsWriter:
         progress = Progress(batch.sparkSession, f"{self.out}/progress")
         carry = progress.before(batch_id).max_event_time
         order = resolve_order(batch, self.order_by)
-        marked = with_watermark_before(batch, order, self.delay_ms, self.bucket_width, carry).persist()
+        batch = batch.persist()              # read twice: for the buckets' maxima, and for the rows
+        marked = with_watermark_before(batch, order, self.delay_ms, self.bucket_width, carry,
+                                       bucket_rows=STREAM_BUCKET_ROWS).persist()
         try:
             latest = latest_time(marked, carry)
             self.write(marked, order, batch_id, latest)
         finally:
             marked.unpersist()
+            batch.unpersist()
         progress.commit(batch_id, latest)
 
     def write(self, marked: DataFrame, order: Sequence[str], batch_id: int, latest: int | None) -> None:

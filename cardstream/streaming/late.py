@@ -13,6 +13,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 
 from cardstream.operators.late import split_late
+from cardstream.operators.sequence import STREAM_BUCKET_ROWS
 from cardstream.schema import OUT_OF_ORDERNESS_MS
 from cardstream.streaming.progress import Progress, latest_time
 
@@ -38,7 +39,8 @@ class LateSplitBatchWriter:
         batch = batch.persist()
         try:
             on_time, late = split_late(batch, self.window_ms, self.lateness_ms,
-                                       self.delay_ms, self.order_by, carry_ms=carry)
+                                       self.delay_ms, self.order_by, carry_ms=carry,
+                                       bucket_rows=STREAM_BUCKET_ROWS)
             late.write.mode("overwrite").format(self.fmt).save(
                 f"{self.out}/late/batch_id={batch_id}")
             if self.write_on_time:
