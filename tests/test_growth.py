@@ -54,3 +54,32 @@ def test_a_job_query_runs_on_the_table_as_it_is(spark, monkeypatch):
     monkeypatch.setattr(catalog, "fixture_transactions", lambda spark, sf_dir: tables[1])
     second = catalog.job_outputs(spark, "/same")["minute_totals"].agg(F.sum("n_tx")).first()[0]
     assert (first, second) == (3, 5)
+
+
+def test_a_drop_folder_makes_each_line_once(spark):
+    """No second pass over the lines for a sample of their order; files of about equal size in order."""
+    from cardstream.streaming.source import write_lines_folder
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def line(i):
+        made.add(1)
+        return str(i)
+
+    lines = spark.range(2000).select((F.col("id") * F.col("id")).alias("arrival_seq"), line("id").alias("value"))
+    folder = write_lines_folder(spark, lines, scratch_path(spark, "t-lines-once"), 4)
+    assert made.value == 2000
+    files = {}
+    for r in spark.read.text(folder).select("value", "_metadata.file_path").collect():
+        files.setdefault(r.file_path, []).append(int(r.value))
+    got = [files[f] for f in sorted(files)]
+    assert [i for part in got for i in part] == list(range(2000))
+    assert len(got) == 4 and max(map(len, got)) < 550
+
+
+def test_a_drop_folder_of_few_or_no_lines(spark):
+    from cardstream.streaming.source import write_lines_folder
+    for rows, n_files in ([], 3), ([(5, "a")], 1), ([(5, "a"), (5, "b"), (6, "c")], 6), ([(None, "a"), (1, "b")], 2):
+        lines = spark.createDataFrame(rows, "arrival_seq bigint, value string")
+        folder = write_lines_folder(spark, lines, scratch_path(spark, "t-lines-few"), n_files)
+        assert sorted(r.value for r in spark.read.text(folder).collect()) == sorted(r[1] for r in rows)
